@@ -74,20 +74,23 @@ def clean_texts(df: DataFrame, text: str, *keep: str, letters: str = "ascii", mi
 def cleaning_report(raw: DataFrame, min_length: int = 3) -> DataFrame:
     """Rows before and after each cleaning step.
 
-    One pass and one shuffle of row digests with two flags, instead of a count before
+    One pass and one shuffle of row digests with three flags, instead of a count before
     and after every step.
     """
     complete = F.lit(True)
     for column in RAW_COLUMNS:
         complete = complete & F.col(column).isNotNull()
+    known = complete & F.col("Score").isin(1, 2)
+    # the texts of incomplete rows are not normalised: AND stops at the first false
+    long_enough = known & (F.length(normalise(F.col("Text"))) >= min_length)
     rows = raw.select(row_digest(*[F.col(c) for c in RAW_COLUMNS]).alias("digest"),
-                      complete.alias("complete"),
-                      (complete & (F.length(normalise(F.col("Text"))) >= min_length)).alias("long_enough"))
-    groups = rows.groupBy("digest", "complete", "long_enough").agg(F.count("*").alias("n"))
+                      complete.alias("complete"), known.alias("known"), long_enough.alias("long_enough"))
+    groups = rows.groupBy("digest", "complete", "known", "long_enough").agg(F.count("*").alias("n"))
     counts = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),
         F.coalesce(F.sum(F.when(F.col("complete"), F.col("n"))), F.lit(0)).alias("complete"),
         F.count_if("complete").alias("distinct"),
+        F.count_if("known").alias("known"),
         F.count_if("long_enough").alias("kept"))
 
     def step(position: int, name: str, before: str, after: str):
@@ -98,4 +101,5 @@ def cleaning_report(raw: DataFrame, min_length: int = 3) -> DataFrame:
     return counts.select(F.inline(F.array(
         step(1, "nulls", "raw", "complete"),
         step(2, "duplicates", "complete", "distinct"),
-        step(3, "short_texts", "distinct", "kept"))))
+        step(3, "unknown_scores", "distinct", "known"),
+        step(4, "short_texts", "known", "kept"))))

@@ -70,4 +70,4 @@ def median_by(df: DataFrame, by: str, length) -> DataFrame:
     length, not one per row.
     """
     counts = df.select(by, length.alias("len")).groupBy(by, "len").agg(F.count("*").alias("n"))
-    return counts.groupBy(by).agg(F.percentile("len", 0.5, "n").alias("median_len"))
+    return counts.groupBy(by).agg(F.percentile("len", 0.5, F.col("n")).alias("median_len"))
