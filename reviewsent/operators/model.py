@@ -5,9 +5,11 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewsent.functions.stopwords import STOP_WORDS
+from reviewsent.operators.evaluation import auc, positive_metrics
+from reviewsent.sources.shared import new_path, stage_table
 
 NUM_FEATURES = 10_000
 
@@ -38,6 +40,18 @@ def fit_classifier(features: DataFrame, max_iter: int = 20, reg_param: float = 0
     return lr.fit(features.select("label", "tfidf_features"))
 
 
+def detached(classifier: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The classifier written to the shared folder and loaded back, without its training summary.
+
+    A freshly fitted model holds its summary, and with it the session and the training
+    data. Scoring would ship all that with every task, and fails where the session has
+    parts that cannot be serialised.
+    """
+    path = new_path(SparkSession.active(), "classifier")
+    classifier.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
           num_features: int = NUM_FEATURES, stop: str = "english",
           max_iter: int = 20, reg_param: float = 0.1) -> PipelineModel:
@@ -47,14 +61,10 @@ def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
     fit them before the split.
     """
     features = feature_model(train_df if idf_documents is None else idf_documents, num_features, stop)
-    classifier = fit_classifier(add_features(features, train_df), max_iter, reg_param)
-    return PipelineModel(stages=[*features.stages, classifier])
-
-
-def training_summary(model: PipelineModel) -> dict[str, float]:
-    """Accuracy and area under ROC on the training rows (only right after training)."""
-    summary = model.stages[-1].summary
-    return {"accuracy": summary.accuracy, "areaUnderROC": summary.areaUnderROC}
+    # MLlib reads its input more than once; the text stages run once
+    vectors = stage_table(add_features(features, train_df).select("label", "tfidf_features"), "train_features")
+    classifier = fit_classifier(vectors, max_iter, reg_param)
+    return PipelineModel(stages=[*features.stages, detached(classifier)])
 
 
 def positive_probability(probability: str = "probability") -> Column:
@@ -68,6 +78,16 @@ def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     return scored.select(*keep, "prediction", positive_probability().alias("prob_positive"))
 
 
+def training_metrics(model: PipelineModel, train_df: DataFrame) -> DataFrame:
+    """Accuracy and area under ROC on the training rows.
+
+    Computed from the scored rows. MLlib's own summary needs the attached model, see
+    :func:`detached`.
+    """
+    scored = stage_table(score(model, train_df).drop("text"), "train_predictions")
+    return positive_metrics(scored).select("accuracy").withColumn("auc", auc(scored).scalar())
+
+
 def fix_probability(predictions: DataFrame) -> DataFrame:
     """Replace the probability vector of stored predictions by ``prob_positive``."""
     return predictions.withColumn("prob_positive", positive_probability()).drop("probability")

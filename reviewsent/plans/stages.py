@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from reviewsent.operators.cleaning import (RAW_COLUMNS, clean_reviews, drop_duplicates, drop_incomplete,
                                            label_reviews, normalise_reviews)
 from reviewsent.operators.lexicon import lexicon_predictions, sentiment_lexicon
-from reviewsent.operators.model import (add_features, feature_model, fit_classifier, save_model, score)
+from reviewsent.operators.model import add_features, feature_model, save_model, score, train
 from reviewsent.operators.sampling import hash_split, undersample
 from reviewsent.operators.words import word_ratio, word_rows
 from reviewsent.sources.files import write_verified
@@ -45,11 +45,7 @@ def train_and_score(cleaned: DataFrame, idf_scope: str = "train", train_share: f
     ``idf_scope='all'`` fits the IDF weights on all rows instead of the training rows.
     """
     train_df, test_df = hash_split(cleaned, train_share, seed=seed)
-    features = feature_model(cleaned if idf_scope == "all" else train_df)
-    # MLlib reads its input more than once; the text stages run once
-    train_features = stage_table(
-        add_features(features, train_df).select("label", "tfidf_features"), "train_features")
-    model = PipelineModel(stages=[*features.stages, fit_classifier(train_features)])
+    model = train(train_df, cleaned if idf_scope == "all" else None)
     return model, score(model, test_df)
 
 
