@@ -53,14 +53,20 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def without_words(words: Column, stop: tuple[str, ...], min_length: int = 0) -> Column:
-    """Drop stop words (literal list, looked up in a hash set) and short words; keeps repeats."""
+def in_list(word: str, listed: tuple[str, ...] | list[str]) -> str:
+    """SQL condition ``word IN (...)``: one hash lookup, however long the list.
+
+    Word lists go into the plan as SQL text, because ``Column.isin`` makes a round trip
+    to the JVM for every single word.
+    """
+    if not listed:
+        return "false"
+    return f"{word} IN (" + ", ".join("'" + w.replace("'", "''") + "'" for w in listed) + ")"
 
-    def kept(w: Column) -> Column:
-        keep = ~w.isin(*stop) if stop else F.lit(True)
-        return keep & (F.length(w) >= min_length) if min_length else keep
 
-    return F.filter(words, kept)
+def without_words(words: str, stop: tuple[str, ...], min_length: int = 0) -> Column:
+    """Array ``words`` (a SQL expression) without stop words and short words; repeats are kept."""
+    return F.expr(f"filter({words}, w -> NOT {in_list('w', stop)} AND length(w) >= {min_length})")
 
 
 def shorten(text: Column, n: int, ellipsis: str = "...") -> Column:

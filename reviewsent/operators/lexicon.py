@@ -6,7 +6,7 @@ that a SQL query can compute as well, which MLlib's weights do not.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewsent.functions.text import tokens
+from reviewsent.functions.text import in_list, tokens
 from reviewsent.operators.words import top_ratio
 
 
@@ -26,18 +26,16 @@ def sentiment_lexicon(ratio: DataFrame, size: int = 100) -> tuple[list[str], lis
     return lists["positive"], lists["negative"]
 
 
-def _hits(words: Column, listed: list[str]) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(*listed))) if listed else F.lit(0)
-
-
 def lexicon_predictions(reviews: DataFrame, positive: list[str], negative: list[str]) -> DataFrame:
     """``(doc_id, label, prediction, prob_positive, text)``, each text scored in its own row.
 
     Probability = positive hits / all hits, 0.5 without a hit.
     """
+    def hits(listed: list[str]) -> Column:
+        return F.expr(f"size(filter(_words, w -> {in_list('w', listed)}))")
+
     counted = (reviews.select("doc_id", "label", "text", tokens(F.col("text")).alias("_words"))
-               .withColumn("_pos", _hits(F.col("_words"), positive))
-               .withColumn("_all", F.col("_pos") + _hits(F.col("_words"), negative)))
+               .withColumn("_pos", hits(positive)).withColumn("_all", F.col("_pos") + hits(negative)))
     scored = counted.withColumn(
         "prob_positive", F.when(F.col("_all") > 0, F.col("_pos") / F.col("_all")).otherwise(F.lit(0.5)))
     prediction = F.when(F.col("prob_positive") > 0.5, 1.0).otherwise(0.0)

@@ -7,7 +7,7 @@ term: the weights of MLlib's IDF, with terms in place of hash buckets.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewsent.functions.stopwords import STOP_WORDS
-from reviewsent.functions.text import tokens, without_words
+from reviewsent.functions.text import without_words
 from reviewsent.sources.shared import stage_table
 
 # A term is hot if more than one document in HOT_SHARE has it. Documents hold D distinct
@@ -21,11 +21,13 @@ def md5_bucket(word: Column, buckets: int) -> Column:
     return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % buckets).cast("int")
 
 
-def filtered_tokens(text: Column, stop: str = "english") -> Column:
-    return without_words(tokens(text), STOP_WORDS[stop])
+def filtered_tokens(text: str = "text", stop: str = "english") -> Column:
+    """Terms of a normalised text column: its tokens that are no stop words."""
+    return without_words(f"split({text}, ' ')", STOP_WORDS[stop])
 
 
-def hashed_tokens(text: Column, buckets: int = 10_000, stop: str = "english") -> Column:
+def hashed_tokens(text: str = "text", buckets: int = 10_000, stop: str = "english") -> Column:
+    """:func:`filtered_tokens` as md5 buckets."""
     return F.transform(filtered_tokens(text, stop), lambda w: md5_bucket(w, buckets))
 
 
@@ -47,8 +49,12 @@ def term_frequencies(df: DataFrame, terms: Column, key: str = "doc_id", name: st
     return starts.select(key, F.inline(F.transform("_starts", run)))
 
 
-def document_frequency(tf: DataFrame, name: str = "word") -> DataFrame:
+def document_frequency(documents: DataFrame, terms: Column, name: str = "word") -> DataFrame:
     """Number of documents per term."""
+    return _document_frequency(documents.select(F.explode(F.array_distinct(terms)).alias(name)), name)
+
+
+def _document_frequency(tf: DataFrame, name: str) -> DataFrame:
     return tf.groupBy(name).agg(F.count("*").alias("df"))
 
 
@@ -61,7 +67,7 @@ def tfidf_long(documents: DataFrame, terms: Column, key: str = "doc_id", name: s
     """
     m = documents.count()
     tf = stage_table(term_frequencies(documents, terms, key, name), "term_frequencies")
-    frequencies = stage_table(document_frequency(tf, name), "document_frequencies")
+    frequencies = stage_table(_document_frequency(tf, name), "document_frequencies")
     joined = _join_frequencies(tf, frequencies, m, key, name, broadcast_bytes)
     return (joined.withColumn("idf", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)))
             .withColumn("tfidf", F.col("tf") * F.col("idf"))

@@ -7,14 +7,14 @@ task before the shuffle, so a frequent word is no hot spot.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reviewsent.functions.stopwords import STOP_WORDS
-from reviewsent.functions.text import split_words, tokens, without_words
+from reviewsent.functions.text import in_list, split_words, tokens, without_words
 
 
 def with_tokens(df: DataFrame, stop: str = "english", text: str = "text") -> DataFrame:
     """Add ``tokens`` and ``filtered_tokens`` of normalised text."""
     return (df.where(F.col(text).isNotNull())
             .withColumn("tokens", tokens(F.col(text)))
-            .withColumn("filtered_tokens", without_words(F.col("tokens"), STOP_WORDS[stop])))
+            .withColumn("filtered_tokens", without_words("tokens", STOP_WORDS[stop])))
 
 
 def token_stats(df: DataFrame, stop: str = "english") -> DataFrame:
@@ -46,8 +46,7 @@ def split_word_rows(df: DataFrame, *keep: str, stop: str = "compact140", min_len
 
 
 def without_stop_rows(words: DataFrame, stop: str, min_length: int = 0) -> DataFrame:
-    if STOP_WORDS[stop]:
-        words = words.where(~F.col("word").isin(*STOP_WORDS[stop]))
+    words = words.where(f"NOT {in_list('word', STOP_WORDS[stop])}")
     return words.where(F.length("word") >= min_length) if min_length else words
 
 

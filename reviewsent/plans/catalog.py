@@ -10,7 +10,7 @@ from reviewsent.plans import stages
 from reviewsent.schema import CLEANED, REVIEWS
 from reviewsent.sources import files
 from reviewsent.sources.shared import new_path, stage_table
-from reviewsent.sources.tables import raw_reviews, read_table
+from reviewsent.sources.tables import raw_reviews, read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,8 @@ def staged_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_texts(read_table(spark, folder, "documents"), "text", "doc_id", min_length=3)
+    rows = spread(read_table(spark, folder, "documents"), "doc_id")
+    return cleaning.clean_texts(rows, "text", "doc_id", min_length=3)
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,16 +89,17 @@ def clean_reviews_clean_dedupe(spark, folder):
 
 
 def clean_pages(spark, folder):
-    pages = read_table(spark, folder, "pages")
+    pages = spread(read_table(spark, folder, "pages"), "page_id")
     return cleaning.clean_texts(pages, "html", "page_id")
 
 
 def clean_unicode(spark, folder):
-    return cleaning.clean_texts(read_table(spark, folder, "documents"), "text", "doc_id", letters="unicode")
+    rows = spread(read_table(spark, folder, "documents"), "doc_id")
+    return cleaning.clean_texts(rows, "text", "doc_id", letters="unicode")
 
 
 def cleaning_report(spark, folder):
-    return cleaning.cleaning_report(raw_reviews(spark, folder))
+    return cleaning.cleaning_report(raw_reviews(spark, folder, balanced=True))
 
 
 # samples
@@ -170,7 +172,8 @@ def top_words_compact(spark, folder):
 
 
 def role_top_words(spark, folder):
-    turns = cleaning.clean_texts(read_table(spark, folder, "conversations"), "text", "role")
+    rows = spread(read_table(spark, folder, "conversations"), "conv_id", "turn")
+    turns = cleaning.clean_texts(rows, "text", "role")
     return words.top_words(words.split_word_rows(turns, "role"), "role", k=20)
 
 
@@ -199,22 +202,22 @@ def bigram_ratio_top(spark, folder):
 # TF-IDF
 
 def document_frequency(spark, folder):
-    terms = tfidf.filtered_tokens(F.col("text"))
-    return tfidf.document_frequency(tfidf.term_frequencies(documents(spark, folder), terms))
+    terms = tfidf.filtered_tokens()
+    return tfidf.document_frequency(documents(spark, folder), terms)
 
 
 def tfidf_long(spark, folder):
     rows = stage_table(documents(spark, folder), "documents")
-    return rounded(tfidf.tfidf_long(rows, tfidf.filtered_tokens(F.col("text"))), "idf", "tfidf")
+    return rounded(tfidf.tfidf_long(rows, tfidf.filtered_tokens()), "idf", "tfidf")
 
 
 def hashed_tfidf_md5(spark, folder):
     rows = stage_table(documents(spark, folder), "documents")
-    return rounded(tfidf.tfidf_long(rows, tfidf.hashed_tokens(F.col("text")), name="bucket"), "idf", "tfidf")
+    return rounded(tfidf.tfidf_long(rows, tfidf.hashed_tokens(), name="bucket"), "idf", "tfidf")
 
 
 def feature_density(spark, folder):
-    return tfidf.term_density(documents(spark, folder), tfidf.hashed_tokens(F.col("text")))
+    return tfidf.term_density(documents(spark, folder), tfidf.hashed_tokens())
 
 
 # evaluation, on the predictions of the lexicon
