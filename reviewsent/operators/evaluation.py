@@ -1,7 +1,7 @@
 """Confusion matrix, metrics, ROC curve and exact AUC of ``(label, prediction, prob_positive)``."""
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from reviewsent.sources.shared import stage_table
 
@@ -80,37 +80,55 @@ def metrics_table(df: DataFrame) -> DataFrame:
         melt(auc(df), [("auc", "all", "auc")]))
 
 
-def _score_groups(df: DataFrame) -> DataFrame:
-    """Positives and negatives per distinct score, written once: three readers follow."""
+# Scores per window task. More distinct scores are cut into more buckets, up to MAX_BUCKETS.
+SCORES_PER_BUCKET = 200_000
+MAX_BUCKETS = 4096
+
+
+def _score_groups(df: DataFrame) -> tuple[DataFrame, Row]:
+    """Positives and negatives per distinct score, written because it is read several times; totals."""
     groups = (df.where(F.col("prob_positive").isNotNull()).groupBy(F.col("prob_positive").alias("threshold"))
               .agg(F.count_if(F.col("label") == 1).alias("positives"),
                    F.count_if(F.col("label") == 0).alias("negatives")))
-    return stage_table(groups, "score_groups")
+    groups = stage_table(groups, "score_groups")
+    return groups, groups.agg(F.count("*").alias("scores"), F.max("threshold").alias("highest"),
+                              F.coalesce(F.sum("positives"), F.lit(0)).alias("positives"),
+                              F.coalesce(F.sum("negatives"), F.lit(0)).alias("negatives")).first()
+
 
+def _splits(groups: DataFrame, scores: int, scores_per_bucket: int) -> list[float]:
+    """Edges of buckets of about equally many distinct scores."""
+    buckets = min(MAX_BUCKETS, max(1, scores // scores_per_bucket))
+    cuts = {0.5}
+    if buckets > 1:
+        # as SQL text: one call instead of one per quantile
+        quantiles = ", ".join(f"{i / buckets:.6f}" for i in range(1, buckets))
+        cuts.update(groups.agg(F.expr(
+            f"percentile_approx(threshold, array({quantiles}), {10 * buckets})")).first()[0])
+    return [float("-inf"), *sorted(cuts), float("inf")]
 
-def _running(groups: DataFrame, buckets: int) -> DataFrame:
+
+def _running(groups: DataFrame, scores: int, scores_per_bucket: int) -> DataFrame:
     """Add ``tp`` and ``fp``, the counts at or above each score, and the next lower score's counts.
 
     Distinct scores can be as many as rows, so no window runs over all of them. The
-    scores are cut into ``buckets`` of about equal size at approximate quantiles, which
-    holds where scores pile up near 0 or 1 too. Totals per bucket (one row each) give
-    every bucket its start; inside a bucket a window adds up the rest. Any cut gives the
-    same result.
+    scores are cut into buckets at approximate quantiles, which holds where scores pile
+    up near 0 or 1 too. Totals per bucket (one row each) give every bucket its start;
+    inside a bucket a window adds up the rest. Any cut gives the same result.
     """
-    quantiles = [i / buckets for i in range(1, buckets)]
-    cuts = groups.agg(F.percentile_approx("threshold", quantiles, 10 * buckets)).first()[0] if quantiles else []
-    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
+    splits = _splits(groups, scores, scores_per_bucket)
     bucketed = Bucketizer(splits=splits, inputCol="threshold", outputCol="_bucket").transform(groups)
 
     # windows over one row per bucket
     above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     below = Window.orderBy(F.col("_bucket").desc())
-    pair = F.struct("positives", "negatives")
-    starts = (bucketed.groupBy("_bucket").agg(F.sum("positives").alias("_p"), F.sum("negatives").alias("_n"),
-                                              F.max_by(pair, "threshold").alias("_first"))
-              .select("_bucket", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_tp_above"),
-                      F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_fp_above"),
-                      F.lead("_first").over(below).alias("_next_bucket")))
+    # single longs, not structs: the totals stay a hash aggregate
+    starts = (bucketed.groupBy("_bucket").agg(
+        F.sum("positives").alias("_p"), F.sum("negatives").alias("_n"),
+        F.max_by("positives", "threshold").alias("_first_p"), F.max_by("negatives", "threshold").alias("_first_n"))
+        .select("_bucket", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_tp_above"),
+                F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_fp_above"),
+                F.lead("_first_p").over(below).alias("_next_p"), F.lead("_first_n").over(below).alias("_next_n")))
 
     inside = Window.partitionBy("_bucket").orderBy(F.col("threshold").desc())
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -118,36 +136,42 @@ def _running(groups: DataFrame, buckets: int) -> DataFrame:
         "threshold", "positives", "negatives",
         (F.col("_tp_above") + F.sum("positives").over(upto)).alias("tp"),
         (F.col("_fp_above") + F.sum("negatives").over(upto)).alias("fp"),
-        F.coalesce(F.lead(pair).over(inside), F.col("_next_bucket")).alias("next_counts"))
+        F.coalesce(F.lead("positives").over(inside), F.col("_next_p")).alias("next_positives"),
+        F.coalesce(F.lead("negatives").over(inside), F.col("_next_n")).alias("next_negatives"))
 
 
-def roc_curve(df: DataFrame, drop_collinear: bool = False, buckets: int = 1024) -> DataFrame:
+def roc_curve(df: DataFrame, drop_collinear: bool = False,
+              scores_per_bucket: int = SCORES_PER_BUCKET) -> DataFrame:
     """``(threshold, tp, fp, tpr, fpr)``: one point per distinct score and the origin.
 
     The origin has a null threshold. ``drop_collinear`` drops the points that lie on the
     line between their neighbours, but never the first or last score.
     """
-    groups = _score_groups(df)
-    totals = groups.agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"),
-                        F.max("threshold").alias("highest")).first()
-    points = _running(groups, buckets)
+    groups, totals = _score_groups(df)
+    points = _running(groups, totals["scores"], scores_per_bucket)
     if drop_collinear:
-        corner = F.col("next_counts").isNull() | (F.col("next_counts") != F.struct("positives", "negatives"))
+        corner = (F.col("next_positives").isNull() | (F.col("next_positives") != F.col("positives"))
+                  | (F.col("next_negatives") != F.col("negatives")))
         points = points.where(corner | (F.col("threshold") == F.lit(totals["highest"]).cast("double")))
-    # an aggregate without keys always has one row: the origin needs no invented input
+    # an aggregate without keys always has one row
     origin = groups.agg(F.lit(None).cast("double").alias("threshold"),
                         F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"))
-    rate = lambda count, total: F.col(count) / F.lit(total) if total else F.lit(None).cast("double")
+
+    def rate(count: str, total: int) -> Column:
+        return F.col(count) / total if total else F.lit(None).cast("double")
+
     return (points.select("threshold", "tp", "fp").unionByName(origin)
-            .withColumn("tpr", rate("tp", totals["p"])).withColumn("fpr", rate("fp", totals["n"])))
+            .withColumn("tpr", rate("tp", totals["positives"])).withColumn("fpr", rate("fp", totals["negatives"])))
 
 
-def auc(df: DataFrame, buckets: int = 1024) -> DataFrame:
+def auc(df: DataFrame, scores_per_bucket: int = SCORES_PER_BUCKET, undefined: float | None = None) -> DataFrame:
     """Exact area under the ROC curve by trapezoids over tied scores.
 
-    Null if a class has no row, or if all scores are equal.
+    ``undefined`` (default: null) if a class has no row, or if all scores are equal.
     """
-    points = _running(_score_groups(df), buckets)
+    groups, totals = _score_groups(df)
+    points = _running(groups, totals["scores"], scores_per_bucket)
     area = F.sum(F.col("negatives") * (F.col("tp") - F.col("positives") / 2))
-    defined = (F.max("tp") > 0) & (F.max("fp") > 0) & (F.min("threshold") < F.max("threshold"))
-    return points.agg(F.when(defined, area / (F.max("tp").cast("double") * F.max("fp"))).alias("auc"))
+    pairs = float(totals["positives"]) * totals["negatives"]
+    defined = pairs > 0 and totals["scores"] > 1
+    return points.agg((area / pairs if defined else F.lit(undefined).cast("double")).alias("auc"))

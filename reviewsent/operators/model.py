@@ -88,9 +88,13 @@ def training_metrics(model: PipelineModel, train_df: DataFrame) -> DataFrame:
     return positive_metrics(scored).select("accuracy").withColumn("auc", auc(scored).scalar())
 
 
-def fix_probability(predictions: DataFrame) -> DataFrame:
-    """Replace the probability vector of stored predictions by ``prob_positive``."""
-    return predictions.withColumn("prob_positive", positive_probability()).drop("probability")
+def fix_probability(predictions: DataFrame, missing: float | None = None) -> DataFrame:
+    """Replace the probability vector of stored predictions by ``prob_positive``.
+
+    A missing vector gives ``missing``, null unless asked for otherwise.
+    """
+    positive = F.coalesce(positive_probability(), F.lit(missing).cast("double"))
+    return predictions.withColumn("prob_positive", positive).drop("probability")
 
 
 def save_model(model, path: str) -> None:
