@@ -7,7 +7,8 @@ term: the weights of MLlib's IDF, with terms in place of hash buckets.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewsent.functions.stopwords import STOP_WORDS
-from reviewsent.functions.text import without_words
+from reviewsent.functions.text import tokens, without_words
+from reviewsent.operators.words import without_stop_rows
 from reviewsent.sources.shared import stage_table
 
 # A term is hot if more than one document in HOT_SHARE has it. Documents hold D distinct
@@ -49,9 +50,14 @@ def term_frequencies(df: DataFrame, terms: Column, key: str = "doc_id", name: st
     return starts.select(key, F.inline(F.transform("_starts", run)))
 
 
-def document_frequency(documents: DataFrame, terms: Column, name: str = "word") -> DataFrame:
-    """Number of documents per term."""
-    return _document_frequency(documents.select(F.explode(F.array_distinct(terms)).alias(name)), name)
+def document_frequency(documents: DataFrame, text: str = "text", stop: str = "english") -> DataFrame:
+    """Number of documents per word of a normalised text column.
+
+    Repeats are dropped inside the row, stop words after it: as rows they are filtered in
+    generated code, as array elements they are not.
+    """
+    distinct = F.explode(F.array_distinct(tokens(F.col(text)))).alias("word")
+    return _document_frequency(without_stop_rows(documents.select(distinct), stop), "word")
 
 
 def _document_frequency(tf: DataFrame, name: str) -> DataFrame:

@@ -202,8 +202,7 @@ def bigram_ratio_top(spark, folder):
 # TF-IDF
 
 def document_frequency(spark, folder):
-    terms = tfidf.filtered_tokens()
-    return tfidf.document_frequency(documents(spark, folder), terms)
+    return tfidf.document_frequency(documents(spark, folder))
 
 
 def tfidf_long(spark, folder):
