@@ -8,8 +8,11 @@ _KEPT = {"ascii": "a-z", "unicode": r"\p{L}"}
 
 
 def strip_tags(text: Column) -> Column:
-    """Replace everything between ``<`` and the next ``>`` by a space."""
-    return F.regexp_replace(text, "<[^>]*>", " ")
+    """Replace everything between ``<`` and the next ``>`` by a space.
+
+    Texts without ``<`` are not given to the regular expression.
+    """
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]*>", " ")).otherwise(text)
 
 
 def letters_only(text: Column, letters: str = "ascii") -> Column:
@@ -28,8 +31,12 @@ def normalise(text: Column, letters: str = "ascii") -> Column:
     the collapse step, so both are one replacement of ``[^letters]+``: one regex
     pass over the text less, same result.
     """
-    bare = strip_tags(F.lower(text))
-    return F.trim(F.regexp_replace(bare, f"[^{_KEPT[letters]}]+", " "))
+    return normalise_lower(F.lower(text), letters)
+
+
+def normalise_lower(text: Column, letters: str = "ascii") -> Column:
+    """:func:`normalise` of text that is in lower case already."""
+    return F.trim(F.regexp_replace(strip_tags(text), f"[^{_KEPT[letters]}]+", " "))
 
 
 def tokens(text: Column) -> Column:

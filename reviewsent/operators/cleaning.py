@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from reviewsent.functions.keys import row_digest
-from reviewsent.functions.text import normalise, sentiment_label
+from reviewsent.functions.text import normalise, normalise_lower, sentiment_label
 
 RAW_COLUMNS = ["Score", "Summary", "Text"]
 
@@ -33,8 +33,10 @@ def normalised_once(df: DataFrame, source: str, name: str, letters: str = "ascii
 
     The value leaves a one-element generator, because the optimizer copies a plain
     projection into every filter above it and would run the regular expressions twice.
+    Lower case is a step of its own, because a generator does not share common terms.
     """
-    return df.select("*", F.explode(F.array(normalise(F.col(source), letters))).alias(name))
+    lower = df.withColumn("_lower", F.lower(source))
+    return lower.select(*df.columns, F.explode(F.array(normalise_lower(F.col("_lower"), letters))).alias(name))
 
 
 def keep_min_length(df: DataFrame, column: str, min_length: int = 3) -> DataFrame:
@@ -88,8 +90,8 @@ def cleaning_report(raw: DataFrame, min_length: int = 3) -> DataFrame:
         complete = complete & F.col(column).isNotNull()
     known = complete & F.col("Score").isin(1, 2)
     # the texts of incomplete rows are not normalised: AND stops at the first false
-    long_enough = known & (F.length(normalise(F.col("Text"))) >= min_length)
-    rows = raw.select(row_digest(*[F.col(c) for c in RAW_COLUMNS]).alias("digest"),
+    long_enough = known & (F.length(normalise_lower(F.col("_lower"))) >= min_length)
+    rows = raw.withColumn("_lower", F.lower("Text")).select(row_digest(*[F.col(c) for c in RAW_COLUMNS]).alias("digest"),
                       complete.alias("complete"), known.alias("known"), long_enough.alias("long_enough"))
     groups = rows.groupBy("digest", "complete", "known", "long_enough").agg(F.count("*").alias("n"))
     counts = groups.agg(
