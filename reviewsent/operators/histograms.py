@@ -18,6 +18,12 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
     return (guess - down.cast("int") + up.cast("int")).cast("int")
 
 
+def _values(df: DataFrame, value: Column, by: str, classes: tuple[int, ...]) -> DataFrame:
+    """Values of the listed classes; that bounds the rows per class and bin that are broadcast below."""
+    return (df.where(F.col(by).isin(*classes)).select(by, value.cast("double").alias("_value"))
+            .where(F.col("_value").isNotNull()))
+
+
 def _grid(df: DataFrame, by: str, classes: tuple[int, ...], bins: int) -> DataFrame:
     cells = df.sparkSession.range(bins * len(classes))
     label = F.get(F.array(*[F.lit(c) for c in classes]), F.floor(F.col("id") / bins).cast("int"))
@@ -34,7 +40,7 @@ def histogram(df: DataFrame, value: Column, low: float, high: float, bins: int =
               by: str = "label", classes: tuple[int, ...] = CLASSES) -> DataFrame:
     """``(by, bin, bin_start, n)`` over a fixed range; nulls and values outside are dropped."""
     low, high = float(low), float(high)
-    rows = df.select(by, value.cast("double").alias("_value")).where(F.col("_value").between(low, high))
+    rows = _values(df, value, by, classes).where(F.col("_value").between(low, high))
     binned = rows.select(by, bin_of(F.col("_value"), F.lit(low), F.lit(high), bins).alias("bin"))
     counts = _count_bins(binned, by, _grid(df, by, classes, bins))
     return counts.select(by, "bin", (F.lit(low) + F.col("bin") * F.lit((high - low) / bins)).alias("bin_start"), "n")
@@ -52,7 +58,7 @@ def histogram_own_range(df: DataFrame, value: Column, bins: int = 50,
 
     If all values of a class are equal the range is half a unit to both sides of it.
     """
-    rows = df.select(by, value.cast("double").alias("_value")).where(F.col("_value").isNotNull())
+    rows = _values(df, value, by, classes)
     ranges = rows.groupBy(by).agg(F.min("_value").alias("_min"), F.max("_value").alias("_max"))
     flat = F.col("_min") == F.col("_max")
     ranges = F.broadcast(ranges.select(

@@ -6,7 +6,7 @@ that a SQL query can compute as well, which MLlib's weights do not.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewsent.functions.text import in_list, tokens
+from reviewsent.functions.text import in_list
 from reviewsent.operators.words import top_ratio
 
 
@@ -29,13 +29,14 @@ def sentiment_lexicon(ratio: DataFrame, size: int = 100) -> tuple[list[str], lis
 def lexicon_predictions(reviews: DataFrame, positive: list[str], negative: list[str]) -> DataFrame:
     """``(doc_id, label, prediction, prob_positive, text)``, each text scored in its own row.
 
-    Probability = positive hits / all hits, 0.5 without a hit.
+    Probability = positive hits / all hits, 0.5 without a hit. The lists have no word in
+    common. All tokens are looked up once, the few hits a second time.
     """
-    def hits(listed: list[str]) -> Column:
-        return F.expr(f"size(filter(_words, w -> {in_list('w', listed)}))")
+    def listed(words: str, words_in: list[str]) -> Column:
+        return F.expr(f"filter({words}, w -> {in_list('w', words_in)})")
 
-    counted = (reviews.select("doc_id", "label", "text", tokens(F.col("text")).alias("_words"))
-               .withColumn("_pos", hits(positive)).withColumn("_all", F.col("_pos") + hits(negative)))
+    counted = (reviews.select("doc_id", "label", "text", listed("split(text, ' ')", positive + negative).alias("_hits"))
+               .withColumn("_pos", F.size(listed("_hits", positive))).withColumn("_all", F.size("_hits")))
     scored = counted.withColumn(
         "prob_positive", F.when(F.col("_all") > 0, F.col("_pos") / F.col("_all")).otherwise(F.lit(0.5)))
     prediction = F.when(F.col("prob_positive") > 0.5, 1.0).otherwise(0.0)

@@ -1,9 +1,9 @@
 """MLlib features and the logistic-regression sentiment model."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, IDF, IDFModel, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,18 +14,33 @@ from reviewsent.sources.shared import new_path, stage_table
 NUM_FEATURES = 10_000
 
 
-def feature_model(documents: DataFrame, num_features: int = NUM_FEATURES, stop: str = "english") -> PipelineModel:
-    """Tokenizer, stop words, hashed term frequency and the IDF weights fitted on ``documents``."""
-    return Pipeline(stages=[
+def text_model(num_features: int = NUM_FEATURES, stop: str = "english") -> PipelineModel:
+    """Tokenizer, stop words and hashed term frequency; nothing to fit."""
+    return PipelineModel(stages=[
         Tokenizer(inputCol="text", outputCol="tokens"),
         StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens", stopWords=list(STOP_WORDS[stop])),
         HashingTF(inputCol="filtered_tokens", outputCol="raw_features", numFeatures=num_features),
-        IDF(inputCol="raw_features", outputCol="tfidf_features"),
-    ]).fit(documents.where(F.col("text").isNotNull()))
+    ])
+
+
+def fit_idf(vectors: DataFrame) -> IDFModel:
+    return IDF(inputCol="raw_features", outputCol="tfidf_features").fit(vectors.select("raw_features"))
+
+
+def feature_model(documents: DataFrame, num_features: int = NUM_FEATURES, stop: str = "english") -> PipelineModel:
+    """:func:`text_model` and the IDF weights fitted on ``documents``."""
+    text = text_model(num_features, stop)
+    return PipelineModel(stages=[*text.stages, fit_idf(add_features(text, documents))])
+
+
+def term_vectors(text: PipelineModel, documents: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and ``raw_features``, written: fitting reads them often, the texts are read once."""
+    return stage_table(add_features(text, documents).select(*keep, "raw_features"), "term_vectors")
 
 
 def add_features(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df.where(F.col("text").isNotNull())).drop("tokens", "raw_features")
+    """Add the columns of ``model`` to the rows that have a text."""
+    return model.transform(df.where(F.col("text").isNotNull())).drop("tokens")
 
 
 def vector_shape(vector: str) -> tuple[Column, Column]:
@@ -60,11 +75,11 @@ def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
     The IDF weights come from the training rows. Pass all rows as ``idf_documents`` to
     fit them before the split.
     """
-    features = feature_model(train_df if idf_documents is None else idf_documents, num_features, stop)
-    # MLlib reads its input more than once; the text stages run once
-    vectors = stage_table(add_features(features, train_df).select("label", "tfidf_features"), "train_features")
-    classifier = fit_classifier(vectors, max_iter, reg_param)
-    return PipelineModel(stages=[*features.stages, detached(classifier)])
+    text = text_model(num_features, stop)
+    vectors = term_vectors(text, train_df, "label")
+    idf = fit_idf(vectors if idf_documents is None else add_features(text, idf_documents))
+    classifier = fit_classifier(idf.transform(vectors), max_iter, reg_param)
+    return PipelineModel(stages=[*text.stages, idf, detached(classifier)])
 
 
 def positive_probability(probability: str = "probability") -> Column:

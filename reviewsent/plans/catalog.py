@@ -294,22 +294,22 @@ def csv_roundtrip(spark, folder):
     """Reviews -> headerless CSV -> parquet -> rows. CSV reads an empty field as null."""
     csv_path, parquet_path = new_path(spark, "reviews_csv"), new_path(spark, "reviews")
     rows = raw_reviews(spark, folder).select("Score", "Summary", "Text")
-    rows.write.option("escape", '"').csv(csv_path)
+    files.write_csv(rows, csv_path)
     return files.csv_to_parquet(spark, csv_path, parquet_path, REVIEWS).drop("doc_id")
 
 
 def csv_header_roundtrip(spark, folder):
     """Cleaned reviews -> CSV with header -> parquet -> rows."""
     csv_path, parquet_path = new_path(spark, "cleaned_csv"), new_path(spark, "cleaned")
-    reviews(spark, folder).drop("doc_id").write.option("escape", '"').option("header", True).csv(csv_path)
+    files.write_csv(reviews(spark, folder).drop("doc_id"), csv_path, header=True)
     return files.csv_to_parquet(spark, csv_path, parquet_path, CLEANED, header=True, key=None)
 
 
 # MLlib
 
 def ml_hashing_tfidf(spark, folder):
-    rows = stage_table(documents(spark, folder), "documents")
-    features = model.add_features(model.feature_model(rows), rows)
+    vectors = model.term_vectors(model.text_model(), documents(spark, folder), "doc_id")
+    features = model.fit_idf(vectors).transform(vectors)
     return features.select("doc_id", *model.vector_shape("tfidf_features"))
 
 

@@ -19,6 +19,12 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     return reader.csv(path)
 
 
+def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
+    """CSV that :func:`read_csv` reads back as it was, but for empty strings, which become null."""
+    (df.write.mode("overwrite").option("header", header).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def rename_columns(df: DataFrame, *names: str) -> DataFrame:
     """Name all columns by position."""
     return df.toDF(*names)

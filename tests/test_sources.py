@@ -52,6 +52,13 @@ def test_csv_to_parquet_adds_a_lasting_key(spark, csv_path, tmp_path):
     assert sorted(r["doc_id"] for r in files.read_stage(spark, out, "doc_id").collect()) == keys
 
 
+def test_csv_keeps_quotes_line_breaks_and_outer_blanks(spark, tmp_path):
+    rows = [(1, ' lead, "q" ', "a\nb\\"), (2, "\ttab", 'x"'), (2, None, "#c")]
+    path = str(tmp_path / "csv")
+    files.write_csv(spark.createDataFrame(rows, REVIEWS), path)
+    assert sorted(map(tuple, files.read_csv(spark, path).collect()), key=str) == sorted(rows, key=str)
+
+
 def test_csv_with_header(spark, tmp_path):
     path = tmp_path / "cleaned.csv"
     path.write_text("label,summary,text\n1,good book,great great\n0,,waste of money\n")
