@@ -91,16 +91,21 @@ def _join_frequencies(tf: DataFrame, frequencies: DataFrame, m: int, key: str, n
 
     A vocabulary of at most ``broadcast_bytes`` is broadcast. A larger one is shuffled,
     with each hot term spread over as many salts as it takes to leave at most one
-    ``HOT_SHARE``-th of the documents per join key; the list of hot terms is short, see
-    above, and is broadcast if its size is within the limit too.
+    ``HOT_SHARE``-th of the documents per join key. The list of hot terms is broadcast,
+    so if it is larger than ``broadcast_bytes`` fewer terms count as hot: each step
+    cuts the bound on their number to a tenth.
     """
     if _table_bytes(frequencies, name) <= broadcast_bytes:
         return tf.join(F.broadcast(frequencies), name)
-    per_salt = max(1, m // HOT_SHARE)
-    salted = frequencies.withColumn("_salts", F.ceil(F.col("df") / per_salt).cast("int"))
-    hot = salted.where(F.col("_salts") > 1).select(name, "_salts")
-    if _table_bytes(hot, name) <= broadcast_bytes:
-        hot = F.broadcast(hot)
+    share = HOT_SHARE
+    while True:
+        per_salt = max(1, m // share)
+        salted = frequencies.withColumn("_salts", F.ceil(F.col("df") / per_salt).cast("int"))
+        hot = salted.where(F.col("_salts") > 1).select(name, "_salts")
+        if share == 1 or _table_bytes(hot, name) <= broadcast_bytes:
+            break
+        share //= 10
+    hot = F.broadcast(hot)  # with share 1 no term is hot
     tf = tf.join(hot, name, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(key), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")).drop("_salts")
     salted = salted.select(name, "df", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))

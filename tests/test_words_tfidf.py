@@ -66,12 +66,14 @@ def test_tfidf_by_hand(spark):
     assert math.isclose(rows[1, "b"]["tfidf"], 2 * math.log(2))
 
 
-def test_salted_join_equals_broadcast_join(spark):
+@pytest.mark.parametrize("broadcast_bytes", [0, 100, 3000])
+def test_salted_join_equals_broadcast_join(spark, broadcast_bytes):
     # one term in every document, one in a third of them
     rows = [(i, ["hot", f"w{i % 97}"] + (["warm"] if i % 3 == 0 else [])) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, terms array<string>")
     small = tfidf.tfidf_long(df, F.col("terms"))
-    large = tfidf.tfidf_long(df, F.col("terms"), broadcast_bytes=0)
+    large = tfidf.tfidf_long(df, F.col("terms"), broadcast_bytes=broadcast_bytes)
+    assert "_salt" in large._jdf.queryExecution().toString()
     assert large.count() == 7000
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
 
