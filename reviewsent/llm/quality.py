@@ -36,7 +36,7 @@ MAX_REPEAT_PERCENT = 20
 #: Below so many characters or words a histogram is not compared.
 GUARD_CHARS, GUARD_WORDS = 200, 100
 #: Largest Jensen-Shannon distance (0 to 1) from the nearest reference.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.90
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
 
 
 def _let(value: Column, use) -> Column:
