@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewsent.llm import quality, suffix_dedup, urls
+from reviewsent.llm import packing, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def op1_suffix_array_dedup(spark, folder):
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"), keep_text=False).drop("kept")
 
 
+def op2_best_fit_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), with_ids=False).drop("ids")
+
+
 def op3_quality_rules(spark, folder):
     return quality.judge_quality(table(spark, folder, "documents"))
 
@@ -25,5 +29,5 @@ def op6_url_filter(spark, folder):
     return urls.judge_urls(table(spark, folder, "pages"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_suffix_array_dedup, op3_quality_rules, op6_url_filter)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op6_url_filter)}
 ORACLE: dict[str, str] = {}
