@@ -54,9 +54,14 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["chunk", "packed"])
 
 
-def pack(documents: DataFrame, chunks: int, *columns: str) -> DataFrame:
-    """``(chunk, packed)``: rows of ``columns``, compressed before they are shuffled by chunk."""
-    number = F.pmod(F.xxhash64(*columns), F.lit(chunks)).cast("int")
+def chunk_of(chunks: int, *columns: str):
+    return F.pmod(F.xxhash64(*columns), F.lit(chunks)).cast("int")
+
+
+def pack(documents: DataFrame, chunks: int, *columns: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(chunk, packed)``: rows of ``columns``, compressed before they are shuffled by chunk; ``by`` names the
+    columns that decide the chunk, if not all."""
+    number = chunk_of(chunks, *(by or columns))
     return documents.select(*columns, number.alias("chunk")).mapInArrow(_pack, PACKED)
 
 
