@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewsent.llm import langid, minhash, packing, quality, suffix_dedup, urls
+from reviewsent.llm import langid, minhash, packing, pii, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op4_language_id(spark, folder):
     return langid.identify_language(table(spark, folder, "documents"))
 
 
+def op5_pii_semi_crf(spark, folder):
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 def op6_url_filter(spark, folder):
     return urls.judge_urls(table(spark, folder, "pages"))
 
@@ -38,6 +42,6 @@ def op9_minhash_near_dedup(spark, folder):
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op6_url_filter,
+    op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
     op9_minhash_near_dedup)}
 ORACLE: dict[str, str] = {}
