@@ -2,9 +2,9 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewsent.llm import langid, minhash, packing, pii, quality, suffix_dedup, urls
+from reviewsent.llm import langid, minhash, packing, pieces, pii, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,11 +37,18 @@ def op6_url_filter(spark, folder):
     return urls.judge_urls(table(spark, folder, "pages"))
 
 
+def op7_sentencepiece(spark, folder):
+    """Ids and, decoded from them, the digest of the text they stand for."""
+    found = pieces.encode_documents(table(spark, folder, "documents"))
+    back = F.sha2(F.encode(pieces.decode_ids(F.col("ids"), pieces.Pieces()), "utf-8"), 256)
+    return found.select("doc_id", "n_tokens", "ids_crc32", "text_sha256", back.alias("decoded_sha256"))
+
+
 def op9_minhash_near_dedup(spark, folder):
     return minhash.group_copies(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
-    op9_minhash_near_dedup)}
+    op7_sentencepiece, op9_minhash_near_dedup)}
 ORACLE: dict[str, str] = {}
