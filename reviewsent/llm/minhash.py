@@ -154,11 +154,14 @@ def confirm_pairs(pairs: DataFrame, documents: DataFrame, chunks: int) -> DataFr
     return sent.groupBy("hub", "salt").applyInArrow(_confirm, PAIR_SQL)
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """Each member of a bucket of two or more with the bucket's smallest."""
+def crowded(classes: DataFrame) -> DataFrame:
+    """``(band, bucket, doc_id, v)`` of the buckets with two members or more; ``v`` is the smallest of them.
+
+    Most buckets hold one text, so what follows reads a small part of the bands.
+    """
+    members = classes.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("band", "bucket").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return (members.join(hubs, ["band", "bucket"]).where("doc_id <> v")
-            .select(F.col("doc_id").alias("u"), "v").distinct())
+    return members.join(hubs.drop("n"), ["band", "bucket"])
 
 
 def open_pairs(members: DataFrame, parts: DataFrame, signature: DataFrame) -> DataFrame:
@@ -199,8 +202,8 @@ def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text")
                                          F.min_by(F.struct("bands", "signature"), "doc_id").alias("f"))
     classes = stage_table(classes.select("doc_id", "digest", "f.*"), "minhash_classes")
     signature = classes.select("doc_id", "signature").dropDuplicates(["doc_id"])
-    members = classes.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    stars = star_pairs(members)
+    members = stage_table(crowded(classes), "buckets")
+    stars = members.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
     agree = (stars.join(signature.select(F.col("doc_id").alias("u"), F.col("signature").alias("su")), "u")
              .join(signature.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv")), "v")
              .mapInArrow(_agree, PAIR_SQL))

@@ -47,7 +47,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
     base = 0x9E3779B97F4A7C15
     out = []
     for b in (base, pow(base, -1, 1 << 64)):
@@ -72,7 +73,7 @@ def _window_minima(data: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.nda
 
 def find_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor, none across the document ends: ``(anchor, start, windows)``."""
-    up, down = _powers(min(len(data), BLOCK + LENGTH) + 1)
+    up, down = powers(min(len(data), BLOCK + LENGTH) + 1)
     inside = np.ones(max(0, len(data) - LENGTH + 1), bool)  # the window ends before its document does
     for end in ends[:-1].tolist():
         inside[max(0, end - LENGTH + 1):end] = False

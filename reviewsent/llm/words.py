@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from reviewsent.llm.suffix_dedup import mix
+from reviewsent.llm.suffix_dedup import mix, powers
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -20,8 +20,6 @@ def _hash_pass(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, up: np.nd
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of ``texts``, in order, and the number of words of each text."""
-    from reviewsent.llm.suffix_dedup import _powers
-
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     space = SPACES[data]
     edge = np.diff(np.r_[True, space].astype(np.int8))
@@ -31,7 +29,7 @@ def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.uint64), counts
     longest = int((ends - starts).max())
-    up, down = _powers(PASS + longest + 2)
+    up, down = powers(min(PASS, len(data)) + longest + 2)
     out, first = [], 0
     while first < len(starts):
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + PASS, side="right")))
