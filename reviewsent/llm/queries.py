@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewsent.llm import langid, minhash, packing, pieces, pii, quality, suffix_dedup, urls
+from reviewsent.llm import langid, minhash, packing, pieces, pii, projections, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +44,15 @@ def op7_sentencepiece(spark, folder):
     return found.select("doc_id", "n_tokens", "ids_crc32", "text_sha256", back.alias("decoded_sha256"))
 
 
+def op8_collision_projections(spark, folder):
+    return projections.group_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_minhash_near_dedup(spark, folder):
     return minhash.group_copies(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
-    op7_sentencepiece, op9_minhash_near_dedup)}
+    op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup)}
 ORACLE: dict[str, str] = {}
