@@ -18,7 +18,6 @@ an empty one.
 
 import hashlib
 import heapq
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewsent.llm.chunks import count_chunks, dump, load, messages
+from reviewsent.llm.words import hash_spans
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -55,16 +55,17 @@ class Pieces:
         self.ids = {self.text[i]: i for i in ordinary}
         self.rank = {self.text[i]: -model.get_score(i) for i in ordinary}
         self.longest = max(map(len, self.ids))
-        letters = {c for p in self.ids if len(p) > 1 for c in p} | {SPACE}
-        inside = "".join(map(re.escape, sorted(letters - {SPACE})))
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces of this model cross words")
-        self.unit = re.compile(f"{SPACE}*[{inside}]+|{SPACE}+|[^{inside}{SPACE}]{{1,16}}")
+        longer = {c for p in self.ids if len(p) > 1 for c in p}
+        #: ASCII characters that are in no longer piece: units of their own. Spaces begin units.
+        self.alone = np.array([b < 128 and b != 0x20 and chr(b) not in longer for b in range(256)])
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """``(piece, id, rank)``: as many rows as the model has pieces, 32,000."""
-        rows = [(p, i, float(self.rank[p])) for p, i in self.ids.items()]
-        return spark.createDataFrame(rows, "piece string, id int, rank double")
+        """``(piece, code)``: as many rows as the model has pieces, 32,000. Codes order the pieces by rank and
+        end in the id."""
+        ordered = sorted(self.ids, key=lambda p: (self.rank[p], self.ids[p]))
+        return spark.createDataFrame([(p, k << 34 | self.ids[p]) for k, p in enumerate(ordered)], "piece string, code bigint")
 
     def merge(self, unit: str) -> list[int]:
         """Ids of a unit of any length: the best-ranked pair of neighbours merges first, then the leftmost."""
@@ -98,83 +99,104 @@ class Pieces:
 
 # units of the documents
 
-def _bucket(unit: str, buckets: int) -> int:
-    return zlib.crc32(unit.encode("utf-8", "surrogatepass")) * buckets >> 32
+def find_units(texts: list[bytes], alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts end to end, each after a space, and their units: ``(data, starts, ends, units per text)``."""
+    data = np.frombuffer(b"".join(b" " + t if t else t for t in texts), np.uint8)
+    bounds = np.cumsum([len(t) + 1 if t else 0 for t in texts]) if texts else np.zeros(0, np.int64)
+    if not len(data):
+        return data, bounds[:0], bounds[:0], np.zeros(len(texts), np.int64)
+    space, single = data == 0x20, alone[data]
+    cut = single.copy()
+    cut[1:] |= single[:-1] | (space[1:] & ~space[:-1])
+    cut[np.r_[0, bounds[:-1]][np.diff(np.r_[0, bounds]) > 0]] = True
+    starts = np.flatnonzero(cut)
+    return data, starts, np.r_[starts[1:], len(data)], np.diff(np.r_[0, np.searchsorted(starts, bounds)])
 
 
 def _send_units(file: str, buckets: int, chunk_bytes: int):
-    def flush(number: int, docs: list, digests: list, sizes: list, places: list, index: dict) -> pa.RecordBatch:
+    def flush(number: int, docs: list, texts: list[bytes], alone: np.ndarray) -> pa.RecordBatch:
         """One message per bucket with its distinct units, and under bucket -1 the documents as numbers of units."""
-        units = list(index)
-        bucket = np.array([_bucket(u, buckets) for u in units], np.int64)
-        order = sorted(range(len(units)), key=lambda k: (bucket[k], units[k]))
-        place = np.empty(len(units), np.uint32)
-        place[order] = np.arange(len(units), dtype=np.uint32)
-        sequence = place[np.array(places, np.int64)] if places else np.zeros(0, np.uint32)
-        planes = np.ascontiguousarray(sequence.view(np.uint8).reshape(-1, 4).T).tobytes()
-        out = [(-1, number, dump(docs, digests, np.array(sizes, np.int64), planes))]
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]) if units else [0]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            out.append((int(bucket[order[a]]), number, dump([units[k] for k in order[a:b]])))
+        data, starts, ends, sizes = find_units(texts, alone)
+        hashes, first, sequence = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        planes = np.ascontiguousarray(sequence.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+        out = [(-1, number, dump(docs, [hashlib.sha256(t).digest() for t in texts], sizes, planes))]
+        raw = data.tobytes()
+        units = [raw[a:b].decode("utf-8", "replace").replace(" ", SPACE)
+                 for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True]) if units else [0]
+        out += [(int(bucket[a]), number, dump(units[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), WORDS)], schema=WORDS)
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = Pieces(file).unit
+        alone = Pieces(file).alone
         number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
-        docs, digests, sizes, places, index, total = [], [], [], [], {}, 0
+        docs, texts, total = [], [], 0
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                units = unit.findall(SPACE + text.replace(" ", SPACE)) if text else []
                 docs.append(doc)
-                digests.append(hashlib.sha256((text or "").encode("utf-8", "surrogatepass")).digest())
-                sizes.append(len(units))
-                places.extend([index.setdefault(u, len(index)) for u in units])
-                total += len(text or "")
+                texts.append((text or "").encode("utf-8", "surrogatepass"))
+                total += len(texts[-1])
                 if total >= chunk_bytes:
-                    yield flush(number, docs, digests, sizes, places, index)
-                    docs, digests, sizes, places, index, total = [], [], [], [], {}, 0
-                    number += 1
+                    yield flush(number, docs, texts, alone)
+                    number, docs, texts, total = number + 1, [], [], 0
         if docs:
-            yield flush(number, docs, digests, sizes, places, index)
+            yield flush(number, docs, texts, alone)
     return send
 
 
 def _distinct(table: pa.Table) -> pa.Table:
     units = sorted({u for m in table["message"].to_pylist() for u in load(m)[0]})
     bucket = table["bucket"][0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(units), pa.int32()), "place": pa.array(range(len(units)), pa.int32()),
+    return pa.table({"number": pa.array(range(bucket << 32, (bucket << 32) + len(units)), pa.int64()),
                      "unit": pa.array(units, pa.string())})
 
 
 # the lattice
 
-def _utf8_ids(char: Column, first: int) -> Column:
-    digits = F.hex(F.encode(char, "utf-8"))
-    return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)),
-                       lambda k: F.conv(digits.substr(k, F.lit(2)), 16, 10).cast("int") + first)
+#: An edge is one number: order of its rank, start (6 bits), end (6 bits), id (22 bits). An id from here on
+#: stands for a character without a piece, by its code point.
+UNKNOWN = 1 << 21
 
 
-def encode_units(units: DataFrame, pieces: Pieces, *keys: str) -> DataFrame:
-    """``keys`` and ``ids`` of each distinct ``unit`` of at most :data:`SHORT` characters."""
-    n = F.length("unit")
+def _utf8(code: str) -> str:
+    """SQL array of the UTF-8 bytes of a code point."""
+    tail = lambda shift: f"128 | (shiftright({code}, {shift}) & 63)"
+    return (f"CASE WHEN {code} < 128 THEN array({code}) WHEN {code} < 2048 THEN array(192 | shiftright({code}, 6), {tail(0)}) "
+            f"WHEN {code} < 65536 THEN array(224 | shiftright({code}, 12), {tail(6)}, {tail(0)}) "
+            f"ELSE array(240 | shiftright({code}, 18), {tail(12)}, {tail(6)}, {tail(0)}) END")
+
+
+def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
+    """``(number, ids)`` of each distinct ``(number, unit)`` of at most :data:`SHORT` characters.
+
+    Units are dealt out before their edges arise, so the edges are grouped where they are. An edge is a
+    long, which keeps the groups small in memory.
+    """
     substrings = F.expr(f"""flatten(transform(sequence(0, length(unit) - 1), i ->
         transform(sequence(i + 1, least(length(unit), i + {pieces.longest})), j ->
             struct(i, j, substring(unit, i + 1, j - i) AS piece))))""")
-    by_unit = units.repartition(*keys)  # the groups below are made where their edges arise
-    edges = (by_unit.withColumn("n", n).select(*keys, "n", F.explode(substrings).alias("e")).select(*keys, "n", "e.*")
+    edges = (units.repartition("number").select("number", F.explode(substrings).alias("e")).select("number", "e.*")
              .join(F.broadcast(pieces.table(units.sparkSession)), "piece", "left")
-             .where("id IS NOT NULL OR j = i + 1"))
-    # spans are pairs of bits: both ends, and the boundaries strictly inside
-    one = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_utf8_ids(F.col("piece"), pieces.byte_ids[0]))
-    edge = F.struct(F.col("rank"), F.col("i"), F.expr("shiftleft(1L, i) | shiftleft(1L, j)").alias("ends"),
-                    F.expr("shiftleft(1L, j) - shiftleft(1L, i + 1)").alias("inside"), one.alias("ids"))
-    grouped = edges.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    folded = grouped.withColumn("bounds", F.expr("""aggregate(edges, shiftleft(1L, n + 1) - 1L, (b, e) ->
-        CASE WHEN e.rank IS NOT NULL AND (b & e.ends) = e.ends AND bit_count(b & e.inside) = 1 THEN b & ~e.inside ELSE b END)"""))
-    chosen = F.expr("""flatten(transform(array_sort(transform(
-        filter(edges, e -> (bounds & e.ends) = e.ends AND (bounds & e.inside) = 0),
-        e -> struct(e.i AS i, e.ids AS ids))), e -> e.ids))""")
-    return folded.select(*keys, chosen.alias("ids"))
+             .where("code IS NOT NULL OR j = i + 1"))
+    unknown = f"shiftleft(1L, 52) + {UNKNOWN} + ascii(piece)"
+    edge = F.expr(f"coalesce(code, {unknown}) + shiftleft(cast(i AS bigint), 28) + shiftleft(cast(j AS bigint), 22)")
+    grouped = edges.select("number", edge.alias("edge")).groupBy("number").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    # bits are boundaries between characters: an edge merges if both its ends are boundaries and one is inside
+    ends = "(shiftleft(1L, cast(shiftright(e, 28) & 63 AS int)) | shiftleft(1L, cast(shiftright(e, 22) & 63 AS int)))"
+    inside = ("(shiftleft(1L, cast(shiftright(e, 22) & 63 AS int)) - shiftleft(1L, cast((shiftright(e, 28) & 63) + 1 AS int)))")
+    folded = grouped.withColumn("bounds", F.expr(f"""aggregate(edges, shiftleft(1L, 62) - 1L, (b, e) ->
+        CASE WHEN (b & {ends}) = {ends} AND bit_count(b & {inside}) = 1 THEN b & ~{inside} ELSE b END)"""))
+    # what is left between neighbouring boundaries, from left to right
+    chosen = F.expr(f"""transform(sort_array(transform(
+        filter(edges, e -> (bounds & {ends}) = {ends} AND (bounds & {inside}) = 0),
+        e -> shiftleft(shiftright(e, 28) & 63, 22) | (e & {(1 << 22) - 1}))), x -> cast(x & {(1 << 22) - 1} AS int))""")
+    code = f"(x - {UNKNOWN})"
+    found = folded.select("number", chosen.alias("ids"))
+    as_bytes = F.expr(f"""flatten(transform(ids, x -> CASE WHEN x < {UNKNOWN} THEN array(x)
+        ELSE transform({_utf8(code)}, y -> y + {pieces.byte_ids[0]}) END))""")
+    known = F.expr(f"forall(ids, x -> x < {UNKNOWN})")
+    return found.select("number", F.when(known, F.col("ids")).otherwise(as_bytes).alias("ids"))
 
 
 def _merge_long(file: str):
@@ -182,8 +204,7 @@ def _merge_long(file: str):
         pieces = Pieces(file)
         for batch in batches:
             ids = [pieces.merge(u) for u in batch["unit"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["bucket"], batch["place"], pa.array(ids, pa.list_(pa.int32()))],
-                                             ["bucket", "place", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["number"], pa.array(ids, pa.list_(pa.int32()))], ["number", "ids"])
     return merge
 
 
@@ -195,7 +216,7 @@ def _answer(sent: pa.Table, encoded: pa.Table) -> pa.Table:
     ids = encoded["ids"].combine_chunks()
     flat = np.asarray(ids.flatten(), np.int32)
     sizes = np.diff(np.asarray(ids.offsets, np.int64))
-    order = np.argsort(np.asarray(encoded["place"], np.int64))
+    order = np.argsort(np.asarray(encoded["number"], np.int64))
     starts = (np.cumsum(sizes) - sizes)[order]
     sizes = sizes[order]
     out = []
@@ -231,10 +252,11 @@ def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "tex
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
     sent = rows.mapInArrow(_send_units(file, buckets, CHUNK_BYTES), WORDS_SQL)
     words = sent.where("bucket >= 0")
-    units = words.groupBy("bucket").applyInArrow(_distinct, "bucket int, place int, unit string")
-    short = encode_units(units.where(F.length("unit") <= SHORT), pieces, "bucket", "place", "unit").drop("unit")
-    long = units.where(F.length("unit") > SHORT).mapInArrow(_merge_long(file), "bucket int, place int, ids array<int>")
-    answers = words.groupBy("bucket").cogroup(short.union(long).groupBy("bucket")).applyInArrow(_answer, WORDS_SQL)
+    units = words.groupBy("bucket").applyInArrow(_distinct, "number bigint, unit string")
+    short = encode_units(units.where(F.length("unit") <= SHORT), pieces)
+    long = units.where(F.length("unit") > SHORT).mapInArrow(_merge_long(file), "number bigint, ids array<int>")
+    encoded = short.union(long).withColumn("bucket", F.shiftright("number", 32).cast("int"))
+    answers = words.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(_answer, WORDS_SQL)
     return (sent.where("bucket < 0").groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(_join_ids, RESULT_SQL))
 

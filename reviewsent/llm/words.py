@@ -18,16 +18,10 @@ def _hash_pass(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, up: np.nd
     return mix((sums[ends] - sums[starts]) * up[starts] + sizes * np.uint64(0xD6E8FEB86659FD93))
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of ``texts``, in order, and the number of words of each text."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = SPACES[data]
-    edge = np.diff(np.r_[True, space].astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    bounds = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[0, np.searchsorted(starts, bounds)])
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span; spans are sorted and don't overlap."""
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return np.zeros(0, np.uint64)
     longest = int((ends - starts).max())
     up, down = powers(min(PASS, len(data)) + longest + 2)
     out, first = [], 0
@@ -36,7 +30,17 @@ def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         base = int(starts[first])
         out.append(_hash_pass(data[base:int(ends[last - 1])], starts[first:last] - base, ends[first:last] - base, up, down))
         first = last
-    return np.concatenate(out), counts
+    return np.concatenate(out)
+
+
+def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of ``texts``, in order, and the number of words of each text."""
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    space = SPACES[data]
+    edge = np.diff(np.r_[True, space].astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    bounds = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+    return hash_spans(data, starts, ends), np.diff(np.r_[0, np.searchsorted(starts, bounds)])
 
 
 def hash_shingles(words: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
