@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewsent.llm import langid, minhash, packing, pieces, pii, projections, quality, suffix_dedup, urls
+from reviewsent.llm import langid, minhash, packing, pieces, pii, pitman_yor, projections, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +52,11 @@ def op9_minhash_near_dedup(spark, folder):
     return minhash.group_copies(table(spark, folder, "documents"))
 
 
+def op10_pitman_yor(spark, folder):
+    return pitman_yor.score_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
-    op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup)}
+    op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup, op10_pitman_yor)}
 ORACLE: dict[str, str] = {}
