@@ -12,6 +12,8 @@ to no reference and is judged by the same references; with no reference at all,
 rules alone decide.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewsent.sources.shared import stage_table
@@ -105,7 +107,7 @@ def quality_features(text: Column) -> Column:
         n = F.length(t)
         classes = [F.length(F.regexp_replace(t, pattern, "")) for pattern in CLASSES.values()]
         return F.struct(
-            F.size(words).cast("long").alias("n_words"),
+            n.cast("long").alias("n_chars"), F.size(words).cast("long").alias("n_words"),
             F.length(F.regexp_replace(t, SPACE, "")).cast("long").alias("word_chars"),
             (n - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
             _lines_repeated(t).cast("long").alias("n_dup_lines"),
@@ -117,71 +119,84 @@ def quality_features(text: Column) -> Column:
     return _let(F.coalesce(text, F.lit("")), lambda t: _let(_words(t), lambda w: of_words(t, w)))
 
 
-def js_distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of a histogram from a reference distribution; null if empty."""
-    q = F.array(*[F.lit(float(x)) for x in reference])
+def _entropy(distribution: Column) -> Column:
+    return -F.aggregate(distribution, F.lit(0.0), lambda s, x: s + F.when(x > 0, x * F.log2(x)).otherwise(0.0))
+
 
-    def term(a, m):
-        return F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
+def js_distance(counts: Column, *references: list[float]) -> Column:
+    """The smallest Jensen-Shannon distance (base 2, 0 to 1) of a histogram from reference distributions; null if
+    it is empty. The divergence is the entropy of the mean less the mean of the entropies."""
+    def nearest(p):
+        own = _entropy(p)
 
-    def divergence(p):
-        parts = F.zip_with(p, q, lambda a, b: (term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2)
-        total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
-        return F.sqrt(F.greatest(total, F.lit(0.0)))
+        def divergence(reference):
+            q = F.array(*[F.lit(float(x)) for x in reference])
+            other = -sum(x * math.log2(x) for x in reference if x > 0)
+            mean = _entropy(F.zip_with(p, q, lambda a, b: (a + b) / 2))
+            return lambda h: mean - (h + F.lit(other)) / 2
+        all_of = [divergence(r) for r in references]
+        return _let(own, lambda h: F.sqrt(F.greatest(F.array_min(F.array(*[d(h) for d in all_of])), F.lit(0.0))))
 
     def of(c):
         n = F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
-        return F.when(n > 0, _let(F.transform(c, lambda x: x / n), divergence))
+        return _let(n, lambda total: F.when(total > 0, _let(F.transform(c, lambda x: x / total), nearest)))
     return _let(counts, of)
 
 
-def language_references(rows: DataFrame, lang: str = "lang") -> dict[str, dict[str, list[float]]]:
-    """Mean histograms per language of :data:`COMMON_WORDS`, over all ``rows`` long enough.
-
-    One row per language, whatever the number of documents.
+def language_references(rows: DataFrame) -> dict[str, dict[str, list[float]]]:
+    """Mean histograms per language of :data:`COMMON_WORDS`, over all texts long enough; ``rows`` has
+    ``lang`` and the :func:`quality_features` ``f``. One row per language, whatever the number of documents.
     """
-    wanted = rows.where(F.col(lang).isin(list(COMMON_WORDS)))
     sizes = {"classes": len(CLASSES) + 1, "common": len(WORDS) + 1}
-    guards = {"classes": F.col("n_chars_seen") >= GUARD_CHARS, "common": F.col("n_words") >= GUARD_WORDS}
-    whole = {"classes": F.col("n_chars_seen"), "common": F.col("n_words")}
-    sums = [F.avg(F.when(guards[k], F.get(k, F.lit(i)) / whole[k])).alias(f"{k}_{i}")
+    guards, whole = _guards(F.col("f")), {"classes": F.col("f.n_chars"), "common": F.col("f.n_words")}
+    sums = [F.avg(F.when(guards[k], F.get(F.col(f"f.{k}"), F.lit(i)) / whole[k])).alias(f"{k}_{i}")
             for k, n in sizes.items() for i in range(n)]
     found = {}
-    for row in wanted.groupBy(lang).agg(*sums).collect():
-        found[row[lang]] = {k: values for k, n in sizes.items()
-                            if (values := [row[f"{k}_{i}"] for i in range(n)])[0] is not None}
+    for row in rows.where(F.col("lang").isin(list(COMMON_WORDS))).groupBy("lang").agg(*sums).collect():
+        found[row["lang"]] = {k: values for k, n in sizes.items()
+                              if (values := [row[f"{k}_{i}"] for i in range(n)])[0] is not None}
     return found
 
 
-def _nearest(kind: str, references) -> Column:
-    distances = [js_distance(F.col(kind), r[kind]) for _, r in sorted(references.items()) if kind in r]
-    if not distances:
-        return F.lit(None).cast("double")
-    return F.least(*distances) if len(distances) > 1 else distances[0]
-
-
-def with_verdicts(documents: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None):
-    """``keep`` columns, the counts, ``base_failed``, both distances and ``kept``. The features are
-    written once, as the references need all of them before any document is judged."""
-    keep = keep or []
-    features = documents.select(*keep, F.col(lang).alias("lang_seen"), F.length(text).alias("n_chars_seen"),
-                                quality_features(F.col(text)).alias("f"))
-    rows = stage_table(features.select(*keep, "lang_seen", "n_chars_seen", "f.*"), "quality_features")
-    references = language_references(rows, "lang_seen")
-    base_failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.withColumns({
-        "base_failed": base_failed,
-        "class_distance": F.when(F.col("n_chars_seen") >= GUARD_CHARS, _nearest("classes", references)),
-        "word_distance": F.when(F.col("n_words") >= GUARD_WORDS, _nearest("common", references))})
-    far = ((F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE)
-           | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE))
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far)
+def _guards(f: Column) -> dict[str, Column]:
+    return {"classes": f["n_chars"] >= GUARD_CHARS, "common": f["n_words"] >= GUARD_WORDS}
+
+
+def distance(f: Column, kind: str, references: dict[str, dict[str, list[float]]]) -> Column:
+    """From the nearest reference; null for a short text or without references."""
+    known = [r[kind] for _, r in sorted(references.items()) if kind in r]
+    return F.when(_guards(f)[kind], js_distance(f[kind], *known)) if known else F.lit(None).cast("double")
+
+
+def base_failed(f: Column) -> Column:
+    return (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
+
+
+def passes(f: Column, references: dict[str, dict[str, list[float]]]) -> Column:
+    """True for a text that meets the base rules and lies near a reference."""
+    near = {k: F.coalesce(distance(f, k, references), F.lit(0.0)) for k in ("classes", "common")}
+    return ~base_failed(f) & (near["classes"] <= MAX_CLASS_DISTANCE) & (near["common"] <= MAX_WORD_DISTANCE)
 
 
 def judge_quality(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """``(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance, word_distance)``, one row per row of ``documents``."""
-    return with_verdicts(documents, text, lang, [key]).select(
-        key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "class_distance", "word_distance")
+    class_distance, word_distance)``, one row per row of ``documents``.
+
+    The features, some numbers per text, are written once: the references need all of them before any
+    document is judged.
+    """
+    rows = stage_table(documents.select(F.col(key), F.col(lang).alias("lang"), quality_features(F.col(text)).alias("f")),
+                       "quality_features")
+    references, f = language_references(rows), F.col("f")
+    return rows.select(key, *(f"f.{n}" for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+                       base_failed(f).alias("base_failed"), passes(f, references).alias("kept"),
+                       distance(f, "classes", references).alias("class_distance"),
+                       distance(f, "common", references).alias("word_distance"))
+
+
+def keep_good(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``documents`` that pass, unchanged. Features are computed twice, for the references and
+    for the verdicts, so no text is written."""
+    features = quality_features(F.col(text))
+    references = language_references(documents.select(F.col(lang).alias("lang"), features.alias("f")))
+    return documents.where(_let(features, lambda f: passes(f, references)))

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewsent.llm import langid, minhash, packing, pieces, pii, pitman_yor, projections, quality, suffix_dedup, urls
+from reviewsent.llm import langid, minhash, oracle, packing, pieces, pii, pitman_yor, projections, quality, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,7 @@ def op2_best_fit_packing(spark, folder):
 
 
 def op3_quality_rules(spark, folder):
-    return quality.judge_quality(table(spark, folder, "documents"))
+    return quality.judge_quality(table(spark, folder, "documents")).drop("class_distance", "word_distance")
 
 
 def op4_language_id(spark, folder):
@@ -59,4 +59,4 @@ def op10_pitman_yor(spark, folder):
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
     op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup, op10_pitman_yor)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_quality_rules": oracle.quality_sql()}
