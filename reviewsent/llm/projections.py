@@ -86,14 +86,27 @@ def _pack_block(table: pa.Table) -> pa.Table:
                      pa.array([b"".join(units[i] for i in order)])], [*names, "ids", "sizes", "units"])
 
 
+#: Projections are compared as whole numbers of this step, with windows one step wider on each side.
+STEP = WINDOW / 64
+
+
+def on_grid(projected: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(projected / STEP), -15_000, 15_000).astype(np.int16)
+
+
 def count_collisions(queries: np.ndarray, others: np.ndarray) -> Iterator[np.ndarray]:
-    """For each row of projections in ``queries`` the rows of ``others`` (projections by rows) that collide
-    often enough."""
-    for query in queries:
-        first = (np.abs(others[:FIRST] - query[:FIRST, None]) <= WINDOW).sum(0, dtype=np.int8)
-        hits = np.flatnonzero(first >= LEAST_FIRST)
-        rest = (np.abs(others[FIRST:, hits] - query[FIRST:, None]) <= WINDOW).sum(0, dtype=np.int16)
-        yield hits[first[hits] + rest >= LEAST_ALL]
+    """For each row of projections (:func:`on_grid`) in ``queries`` the rows of ``others`` that collide often enough."""
+    half = int(WINDOW / STEP) + 1
+    first, rest = np.ascontiguousarray(others[:, :FIRST].T), np.ascontiguousarray(others[:, FIRST:])
+    lows = (queries - np.int16(half))
+    apart, inside = np.empty(first.shape, np.uint16), np.empty(first.shape, bool)
+    for low in lows:  # in the window if the distance from its lower end, as an unsigned number, is at most its width
+        np.subtract(first, low[:FIRST, None], out=apart.view(np.int16))
+        np.less_equal(apart, 2 * half, out=inside)
+        count = np.add.reduce(inside.view(np.int8), 0, np.int8)
+        hits = np.flatnonzero(count >= LEAST_FIRST)
+        more = ((rest[hits] - low[FIRST:]).view(np.uint16) <= 2 * half).sum(1)
+        yield hits[count[hits] + more >= LEAST_ALL]
 
 
 def _root(parent: np.ndarray, k: int) -> int:
@@ -114,11 +127,11 @@ def _compare_blocks(table: pa.Table) -> pa.Table:
     same = len(keys) == 1
     x, y = (b[2].reshape(-1, dimension) for b in (one, other))
     planes = directions(dimension)
-    others = np.ascontiguousarray((y @ planes).T.astype(np.float32))
+    others = on_grid(y @ planes)
     links_one, links_other = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     parent = np.arange(len(x) + len(y))
     u, v = [], []
-    for i, hits in enumerate(count_collisions((x @ planes).astype(np.float32), others)):
+    for i, hits in enumerate(count_collisions(on_grid(x @ planes), others)):
         if same:
             hits = hits[hits > i]
         hits = hits[y[hits] @ x[i] >= SIMILARITY]

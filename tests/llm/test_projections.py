@@ -70,6 +70,6 @@ def test_recall_at_the_threshold(similarity):
     y = similarity * x + (1 - similarity ** 2) ** 0.5 * z / np.linalg.norm(z, axis=1, keepdims=True)
     planes = projections.directions(64)
     px, py = x @ planes, y @ planes
-    found = sum(len(next(projections.count_collisions(px[i:i + 1], py[i:i + 1].T))) for i in range(4000))
+    found = sum(len(next(projections.count_collisions(*map(projections.on_grid, (px[i:i + 1], py[i:i + 1]))))) for i in range(4000))
     assert found >= 3990
     assert (np.abs(px[:, 0] - py[:, 0]) <= projections.CELL).mean() > 0.999
