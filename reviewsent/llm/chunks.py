@@ -66,12 +66,12 @@ def pack(documents: DataFrame, chunks: int, *columns: str, by: tuple[str, ...] =
 
 
 def unpack(packed: Iterable[bytes]) -> list[tuple]:
-    """The rows of one chunk in an order that depends on their values alone, nulls last."""
+    """The rows of one chunk in an order that depends on their values alone, nulls last, first columns first."""
     rows = []
     for message in packed:
         table = pa.ipc.open_stream(message).read_all()
         rows.extend(zip(*(column.to_pylist() for column in table.columns)))
-    rows.sort(key=lambda row: tuple((value is None, 0 if value is None else value) for value in row))
+    rows.sort(key=lambda row: (*((value is None, 0 if value is None else value) for value in row[:2]), repr(row[2:])))
     return rows
 
 

@@ -224,3 +224,10 @@ def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def drop_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that stay, one of each group, unchanged."""
+    gone = group_copies(documents, key, text).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    return documents.join(gone.withColumn(key, F.col(key).cast(documents.schema[key].dataType)), key, "left_anti").select(
+        documents.columns)

@@ -100,12 +100,13 @@ def find_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Chunk:
-    """The texts of a chunk end to end, and their runs. Rows without ``doc_id`` come last and have no runs."""
+    """The texts of a chunk end to end, and their runs. Rows without ``doc_id`` come last and have no runs.
+    Columns after ``doc_id`` and ``text`` are carried along."""
 
     def __init__(self, packed):
         self.rows = unpack(packed)
-        self.texts = [(text or "").encode("utf-8", "surrogatepass") for _, text in self.rows]
-        known = [doc for doc, _ in self.rows if doc is not None]
+        self.texts = [(row[1] or "").encode("utf-8", "surrogatepass") for row in self.rows]
+        known = [row[0] for row in self.rows if row[0] is not None]
         self.bytes = b"".join(self.texts)
         self.ends = np.cumsum([len(t) for t in self.texts]) if self.texts else np.zeros(0, np.int64)
         self.doc_ids = np.array(known, np.int64)
@@ -313,56 +314,92 @@ def _answer_runs(table: pa.Table) -> pa.Table:
     return messages(MESSAGE, *zip(*out))
 
 
-def _cut(buckets: int, keep_text: bool):
-    def cut(packed: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = Chunk(packed["packed"].to_pylist())
-        kinds = np.array(answers["kind"].to_pylist(), np.int64)
-        verdicts = [load(m)[0] for k, m in zip(kinds, answers["message"].to_pylist()) if k == VERDICT]
-        least = {b: load(m) for k, b, m in zip(kinds, answers["bucket"].to_pylist(), answers["message"].to_pylist())
-                 if k == RUNS}
-        flagged = np.zeros(len(chunk.bytes) + 1, bool)
-        for bucket, runs in chunk.segments(verdicts[0] if verdicts else np.zeros(0, np.uint8), buckets).items():
-            lengths, values = least[bucket]
-            documents = np.repeat(values, lengths)
-            at = 0
-            for text, places in runs.items():
-                n = len(text) - LENGTH + 1
-                own = documents[at:at + n]
-                low, high = int(own.min()), int(own.max())
-                for start, _, doc in places:
-                    if high < doc:
-                        flagged[start:start + n] = True
-                    elif low < doc:
-                        flagged[start:start + n] = own < doc
-                at += n
-        total = np.cumsum(flagged[:-1], dtype=np.int64)
-        removed = total - np.r_[np.zeros(min(LENGTH, len(total)), np.int64), total[:-LENGTH]] > 0
-        data, out = np.frombuffer(chunk.bytes, np.uint8), []
-        for (doc, _), text, end in zip(chunk.rows, chunk.texts, chunk.ends.tolist()):
-            gone = removed[end - len(text):end]
-            n = int(gone.sum())
-            rest = data[end - len(text):end][~gone].tobytes() if n else text
-            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()) if n else 0
-            out.append((doc, len(text), n, spans, hashlib.sha256(rest).hexdigest(),
+def _removed(chunk: Chunk, answers: pa.Table, buckets: int) -> np.ndarray:
+    """True for each byte of the chunk that goes."""
+    kinds, messages_ = answers["kind"].to_pylist(), answers["message"].to_pylist()
+    verdicts = [load(m)[0] for k, m in zip(kinds, messages_) if k == VERDICT]
+    least = {b: load(m) for k, b, m in zip(kinds, answers["bucket"].to_pylist(), messages_) if k == RUNS}
+    flagged = np.zeros(len(chunk.bytes) + 1, bool)
+    for bucket, runs in chunk.segments(verdicts[0] if verdicts else np.zeros(0, np.uint8), buckets).items():
+        lengths, values = least[bucket]
+        documents = np.repeat(values, lengths)
+        at = 0
+        for text, places in runs.items():
+            n = len(text) - LENGTH + 1
+            own = documents[at:at + n]
+            low, high = int(own.min()), int(own.max())
+            for start, _, doc in places:
+                if high < doc:
+                    flagged[start:start + n] = True
+                elif low < doc:
+                    flagged[start:start + n] = own < doc
+            at += n
+    total = np.cumsum(flagged[:-1], dtype=np.int64)
+    return total - np.r_[np.zeros(min(LENGTH, len(total)), np.int64), total[:-LENGTH]] > 0
+
+
+def _rests(chunk: Chunk, removed: np.ndarray):
+    """Row, text bytes, which of them go, and the rest, for each document."""
+    data = np.frombuffer(chunk.bytes, np.uint8)
+    for row, text, end in zip(chunk.rows, chunk.texts, chunk.ends.tolist()):
+        gone = removed[end - len(text):end]
+        yield row, text, gone, data[end - len(text):end][~gone].tobytes() if gone.any() else text
+
+
+def _report(buckets: int, keep_text: bool):
+    def report(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk, out = Chunk(packed["packed"].to_pylist()), []
+        for row, text, gone, rest in _rests(chunk, _removed(chunk, answers, buckets)):
+            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+            out.append((row[0], len(text), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(),
                         rest.decode("utf-8", "ignore") if keep_text else None))
         schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                             ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
         return messages(schema, *(zip(*out) if out else [[]] * 6))
-    return cut
-
-
-def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
-                   keep_text: bool = True) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the rest of the text, without
-    bytes of characters that a removal cut in two (null if not ``keep_text``)."""
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return report
+
+
+def _rewrite(buckets: int, names: list[str], place: int):
+    """Rows with the columns ``names``, the text being the one at ``place``."""
+    def rewrite(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        sent = packed["packed"].to_pylist()
+        chunk, out = Chunk(sent), []
+        for row, text, gone, rest in _rests(chunk, _removed(chunk, answers, buckets)):
+            kept = rest.decode("utf-8", "ignore") if gone.any() else row[1]
+            out.append((*row[2:2 + place], kept, *row[2 + place:]))
+        fields = list(pa.ipc.open_stream(sent[0]).schema)
+        fields = [*fields[2:2 + place], fields[1], *fields[2 + place:]]
+        schema = pa.schema([pa.field(name, f.type) for name, f in zip(names, fields)])
+        return messages(schema, *zip(*out))
+    return rewrite
+
+
+def _with_answers(rows: DataFrame, finish, schema: str, *carried: str) -> DataFrame:
+    """``finish(buckets)`` of each chunk of ``(doc_id, text, carried)`` rows with its answers."""
     chunks, size = count_chunks(rows)
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                   -(-size // (BUCKET_ANCHORS * (LENGTH - GRAM + 2) // 2)))
-    packed = pack(rows, chunks, "doc_id", "text")
-    by_chunk = packed.groupBy("chunk")
+    by_chunk = pack(rows, chunks, "doc_id", "text", *carried, by=("doc_id", "text")).groupBy("chunk")
     asked = by_chunk.applyInArrow(_send_anchors(buckets), MESSAGE_SQL)
     verdicts = asked.groupBy("bucket").applyInArrow(_answer_anchors, MESSAGE_SQL)
     sent = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(_send_runs(buckets), MESSAGE_SQL)
     answers = sent.groupBy("bucket").applyInArrow(_answer_runs, MESSAGE_SQL)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_cut(buckets, keep_text), RESULT_SQL)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(finish(buckets), schema)
+
+
+def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
+                   keep_text: bool = True) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the rest of the text, without
+    bytes of characters that a removal cut in two (null if not ``keep_text``)."""
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _with_answers(rows, lambda buckets: _report(buckets, keep_text), RESULT_SQL)
+
+
+def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` with the repeats removed from ``text``; all else stays."""
+    others = [c for c in documents.columns if c != text]
+    carried = [f"carried_{i}" for i in range(len(others))]
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                            *(F.col(c).alias(n) for c, n in zip(others, carried)))
+    place = documents.columns.index(text)
+    return _with_answers(rows, lambda buckets: _rewrite(buckets, documents.columns, place), documents.schema, *carried)
