@@ -8,7 +8,7 @@ piece are exploded, joined with the piece table, grouped by unit, and folded by
 The model at hand is a merge model (byte-pair), whose encoder merges neighbours by rank. A Viterbi
 fold over its scores gives other pieces, so the fold takes the edges of the lattice in the order of
 their ranks and merges where an edge spans exactly two current pieces; boundaries are the bits of a
-long. Units of more than :data:`SHORT` characters are merged by the same rule with a heap.
+long, and ids are read off between them. Units of more than :data:`SHORT` characters are merged by the same rule with a heap.
 Characters without a piece become their UTF-8 bytes, as in the model.
 
 Defined results for odd input: a null or empty text has no pieces. Repeated rows are encoded alike,
@@ -34,7 +34,8 @@ from reviewsent.llm.words import hash_spans
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 60
-CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+#: Text per chunk, text read at once, and text whose units share a bucket.
+CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 2 << 20, 8 << 20
 
 WORDS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("message", pa.binary())])
 WORDS_SQL = "bucket int, chunk bigint, message binary"
@@ -62,10 +63,23 @@ class Pieces:
         self.alone = np.array([b < 128 and b != 0x20 and chr(b) not in longer for b in range(256)])
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """``(piece, code)``: as many rows as the model has pieces, 32,000. Codes order the pieces by rank and
-        end in the id."""
-        ordered = sorted(self.ids, key=lambda p: (self.rank[p], self.ids[p]))
-        return spark.createDataFrame([(p, k << 34 | self.ids[p]) for k, p in enumerate(ordered)], "piece string, code bigint")
+        """``(piece, place)`` of the pieces that merges make, in the order of their ranks: as many rows as the model
+        has longer pieces, about 30,000."""
+        ordered = sorted((p for p in self.ids if len(p) > 1), key=lambda p: (self.rank[p], self.ids[p]))
+        return spark.createDataFrame([(p, k) for k, p in enumerate(ordered)], "piece string, place bigint")
+
+    def number(self, part: str) -> list[int]:
+        """A piece's id, or those of the bytes of a character that is no piece."""
+        return [self.ids[part]] if part in self.ids else [self.byte_ids[b] for b in part.encode()]
+
+    def cut(self, unit: str, bounds: int) -> list[int]:
+        """Ids of the parts of ``unit`` between the boundaries, the bits of ``bounds``."""
+        ids, start = [], 0
+        for end in range(1, len(unit)):
+            if bounds >> end & 1:
+                ids += self.number(unit[start:end])
+                start = end
+        return ids + self.number(unit[start:])
 
     def merge(self, unit: str) -> list[int]:
         """Ids of a unit of any length: the best-ranked pair of neighbours merges first, then the leftmost."""
@@ -93,7 +107,7 @@ class Pieces:
         ids: list[int] = []
         for part in parts:
             if part is not None:
-                ids.extend([self.ids[part]] if part in self.ids else [self.byte_ids[b] for b in part.encode()])
+                ids += self.number(part)
         return ids
 
 
@@ -113,35 +127,97 @@ def find_units(texts: list[bytes], alone: np.ndarray) -> tuple[np.ndarray, np.nd
     return data, starts, np.r_[starts[1:], len(data)], np.diff(np.r_[0, np.searchsorted(starts, bounds)])
 
 
-def _send_units(file: str, buckets: int, chunk_bytes: int):
-    def flush(number: int, docs: list, texts: list[bytes], alone: np.ndarray) -> pa.RecordBatch:
-        """One message per bucket with its distinct units, and under bucket -1 the documents as numbers of units."""
-        data, starts, ends, sizes = find_units(texts, alone)
-        hashes, first, sequence = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        planes = np.ascontiguousarray(sequence.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
-        out = [(-1, number, dump(docs, [hashlib.sha256(t).digest() for t in texts], sizes, planes))]
+class Chunk:
+    """Documents of a chunk as numbers of their distinct units. Frequent units have small numbers, so the
+    sequences compress well. Texts are read a few megabytes at a time."""
+
+    def __init__(self, alone: np.ndarray):
+        self.alone = alone
+        self.docs, self.digests, self.sizes, self.parts, self.hashes, self.units = [], [], [], [], [], []
+        self.waiting, self.bytes, self.total = [], 0, 0
+
+    def add(self, doc, text: str | None) -> None:
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        self.docs.append(doc)
+        self.digests.append(hashlib.sha256(raw).digest())
+        self.waiting.append(raw)
+        self.bytes += len(raw)
+        self.total += len(raw)
+        if self.bytes >= PART_BYTES:
+            self._read()
+
+    def _read(self) -> None:
+        data, starts, ends, sizes = find_units(self.waiting, self.alone)
+        hashes, first, which = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
-        units = [raw[a:b].decode("utf-8", "replace").replace(" ", SPACE)
-                 for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True]) if units else [0]
-        out += [(int(bucket[a]), number, dump(units[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), WORDS)], schema=WORDS)
+        self.units += [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        self.hashes.append(hashes)
+        self.parts.append(which.astype(np.uint32))
+        self.sizes.append(sizes)
+        self.waiting, self.bytes = [], 0
+
+    def finish(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Hashes and bytes of the distinct units, the most frequent first, and the sequence of their numbers."""
+        self._read()
+        hashes, first, which = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
+        counts, at, numbers = np.zeros(len(hashes), np.int64), 0, []
+        for part, own in zip(self.parts, self.hashes):
+            numbers.append(which[at:at + len(own)])
+            counts += np.bincount(numbers[-1][part], minlength=len(hashes))
+            at += len(own)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        sequence = np.concatenate([rank[n][part] for n, part in zip(numbers, self.parts)])
+        return hashes[order], [self.units[k] for k in first[order].tolist()], sequence
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], file: str, chunk_bytes: int) -> Iterator[tuple[int, Chunk]]:
+    alone = Pieces(file).alone
+    number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
+    chunk = Chunk(alone)
+    for batch in batches:
+        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            chunk.add(doc, text)
+            if chunk.total >= chunk_bytes:
+                yield number, chunk
+                number, chunk = number + 1, Chunk(alone)
+    if chunk.docs:
+        yield number, chunk
+
+
+def _buckets_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
+    rows = list(rows)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, WORDS)],
+                                      schema=WORDS)
+
 
+def _send_units(file: str, buckets: int, chunk_bytes: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alone = Pieces(file).alone
-        number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
-        docs, texts, total = [], [], 0
-        for batch in batches:
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                docs.append(doc)
-                texts.append((text or "").encode("utf-8", "surrogatepass"))
-                total += len(texts[-1])
-                if total >= chunk_bytes:
-                    yield flush(number, docs, texts, alone)
-                    number, docs, texts, total = number + 1, [], [], 0
-        if docs:
-            yield flush(number, docs, texts, alone)
+        """One message per chunk and bucket: the distinct units."""
+        for number, chunk in _chunks(batches, file, chunk_bytes):
+            hashes, units, _ = chunk.finish()
+            bucket = _buckets_of(hashes, buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]).tolist() if len(order) else [0]
+            yield _batch((int(bucket[order[a]]), number, dump(
+                [units[k].decode("utf-8", "replace").replace(" ", SPACE) for k in order[a:b].tolist()]))
+                for a, b in zip(cuts, cuts[1:]))
+    return send
+
+
+def _send_documents(file: str, buckets: int, chunk_bytes: int):
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One message per chunk: its documents as numbers of units, and the buckets of these."""
+        for number, chunk in _chunks(batches, file, chunk_bytes):
+            hashes, _, sequence = chunk.finish()
+            planes = np.ascontiguousarray(sequence.view(np.uint8).reshape(-1, 4).T).tobytes()
+            yield _batch([(-1, number, dump(chunk.docs, chunk.digests, np.concatenate(chunk.sizes), planes,
+                                            _buckets_of(hashes, buckets).astype(np.uint32)))])
     return send
 
 
@@ -154,87 +230,65 @@ def _distinct(table: pa.Table) -> pa.Table:
 
 # the lattice
 
-#: An edge is one number: order of its rank, start (6 bits), end (6 bits), id (22 bits). An id from here on
-#: stands for a character without a piece, by its code point.
-UNKNOWN = 1 << 21
-
-
-def _utf8(code: str) -> str:
-    """SQL array of the UTF-8 bytes of a code point."""
-    tail = lambda shift: f"128 | (shiftright({code}, {shift}) & 63)"
-    return (f"CASE WHEN {code} < 128 THEN array({code}) WHEN {code} < 2048 THEN array(192 | shiftright({code}, 6), {tail(0)}) "
-            f"WHEN {code} < 65536 THEN array(224 | shiftright({code}, 12), {tail(6)}, {tail(0)}) "
-            f"ELSE array(240 | shiftright({code}, 18), {tail(12)}, {tail(6)}, {tail(0)}) END")
-
-
-def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(number, ids)`` of each distinct ``(number, unit)`` of at most :data:`SHORT` characters.
+def fold_units(units: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
+    """``(number, bounds)`` of each distinct ``(number, unit)`` of at most :data:`SHORT` characters in which
+    anything merges: bit ``k`` is set if a piece ends after ``k`` characters.
 
-    Units are dealt out before their edges arise, so the edges are grouped where they are. An edge is a
-    long, which keeps the groups small in memory.
+    An edge of the lattice is one long: rank, start, end. Units are dealt out before their edges
+    arise, so the edges are grouped where they are.
     """
-    substrings = F.expr(f"""flatten(transform(sequence(0, length(unit) - 1), i ->
-        transform(sequence(i + 1, least(length(unit), i + {pieces.longest})), j ->
-            struct(i, j, substring(unit, i + 1, j - i) AS piece))))""")
-    edges = (units.repartition("number").select("number", F.explode(substrings).alias("e")).select("number", "e.*")
-             .join(F.broadcast(pieces.table(units.sparkSession)), "piece", "left")
-             .where("code IS NOT NULL OR j = i + 1"))
-    unknown = f"shiftleft(1L, 52) + {UNKNOWN} + ascii(piece)"
-    edge = F.expr(f"coalesce(code, {unknown}) + shiftleft(cast(i AS bigint), 28) + shiftleft(cast(j AS bigint), 22)")
-    grouped = edges.select("number", edge.alias("edge")).groupBy("number").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    # bits are boundaries between characters: an edge merges if both its ends are boundaries and one is inside
-    ends = "(shiftleft(1L, cast(shiftright(e, 28) & 63 AS int)) | shiftleft(1L, cast(shiftright(e, 22) & 63 AS int)))"
-    inside = ("(shiftleft(1L, cast(shiftright(e, 22) & 63 AS int)) - shiftleft(1L, cast((shiftright(e, 28) & 63) + 1 AS int)))")
-    folded = grouped.withColumn("bounds", F.expr(f"""aggregate(edges, shiftleft(1L, 62) - 1L, (b, e) ->
-        CASE WHEN (b & {ends}) = {ends} AND bit_count(b & {inside}) = 1 THEN b & ~{inside} ELSE b END)"""))
-    # what is left between neighbouring boundaries, from left to right
-    chosen = F.expr(f"""transform(sort_array(transform(
-        filter(edges, e -> (bounds & {ends}) = {ends} AND (bounds & {inside}) = 0),
-        e -> shiftleft(shiftright(e, 28) & 63, 22) | (e & {(1 << 22) - 1}))), x -> cast(x & {(1 << 22) - 1} AS int))""")
-    code = f"(x - {UNKNOWN})"
-    found = folded.select("number", chosen.alias("ids"))
-    as_bytes = F.expr(f"""flatten(transform(ids, x -> CASE WHEN x < {UNKNOWN} THEN array(x)
-        ELSE transform({_utf8(code)}, y -> y + {pieces.byte_ids[0]}) END))""")
-    known = F.expr(f"forall(ids, x -> x < {UNKNOWN})")
-    return found.select("number", F.when(known, F.col("ids")).otherwise(as_bytes).alias("ids"))
-
-
-def _merge_long(file: str):
-    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(file)
-        for batch in batches:
-            ids = [pieces.merge(u) for u in batch["unit"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["number"], pa.array(ids, pa.list_(pa.int32()))], ["number", "ids"])
-    return merge
+    starts = (units.repartition(partitions, "number")
+              .select("number", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 2)).alias("i")))
+    edges = (starts.select("number", "unit", "i", F.explode(F.sequence(
+        F.col("i") + 2, F.least(F.length("unit"), F.col("i") + pieces.longest))).alias("j"))
+        .select("number", "i", "j", F.substring("unit", F.col("i") + 1, F.col("j") - F.col("i")).alias("piece"))
+        .join(F.broadcast(pieces.table(units.sparkSession)), "piece"))
+    edge = F.col("place") * 4096 + F.col("i") * 64 + F.col("j")
+    grouped = edges.select("number", edge.alias("edge")).groupBy("number").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"))
+    # an edge merges if both its ends are boundaries and just one boundary is inside
+    start, end = "cast(shiftright(e, 6) & 63 AS int)", "cast(e & 63 AS int)"
+    ends = f"(shiftleft(1L, {start}) | shiftleft(1L, {end}))"
+    inside = f"(shiftleft(1L, {end}) - shiftleft(2L, {start}))"
+    return grouped.select("number", F.expr(f"""aggregate(edges, shiftleft(1L, 62) - 1L, (b, e) ->
+        CASE WHEN (b & {ends}) = {ends} AND bit_count(b & {inside}) = 1 THEN b & ~{inside} ELSE b END)""").alias("bounds"))
 
 
 # and back to the documents
 
-def _answer(sent: pa.Table, encoded: pa.Table) -> pa.Table:
-    units = sorted({u for m in sent["message"].to_pylist() for u in load(m)[0]})
-    place = {u: k for k, u in enumerate(units)}
-    ids = encoded["ids"].combine_chunks()
-    flat = np.asarray(ids.flatten(), np.int32)
-    sizes = np.diff(np.asarray(ids.offsets, np.int64))
-    order = np.argsort(np.asarray(encoded["number"], np.int64))
-    starts = (np.cumsum(sizes) - sizes)[order]
-    sizes = sizes[order]
-    out = []
-    for chunk, message in zip(sent["chunk"].to_pylist(), sent["message"].to_pylist()):
-        k = np.array([place[u] for u in load(message)[0]])
-        n = sizes[k]
-        at = np.repeat(starts[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        out.append((sent["bucket"][0].as_py(), chunk, dump(n.astype(np.int32), flat[at])))
-    return messages(WORDS, *zip(*out))
+def _answer(file: str):
+    def answer(sent: pa.Table, folded: pa.Table) -> pa.Table:
+        """For each unit a chunk sent its ids, in the order it sent them."""
+        pieces, asked = Pieces(file), [load(m)[0] for m in sent["message"].to_pylist()]
+        units = sorted({u for part in asked for u in part})
+        bounds = np.full(len(units), -1, np.int64)
+        bounds[folded["number"].to_numpy() & 0xFFFFFFFF] = folded["bounds"].to_numpy()
+        ids = [pieces.cut(u, b) if len(u) <= SHORT else pieces.merge(u) for u, b in zip(units, bounds.tolist())]
+        sizes = np.array([len(i) for i in ids], np.int64)
+        flat = np.fromiter((x for i in ids for x in i), np.int32, sizes.sum())
+        starts = np.cumsum(sizes) - sizes
+        place = {u: k for k, u in enumerate(units)}
+        out = []
+        for chunk, part in zip(sent["chunk"].to_pylist(), asked):
+            k = np.array([place[u] for u in part])
+            n = sizes[k]
+            at = np.repeat(starts[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append((sent["bucket"][0].as_py(), chunk, dump(n.astype(np.uint8 if n.max() < 256 else np.int32), flat[at])))
+        return messages(WORDS, *zip(*out))
+    return answer
 
 
 def _join_ids(documents: pa.Table, answers: pa.Table) -> pa.Table:
-    docs, digests, sizes, planes = load(documents["message"][0].as_py())
-    sequence = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
+    docs, digests, sizes, planes, bucket = load(documents["message"][0].as_py())
+    sequence = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
     parts = [load(m) for _, m in sorted(zip(answers["bucket"].to_pylist(), answers["message"].to_pylist()))]
-    counts = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+    # answers are ordered by bucket, units by frequency
+    order = np.argsort(bucket, kind="stable")
+    counts = np.zeros(len(order), np.int64)
+    counts[order] = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else 0
     flat = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
-    starts = np.cumsum(counts) - counts
+    starts = np.zeros(len(order), np.int64)
+    starts[order] = np.cumsum(counts[order]) - counts[order]
     out, at = [], 0
     for doc, digest, size in zip(docs, digests, sizes.tolist()):
         k = sequence[at:at + size]
@@ -250,15 +304,13 @@ def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "tex
     pieces = Pieces(file)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    sent = rows.mapInArrow(_send_units(file, buckets, CHUNK_BYTES), WORDS_SQL)
-    words = sent.where("bucket >= 0")
+    words = rows.mapInArrow(_send_units(file, buckets, CHUNK_BYTES), WORDS_SQL)
     units = words.groupBy("bucket").applyInArrow(_distinct, "number bigint, unit string")
-    short = encode_units(units.where(F.length("unit") <= SHORT), pieces)
-    long = units.where(F.length("unit") > SHORT).mapInArrow(_merge_long(file), "number bigint, ids array<int>")
-    encoded = short.union(long).withColumn("bucket", F.shiftright("number", 32).cast("int"))
-    answers = words.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(_answer, WORDS_SQL)
-    return (sent.where("bucket < 0").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-            .applyInArrow(_join_ids, RESULT_SQL))
+    folded = fold_units(units.where(F.length("unit").between(2, SHORT)), pieces, buckets)
+    folded = folded.withColumn("bucket", F.shiftright("number", 32).cast("int"))
+    answers = words.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(_answer(file), WORDS_SQL)
+    return (rows.mapInArrow(_send_documents(file, buckets, CHUNK_BYTES), WORDS_SQL).groupBy("chunk")
+            .cogroup(answers.groupBy("chunk")).applyInArrow(_join_ids, RESULT_SQL))
 
 
 def decode_ids(ids: Column, pieces: Pieces) -> Column:
