@@ -3,9 +3,13 @@
 from pyspark.sql import Column, functions as F
 
 
-def key_hash(key: Column, seed: int) -> Column:
-    """md5 of ``seed:key`` as 32 hex digits."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+def key_hash(key: Column, seed: int, purpose: str) -> Column:
+    """md5 of ``seed:purpose:key`` as 32 hex digits.
+
+    Each ``purpose`` is a stream of its own: a split of the rows that a sample has kept is
+    not bent by the sample, whatever seeds are given. A null key counts as an empty one.
+    """
+    return F.md5(F.concat(F.lit(f"{seed}:{purpose}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def hex_threshold(fraction: float) -> str:
@@ -13,11 +17,11 @@ def hex_threshold(fraction: float) -> str:
     return f"{int(fraction * 2**32):08x}"
 
 
-def hash_below(key: Column, fraction: float, seed: int) -> Column:
+def hash_below(key: Column, fraction: float, seed: int, purpose: str) -> Column:
     """True for a share ``fraction`` of all keys."""
     if fraction >= 1:
         return F.lit(True)
-    return F.substring(key_hash(key, seed), 1, 8) < hex_threshold(fraction)
+    return F.substring(key_hash(key, seed, purpose), 1, 8) < hex_threshold(fraction)
 
 
 def row_digest(*columns: Column) -> Column:

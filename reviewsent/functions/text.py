@@ -10,9 +10,13 @@ _KEPT = {"ascii": "a-z", "unicode": r"\p{L}"}
 def strip_tags(text: Column) -> Column:
     """Replace everything between ``<`` and the next ``>`` by a space.
 
-    Texts without ``<`` are not given to the regular expression.
+    Texts without ``<`` are not given to the regular expression, and of the others only the
+    part up to the last ``>``: there every ``<`` finds its end, so a text is read once
+    however many ``<`` it has.
     """
-    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]*>", " ")).otherwise(text)
+    tail = F.substring_index(text, ">", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    return F.when(F.contains(text, F.lit("<")), F.concat(F.regexp_replace(head, "<[^>]*>", " "), tail)).otherwise(text)
 
 
 def letters_only(text: Column, letters: str = "ascii") -> Column:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewsent.functions.keys import row_digest
 from reviewsent.functions.text import normalise, normalise_lower, sentiment_label
+from reviewsent.sources.shared import stage_table
 
 RAW_COLUMNS = ["Score", "Summary", "Text"]
 
@@ -20,12 +21,17 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def drop_duplicates(df: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
-    """One row per distinct ``columns``, the one of smallest ``key``.
+    """One row per distinct ``columns``, the one of smallest ``key``; ``key`` is unique.
 
-    Copies are merged before the shuffle, so a group holding a large part of all rows
-    leaves at most one row per input task.
+    Digests of 32 bytes are shuffled and merged, not the rows. The keys of surplus copies are
+    written, and the rows lose them by an anti join, which Spark broadcasts if their written
+    size allows; else each row moves once, by its key.
     """
-    return df.groupBy(*columns).agg(F.min(key).alias(key)).select(key, *columns)
+    digests = df.select(F.col(key).alias("_key"), row_digest(*[F.col(c) for c in columns]).alias("_digest"))
+    first = digests.groupBy("_digest").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    surplus = stage_table(digests.join(first, "_digest").where("_key <> _first").select(F.col("_key").alias(key)),
+                          "surplus_copies")
+    return df.select(key, *columns).join(surplus, key, "left_anti")
 
 
 def normalised_once(df: DataFrame, source: str, name: str, letters: str = "ascii") -> DataFrame:

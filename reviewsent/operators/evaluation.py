@@ -1,6 +1,10 @@
-"""Confusion matrix, metrics, ROC curve and exact AUC of ``(label, prediction, prob_positive)``."""
+"""Confusion matrix, metrics, ROC curve and exact AUC of ``(label, prediction, prob_positive)``.
+
+One rule for odd rows: a label or a prediction other than 0 and 1 (null too) belongs to no cell of
+the matrix, in every form of it, and counts in no metric; a missing or NaN probability counts in
+the matrix but not in ROC and AUC. ``metrics_table`` says how many rows each of them left out.
+"""
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from reviewsent.sources.shared import stage_table
@@ -11,6 +15,10 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def in_matrix() -> Column:
+    return F.col("label").isin(0, 1) & F.col("prediction").isin(0.0, 1.0)
+
+
 def confusion_counts(df: DataFrame) -> DataFrame:
     """One row ``tn, fp, fn, tp``."""
     label, prediction = F.col("label"), F.col("prediction")
@@ -32,7 +40,7 @@ def confusion(df: DataFrame) -> DataFrame:
 
 def confusion_crosstab(df: DataFrame) -> DataFrame:
     """One row per label, one column per prediction."""
-    table = df.groupBy("label").pivot("prediction", [0.0, 1.0]).count().na.fill(0)
+    table = df.where(in_matrix()).groupBy("label").pivot("prediction", [0.0, 1.0]).count().na.fill(0)
     return table.toDF("label", "predicted_negative", "predicted_positive")
 
 
@@ -68,7 +76,8 @@ def weighted_metrics(df: DataFrame) -> DataFrame:
 
 
 def metrics_table(df: DataFrame) -> DataFrame:
-    """``(metric, scope, value)``: accuracy and AUC of all rows, the rest positive and weighted."""
+    """``(metric, scope, value)``: accuracy and AUC of all rows, the rest positive and weighted, and
+    the rows left out of the matrix and of the AUC."""
     def melt(frame: DataFrame, entries: list[tuple[str, str, str]]) -> DataFrame:
         return frame.select(F.inline(F.array(*[
             F.struct(F.lit(metric).alias("metric"), F.lit(scope).alias("scope"), F.col(column).alias("value"))
@@ -76,18 +85,25 @@ def metrics_table(df: DataFrame) -> DataFrame:
 
     per_metric = [(m, scope, prefix + m) for scope, prefix in (("positive", ""), ("weighted", "weighted_"))
                   for m in ("precision", "recall", "f1")]
-    return melt(all_metrics(df), [("accuracy", "all", "accuracy"), *per_metric]).unionByName(
-        melt(auc(df), [("auc", "all", "auc")]))
+    outside = df.agg((F.count(F.lit(1)) - F.count_if(in_matrix())).cast("double").alias("matrix"),
+                     (F.count(F.lit(1)) - F.count_if(has_score())).cast("double").alias("auc"))
+    return (melt(all_metrics(df), [("accuracy", "all", "accuracy"), *per_metric])
+            .unionByName(melt(auc(df), [("auc", "all", "auc")]))
+            .unionByName(melt(outside, [("left_out", "matrix", "matrix"), ("left_out", "auc", "auc")])))
+
 
+# Scores per window task: more distinct scores are cut into more ranges.
+SCORES_PER_RANGE = 200_000
 
-# Scores per window task. More distinct scores are cut into more buckets, up to MAX_BUCKETS.
-SCORES_PER_BUCKET = 200_000
-MAX_BUCKETS = 4096
+
+def has_score() -> Column:
+    """Rows that ROC and AUC rest on: a missing probability and NaN are left out."""
+    return F.col("prob_positive").isNotNull() & ~F.isnan("prob_positive")
 
 
 def _score_groups(df: DataFrame) -> tuple[DataFrame, Row]:
     """Positives and negatives per distinct score, written because it is read several times; totals."""
-    groups = (df.where(F.col("prob_positive").isNotNull()).groupBy(F.col("prob_positive").alias("threshold"))
+    groups = (df.where(has_score()).groupBy(F.col("prob_positive").alias("threshold"))
               .agg(F.count_if(F.col("label") == 1).alias("positives"),
                    F.count_if(F.col("label") == 0).alias("negatives")))
     groups = stage_table(groups, "score_groups")
@@ -96,43 +112,32 @@ def _score_groups(df: DataFrame) -> tuple[DataFrame, Row]:
                               F.coalesce(F.sum("negatives"), F.lit(0)).alias("negatives")).first()
 
 
-def _splits(groups: DataFrame, scores: int, scores_per_bucket: int) -> list[float]:
-    """Edges of buckets of about equally many distinct scores."""
-    buckets = min(MAX_BUCKETS, max(1, scores // scores_per_bucket))
-    cuts = {0.5}
-    if buckets > 1:
-        # as SQL text: one call instead of one per quantile
-        quantiles = ", ".join(f"{i / buckets:.6f}" for i in range(1, buckets))
-        cuts.update(groups.agg(F.expr(
-            f"percentile_approx(threshold, array({quantiles}), {10 * buckets})")).first()[0])
-    return [float("-inf"), *sorted(cuts), float("inf")]
-
-
-def _running(groups: DataFrame, scores: int, scores_per_bucket: int) -> DataFrame:
+def _running(groups: DataFrame, scores: int, scores_per_range: int) -> DataFrame:
     """Add ``tp`` and ``fp``, the counts at or above each score, and the next lower score's counts.
 
-    Distinct scores can be as many as rows, so no window runs over all of them. The
-    scores are cut into buckets at approximate quantiles, which holds where scores pile
-    up near 0 or 1 too. Totals per bucket (one row each) give every bucket its start;
-    inside a bucket a window adds up the rest. Any cut gives the same result.
+    Distinct scores can be as many as rows, so no window runs over all of them. They are
+    range-partitioned, with as many ranges as keep each at about ``scores_per_range``, and
+    written with the number of their range. Totals per range (one row each) give every range its start;
+    inside a range a window adds up the rest. Any cut gives the same result.
     """
-    splits = _splits(groups, scores, scores_per_bucket)
-    bucketed = Bucketizer(splits=splits, inputCol="threshold", outputCol="_bucket").transform(groups)
+    ranges = max(1, -(-scores // scores_per_range))
+    ranged = stage_table(groups.repartitionByRange(ranges, "threshold")
+                         .withColumn("_range", F.spark_partition_id()), "score_ranges")
 
-    # windows over one row per bucket
-    above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    below = Window.orderBy(F.col("_bucket").desc())
+    # windows over one row per range
+    above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.orderBy(F.col("_range").desc())
     # single longs, not structs: the totals stay a hash aggregate
-    starts = (bucketed.groupBy("_bucket").agg(
+    starts = (ranged.groupBy("_range").agg(
         F.sum("positives").alias("_p"), F.sum("negatives").alias("_n"),
         F.max_by("positives", "threshold").alias("_first_p"), F.max_by("negatives", "threshold").alias("_first_n"))
-        .select("_bucket", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_tp_above"),
+        .select("_range", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_tp_above"),
                 F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_fp_above"),
                 F.lead("_first_p").over(below).alias("_next_p"), F.lead("_first_n").over(below).alias("_next_n")))
 
-    inside = Window.partitionBy("_bucket").orderBy(F.col("threshold").desc())
+    inside = Window.partitionBy("_range").orderBy(F.col("threshold").desc())
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return bucketed.join(F.broadcast(starts), "_bucket").select(
+    return ranged.join(starts, "_range").select(
         "threshold", "positives", "negatives",
         (F.col("_tp_above") + F.sum("positives").over(upto)).alias("tp"),
         (F.col("_fp_above") + F.sum("negatives").over(upto)).alias("fp"),
@@ -141,14 +146,14 @@ def _running(groups: DataFrame, scores: int, scores_per_bucket: int) -> DataFram
 
 
 def roc_curve(df: DataFrame, drop_collinear: bool = False,
-              scores_per_bucket: int = SCORES_PER_BUCKET) -> DataFrame:
+              scores_per_range: int = SCORES_PER_RANGE) -> DataFrame:
     """``(threshold, tp, fp, tpr, fpr)``: one point per distinct score and the origin.
 
     The origin has a null threshold. ``drop_collinear`` drops the points that lie on the
     line between their neighbours, but never the first or last score.
     """
     groups, totals = _score_groups(df)
-    points = _running(groups, totals["scores"], scores_per_bucket)
+    points = _running(groups, totals["scores"], scores_per_range)
     if drop_collinear:
         corner = (F.col("next_positives").isNull() | (F.col("next_positives") != F.col("positives"))
                   | (F.col("next_negatives") != F.col("negatives")))
@@ -164,13 +169,13 @@ def roc_curve(df: DataFrame, drop_collinear: bool = False,
             .withColumn("tpr", rate("tp", totals["positives"])).withColumn("fpr", rate("fp", totals["negatives"])))
 
 
-def auc(df: DataFrame, scores_per_bucket: int = SCORES_PER_BUCKET, undefined: float | None = None) -> DataFrame:
+def auc(df: DataFrame, scores_per_range: int = SCORES_PER_RANGE, undefined: float | None = None) -> DataFrame:
     """Exact area under the ROC curve by trapezoids over tied scores.
 
     ``undefined`` (default: null) if a class has no row, or if all scores are equal.
     """
     groups, totals = _score_groups(df)
-    points = _running(groups, totals["scores"], scores_per_bucket)
+    points = _running(groups, totals["scores"], scores_per_range)
     area = F.sum(F.col("negatives") * (F.col("tp") - F.col("positives") / 2))
     pairs = float(totals["positives"]) * totals["negatives"]
     defined = pairs > 0 and totals["scores"] > 1

@@ -76,7 +76,7 @@ def explorer_cards(predictions: DataFrame, outcome: str = "all", sentiment: str
     """``n`` random rows of :func:`explore` as shown to the reader, with the number of matches."""
     rows = explore(predictions, outcome, sentiment, min_conf)
     matches = rows.agg(F.count("*")).scalar()
-    drawn = rows.orderBy(key_hash(F.col("doc_id"), seed), "doc_id").limit(n)
+    drawn = rows.orderBy(key_hash(F.col("doc_id"), seed, "order"), "doc_id").limit(n)
     return drawn.select(
         "doc_id", is_correct().alias("correct"),
         label_name(F.col("label")).alias("actual"), label_name(F.col("prediction")).alias("predicted"),

@@ -11,7 +11,9 @@ from reviewsent.functions.stopwords import STOP_WORDS
 from reviewsent.operators.evaluation import auc, positive_metrics
 from reviewsent.sources.shared import new_path, stage_table
 
+# Size of the feature vectors, iterations and regularisation of the classifier.
 NUM_FEATURES = 10_000
+MAX_ITER, REG_PARAM = 20, 0.1
 
 
 def text_model(num_features: int = NUM_FEATURES, stop: str = "english") -> PipelineModel:
@@ -28,7 +30,7 @@ def fit_idf(vectors: DataFrame) -> IDFModel:
 
 
 def feature_model(documents: DataFrame, num_features: int = NUM_FEATURES, stop: str = "english") -> PipelineModel:
-    """:func:`text_model` and the IDF weights fitted on ``documents``."""
+    """:func:`text_model` and the IDF weights fitted on ``documents``, to be saved and used on others."""
     text = text_model(num_features, stop)
     return PipelineModel(stages=[*text.stages, fit_idf(add_features(text, documents))])
 
@@ -38,6 +40,12 @@ def term_vectors(text: PipelineModel, documents: DataFrame, *keep: str) -> DataF
     return stage_table(add_features(text, documents).select(*keep, "raw_features"), "term_vectors")
 
 
+def features(documents: DataFrame, *keep: str, num_features: int = NUM_FEATURES, stop: str = "english") -> DataFrame:
+    """``keep`` columns and ``tfidf_features`` with the IDF weights of all rows; the texts are read once."""
+    vectors = term_vectors(text_model(num_features, stop), documents, *keep)
+    return fit_idf(vectors).transform(vectors).drop("raw_features")
+
+
 def add_features(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the columns of ``model`` to the rows that have a text."""
     return model.transform(df.where(F.col("text").isNotNull())).drop("tokens")
@@ -49,7 +57,7 @@ def vector_shape(vector: str) -> tuple[Column, Column]:
     return fields["size"].alias("dimensions"), F.size(fields["indices"]).alias("non_zero")
 
 
-def fit_classifier(features: DataFrame, max_iter: int = 20, reg_param: float = 0.1) -> LogisticRegressionModel:
+def fit_classifier(features: DataFrame, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM) -> LogisticRegressionModel:
     """Logistic regression on ``tfidf_features`` and ``label``; MLlib caches what it iterates over."""
     lr = LogisticRegression(featuresCol="tfidf_features", labelCol="label", maxIter=max_iter, regParam=reg_param)
     return lr.fit(features.select("label", "tfidf_features"))
@@ -69,7 +77,7 @@ def detached(classifier: LogisticRegressionModel) -> LogisticRegressionModel:
 
 def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
           num_features: int = NUM_FEATURES, stop: str = "english",
-          max_iter: int = 20, reg_param: float = 0.1) -> PipelineModel:
+          max_iter: int = MAX_ITER, reg_param: float = REG_PARAM) -> PipelineModel:
     """Features and classifier as one model.
 
     The IDF weights come from the training rows. Pass all rows as ``idf_documents`` to
@@ -83,7 +91,9 @@ def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
 
 
 def positive_probability(probability: str = "probability") -> Column:
-    return vector_to_array(F.col(probability))[1]
+    """Second element of the vector; null for a missing vector."""
+    vector = F.col(probability)
+    return F.when(vector.isNotNull(), vector_to_array(vector)[1])
 
 
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Profile of a table: counts, nulls, duplicates, class balance, lengths."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reviewsent.functions.keys import row_digest
 from reviewsent.functions.text import label_name, sentiment_label
@@ -39,9 +39,8 @@ def duplicate_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 def class_distribution(df: DataFrame, score: str = "Score") -> DataFrame:
     """Rows and share in percent per class."""
-    # the window runs over one row per class
-    total = F.sum("n").over(Window.partitionBy())
     counts = df.groupBy(score).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.col("n") / total * 100).orderBy(score)
 
 

@@ -11,11 +11,6 @@ from reviewsent.functions.text import tokens, without_words
 from reviewsent.operators.words import without_stop_rows
 from reviewsent.sources.shared import stage_table
 
-# A term is hot if more than one document in HOT_SHARE has it. Documents hold D distinct
-# terms on average, so at most D * HOT_SHARE terms are hot, however many documents there are.
-HOT_SHARE = 1000
-BROADCAST_BYTES = 64 << 20
-
 
 def md5_bucket(word: Column, buckets: int) -> Column:
     """Bucket of a word, from the first 32 bits of its md5."""
@@ -64,54 +59,22 @@ def _document_frequency(tf: DataFrame, name: str) -> DataFrame:
     return tf.groupBy(name).agg(F.count("*").alias("df"))
 
 
-def tfidf_long(documents: DataFrame, terms: Column, key: str = "doc_id", name: str = "word",
-               broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def tfidf_long(documents: DataFrame, terms: Column, key: str = "doc_id", name: str = "word") -> DataFrame:
     """``(key, term, tf, df, idf, tfidf)``.
 
     Pass ``documents`` as a written table. The term frequencies are written once and read
-    twice: only the term column for the document frequencies, all of it for the join.
+    twice: only the term column for the document frequencies, all of it for the join. The
+    written frequencies have a known size, by which Spark chooses the join; where it shuffles,
+    the rows of a frequent term are split between tasks by adaptive execution.
     """
     m = documents.count()
     tf = stage_table(term_frequencies(documents, terms, key, name), "term_frequencies")
     frequencies = stage_table(_document_frequency(tf, name), "document_frequencies")
-    joined = _join_frequencies(tf, frequencies, m, key, name, broadcast_bytes)
-    return (joined.withColumn("idf", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)))
+    return (tf.join(frequencies, name).withColumn("idf", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)))
             .withColumn("tfidf", F.col("tf") * F.col("idf"))
             .select(key, name, "tf", "df", "idf", "tfidf"))
 
 
-def _table_bytes(df: DataFrame, name: str) -> int:
-    width = F.octet_length(F.col(name).cast("string")) + 32
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
-
-
-def _join_frequencies(tf: DataFrame, frequencies: DataFrame, m: int, key: str, name: str,
-                      broadcast_bytes: int) -> DataFrame:
-    """Join each term with its document frequency.
-
-    A vocabulary of at most ``broadcast_bytes`` is broadcast. A larger one is shuffled,
-    with each hot term spread over as many salts as it takes to leave at most one
-    ``HOT_SHARE``-th of the documents per join key. The list of hot terms is broadcast,
-    so if it is larger than ``broadcast_bytes`` fewer terms count as hot: each step
-    cuts the bound on their number to a tenth.
-    """
-    if _table_bytes(frequencies, name) <= broadcast_bytes:
-        return tf.join(F.broadcast(frequencies), name)
-    share = HOT_SHARE
-    while True:
-        per_salt = max(1, m // share)
-        salted = frequencies.withColumn("_salts", F.ceil(F.col("df") / per_salt).cast("int"))
-        hot = salted.where(F.col("_salts") > 1).select(name, "_salts")
-        if share == 1 or _table_bytes(hot, name) <= broadcast_bytes:
-            break
-        share //= 10
-    hot = F.broadcast(hot)  # with share 1 no term is hot
-    tf = tf.join(hot, name, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(key), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")).drop("_salts")
-    salted = salted.select(name, "df", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
-    return tf.join(salted, [name, "_salt"]).drop("_salt")
-
-
 def term_density(documents: DataFrame, terms: Column, dimensions: int = 10_000,
                  key: str = "doc_id") -> DataFrame:
     """Dimensions, non-zero entries and tokens of each document's term vector."""

@@ -2,15 +2,17 @@
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reviewsent.functions import text
 from reviewsent.operators import (cleaning, evaluation, explore, histograms, model, profile, sampling, tfidf,
                                   words)
 from reviewsent.plans import stages
 from reviewsent.schema import CLEANED, REVIEWS
 from reviewsent.sources import files
 from reviewsent.sources.shared import new_path, stage_table
-from reviewsent.sources.tables import raw_reviews, read_table, spread
+from reviewsent.sources.tables import raw_reviews, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,14 +30,18 @@ def staged_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread(read_table(spark, folder, "documents"), "doc_id")
-    return cleaning.clean_texts(rows, "text", "doc_id", min_length=3)
+    return cleaning.clean_texts(read_table(spark, folder, "documents"), "text", "doc_id", min_length=3)
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return stages.lexicon_scored(staged_reviews(spark, folder))
 
 
+def staged_scores(scored: DataFrame) -> DataFrame:
+    """What the metrics read of predictions, without the texts."""
+    return stage_table(scored.select("label", "prediction", "prob_positive"), "scores")
+
+
 # profile
 
 def row_count(spark, folder):
@@ -89,17 +95,15 @@ def clean_reviews_clean_dedupe(spark, folder):
 
 
 def clean_pages(spark, folder):
-    pages = spread(read_table(spark, folder, "pages"), "page_id")
-    return cleaning.clean_texts(pages, "html", "page_id")
+    return cleaning.clean_texts(read_table(spark, folder, "pages"), "html", "page_id")
 
 
 def clean_unicode(spark, folder):
-    rows = spread(read_table(spark, folder, "documents"), "doc_id")
-    return cleaning.clean_texts(rows, "text", "doc_id", letters="unicode")
+    return cleaning.clean_texts(read_table(spark, folder, "documents"), "text", "doc_id", letters="unicode")
 
 
 def cleaning_report(spark, folder):
-    return cleaning.cleaning_report(raw_reviews(spark, folder, balanced=True))
+    return cleaning.cleaning_report(raw_reviews(spark, folder))
 
 
 # samples
@@ -120,20 +124,28 @@ def random_rows(spark, folder):
     return sampling.random_rows(read_table(spark, folder, "documents").select("doc_id", "text"), 10, seed=7)
 
 
+def undersampled(spark, folder, label):
+    rows = stages.labelled_unique(raw_reviews(spark, folder, label)).select("doc_id", "label", "Score")
+    return sampling.undersample(stage_table(rows, "distinct_reviews"))
+
+
 def undersample_exact(spark, folder):
-    rows = stage_table(stages.labelled_unique(raw_reviews(spark, folder)), "distinct_reviews")
-    return sampling.undersample(rows).select("doc_id", "label", "Score")
+    return undersampled(spark, folder, "quality")
 
 
 def undersample_toxic(spark, folder):
-    rows = stage_table(stages.labelled_unique(raw_reviews(spark, folder, "toxic")), "distinct_reviews")
-    return sampling.undersample(rows).select("doc_id", "label", "Score")
+    return undersampled(spark, folder, "toxic")
 
 
 def balanced_reviews(spark, folder):
     return stages.balanced_reviews(raw_reviews(spark, folder))
 
 
+def split_report(spark, folder):
+    """Size and classes of both sides of the split that the model is trained and judged on."""
+    return sampling.split_report(balanced_reviews(spark, folder).select("doc_id", "label"))
+
+
 def bernoulli_sample(spark, folder):
     return sampling.bernoulli_sample(read_table(spark, folder, "documents"), 400)
 
@@ -172,8 +184,7 @@ def top_words_compact(spark, folder):
 
 
 def role_top_words(spark, folder):
-    rows = spread(read_table(spark, folder, "conversations"), "conv_id", "turn")
-    turns = cleaning.clean_texts(rows, "text", "role")
+    turns = cleaning.clean_texts(read_table(spark, folder, "conversations"), "text", "role")
     return words.top_words(words.split_word_rows(turns, "role"), "role", k=20)
 
 
@@ -239,7 +250,7 @@ def metrics_weighted(spark, folder):
 
 
 def metrics_table(spark, folder):
-    return rounded(evaluation.metrics_table(stage_table(predictions(spark, folder), "predictions")), "value")
+    return rounded(evaluation.metrics_table(staged_scores(predictions(spark, folder))), "value")
 
 
 def roc_curve(spark, folder):
@@ -255,7 +266,7 @@ def auc_exact(spark, folder):
 
 
 def probability_histogram(spark, folder):
-    rows = stage_table(predictions(spark, folder), "predictions")
+    rows = staged_scores(predictions(spark, folder))
     return rounded(histograms.histogram_own_range(rows, F.col("prob_positive")), "bin_start")
 
 
@@ -263,6 +274,99 @@ def probability_histogram_common(spark, folder):
     return rounded(histograms.histogram(predictions(spark, folder), F.col("prob_positive"), 0, 1), "bin_start")
 
 
+# checks of what SQL can say about samples, vectors and models
+
+def bernoulli_sample_check(spark, folder):
+    """Rows of the sample that are no documents, and keys that it has twice: none."""
+    sample = bernoulli_sample(spark, folder).groupBy("doc_id").agg(F.count("*").alias("n"))
+    keys = read_table(spark, folder, "documents").select("doc_id")
+    return sample.join(keys.withColumn("known", F.lit(1)), "doc_id", "left").agg(
+        F.count_if(F.col("known").isNull()).alias("unknown"), F.count_if(F.col("n") > 1).alias("repeated"))
+
+
+def random_split_union(spark, folder):
+    """Both sides together: every row once."""
+    return random_split(spark, folder).drop("split")
+
+
+def undersample_bernoulli_smallest(spark, folder):
+    """The smallest class, which stays complete."""
+    rows = reviews(spark, folder).select("doc_id", "label")
+    counts = rows.groupBy("label").agg(F.count("*").alias("n"))
+    smallest = counts.agg(F.min_by("label", F.struct("n", "label"))).scalar()
+    return sampling.undersample_bernoulli(rows).where(F.col("label") == smallest)
+
+
+def ml_scores_check(spark, folder):
+    """The scored test rows, and whether probability and prediction agree."""
+    p = F.col("prob_positive")
+    return ml_train_score(spark, folder).select("doc_id", "label", p.between(0, 1).alias("in_range"),
+                                                ((p > 0.5) == (F.col("prediction") == 1)).alias("agree"))
+
+
+def ml_features_check(spark, folder):
+    """Vectors have no more entries than the document has distinct terms."""
+    rows = ml_hashing_tfidf(spark, folder)
+    terms = documents(spark, folder).select("doc_id", F.size(F.array_distinct(tfidf.filtered_tokens())).alias("terms"))
+    return rows.join(terms, "doc_id").select("doc_id", "dimensions", (F.col("non_zero") <= F.col("terms")).alias("fits"))
+
+
+def ml_metrics_agree(spark, folder):
+    """MLlib's evaluators against the relational metrics of the same predictions."""
+    scored = staged_scores(ml_train_score(spark, folder))
+    theirs = model.evaluator_metrics(scored)
+    names = {("auc", "all"): "areaUnderROC", ("accuracy", "all"): "accuracy", ("f1", "weighted"): "f1",
+             ("precision", "weighted"): "weightedPrecision", ("recall", "weighted"): "weightedRecall"}
+    expected = spark.createDataFrame([(*k, float(theirs[v])) for k, v in names.items()], "metric string, scope string, theirs double")
+    return evaluation.metrics_table(scored).join(F.broadcast(expected), ["metric", "scope"]).select(
+        "metric", "scope", (F.abs(F.col("value") - F.col("theirs")) < 1e-9).alias("equal"))
+
+
+def training_metrics(spark, folder):
+    """Training metrics beside those of the test rows: both defined, training at least as good."""
+    rows = stage_table(stages.balanced_reviews(raw_reviews(spark, folder)), "balanced_reviews")
+    trained, scored = stages.train_and_score(rows)
+    train_rows, _ = sampling.hash_split(rows)
+    test = evaluation.positive_metrics(staged_scores(scored)).select(F.col("accuracy").alias("test_accuracy"))
+    train = model.training_metrics(trained, train_rows)
+    return train.select(F.col("accuracy").between(0, 1).alias("accuracy_defined"), F.col("auc").between(0, 1).alias("auc_defined"),
+                        (F.col("accuracy") >= test.scalar()).alias("not_below_test"))
+
+
+def model_roundtrip(spark, folder):
+    """Scores of the model after saving and loading, beside those before."""
+    rows = stage_table(stages.balanced_reviews(raw_reviews(spark, folder)), "balanced_reviews")
+    trained, scored = stages.train_and_score(rows)
+    path = new_path(spark, "model")
+    model.save_model(trained, path)
+    again = model.score(model.load_model(path), sampling.hash_split(rows)[1], "doc_id").select(
+        "doc_id", F.col("prob_positive").alias("p"))
+    return scored.join(again, "doc_id").select("doc_id", (F.abs(F.col("p") - F.col("prob_positive")) < 1e-12).alias("same"))
+
+
+def stored_probabilities(spark, folder):
+    """Predictions stored with probability vectors, some of them missing."""
+    p = F.col("prob_positive")
+    vector = F.when(F.col("doc_id") % 5 != 0, array_to_vector(F.array(1 - p, p)))
+    stored = predictions(spark, folder).withColumn("probability", vector).select("doc_id", "prediction", "probability")
+    return rounded(model.fix_probability(stored, missing=0.5), "prob_positive")
+
+
+def word_count_map(spark, folder):
+    """The word -> count map of each class, as rows again."""
+    found = words.word_count_map(words.top_words(words.word_rows(reviews(spark, folder), "label"), k=15))
+    return found.select("label", F.explode("frequencies").alias("word", "n"))
+
+
+def tokens_raw(spark, folder):
+    rows = read_table(spark, folder, "documents").where(F.col("text").isNotNull())
+    return rows.select("doc_id", F.size(text.tokens_raw(F.col("text"))).alias("n_tokens"))
+
+
+def schema_table(spark, folder):
+    return profile.schema_table(read_table(spark, folder, "documents"))
+
+
 # examples and explorer
 
 def example_table(spark, folder):
@@ -284,7 +388,7 @@ def explorer_wrong(spark, folder):
 
 def overview(spark, folder):
     rows = staged_reviews(spark, folder)
-    scored = stage_table(stages.lexicon_scored(rows), "predictions")
+    scored = staged_scores(stages.lexicon_scored(rows))
     return rounded(explore.overview(rows, scored), "accuracy", "auc")
 
 
@@ -298,6 +402,14 @@ def csv_roundtrip(spark, folder):
     return files.csv_to_parquet(spark, csv_path, parquet_path, REVIEWS).drop("doc_id")
 
 
+def csv_renamed(spark, folder):
+    """Reviews -> headerless CSV -> columns named by position."""
+    path = new_path(spark, "reviews_csv")
+    files.write_csv(raw_reviews(spark, folder).select("Score", "Summary", "Text"), path)
+    return files.rename_columns(files.read_csv(spark, path, schema=None), "Score", "Summary", "Text").select(
+        F.col("Score").cast("int").alias("Score"), "Summary", "Text")
+
+
 def csv_header_roundtrip(spark, folder):
     """Cleaned reviews -> CSV with header -> parquet -> rows."""
     csv_path, parquet_path = new_path(spark, "cleaned_csv"), new_path(spark, "cleaned")
@@ -319,14 +431,14 @@ def ml_train_score(spark, folder):
 
 
 def ml_metrics(spark, folder):
-    return evaluation.metrics_table(stage_table(ml_train_score(spark, folder), "predictions"))
+    return evaluation.metrics_table(staged_scores(ml_train_score(spark, folder)))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     row_count, null_profile, duplicate_report, class_distribution, class_balance, class_balance_toxic,
     label_distribution, length_stats, length_median, length_histogram, length_histogram_by_class,
     clean_reviews_clean_dedupe, clean_pages, clean_unicode, cleaning_report,
-    hash_sample, hash_sample_rows, hash_split, random_rows, undersample_exact, undersample_toxic,
+    hash_sample, hash_sample_rows, hash_split, split_report, random_rows, undersample_exact, undersample_toxic,
     balanced_reviews, bernoulli_sample, random_split, undersample_bernoulli,
     filtered_tokens, token_stats, top_words_default, top_words_plus6, top_words_compact, role_top_words,
     word_ratio, word_ratio_joined, word_ratio_one_sided, word_ratio_top, bigram_ratio_top,
@@ -334,7 +446,9 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     confusion, confusion_crosstab, metrics_positive, metrics_weighted, metrics_table,
     roc_curve, roc_curve_corners, auc_exact, probability_histogram, probability_histogram_common,
     example_table, prediction_preview, explorer, explorer_wrong, overview,
-    csv_roundtrip, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
+    csv_roundtrip, csv_renamed, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
+    bernoulli_sample_check, random_split_union, undersample_bernoulli_smallest, ml_scores_check, ml_features_check,
+    ml_metrics_agree, training_metrics, model_roundtrip, stored_probabilities, word_count_map, tokens_raw, schema_table,
 )}
 QUERIES["clean_reviews"] = reviews
 QUERIES["lexicon_predictions"] = predictions

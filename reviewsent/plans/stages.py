@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from reviewsent.operators.cleaning import (RAW_COLUMNS, clean_reviews, drop_duplicates, drop_incomplete,
                                            label_reviews, normalise_reviews)
 from reviewsent.operators.lexicon import lexicon_predictions, sentiment_lexicon
-from reviewsent.operators.model import add_features, feature_model, save_model, score, train
-from reviewsent.operators.sampling import hash_split, undersample
+from reviewsent.operators.model import features, save_model, score, train
+from reviewsent.operators.sampling import hash_sample, hash_split, undersample
 from reviewsent.operators.words import word_ratio, word_rows
 from reviewsent.sources.files import write_verified
-from reviewsent.sources.shared import stage_table
+from reviewsent.schema import PREDICTIONS
+from reviewsent.sources.shared import run_folder, stage_table
 
 
 def labelled_unique(raw: DataFrame) -> DataFrame:
@@ -27,15 +28,17 @@ def balanced_reviews(raw: DataFrame, seed: int = 42) -> DataFrame:
     return normalise_reviews(undersample(stage_table(labelled_unique(raw), "distinct_reviews"), seed=seed))
 
 
-def write_cleaned(raw: DataFrame, path: str, balance: bool = True, seed: int = 42) -> DataFrame:
-    return write_verified(balanced_reviews(raw, seed) if balance else clean_reviews(raw), path)
+def write_cleaned(raw: DataFrame, path: str, balance: bool = True, seed: int = 42, sample: float = 1.0) -> DataFrame:
+    """Sampled (a share ``sample`` of the raw rows), cleaned and balanced reviews."""
+    with run_folder(raw.sparkSession):
+        rows = hash_sample(raw, sample, seed=seed)
+        return write_verified(balanced_reviews(rows, seed) if balance else clean_reviews(rows), path)
 
 
 def write_features(cleaned: DataFrame, path: str) -> DataFrame:
     """Features with the IDF weights of all rows: ``(doc_id, label, text, filtered_tokens, tfidf_features)``."""
-    features = add_features(feature_model(cleaned), cleaned)
-    return write_verified(
-        features.select("doc_id", "label", "text", "filtered_tokens", "tfidf_features"), path)
+    with run_folder(cleaned.sparkSession):
+        return write_verified(features(cleaned, "doc_id", "label", "text", "filtered_tokens"), path)
 
 
 def train_and_score(cleaned: DataFrame, idf_scope: str = "train", train_share: float = 0.8,
@@ -51,10 +54,11 @@ def train_and_score(cleaned: DataFrame, idf_scope: str = "train", train_share: f
 
 def write_predictions(cleaned: DataFrame, path: str, model_path: str | None = None,
                       idf_scope: str = "train", seed: int = 42) -> DataFrame:
-    model, predictions = train_and_score(cleaned, idf_scope, seed=seed)
-    if model_path:
-        save_model(model, model_path)
-    return write_verified(predictions, path)
+    with run_folder(cleaned.sparkSession):
+        model, predictions = train_and_score(cleaned, idf_scope, seed=seed)
+        if model_path:
+            save_model(model, model_path)
+        return write_verified(predictions.select(*PREDICTIONS.names), path)
 
 
 def lexicon_scored(cleaned: DataFrame, min_support: int = 50, size: int = 100) -> DataFrame:

@@ -15,6 +15,7 @@ CLEANED = T.StructType([
     T.StructField("text", T.StringType()),
 ])
 
+# what scoring writes and the evaluation reads
 PREDICTIONS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("label", T.IntegerType()),

@@ -5,26 +5,54 @@ That cuts its lineage, survives the loss of executors, and lets each reader prun
 columns. The folder is the one the session names in ``spark.checkpoint.dir``.
 """
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+_run: contextvars.ContextVar[str | None] = contextvars.ContextVar("run", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``. A local session that names none gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="reviewsent-")
-    spark.sparkContext.setCheckpointDir(folder)
+    return _local_folders.setdefault(spark.sparkContext.applicationId, "") or _new_local_folder(spark)
+
+
+def _new_local_folder(spark: SparkSession) -> str:
+    folder = _local_folders[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="reviewsent-")
     return folder
 
 
+@contextlib.contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Stage tables made inside go to one folder, which is removed at the end.
+
+    Results must be written or collected inside. Stage tables made outside of any run are
+    left for the owner of the shared folder.
+    """
+    folder = f"{shared_folder(spark)}/reviewsent/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/reviewsent/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """An unused path below the folder of the run, or else below the shared folder."""
+    top = _run.get() or f"{shared_folder(spark)}/reviewsent/{spark.sparkContext.applicationId}"
+    return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

@@ -7,29 +7,24 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *key: str, factor: int = 4) -> DataFrame:
-    """Repartition by ``key`` if one task of the scan holds over ``factor`` times its share of the rows.
+def ingest(df: DataFrame, path: str, files: int) -> DataFrame:
+    """Write a table as ``files`` files of about equal rows and read it back.
 
-    A parquet file is split no finer than its row groups, so a file written in one piece
-    is one task, whatever its size. Rows per task are counted from the file footers. A
-    balanced input is returned as it is, without a shuffle.
+    A parquet file is split no finer than its row groups, so a file written in one piece is
+    one task, whatever its size. This is a step of its own, once per table: queries take
+    their tables as they are.
     """
-    per_task = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
-    rows = per_task.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    share = (rows["total"] or 0) / df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(*key) if (rows["largest"] or 0) > factor * share else df
+    df.repartition(files).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def raw_reviews(spark: SparkSession, folder: str, label: str = "quality", balanced: bool = False) -> DataFrame:
+def raw_reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
     """``(doc_id, Score, Summary, Text)``: first line as summary, ``label + 1`` as score.
 
     Documents without a label keep a null score. Once nulls are dropped the optimizer
-    turns the left join into an inner join. ``balanced`` is for readers that do heavy
-    work on the texts before their first shuffle, see :func:`spread`.
+    turns the left join into an inner join.
     """
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
-    if balanced:
-        documents = spread(documents, "doc_id")
     labels = read_table(spark, folder, "labels").select("doc_id", label)
     return documents.join(labels, "doc_id", "left").select(
         "doc_id",

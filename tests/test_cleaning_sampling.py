@@ -67,7 +67,7 @@ def test_undersample_keeps_the_lowest_hashes(spark, sizes):
     df = spark.createDataFrame(rows, "doc_id long, label int")
     expected = set()
     for label in (0, 1):
-        ids = sorted((md5(f"42:{i}".encode()).hexdigest(), i) for i, l in rows if l == label)
+        ids = sorted((md5(f"42:balance:{i}".encode()).hexdigest(), i) for i, l in rows if l == label)
         expected |= {i for _, i in ids[:min(sizes)]}
     kept = sampling.undersample(df).collect()
     assert {r["doc_id"] for r in kept} == expected
@@ -110,6 +110,24 @@ def test_sample_sizes_above_the_table(spark):
     assert sampling.bernoulli_sample(df.limit(0), 5).count() == 0
 
 
+def test_sample_balance_and_split_with_one_seed(spark):
+    """Each class has a fifth of its rows in test, whatever was sampled and balanced before."""
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("label"))
+    for rows in (df, sampling.hash_sample(df, 0.25), sampling.undersample(df),
+                 sampling.undersample(sampling.hash_sample(df, 0.25))):
+        found = {(r["split"], r["label"]): r["n"] for r in sampling.split_report(rows).collect()}
+        for label in (0, 1):
+            n = found["train", label] + found["test", label]
+            assert abs(found["test", label] - 0.2 * n) <= 3 * (n * 0.16) ** 0.5
+
+
+def test_null_keys_and_unknown_labels(spark):
+    rows = [(None, 0), (1, 0), (2, 1), (3, 1), (4, 1), (5, 7), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, label int")
+    assert Counter(r["label"] for r in sampling.undersample(df).collect()) == {0: 2, 1: 2}
+    assert {r["label"] for r in sampling.undersample_bernoulli(df).collect()} <= {0, 1}
+
+
 def test_bernoulli_undersampling_is_near_balance(spark):
     df = spark.range(4000).select((F.col("id") % 4 == 0).cast("int").alias("label"))
     n = {r["label"]: r["count"] for r in sampling.undersample_bernoulli(df).groupBy("label").count().collect()}

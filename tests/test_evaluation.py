@@ -81,7 +81,21 @@ def test_auc_equals_brute_force_for_any_buckets(many, per_bucket):
 @pytest.mark.parametrize("drop", [False, True])
 def test_roc_does_not_depend_on_buckets(many, drop):
     one = sorted(map(str, evaluation.roc_curve(many, drop).collect()))
-    assert one == sorted(map(str, evaluation.roc_curve(many, drop, scores_per_bucket=10).collect()))
+    assert one == sorted(map(str, evaluation.roc_curve(many, drop, scores_per_range=10).collect()))
+
+
+def test_odd_rows_are_left_out_and_counted(spark):
+    rows = [(0, 0, 0.0, 0.1, "t"), (1, 1, 1.0, 0.9, "t"), (2, 0, 0.0, None, "t"), (3, 1, 1.0, float("nan"), "t"),
+            (4, 7, 1.0, 0.8, "t"), (5, None, 0.0, 0.2, "t"), (6, 1, None, 0.3, "t")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    table = {(r["metric"], r["scope"]): r["value"] for r in evaluation.metrics_table(df).collect()}
+    assert table["left_out", "matrix"] == 3 and table["left_out", "auc"] == 2
+    assert table["accuracy", "all"] == 1 and table["auc", "all"] == 1
+    cells = sum(r["n"] for r in evaluation.confusion(df).collect())
+    crosstab = evaluation.confusion_crosstab(df).collect()
+    assert cells == sum(r["predicted_negative"] + r["predicted_positive"] for r in crosstab) == 4
+    assert {r["label"] for r in crosstab} == {0, 1}
+    assert evaluation.roc_curve(df).count() == 6
 
 
 def test_dropped_points_lie_on_the_line(spark):
@@ -207,11 +221,15 @@ def test_stored_probability_vectors_become_a_column(separable):
     assert dict(fixed.dtypes)["prob_positive"] == "double" and "probability" not in fixed.columns
     both = fixed.join(model.score(trained, separable, "doc_id").withColumnRenamed("prob_positive", "p"), "doc_id")
     assert both.where(F.col("p") != F.col("prob_positive")).count() == 0
+    some = vectors.withColumn("probability", F.when(F.col("doc_id") % 3 > 0, F.col("probability")))
+    for missing in (None, 0.5):
+        rows = model.fix_probability(some, missing).collect()
+        assert all((r["prob_positive"] == missing) == (r["doc_id"] % 3 == 0) or r["prob_positive"] == 0.5 for r in rows)
 
 
 def test_stages_from_raw_reviews_to_predictions(spark, folder, tmp_path):
     from reviewsent.sources.tables import raw_reviews
-    cleaned = stages.write_cleaned(raw_reviews(spark, folder), str(tmp_path / "cleaned"), balance=False)
+    cleaned = stages.write_cleaned(raw_reviews(spark, folder), str(tmp_path / "cleaned"))
     assert cleaned.columns == ["doc_id", "label", "summary", "text"]
     features = stages.write_features(cleaned, str(tmp_path / "features"))
     assert features.columns == ["doc_id", "label", "text", "filtered_tokens", "tfidf_features"]

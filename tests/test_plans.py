@@ -1,11 +1,13 @@
 """Physical plans: what is read, what is shuffled, what stays out of Python."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from reviewsent.operators import cleaning, explore, histograms, profile, sampling, tfidf, words
 from reviewsent.plans.catalog import QUERIES
-from reviewsent.sources.shared import stage_table
+from reviewsent.sources.shared import run_folder, stage_table
 from reviewsent.sources.tables import raw_reviews
 
 
@@ -19,16 +21,55 @@ def reviews(spark, folder):
 
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
-LAZY = ["null_profile", "duplicate_report", "clean_reviews", "clean_pages", "cleaning_report", "hash_split",
-        "token_stats", "top_words_plus6", "word_ratio_top", "bigram_ratio_top", "length_median",
-        "length_histogram_by_class", "document_frequency"]
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_no_python_and_no_cross_join(spark, folder, name):
-    text = plan(QUERIES[name](spark, folder))
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cross_join(spark, folder, name, threshold):
+    """The plan of every query, with and without broadcasts; its stage tables are written while it is made."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        with run_folder(spark):
+            text = plan(QUERIES[name](spark, folder))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not any(node in text for node in PYTHON_NODES)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # rows are never sorted in one task for a window; totals per range of scores may be
+    assert all("sum(_p" in line or "_range" in line or "_first" in line
+               for line in re.findall(r".*windowspecdefinition\((?!\w+#).*", text)), text
+
+
+STAGED_WITHOUT_TEXTS = ["metrics_table", "probability_histogram", "ml_metrics", "undersample_exact", "undersample_toxic",
+                        "overview"]
+
+
+@pytest.mark.parametrize("name", STAGED_WITHOUT_TEXTS)
+def test_stage_tables_hold_no_texts_that_nobody_reads(spark, folder, name, monkeypatch):
+    from reviewsent.plans import catalog
+    seen = {}
+    monkeypatch.setattr(catalog, "stage_table", lambda df, label: seen.update({label: df.columns}) or stage_table(df, label))
+    QUERIES[name](spark, folder)
+    for label in ("scores", "distinct_reviews", "score_groups"):
+        assert not {"text", "Text", "Summary"} & set(seen.get(label, []))
+    assert seen
+
+
+def test_duplicate_texts_are_never_shuffled(spark, folder):
+    text = plan(cleaning.clean_reviews(raw_reviews(spark, folder)))
+    assert not re.search(r"hashpartitioning\([^)]*(Text|Summary|Score)#", text)
+
+
+def test_tag_removal_reads_a_text_once(spark):
+    import time
+    from reviewsent.functions.text import strip_tags
+    rows = ["<" * 200_000, "<" * 200_000 + ">", "a<b>c" * 40_000 + "<" * 100_000, "x>" * 100_000, "<<a>b<", "a", ""]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    start = time.time()
+    found = [r[0] for r in df.select(strip_tags(F.col("t"))).collect()]
+    assert time.time() - start < 10
+    assert found[1:] == [re.sub("<[^>]*>", " ", r) for r in rows[1:]] and found[0] == rows[0]
 
 
 def test_texts_are_normalised_once(spark, folder):

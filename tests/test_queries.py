@@ -1,5 +1,7 @@
 """Every named query against its SQL, and the queries without SQL for plausible rows."""
 
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -28,6 +30,15 @@ def test_runs(spark, folder, name):
     assert df.count() > 0
 
 
+def test_both_classes_on_both_sides():
+    """On the size the driver compares, the model is trained and judged on both classes."""
+    if not Path("/root/testdata/sf0.01").exists():
+        pytest.skip("no test data")
+    from pyspark.sql import SparkSession
+    rows = QUERIES["split_report"](SparkSession.active(), "/root/testdata/sf0.01").collect()
+    assert {(r["split"], r["label"]) for r in rows} == {(s, c) for s in ("train", "test") for c in (0, 1)}
+
+
 def test_entry(spark):
     rows = entry_module.entry(spark).collect()
     assert 0 < len(rows) <= 40

@@ -1,5 +1,6 @@
 """CSV, parquet, stage tables and input balance."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +10,7 @@ from reviewsent.operators import cleaning
 from reviewsent.operators.profile import schema_table
 from reviewsent.schema import CLEANED, REVIEWS
 from reviewsent.sources import files, shared
-from reviewsent.sources.tables import spread
+from reviewsent.sources.tables import ingest
 
 CSV = '''"1","Bad, very","Line one
 line two ""quoted"""
@@ -91,16 +92,19 @@ def test_shared_folder_is_the_one_the_cluster_names():
         shared.shared_folder(_session(None, None, "yarn"))
 
 
-def test_spread_only_when_one_task_holds_too_much(spark, tmp_path):
-    one, many = str(tmp_path / "one"), str(tmp_path / "many")
-    spark.range(10_000).coalesce(1).write.parquet(one)
-    spark.range(10_000).repartition(64).write.parquet(many)
-    uneven, even = spark.read.parquet(one), spark.read.parquet(many)
-    assert spread(even, "id") is even
-    balanced = spread(uneven, "id")
-    assert "hashpartitioning(id" in balanced._jdf.queryExecution().toString()
-    assert balanced.exceptAll(uneven).count() == 0
-    assert spread(spark.range(0), "id").count() == 0
+def test_ingest_deals_rows_out(spark, tmp_path):
+    table = ingest(spark.range(10_000).coalesce(1), str(tmp_path / "table"), 8)
+    assert len(table.inputFiles()) == 8 and table.count() == 10_000
+    assert max(r["n"] for r in table.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) < 1300
+
+
+def test_run_folder_is_removed_by_its_owner(spark):
+    with shared.run_folder(spark) as folder:
+        table = shared.stage_table(spark.range(5), "numbers")
+        assert folder in table.inputFiles()[0] and table.count() == 5
+        assert Path(folder.removeprefix("file:")).exists()
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert folder not in shared.new_path(spark, "later")
 
 
 def test_schema_table(spark):

@@ -66,16 +66,22 @@ def test_tfidf_by_hand(spark):
     assert math.isclose(rows[1, "b"]["tfidf"], 2 * math.log(2))
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 100, 3000])
-def test_salted_join_equals_broadcast_join(spark, broadcast_bytes):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_tfidf_for_either_join(spark, threshold):
     # one term in every document, one in a third of them
     rows = [(i, ["hot", f"w{i % 97}"] + (["warm"] if i % 3 == 0 else [])) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, terms array<string>")
-    small = tfidf.tfidf_long(df, F.col("terms"))
-    large = tfidf.tfidf_long(df, F.col("terms"), broadcast_bytes=broadcast_bytes)
-    assert "_salt" in large._jdf.queryExecution().toString()
-    assert large.count() == 7000
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        result = tfidf.tfidf_long(df, F.col("terms"))
+        join = "BroadcastHashJoin" if threshold != "-1" else "SortMergeJoin"
+        assert join in result._jdf.queryExecution().executedPlan().toString()
+        found = {(r["doc_id"], r["word"]): r["df"] for r in result.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    frequency = {"hot": 3000, "warm": 1000} | {f"w{k}": len(range(k, 3000, 97)) for k in range(97)}
+    assert found == {(i, w): frequency[w] for i, words in rows for w in words}
 
 
 def test_document_frequency(spark):
