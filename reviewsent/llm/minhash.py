@@ -6,12 +6,14 @@
    share a bucket.
 3. First round: every member of a bucket is compared with the bucket's smallest, as a star. Pairs
    whose signatures agree well enough are confirmed on the full sets. Components follow.
-4. Second round: only members of one bucket that are in different components are left. Their
-   signatures are compared block by block, so every pair that shares a band has either been compared
-   or is connected already, and no link between components is lost.
+4. Second round: only members of one bucket that are in different components are left. Blocks of
+   them are compared by signature, and those with a partner again on their full sets, all pairs of a
+   pair of blocks at once, as products of incidence matrices. So every pair that shares a band has
+   been compared or is connected already, and no link between components is lost.
 
-A bucket is never expanded into all its pairs: the first round is linear, and in the second the
-members of a bucket's largest component meet the others only, in blocks of bounded size.
+A bucket is never expanded into rows of pairs: the first round is linear, and in the second the
+members of a bucket's largest component meet the others only, in blocks of bounded size, each pair of
+which returns one link per two components at most.
 
 Defined results for odd input: a null or blank text has an empty set, is linked with nothing and
 kept. Rows with one ``doc_id`` are one node. A row without ``doc_id`` is linked with nothing: its
@@ -38,8 +40,8 @@ BANDS, ROWS = 28, 4
 HASHES = BANDS * ROWS
 #: Equal minima from which a pair is confirmed: six standard deviations below 0.75.
 LEAST_EQUAL = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
-#: Members per block and documents per confirmation group.
-BLOCK, GROUP = 256, 256
+#: Members per block and documents per confirmation group; shingles per product of incidence matrices.
+BLOCK, GROUP, COLUMNS = 512, 256, 4096
 
 FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                       ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
@@ -103,27 +105,80 @@ def _agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["u", "v"]).filter(keep)
 
 
-def _compare_blocks(table: pa.Table) -> pa.Table:
-    """Pairs of different components in a pair of blocks whose signatures agree."""
-    docs, comps = table["doc_id"].to_numpy(), table["component"].to_numpy()
-    first = np.array(table["block"].to_pylist()) == table["low"][0].as_py()
-    same = table["low"][0].as_py() == table["high"][0].as_py()
+BLOCKS = pa.schema([("band", pa.int32()), ("bucket", pa.int64()), ("low", pa.int32()), ("high", pa.int32()),
+                    ("doc_id", pa.int64()), ("component", pa.int64()), ("block", pa.int32())])
+BLOCKS_SQL = "band int, bucket bigint, low int, high int, doc_id bigint, component bigint, block int"
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the lower and of the higher block, all rows twice for a block with itself."""
+    block, low, high = (table[c].to_numpy() for c in ("block", "low", "high"))
+    return np.flatnonzero(block == low), np.flatnonzero(block == high)
+
+
+def _compare_signatures(table: pa.Table) -> pa.Table:
+    """The rows that agree with a row of another component."""
+    comps = table["component"].to_numpy()
     rows = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, HASHES)
-    right = np.flatnonzero(~first | same)
-    u, v = [], []
-    for i in np.flatnonzero(first).tolist():
-        others = right[comps[right] != comps[i]]
-        hits = others[(rows[others] == rows[i]).sum(1) >= LEAST_EQUAL]
-        u.extend([docs[i]] * len(hits))
-        v.extend(docs[hits])
-    return messages(PAIR, u, v)
+    one, other = _sides(table)
+    found = np.zeros(len(rows), bool)
+    for i in one.tolist():
+        rest = other[comps[other] != comps[i]]
+        hits = rest[(rows[rest] == rows[i]).sum(1) >= LEAST_EQUAL]
+        found[hits] = True
+        found[i] |= len(hits) > 0
+    return table.select(BLOCKS.names).filter(pa.array(found))
+
+
+def _shared_shingles(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets."""
+    both, which = np.unique(np.concatenate([*one, *other]), return_inverse=True)
+    del both
+    row = np.repeat(np.arange(len(one) + len(other)), [len(s) for s in [*one, *other]])
+    left = row < len(one)
+    seen = np.bincount(which[left], minlength=which.max() + 1) * np.bincount(which[~left], minlength=which.max() + 1)
+    column = np.cumsum(seen > 0) - 1  # of the shingles that both sides have
+    some = seen[which] > 0
+    which, row = column[which[some]], row[some]
+    order = np.argsort(which, kind="stable")
+    which, row = which[order], row[order]
+    total = np.zeros((len(one), len(other)), np.float32)
+    for at in range(0, int(column[-1]) + 1, COLUMNS):
+        a, b = np.searchsorted(which, [at, at + COLUMNS])
+        part = np.zeros((len(one) + len(other), COLUMNS), np.float32)
+        part[row[a:b], which[a:b] - at] = 1
+        total += part[:len(one)] @ part[len(one):].T
+    return total
+
+
+def _link_blocks(table: pa.Table) -> pa.Table:
+    """For each two components that are linked in this pair of blocks one link."""
+    docs, comps = table["doc_id"].to_numpy(), table["component"].to_numpy()
+    sets = shingle_sets([load(m)[0] for m in table["message"].to_pylist()])
+    one, other = _sides(table)
+    if not len(one) or not len(other):
+        return messages(PAIR, [], [])
+    shared = _shared_shingles([sets[i] for i in one], [sets[i] for i in other])
+    sizes = np.array([len(s) for s in sets], np.float32)
+    union = sizes[one][:, None] + sizes[other][None, :] - shared
+    linked = (100 * shared >= SIMILARITY * union) & (shared > 0) & (comps[one][:, None] != comps[other][None, :])
+    i, j = np.nonzero(linked)
+    _, first = np.unique(np.stack([comps[one[i]], comps[other[j]]]), axis=1, return_index=True)
+    return messages(PAIR, docs[one[i[first]]].tolist(), docs[other[j[first]]].tolist())
 
 
 def _send_texts(packed: pa.Table, wanted: pa.Table) -> pa.Table:
+    """``wanted`` rows with the text of their document."""
     texts = {doc: text for doc, text in unpack(packed["packed"].to_pylist())} if wanted.num_rows else {}
-    schema = pa.schema([("hub", pa.int64()), ("salt", pa.int32()), ("doc_id", pa.int64()), ("message", pa.binary())])
-    return messages(schema, wanted["hub"].to_pylist(), wanted["salt"].to_pylist(), wanted["doc_id"].to_pylist(),
-                    [dump(texts.get(doc)) for doc in wanted["doc_id"].to_pylist()])
+    sent = {doc: dump(texts.get(doc)) for doc in set(wanted["doc_id"].to_pylist())}
+    return wanted.drop_columns(["chunk"]).append_column(
+        "message", pa.array([sent[doc] for doc in wanted["doc_id"].to_pylist()], pa.binary()))
+
+
+def with_texts(wanted: DataFrame, documents: DataFrame, chunks: int, schema: str) -> DataFrame:
+    packed = pack(documents, chunks, "doc_id", "text", by=("doc_id",))
+    asked = wanted.withColumn("chunk", chunk_of(chunks, "doc_id"))
+    return packed.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(_send_texts, schema + ", message binary")
 
 
 def _confirm(table: pa.Table) -> pa.Table:
@@ -147,10 +202,7 @@ def confirm_pairs(pairs: DataFrame, documents: DataFrame, chunks: int) -> DataFr
     spokes = pairs.join(degree, "v").select(F.col("v").alias("hub"), salt.alias("salt"), F.col("u").alias("doc_id"))
     hubs = degree.select(F.col("v").alias("hub"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / GROUP) - 1).cast("int")))
                          .alias("salt"), F.col("v").alias("doc_id"))
-    wanted = spokes.union(hubs).withColumn("chunk", chunk_of(chunks, "doc_id"))
-    packed = pack(documents, chunks, "doc_id", "text", by=("doc_id",))
-    sent = packed.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(
-        _send_texts, "hub bigint, salt int, doc_id bigint, message binary")
+    sent = with_texts(spokes.union(hubs), documents, chunks, "hub bigint, salt int, doc_id bigint")
     return sent.groupBy("hub", "salt").applyInArrow(_confirm, PAIR_SQL)
 
 
@@ -164,8 +216,8 @@ def crowded(classes: DataFrame) -> DataFrame:
     return members.join(hubs.drop("n"), ["band", "bucket"])
 
 
-def open_pairs(members: DataFrame, parts: DataFrame, signature: DataFrame) -> DataFrame:
-    """Pairs that share a bucket, lie in different components and agree in their signatures."""
+def open_blocks(members: DataFrame, parts: DataFrame, signature: DataFrame) -> DataFrame:
+    """Members of a bucket that agree in their signatures with one of another component, per pair of blocks."""
     placed = (members.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
               .withColumn("component", F.coalesce("component", "doc_id")))
     shares = placed.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -185,11 +237,10 @@ def open_pairs(members: DataFrame, parts: DataFrame, signature: DataFrame) -> Da
     others = F.when(F.col("component") == F.col("largest"), F.sequence(big, big + rest - 1)).otherwise(
         F.sequence(F.lit(0), big + rest - 1))
     rows = (placed.join(split, ["band", "bucket"]).withColumn("block", own).withColumn("other", F.explode(others))
-            .select("band", "bucket", "doc_id", "component", "block", F.least("block", "other").alias("low"),
-                    F.greatest("block", "other").alias("high")))
+            .select("band", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "doc_id", "component", "block"))
     return (rows.join(signature, "doc_id").groupBy("band", "bucket", "low", "high")
-            .applyInArrow(_compare_blocks, PAIR_SQL).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-            .distinct())
+            .applyInArrow(_compare_signatures, BLOCKS_SQL))
 
 
 def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,10 +265,11 @@ def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text")
         F.col("doc_id").alias("u"))
     links = stage_table(confirm_pairs(agree, rows, chunks).union(shared.join(several, "u").distinct()), "links")
     parts = stage_table(components(links), "components")
-    missing = stage_table(open_pairs(members, parts, signature), "open_pairs")
-    if not missing.isEmpty():
-        more = stage_table(confirm_pairs(missing, rows, chunks), "links")
-        parts = components(links.union(more))
+    left = stage_table(open_blocks(members, parts, signature), "open_blocks")
+    if not left.isEmpty():
+        more = with_texts(left, rows, chunks, BLOCKS_SQL).groupBy("band", "bucket", "low", "high").applyInArrow(
+            _link_blocks, PAIR_SQL)
+        parts = components(links.union(stage_table(more.distinct(), "links")))
     found = (classes.select("digest", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .select("digest", F.coalesce("component", "doc_id").alias("component")))
     return (features.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
