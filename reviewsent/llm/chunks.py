@@ -34,6 +34,14 @@ def load(message: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(message))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: an Arrow batch of texts can hold tens of megabytes, and as many Python
+    strings beside it would double that."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:

@@ -28,14 +28,14 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reviewsent.llm.chunks import count_chunks, dump, load, messages
+from reviewsent.llm.chunks import count_chunks, dump, load, messages, slices
 from reviewsent.llm.words import hash_spans
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 60
 #: Text per chunk, text read at once, and text whose units share a bucket.
-CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 2 << 20, 8 << 20
+CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 1 << 20, 8 << 20
 
 WORDS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("message", pa.binary())])
 WORDS_SQL = "bucket int, chunk bigint, message binary"
@@ -176,7 +176,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], file: str, chunk_bytes: int) -> I
     alone = Pieces(file).alone
     number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
     chunk = Chunk(alone)
-    for batch in batches:
+    for batch in slices(batches):
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
             chunk.add(doc, text)
             if chunk.total >= chunk_bytes:

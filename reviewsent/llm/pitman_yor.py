@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewsent.llm.chunks import count_chunks, dump, load, messages
+from reviewsent.llm.chunks import count_chunks, dump, load, messages, slices
 from reviewsent.llm.suffix_dedup import mix
 from reviewsent.llm.words import hash_words, lower_ascii
 from reviewsent.sources.shared import stage_table
@@ -39,7 +39,8 @@ CLASSES = 64
 LEAVES = CLASSES * CLASSES
 END = np.uint64(0x5D1E7F3A9B2C4D17)
 HELD_OUT = 2
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Text per chunk, text hashed at once, and text whose words share a bucket.
+CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
 #: Passes that only settle the totals; sweeps per pass; sweeps before the samples that are averaged.
 PASSES, SWEEPS, BURN_IN, SAMPLES = 2, 2, 2, 4
 STRENGTH = 1.0
@@ -78,11 +79,32 @@ class Tokens:
     sizes: np.ndarray
 
 
-def tokens_of(texts: list[str | None]) -> Tokens:
-    hashes, counts = hash_words([lower_ascii(t) for t in texts])
-    hashes = np.insert(hashes, np.cumsum(counts), END)
-    words, sequence = np.unique(hashes, return_inverse=True)
-    return Tokens(words, sequence.astype(np.uint32), counts + 1)
+class Texts:
+    """Documents of a chunk, of which only the hashes of their tokens are kept."""
+
+    def __init__(self):
+        self.docs, self.held, self.hashes, self.counts = [], [], [], []
+        self.waiting, self.bytes, self.total = [], 0, 0
+
+    def add(self, doc: int | None, held: bool, text: str | None) -> None:
+        self.docs.append(doc)
+        self.held.append(held)
+        self.waiting.append(lower_ascii(text))
+        self.bytes += len(self.waiting[-1])
+        self.total += len(self.waiting[-1])
+        if self.bytes >= PART_BYTES:
+            self._read()
+
+    def _read(self) -> None:
+        hashes, counts = hash_words(self.waiting)
+        self.hashes.append(np.insert(hashes, np.cumsum(counts), END))
+        self.counts.append(counts + 1)
+        self.waiting, self.bytes = [], 0
+
+    def tokens(self) -> Tokens:
+        self._read()
+        words, sequence = np.unique(np.concatenate(self.hashes), return_inverse=True)
+        return Tokens(words, sequence.astype(np.uint32), np.concatenate(self.counts))
 
 
 def entries_of(sequence: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -119,20 +141,17 @@ def _count_messages(tokens: Tokens, held: np.ndarray, buckets: int, number: int)
                                            planes((distinct[part] % LEAVES).astype(np.uint16)), planes(learned[part]))
 
 
-def _by_chunk(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, list, list, list]]:
+def _by_chunk(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, Texts]]:
     number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
-    docs, held, texts, total = [], [], [], 0
-    for batch in batches:
-        for doc, out, text in zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), batch["text"].to_pylist()):
-            docs.append(doc)
-            held.append(out)
-            texts.append(text)
-            total += len(text or "")
-            if total >= chunk_bytes:
-                yield number, docs, held, texts
-                number, docs, held, texts, total = number + 1, [], [], [], 0
-    if docs:
-        yield number, docs, held, texts
+    texts = Texts()
+    for batch in slices(batches):
+        for row in zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), batch["text"].to_pylist()):
+            texts.add(*row)
+            if texts.total >= chunk_bytes:
+                yield number, texts
+                number, texts = number + 1, Texts()
+    if texts.docs:
+        yield number, texts
 
 
 def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
@@ -141,15 +160,16 @@ def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
 
 def _send_counts(buckets: int):
     def send(batches):
-        for number, _, held, texts in _by_chunk(batches, CHUNK_BYTES):
-            yield _batch(_count_messages(tokens_of(texts), np.array(held), buckets, number))
+        for number, texts in _by_chunk(batches, CHUNK_BYTES):
+            yield _batch(_count_messages(texts.tokens(), np.array(texts.held), buckets, number))
     return send
 
 
 def _send_sequences(batches):
-    for number, docs, held, texts in _by_chunk(batches, CHUNK_BYTES):
-        tokens = tokens_of(texts)
-        yield _batch([(-1, number, dump(docs, held, tokens.sizes, planes(tokens.sequence), classes_of(tokens.words)))])
+    for number, texts in _by_chunk(batches, CHUNK_BYTES):
+        tokens = texts.tokens()
+        yield _batch([(-1, number, dump(texts.docs, texts.held, tokens.sizes, planes(tokens.sequence),
+                                        classes_of(tokens.words)))])
 
 
 # buckets

@@ -7,7 +7,7 @@ from reviewsent.llm.suffix_dedup import mix, powers
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes per pass; a word never crosses a pass, as passes end at white space.
-PASS = 1 << 20
+PASS = 1 << 18
 
 
 def _hash_pass(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
