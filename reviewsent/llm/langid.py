@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewsent.llm.chunks import dump, load
+from reviewsent.llm.chunks import dump, load, mapped, slices
 
 #: Families of language codes. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -129,7 +129,7 @@ class Identifier:
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1024):
         counts = [dump(gram_counts(t).astype(np.uint32)) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(counts, pa.binary())], ["lang", "counts"])
 
@@ -145,14 +145,14 @@ def training_sample(rows: DataFrame, bound: int = SAMPLE) -> DataFrame:
 
 def fit(rows: DataFrame, bound: int = SAMPLE) -> Identifier | None:
     # what reaches the driver is the bounded sample, as counts
-    found = training_sample(rows, bound).select("lang", "text").mapInArrow(_count, "lang string, counts binary").collect()
+    found = training_sample(rows, bound).select("lang", "text").mapInArrow(mapped(_count), "lang string, counts binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     return Identifier([load(bytes(r["counts"]))[0] for r in found], [r["lang"] for r in found]) if found else None
 
 
 def _predict(identifier: Identifier | None):
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             found = [identifier.predict(t) if identifier else ("und", 0.0) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array([f[0] for f in found], pa.string()),
@@ -167,4 +167,4 @@ def identify_language(documents: DataFrame, key: str = "doc_id", text: str = "te
                             F.col(lang).alias("lang"), held_out(F.col(key)).alias("held_out"))
     identifier = fit(rows, bound)
     return rows.select("doc_id", "held_out", "text").mapInArrow(
-        _predict(identifier), "doc_id bigint, held_out boolean, lang_pred string, score double")
+        mapped(_predict(identifier)), "doc_id bigint, held_out boolean, lang_pred string, score double")

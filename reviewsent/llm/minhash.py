@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reviewsent.llm.chunks import chunk_of, count_chunks, dump, load, messages, pack, unpack
+from reviewsent.llm.chunks import chunk_of, cogrouped, count_chunks, dump, grouped, load, mapped, messages, pack, unpack
 from reviewsent.llm.components import components
 from reviewsent.llm.words import hash_shingles, hash_words, lower_ascii
 from reviewsent.sources.shared import stage_table
@@ -178,7 +178,7 @@ def _send_texts(packed: pa.Table, wanted: pa.Table) -> pa.Table:
 def with_texts(wanted: DataFrame, documents: DataFrame, chunks: int, schema: str) -> DataFrame:
     packed = pack(documents, chunks, "doc_id", "text", by=("doc_id",))
     asked = wanted.withColumn("chunk", chunk_of(chunks, "doc_id"))
-    return packed.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(_send_texts, schema + ", message binary")
+    return packed.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(cogrouped(_send_texts), schema + ", message binary")
 
 
 def _confirm(table: pa.Table) -> pa.Table:
@@ -203,7 +203,7 @@ def confirm_pairs(pairs: DataFrame, documents: DataFrame, chunks: int) -> DataFr
     hubs = degree.select(F.col("v").alias("hub"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / GROUP) - 1).cast("int")))
                          .alias("salt"), F.col("v").alias("doc_id"))
     sent = with_texts(spokes.union(hubs), documents, chunks, "hub bigint, salt int, doc_id bigint")
-    return sent.groupBy("hub", "salt").applyInArrow(_confirm, PAIR_SQL)
+    return sent.groupBy("hub", "salt").applyInArrow(grouped(_confirm), PAIR_SQL)
 
 
 def crowded(classes: DataFrame) -> DataFrame:
@@ -240,14 +240,14 @@ def open_blocks(members: DataFrame, parts: DataFrame, signature: DataFrame) -> D
             .select("band", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                     "doc_id", "component", "block"))
     return (rows.join(signature, "doc_id").groupBy("band", "bucket", "low", "high")
-            .applyInArrow(_compare_signatures, BLOCKS_SQL))
+            .applyInArrow(grouped(_compare_signatures), BLOCKS_SQL))
 
 
 def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``documents``."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chunks, _ = count_chunks(rows)
-    features = stage_table(rows.mapInArrow(_features, FEATURES_SQL), "minhash")
+    features = stage_table(rows.mapInArrow(mapped(_features), FEATURES_SQL), "minhash")
     full = features.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("doc_id"),
                                          F.min_by(F.struct("bands", "signature"), "doc_id").alias("f"))
@@ -257,7 +257,7 @@ def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text")
     stars = members.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
     agree = (stars.join(signature.select(F.col("doc_id").alias("u"), F.col("signature").alias("su")), "u")
              .join(signature.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv")), "v")
-             .mapInArrow(_agree, PAIR_SQL))
+             .mapInArrow(mapped(_agree), PAIR_SQL))
     # one node with several texts: its classes are linked by their documents
     shared = full.join(classes.select("digest", F.col("doc_id").alias("v")), "digest").select(
         F.col("doc_id").alias("u"), "v").where("u <> v")
@@ -268,7 +268,7 @@ def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text")
     left = stage_table(open_blocks(members, parts, signature), "open_blocks")
     if not left.isEmpty():
         more = with_texts(left, rows, chunks, BLOCKS_SQL).groupBy("band", "bucket", "low", "high").applyInArrow(
-            _link_blocks, PAIR_SQL)
+            grouped(_link_blocks), PAIR_SQL)
         parts = components(links.union(stage_table(more.distinct(), "links")))
     found = (classes.select("digest", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
              .select("digest", F.coalesce("component", "doc_id").alias("component")))

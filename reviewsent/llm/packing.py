@@ -28,6 +28,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reviewsent.llm.chunks import mapped, slices
 from reviewsent.sources.shared import stage_table
 
 CAPACITY = 2048
@@ -51,7 +52,7 @@ def load_encoder(path: str) -> tiktoken.Encoding:
 def _cut(capacity: int, file: str, with_ids: bool):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load_encoder(public_tokenizers.path(file))  # each executor's own copy
-        for batch in batches:
+        for batch in slices(batches, 1024):
             out = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 ids = np.array([*encoder.encode(text or "", allowed_special="all"), 0], "<u4")
@@ -70,7 +71,7 @@ def cut_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
                   file: str = RANKS, with_ids: bool = True) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, ids)``."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_cut(capacity, file, with_ids), PIECE_SQL)
+    return rows.mapInArrow(mapped(_cut(capacity, file, with_ids)), PIECE_SQL)
 
 
 def sweep(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -28,7 +28,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reviewsent.llm.chunks import count_chunks, dump, load, messages, slices
+from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, mapped, messages, slices
 from reviewsent.llm.words import hash_spans
 
 MODEL = "piece_bpe_32k.model"
@@ -304,13 +304,13 @@ def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "tex
     pieces = Pieces(file)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    words = rows.mapInArrow(_send_units(file, buckets, CHUNK_BYTES), WORDS_SQL)
-    units = words.groupBy("bucket").applyInArrow(_distinct, "number bigint, unit string")
+    words = rows.mapInArrow(mapped(_send_units(file, buckets, CHUNK_BYTES)), WORDS_SQL)
+    units = words.groupBy("bucket").applyInArrow(grouped(_distinct), "number bigint, unit string")
     folded = fold_units(units.where(F.length("unit").between(2, SHORT)), pieces, buckets)
     folded = folded.withColumn("bucket", F.shiftright("number", 32).cast("int"))
-    answers = words.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(_answer(file), WORDS_SQL)
-    return (rows.mapInArrow(_send_documents(file, buckets, CHUNK_BYTES), WORDS_SQL).groupBy("chunk")
-            .cogroup(answers.groupBy("chunk")).applyInArrow(_join_ids, RESULT_SQL))
+    answers = words.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(cogrouped(_answer(file)), WORDS_SQL)
+    return (rows.mapInArrow(mapped(_send_documents(file, buckets, CHUNK_BYTES)), WORDS_SQL).groupBy("chunk")
+            .cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_join_ids), RESULT_SQL))
 
 
 def decode_ids(ids: Column, pieces: Pieces) -> Column:

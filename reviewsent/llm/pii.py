@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from reviewsent.llm.chunks import mapped, slices
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, MAX_CHARS, MARGIN = 24, 64, 32
 SURE = 0.9
@@ -356,7 +358,7 @@ RESULT = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KI
 
 def _find(model: Model):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             out = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 base, spans = all_spans(text or "", model)
@@ -372,7 +374,7 @@ def find_personal_data(documents: DataFrame, key: str = "doc_id", text: str = "t
     """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)``, one row per row; the counts are of the
     plain forms."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_find(Model()), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+    return rows.mapInArrow(mapped(_find(Model())), "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
                                            "base_sha256 string, spans string")
 
 
@@ -381,8 +383,8 @@ def redact_personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
     model = Model()
 
     def redacted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             texts = [t if t is None else redact(t, all_spans(t, model)[1]) for t in batch[text].to_pylist()]
             at = batch.schema.get_field_index(text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-    return documents.mapInArrow(redacted, documents.schema)
+    return documents.mapInArrow(mapped(redacted), documents.schema)

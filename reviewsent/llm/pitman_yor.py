@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewsent.llm.chunks import count_chunks, dump, load, messages, slices
+from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, mapped, messages, slices
 from reviewsent.llm.suffix_dedup import mix
 from reviewsent.llm.words import hash_words, lower_ascii
 from reviewsent.sources.shared import stage_table
@@ -342,7 +342,7 @@ def _settle(model: Totals, turn: int):
 
 def _collect_totals(state: DataFrame, seat) -> list[tuple]:
     """At most 4,165 rows, whatever the corpus."""
-    rows = state.mapInArrow(_totals(seat), TOTALS_SQL).groupBy("level", "context").agg(
+    rows = state.mapInArrow(mapped(_totals(seat)), TOTALS_SQL).groupBy("level", "context").agg(
         F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
     return [tuple(r) for r in rows.collect()]
 
@@ -392,11 +392,11 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"),
                             F.col(text).alias("text"))
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    counts = rows.mapInArrow(_send_counts(buckets), MESSAGE_SQL)
-    state = stage_table(counts.groupBy("bucket").applyInArrow(_merge, MESSAGE_SQL), "restaurants")
+    counts = rows.mapInArrow(mapped(_send_counts(buckets)), MESSAGE_SQL)
+    state = stage_table(counts.groupBy("bucket").applyInArrow(grouped(_merge), MESSAGE_SQL), "restaurants")
     model = Totals(_collect_totals(state, _first))
     for turn in range(PASSES):
         model = model.with_seating(_collect_totals(state, _settle(model, turn)))
-    answers = counts.groupBy("bucket").applyInArrow(_answer(model), MESSAGE_SQL)
-    sequences = rows.mapInArrow(_send_sequences, MESSAGE_SQL)
-    return sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(model), RESULT_SQL)
+    answers = counts.groupBy("bucket").applyInArrow(grouped(_answer(model)), MESSAGE_SQL)
+    sequences = rows.mapInArrow(mapped(_send_sequences), MESSAGE_SQL)
+    return sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_score(model)), RESULT_SQL)

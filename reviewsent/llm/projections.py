@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reviewsent.llm.chunks import messages
+from reviewsent.llm.chunks import grouped, mapped, messages
 from reviewsent.llm.components import components
 from reviewsent.sources.shared import stage_table
 
@@ -153,7 +153,7 @@ def _compare_blocks(table: pa.Table) -> pa.Table:
 def group_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``vectors``."""
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
-    rows = stage_table(rows.mapInArrow(_unit_vectors, VECTOR_SQL), "unit_vectors")
+    rows = stage_table(rows.mapInArrow(mapped(_unit_vectors), VECTOR_SQL), "unit_vectors")
     classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("size"),
         F.first("dimension").alias("dimension"), F.first("cell").alias("cell"), F.first("unit").alias("unit"))
@@ -163,7 +163,7 @@ def group_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "emb
     part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     blocks = (classes.join(F.broadcast(cells), ["dimension", "cell"]).withColumn("part", part)
               .groupBy("dimension", "cell", "part").applyInArrow(
-                  _pack_block, "dimension int, cell int, part int, ids binary, sizes binary, units binary"))
+                  grouped(_pack_block), "dimension int, cell int, part int, ids binary, sizes binary, units binary"))
     near = cells.select("dimension", "cell", F.explode(F.array(*[F.col("cell") + k for k in (-1, 0, 1)])).alias("near"))
     partners = (near.join(
         cells.select("dimension", F.col("cell").alias("near"), F.col("parts").alias("others")), ["dimension", "near"])
@@ -172,7 +172,7 @@ def group_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "emb
     pairs = (blocks.join(partners, ["dimension", "cell"])
              .withColumns({"low": F.least(mine, theirs), "high": F.greatest(mine, theirs)}))
     found = stage_table(pairs.select("dimension", "low", "high", "cell", "part", "ids", "sizes", "units")
-                        .groupBy("dimension", "low", "high").applyInArrow(_compare_blocks, FOUND_SQL), "links")
+                        .groupBy("dimension", "low", "high").applyInArrow(grouped(_compare_blocks), FOUND_SQL), "links")
     # copies with different numbers of one node are connected through their class
     parts = components(found.where("v IS NOT NULL").select("u", "v").union(
         rows.where(F.col("digest").isNotNull()).join(classes.select("digest", F.col("vec_id").alias("v")), "digest")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reviewsent.llm.chunks import count_chunks, dump, load, messages, pack, unpack
+from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, messages, pack, unpack
 
 LENGTH = 50
 GRAM = 26
@@ -380,11 +380,11 @@ def _with_answers(rows: DataFrame, finish, schema: str, *carried: str) -> DataFr
     buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                   -(-size // (BUCKET_ANCHORS * (LENGTH - GRAM + 2) // 2)))
     by_chunk = pack(rows, chunks, "doc_id", "text", *carried, by=("doc_id", "text")).groupBy("chunk")
-    asked = by_chunk.applyInArrow(_send_anchors(buckets), MESSAGE_SQL)
-    verdicts = asked.groupBy("bucket").applyInArrow(_answer_anchors, MESSAGE_SQL)
-    sent = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(_send_runs(buckets), MESSAGE_SQL)
-    answers = sent.groupBy("bucket").applyInArrow(_answer_runs, MESSAGE_SQL)
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(finish(buckets), schema)
+    asked = by_chunk.applyInArrow(grouped(_send_anchors(buckets)), MESSAGE_SQL)
+    verdicts = asked.groupBy("bucket").applyInArrow(grouped(_answer_anchors), MESSAGE_SQL)
+    sent = by_chunk.cogroup(verdicts.groupBy("chunk")).applyInArrow(cogrouped(_send_runs(buckets)), MESSAGE_SQL)
+    answers = sent.groupBy("bucket").applyInArrow(grouped(_answer_runs), MESSAGE_SQL)
+    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(finish(buckets)), schema)
 
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
