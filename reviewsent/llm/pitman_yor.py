@@ -2,7 +2,7 @@
 
 A restaurant stands for a context, its customers for the words seen there, and each table sends one
 customer to the parent restaurant: two previous words -> one previous word -> no context -> uniform.
-Contexts are classes of words, :data:`CLASSES` hashed ones, so there are at most 4,096 + 64 + 1
+Contexts are classes of words, :data:`CLASSES` hashed ones, so there are at most 256 + 16 + 1
 restaurants, while the dishes, the words, are as many as the corpus has.
 
 1. Chunks of documents count their words in their contexts and send each distinct pair once, to the
@@ -10,12 +10,14 @@ restaurants, while the dishes, the words, are as many as the corpus has.
    for the totals of each restaurant.
 2. Seating is sampled by Gibbs sweeps: customers of a word in a restaurant are seated anew by the
    Chinese-restaurant rule, given the parent's present probability, from the leaves to the root.
-   After each pass the totals of tables per restaurant (at most 4,161 numbers) are summed over all
+   After each pass the totals of tables per restaurant (at most 273 rows) are summed over all
    buckets and given to the next pass.
 3. In the last pass predictive probabilities are averaged over several samples and sent back to the
    chunks, which add up their logarithms.
 
-A word of a third of all tokens is one entry per chunk and context. All counts cover all rows.
+A word of a third of all tokens is at most 256 entries of a chunk. Buckets are merged in two steps, first over
+groups of :data:`GROUP` chunks, and the probabilities go to each such group apart, so no task reads
+or answers all chunks that have a word. All counts cover all rows.
 
 Defined results for odd input: a null or blank text has the end token alone. A row without ``doc_id``
 counts as remainder 0 and is learned from. Repeated rows are learned and scored one by one. Without
@@ -35,12 +37,14 @@ from reviewsent.llm.suffix_dedup import mix
 from reviewsent.llm.words import hash_words, lower_ascii
 from reviewsent.sources.shared import stage_table
 
-CLASSES = 64
+CLASSES = 16
 LEAVES = CLASSES * CLASSES
 END = np.uint64(0x5D1E7F3A9B2C4D17)
 HELD_OUT = 2
 #: Text per chunk, text hashed at once, and text whose words share a bucket.
 CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
+#: Chunks that are merged and answered together.
+GROUP = 256
 #: Passes that only settle the totals; sweeps per pass; sweeps before the samples that are averaged.
 PASSES, SWEEPS, BURN_IN, SAMPLES = 2, 2, 2, 4
 STRENGTH = 1.0
@@ -180,29 +184,25 @@ class Bucket:
     def __init__(self, received: list[tuple]):
         parts = [(np.cumsum(unplanes(w, np.uint64)), unplanes(k, np.uint32), unplanes(c, np.uint16), unplanes(n, np.uint32))
                  for w, k, c, n in received]
+        if len(parts) == 1:  # merged before
+            self.words, per_word, contexts, count = parts[0]
+            self.count = count.astype(np.int64)
+            self._set(np.repeat(np.arange(len(self.words)), per_word), contexts.astype(np.int64))
+            return
         self.words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        self.words_of = np.split(word, np.cumsum([len(p[0]) for p in parts])[:-1])
-        own = np.concatenate([np.repeat(w, p[1]) * LEAVES + p[2] for w, p in zip(self.words_of, parts)])
+        words_of = np.split(word, np.cumsum([len(p[0]) for p in parts])[:-1])
+        own = np.concatenate([np.repeat(w, p[1]) * LEAVES + p[2] for w, p in zip(words_of, parts)])
         distinct, which = np.unique(own, return_inverse=True)
-        self.entries_of = np.split(which, np.cumsum([len(p[2]) for p in parts])[:-1])
         self.count = np.bincount(which, np.concatenate([p[3] for p in parts]), len(distinct)).astype(np.int64)
         self._set(distinct // LEAVES, distinct % LEAVES)
 
-    @classmethod
-    def stored(cls, message: bytes) -> "Bucket":
-        n_words, per_word, contexts, count = load(message)
-        made = cls.__new__(cls)
-        made.words = np.zeros(n_words, np.uint64)
-        made.count = unplanes(count, np.uint32).astype(np.int64)
-        made._set(np.repeat(np.arange(n_words), unplanes(per_word, np.uint32)), unplanes(contexts, np.uint16).astype(np.int64))
-        return made
+    def keys(self) -> tuple[bytes, bytes, bytes]:
+        """Words, entries of each word, contexts."""
+        per_word = np.bincount(self.word, minlength=len(self.words)).astype(np.uint32)
+        return (planes(np.diff(self.words, prepend=np.uint64(0))), planes(per_word), planes(self.leaf.astype(np.uint16)))
 
     def store(self) -> bytes:
-        """What the seating needs: entries with training counts."""
-        some = self.count > 0
-        per_word = np.bincount(self.word[some], minlength=len(self.words)).astype(np.uint32)
-        return dump(len(self.words), planes(per_word), planes(self.leaf[some].astype(np.uint16)),
-                    planes(self.count[some].astype(np.uint32)))
+        return dump(*self.keys(), planes(self.count.astype(np.uint32)))
 
     def _set(self, word: np.ndarray, leaf: np.ndarray) -> None:
         self.word, self.leaf = word, leaf
@@ -303,6 +303,7 @@ class Totals:
 
 
 def _merge(table: pa.Table) -> pa.Table:
+    """The messages of a group as one of the same form."""
     bucket = Bucket([load(m) for m in table["message"].to_pylist()])
     return messages(MESSAGE, [table["bucket"][0].as_py()], [0], [bucket.store()])
 
@@ -313,7 +314,7 @@ def _totals(seat):
         sums: dict[tuple[int, int], list[float]] = {}
         for batch in batches:
             for number, message in zip(batch["bucket"].to_pylist(), batch["message"].to_pylist()):
-                for level, context, customers, tables in seat(number, Bucket.stored(message)):
+                for level, context, customers, tables in seat(number, Bucket([load(message)])):
                     total = sums.setdefault((level, context), [0.0, 0.0])
                     total[0] += customers
                     total[1] += tables
@@ -341,31 +342,42 @@ def _settle(model: Totals, turn: int):
 
 
 def _collect_totals(state: DataFrame, seat) -> list[tuple]:
-    """At most 4,165 rows, whatever the corpus."""
+    """At most 277 rows, whatever the corpus."""
     rows = state.mapInArrow(mapped(_totals(seat)), TOTALS_SQL).groupBy("level", "context").agg(
         F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
     return [tuple(r) for r in rows.collect()]
 
 
-def _answer(model: Totals):
-    def answer(table: pa.Table) -> pa.Table:
-        """For each entry of each chunk its averaged probability, for each word its training count."""
-        number = table["bucket"][0].as_py()
-        order = np.argsort(table["chunk"].to_numpy())
-        sent = table["message"].to_pylist()
-        bucket = Bucket([load(sent[k]) for k in order])
-        rng = np.random.default_rng([PASSES, number])
-        bucket.first_seating()
-        mean = np.zeros(len(bucket.count))
-        for turn in range(BURN_IN + SAMPLES):
-            bucket.sweep(model, rng)
-            if turn >= BURN_IN:
-                mean += bucket.probabilities(model)[2] / SAMPLES
-        mean = mean.astype(np.float32)
-        chunks = table["chunk"].to_numpy()[order].tolist()
-        return messages(MESSAGE, [number] * len(chunks), chunks, [
-            dump(planes(mean[e]), planes(bucket.word_count[w])) for e, w in zip(bucket.entries_of, bucket.words_of)])
-    return answer
+def _average(model: Totals):
+    def average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each bucket its entries with their averaged probabilities, and the training counts of its words."""
+        for batch in slices(batches, 1):
+            number = batch["bucket"][0].as_py()
+            bucket = Bucket([load(batch["message"][0].as_py())])
+            rng = np.random.default_rng([PASSES, number])
+            bucket.first_seating()
+            mean = np.zeros(len(bucket.count))
+            for turn in range(BURN_IN + SAMPLES):
+                bucket.sweep(model, rng)
+                if turn >= BURN_IN:
+                    mean += bucket.probabilities(model)[2] / SAMPLES
+            yield _batch([(number, 0, dump(*bucket.keys(), planes(mean.astype(np.float32)), planes(bucket.word_count)))])
+    return average
+
+
+def _answer(sent: pa.Table, known: pa.Table) -> pa.Table:
+    """For each entry of each chunk its probability, for each word its training count."""
+    words, per_word, contexts, mean, count = load(known["message"][0].as_py())
+    words = np.cumsum(unplanes(words, np.uint64))
+    entries = np.repeat(np.arange(len(words)), unplanes(per_word, np.uint32)) * LEAVES + unplanes(contexts, np.uint16)
+    mean, count = unplanes(mean, np.float32), unplanes(count, np.int64)
+    out = []
+    for chunk, message in zip(sent["chunk"].to_pylist(), sent["message"].to_pylist()):
+        own, per_word, contexts, _ = load(message)
+        word = np.searchsorted(words, np.cumsum(unplanes(own, np.uint64)))
+        entry = np.repeat(word, unplanes(per_word, np.uint32)) * LEAVES + unplanes(contexts, np.uint16)
+        out.append((sent["bucket"][0].as_py(), chunk, dump(planes(mean[np.searchsorted(entries, entry)]), planes(count[word]))))
+    return messages(MESSAGE, *zip(*out))
 
 
 def _score(model: Totals):
@@ -391,12 +403,18 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     ``documents``; ``10 ** (-score / n_tokens)`` is a text's perplexity."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"),
                             F.col(text).alias("text"))
-    buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    counts = rows.mapInArrow(mapped(_send_counts(buckets)), MESSAGE_SQL)
-    state = stage_table(counts.groupBy("bucket").applyInArrow(grouped(_merge), MESSAGE_SQL), "restaurants")
+    buckets, size = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
+    groups = -(-size // (CHUNK_BYTES * GROUP)) or 1
+    group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int")
+    counts = rows.mapInArrow(mapped(_send_counts(buckets)), MESSAGE_SQL).withColumn("part", group)
+    merged = counts.groupBy("bucket", "part").applyInArrow(grouped(_merge), MESSAGE_SQL)
+    state = stage_table(merged.groupBy("bucket").applyInArrow(grouped(_merge), MESSAGE_SQL), "restaurants")
     model = Totals(_collect_totals(state, _first))
     for turn in range(PASSES):
         model = model.with_seating(_collect_totals(state, _settle(model, turn)))
-    answers = counts.groupBy("bucket").applyInArrow(grouped(_answer(model)), MESSAGE_SQL)
+    averages = state.mapInArrow(mapped(_average(model)), MESSAGE_SQL).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    answers = counts.groupBy("bucket", "part").cogroup(averages.groupBy("bucket", "part")).applyInArrow(
+        cogrouped(_answer), MESSAGE_SQL)
     sequences = rows.mapInArrow(mapped(_send_sequences), MESSAGE_SQL)
     return sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_score(model)), RESULT_SQL)

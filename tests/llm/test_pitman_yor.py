@@ -34,6 +34,7 @@ def rows():
 
 def test_base_columns_and_better_than_base(docs, monkeypatch):
     monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(pitman_yor, "GROUP", 8)
     data = rows()
     out = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
     count = Counter(t for d, text in data if not out(d) for t in tokens(text))
