@@ -6,13 +6,18 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, difference
+from reviewsent.sources.shared import run_folder
 
 QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def con(folder):
-    return connect(folder)
+@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+def sized(request):
+    """A folder of tables and a connection to them, small and at the size the driver compares."""
+    path = Path("/root/testdata") / request.param
+    if not path.exists():
+        pytest.skip("no test data")
+    return str(path), connect(str(path))
 
 
 def test_every_statement_has_a_query():
@@ -20,14 +25,16 @@ def test_every_statement_has_a_query():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_matches_sql(spark, folder, con, name):
-    assert difference(QUERIES[name](spark, folder), con, ORACLE[name]) is None
+def test_matches_sql(spark, sized, name):
+    folder, con = sized
+    with run_folder(spark):
+        assert difference(QUERIES[name](spark, folder), con, ORACLE[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs(spark, folder, name):
-    df = QUERIES[name](spark, folder)
-    assert df.count() > 0
+    with run_folder(spark):
+        assert QUERIES[name](spark, folder).count() > 0
 
 
 def test_both_classes_on_both_sides():
