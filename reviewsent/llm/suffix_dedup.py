@@ -30,7 +30,7 @@ from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load,
 LENGTH = 50
 GRAM = 26
 #: Windows per block of a hash pass, runs per suffix array, windows per run at most.
-BLOCK, BUCKET_ANCHORS, MAX_RUN = 1 << 19, 250_000, 4096
+BLOCK, BUCKET_ANCHORS, MAX_RUN = 1 << 16, 250_000, 4096
 #: Runs from which an anchor's windows are dealt out by their own bytes.
 HOT_RUNS = 16_384
 
@@ -334,8 +334,12 @@ def _removed(chunk: Chunk, answers: pa.Table, buckets: int) -> np.ndarray:
                 elif low < doc:
                     flagged[start:start + n] = own < doc
             at += n
-    total = np.cumsum(flagged[:-1], dtype=np.int64)
-    return total - np.r_[np.zeros(min(LENGTH, len(total)), np.int64), total[:-LENGTH]] > 0
+    if not flagged.any():
+        return flagged[:-1]
+    total = np.cumsum(flagged[:-1], dtype=np.int32)
+    recent = total.copy()
+    recent[LENGTH:] -= total[:-LENGTH]
+    return recent > 0
 
 
 def _rests(chunk: Chunk, removed: np.ndarray):
