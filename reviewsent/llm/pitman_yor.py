@@ -2,22 +2,22 @@
 
 A restaurant stands for a context, its customers for the words seen there, and each table sends one
 customer to the parent restaurant: two previous words -> one previous word -> no context -> uniform.
-Contexts are classes of words, :data:`CLASSES` hashed ones, so there are at most 256 + 16 + 1
-restaurants, while the dishes, the words, are as many as the corpus has.
-
-1. Chunks of documents count their words in their contexts and send each distinct pair once, to the
-   bucket of the word. A bucket holds all restaurants' tables of its words, so seating is local but
-   for the totals of each restaurant.
-2. Seating is sampled by Gibbs sweeps: customers of a word in a restaurant are seated anew by the
-   Chinese-restaurant rule, given the parent's present probability, from the leaves to the root.
-   After each pass the totals of tables per restaurant (at most 273 rows) are summed over all
-   buckets and given to the next pass.
+Contexts are the words themselves, so there is a restaurant for every word pair and word of the corpus.
+
+1. Texts are hashed once into chunks of tokens. Each chunk counts its distinct (word, context) entries
+   and sends them to the bucket of the previous word. Entries after a frequent word are salted by the
+   word before it, so they fill many buckets. A bucket holds whole restaurants of two previous words, and
+   those of one previous word unless that is frequent: their totals are exact and local.
+2. Seating is simulated forward: the customers of a word in a restaurant are seated anew, one after the
+   other, by the Chinese-restaurant rule, given the parent's present probability. Buckets send the tables
+   of their words up to the buckets of the words, which seat the restaurants of frequent words and the one
+   without context, and send customers and tables back. Totals of these restaurants (at most
+   :data:`FREQUENT` + 1 rows) are summed for the next pass.
 3. In the last pass predictive probabilities are averaged over several samples and sent back to the
    chunks, which add up their logarithms.
 
-A word of a third of all tokens is at most 256 entries of a chunk. Buckets are merged in two steps, first over
-groups of :data:`GROUP` chunks, and the probabilities go to each such group apart, so no task reads
-or answers all chunks that have a word. All counts cover all rows.
+Entries are merged in two steps, first over groups of :data:`GROUP` chunks. All counts cover all rows.
+Which words are frequent decides where entries go, not what is counted.
 
 Defined results for odd input: a null or blank text has the end token alone. A row without ``doc_id``
 counts as remainder 0 and is learned from. Repeated rows are learned and scored one by one. Without
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,9 +38,12 @@ from reviewsent.llm.suffix_dedup import mix
 from reviewsent.llm.words import hash_words, lower_ascii
 from reviewsent.sources.shared import stage_table
 
-CLASSES = 16
+#: Words of a bucket or chunk are numbered below it; two of them number a context.
+CLASSES = 1 << 29
 LEAVES = CLASSES * CLASSES
-END = np.uint64(0x5D1E7F3A9B2C4D17)
+END, START = np.uint64(0x5D1E7F3A9B2C4D17), np.uint64(0xA3C59AC2F1B7E64D)
+#: Most words whose entries are salted.
+FREQUENT = 1024
 HELD_OUT = 2
 #: Text per chunk, text hashed at once, and text whose words share a bucket.
 CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
@@ -51,6 +55,9 @@ STRENGTH = 1.0
 
 MESSAGE = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("message", pa.binary())])
 MESSAGE_SQL = "bucket int, chunk bigint, message binary"
+TOKENS = pa.schema([("chunk", pa.int64()), ("message", pa.binary()), ("n_tokens", pa.int64()),
+                    ("frequent", pa.map_(pa.int64(), pa.int64()))])
+TOKENS_SQL = "chunk bigint, message binary, n_tokens bigint, frequent map<bigint, bigint>"
 TOTALS_SQL = "level int, context int, customers double, tables double"
 RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -107,42 +114,86 @@ class Texts:
 
     def tokens(self) -> Tokens:
         self._read()
-        words, sequence = np.unique(np.concatenate(self.hashes), return_inverse=True)
-        return Tokens(words, sequence.astype(np.uint32), np.concatenate(self.counts))
+        words, sequence = np.unique(np.concatenate([[START], *self.hashes]), return_inverse=True)
+        return Tokens(words, sequence[1:].astype(np.uint32), np.concatenate(self.counts))
 
 
-def entries_of(sequence: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """For each token its word's number and its context, in one number; class 0 is before the start."""
-    own = classes[sequence].astype(np.int64)
-    first = np.cumsum(sizes) - sizes
-    one, two = np.r_[0, own[:-1]], np.r_[0, 0, own[:-2]][:len(own)]
-    one[first] = 0
-    two[first] = 0
-    two[(first + 1)[sizes > 1]] = 0
-    return sequence.astype(np.int64) * LEAVES + two * CLASSES + one
-
+@dataclass
+class Frequent:
+    """Frequent words, sorted, and the buckets over which the entries after each are spread."""
 
-def classes_of(words: np.ndarray) -> np.ndarray:
-    return (mix(words) % np.uint64(CLASSES - 1)).astype(np.uint8) + np.uint8(1)
+    words: np.ndarray
+    salts: np.ndarray
+    buckets: int
+
+    def number(self, words: np.ndarray) -> np.ndarray:
+        """From 1; 0 for other words."""
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at + 1, 0)
+
+    def bucket(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Of contexts of two words."""
+        salt = mix(two) % np.r_[np.uint64(1), self.salts][self.number(one)]
+        return bucket_of(mix(one + salt * np.uint64(0x9E3779B97F4A7C15)), self.buckets).astype(np.int64)
+
+
+def distinct_entries(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two previous words, previous word and word of each distinct entry, sorted; and each token's entry."""
+    n, own, first = len(tokens.words), tokens.sequence.astype(np.int64), np.cumsum(tokens.sizes) - tokens.sizes
+    start = int(np.searchsorted(tokens.words, START))
+    one, two = np.r_[start, own[:-1]], np.r_[start, start, own[:-2]][:len(own)]
+    one[first] = start
+    two[first] = start
+    two[(first + 1)[tokens.sizes > 1]] = start
+    if n < 1 << 20:
+        distinct, which = np.unique((two * n + one) * n + own, return_inverse=True)
+        context = distinct // n
+    else:
+        contexts, number = np.unique(two * n + one, return_inverse=True)
+        distinct, which = np.unique(number * n + own, return_inverse=True)
+        context = contexts[distinct // n]
+    return context // n, context % n, distinct % n, which
 
 
 def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
     return ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _count_messages(tokens: Tokens, held: np.ndarray, buckets: int, number: int) -> Iterator[tuple]:
-    """Distinct words of the chunk with their contexts and training counts, one message per bucket."""
-    entry = entries_of(tokens.sequence, tokens.sizes, classes_of(tokens.words))
-    distinct, which = np.unique(entry, return_inverse=True)
-    learned = np.bincount(which, np.repeat(~held, tokens.sizes), len(distinct)).astype(np.uint32)
-    contexts = np.bincount(distinct // LEAVES, minlength=len(tokens.words)).astype(np.uint32)
-    bucket = bucket_of(tokens.words, buckets)
+def pack_entries(words: np.ndarray, two: np.ndarray, one: np.ndarray, word: np.ndarray) -> tuple[bytes, ...]:
+    """Sorted entries: the words they use, the contexts, words per context, words."""
+    used = np.zeros(len(words), bool)
+    for part in (two, one, word):
+        used[part] = True
+    number = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
+    at = np.flatnonzero(np.r_[True, (np.diff(two) != 0) | (np.diff(one) != 0)])
+    return (planes(np.diff(words[used], prepend=np.uint64(0))), planes(np.diff(number[two[at]], prepend=np.uint32(0))),
+            planes(number[one[at]]), planes(np.diff(np.r_[at, len(word)]).astype(np.uint32)), planes(number[word]))
+
+
+def unpack_entries(words: bytes, two: bytes, one: bytes, sizes: bytes, word: bytes) -> tuple[np.ndarray, ...]:
+    """Words; contexts as one number each; the number of each entry's context; its word."""
+    two, one = np.cumsum(unplanes(two, np.uint32), dtype=np.int64), unplanes(one, np.uint32).astype(np.int64)
+    return (np.cumsum(unplanes(words, np.uint64)), two * CLASSES + one, np.repeat(np.arange(len(two)), unplanes(sizes, np.uint32)),
+            unplanes(word, np.uint32).astype(np.int64))
+
+
+def _parts(tokens: Tokens, frequent: Frequent) -> tuple[np.ndarray, ...]:
+    """Distinct entries by bucket: bucket, two, one, word, their places before; and each token's entry before."""
+    two, one, word, which = distinct_entries(tokens)
+    bucket = frequent.bucket(tokens.words[two], tokens.words[one])
+    order = np.argsort(bucket, kind="stable")
+    return bucket[order], two[order], one[order], word[order], order, which
+
+
+def _count_messages(tokens: Tokens, held: np.ndarray, frequent: Frequent, number: int) -> Iterator[tuple]:
+    """Distinct entries of the chunk with their training counts, one message per bucket."""
+    bucket, two, one, word, order, which = _parts(tokens, frequent)
+    learned = np.bincount(which, np.repeat(~held, tokens.sizes), len(order)).astype(np.uint32)[order]
     cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
-    ends = np.r_[0, np.cumsum(contexts)]
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        part = slice(ends[a], ends[b])
-        yield int(bucket[a]), number, dump(planes(np.diff(tokens.words[a:b], prepend=np.uint64(0))), planes(contexts[a:b]),
-                                           planes((distinct[part] % LEAVES).astype(np.uint16)), planes(learned[part]))
+        yield int(bucket[a]), number, dump(*pack_entries(tokens.words, two[a:b], one[a:b], word[a:b]), planes(learned[a:b]))
 
 
 def _by_chunk(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, Texts]]:
@@ -162,108 +213,226 @@ def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), MESSAGE)], schema=MESSAGE)
 
 
-def _send_counts(buckets: int):
+def _send_tokens(limit: int):
+    """Tokens of every chunk, and its words that may be among the frequent."""
     def send(batches):
         for number, texts in _by_chunk(batches, CHUNK_BYTES):
-            yield _batch(_count_messages(texts.tokens(), np.array(texts.held), buckets, number))
+            t = texts.tokens()
+            count = np.bincount(t.sequence, minlength=len(t.words))
+            often = np.flatnonzero((count * 4 * limit > len(t.sequence)) & (t.words != END))
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((
+                number, dump(texts.docs, texts.held, planes(t.sizes), planes(t.sequence), planes(np.diff(t.words, prepend=np.uint64(0)))),
+                len(t.sequence), list(zip(t.words[often].view(np.int64).tolist(), count[often].tolist()))), TOKENS)], schema=TOKENS)
     return send
 
 
-def _send_sequences(batches):
-    for number, texts in _by_chunk(batches, CHUNK_BYTES):
-        tokens = texts.tokens()
-        yield _batch([(-1, number, dump(texts.docs, texts.held, tokens.sizes, planes(tokens.sequence),
-                                        classes_of(tokens.words)))])
+def _read_tokens(message: bytes) -> tuple[list, list, Tokens]:
+    docs, held, sizes, sequence, words = load(message)
+    return docs, held, Tokens(np.cumsum(unplanes(words, np.uint64)), unplanes(sequence, np.uint32), unplanes(sizes, np.int64))
+
+
+def _send_counts(frequent: Frequent):
+    def send(batches):
+        for batch in slices(batches, 1):
+            _, held, tokens = _read_tokens(batch["message"][0].as_py())
+            yield _batch(_count_messages(tokens, np.array(held), frequent, batch["chunk"][0].as_py()))
+    return send
+
+
+def frequent_words(texts: DataFrame, buckets: int, limit: int) -> Frequent:
+    """At most ``limit`` words, each more than a ``limit``-th of all tokens."""
+    total = texts.agg(F.sum("n_tokens")).first()[0] or 0
+    rows = texts.select(F.explode("frequent").alias("word", "count")).groupBy("word").agg(F.sum("count").alias("count"))
+    found = sorted((r["word"] % (1 << 64), r["count"]) for r in rows.where(F.col("count") * limit > total).collect())
+    return Frequent(np.array([w for w, _ in found], np.uint64),
+                    np.array([-(-2 * n * buckets // total) for _, n in found], np.uint64), buckets)
 
 
 # buckets
 
-class Bucket:
-    """All entries (word, context) of the words of a bucket: sorted by word, then context."""
+class Dishes:
+    """Restaurants of one previous word, and the one without context: customers of pairs of a word and a context,
+    and those that are sent to the root directly."""
 
     def __init__(self, received: list[tuple]):
-        parts = [(np.cumsum(unplanes(w, np.uint64)), unplanes(k, np.uint32), unplanes(c, np.uint16), unplanes(n, np.uint32))
+        parts = [(np.cumsum(unplanes(w, np.uint64)), unplanes(k, np.uint16), unplanes(c, np.uint16), unplanes(n, np.uint32))
                  for w, k, c, n in received]
-        if len(parts) == 1:  # merged before
-            self.words, per_word, contexts, count = parts[0]
-            self.count = count.astype(np.int64)
-            self._set(np.repeat(np.arange(len(self.words)), per_word), contexts.astype(np.int64))
-            return
         self.words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         words_of = np.split(word, np.cumsum([len(p[0]) for p in parts])[:-1])
-        own = np.concatenate([np.repeat(w, p[1]) * LEAVES + p[2] for w, p in zip(words_of, parts)])
-        distinct, which = np.unique(own, return_inverse=True)
-        self.count = np.bincount(which, np.concatenate([p[3] for p in parts]), len(distinct)).astype(np.int64)
-        self._set(distinct // LEAVES, distinct % LEAVES)
+        keys = np.concatenate([np.repeat(w, p[1]) * CLASSES + p[2] for w, p in zip(words_of, parts)])
+        distinct, which = np.unique(keys, return_inverse=True)
+        count = np.bincount(which, np.concatenate([p[3] for p in parts]), len(distinct)).astype(np.int64)
+        direct = distinct % CLASSES == 0
+        self.sent = np.bincount(distinct[direct] // CLASSES, count[direct], len(self.words)).astype(np.int64)
+        self.pair_word, self.pair_class, self.pair_count = distinct[~direct] // CLASSES, distinct[~direct] % CLASSES, count[~direct]
+        #: For each message its words, and its pairs with a context.
+        place = np.cumsum(~direct) - 1
+        self.asked = [(w, place[k][~direct[k]]) for w, k in zip(words_of, np.split(which, np.cumsum([len(p[2]) for p in parts])[:-1]))]
+
+    def first_upper(self) -> None:
+        self.pair_tables = (self.pair_count > 0).astype(np.int64)
+        self._to_root()
+        self.word_tables = (self.root_count > 0).astype(np.int64)
+
+    def _to_root(self) -> None:
+        self.root_count = self.sent + np.bincount(self.pair_word, self.pair_tables, len(self.words)).astype(np.int64)
+
+    def root(self, model: "Totals") -> np.ndarray:
+        return model.predict(0, 0, self.root_count, self.word_tables, model.uniform)
+
+    def sweep_upper(self, model: "Totals", rng: np.random.Generator, root: np.ndarray) -> None:
+        self.pair_tables = model.seat(1, self.pair_class, self.pair_count, root[self.pair_word], rng)
+        self._to_root()
+        self.word_tables = model.seat(0, 0, self.root_count, np.full(len(self.words), model.uniform), rng)
+
+    def totals(self) -> Iterator[tuple[int, int, float, float]]:
+        """``(level, context, customers, tables)``."""
+        yield from _sums(1, self.pair_class, self.pair_count, self.pair_tables)
+        yield from _sums(0, np.zeros(len(self.words), np.int64), self.root_count, self.word_tables)
+
+    def counts_of_counts(self) -> Iterator[tuple[int, int, float, float]]:
+        """Under levels 10 to 12: entries seen once and twice."""
+        yield from (_seen(11, self.pair_count), _seen(10, self.root_count))
+
 
-    def keys(self) -> tuple[bytes, bytes, bytes]:
-        """Words, entries of each word, contexts."""
-        per_word = np.bincount(self.word, minlength=len(self.words)).astype(np.uint32)
-        return (planes(np.diff(self.words, prepend=np.uint64(0))), planes(per_word), planes(self.leaf.astype(np.uint16)))
+def _sums(level: int, context: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> Iterator[tuple]:
+    c, t = np.bincount(context, customers), np.bincount(context, tables)
+    for k in np.flatnonzero(c).tolist():
+        yield level, k, float(c[k]), float(t[k])
+
+
+def _seen(level: int, customers: np.ndarray) -> tuple[int, int, float, float]:
+    return level, 0, float((customers == 1).sum()), float((customers == 2).sum())
+
+
+class Bucket(Dishes):
+    """All entries (word, context) of the contexts of a bucket: sorted by context, then word."""
+
+    def __init__(self, received: list[tuple], frequent: Frequent):
+        parts = [(*unpack_entries(*p[:5]), unplanes(p[5], np.uint32)) for p in received]
+        if len(parts) == 1:  # merged before
+            self.words, contexts, context, word, count = parts[0]
+        else:
+            self.words, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            words_of = np.split(number, np.cumsum([len(p[0]) for p in parts])[:-1])
+            contexts, number = np.unique(np.concatenate([w[p[1] // CLASSES] * CLASSES + w[p[1] % CLASSES]
+                                                         for w, p in zip(words_of, parts)]), return_inverse=True)
+            contexts_of = np.split(number, np.cumsum([len(p[1]) for p in parts])[:-1])
+            n = len(self.words)
+            distinct, which = np.unique(np.concatenate([c[p[2]] * n + w[p[3]] for w, c, p in zip(words_of, contexts_of, parts)]),
+                                        return_inverse=True)
+            count = np.bincount(which, np.concatenate([p[4] for p in parts]), len(distinct))
+            context, word = distinct // n, distinct % n
+        self.count = count.astype(np.int64)
+        self._contexts(word, contexts, context)
+        # what is asked of the words' buckets: the word with the frequent word before it, or with none
+        self.frequent = frequent.number(self.words)
+        above = self.frequent[self.pair_class]
+        self.far = above > 0
+        keys, self.key = np.unique(self.pair_word * CLASSES + above, return_inverse=True)
+        self.key_word, self.key_above = keys // CLASSES, keys % CLASSES
 
     def store(self) -> bytes:
-        return dump(*self.keys(), planes(self.count.astype(np.uint32)))
+        two, one = self.contexts // CLASSES, self.contexts % CLASSES
+        return dump(*pack_entries(self.words, two[self.leaf], one[self.leaf], self.word), planes(self.count.astype(np.uint32)))
 
     def _set(self, word: np.ndarray, leaf: np.ndarray) -> None:
-        self.word, self.leaf = word, leaf
-        # pairs of a word and the class before it
-        pair = word * CLASSES + leaf % CLASSES
-        distinct, self.pair = np.unique(pair, return_inverse=True)
+        self._contexts(word, *np.unique(leaf, return_inverse=True))
+
+    def _contexts(self, word: np.ndarray, contexts: np.ndarray, context: np.ndarray) -> None:
+        self.word, self.contexts, self.leaf = word, contexts, context
+        # pairs of a word and the word before it
+        distinct, self.pair = np.unique(word * CLASSES + (contexts % CLASSES)[context], return_inverse=True)
         self.pair_word, self.pair_class = distinct // CLASSES, distinct % CLASSES
-        self.word_count = np.bincount(word, self.count, len(self.words)).astype(np.int64)
+        self.sent = np.zeros(len(self.words), np.int64)
 
     def first_seating(self) -> None:
         """One table for each word in each restaurant."""
         self.tables = (self.count > 0).astype(np.int64)
         self._send_up()
-        self.pair_tables = (self.pair_count > 0).astype(np.int64)
-        self._send_up()
-        self.word_tables = (self.root_count > 0).astype(np.int64)
+        self.first_upper()
 
     def _send_up(self) -> None:
         """Tables are customers of the parent."""
         self.pair_count = np.bincount(self.pair, self.tables, len(self.pair_word)).astype(np.int64)
-        if hasattr(self, "pair_tables"):
-            self.root_count = np.bincount(self.pair_word, self.pair_tables, len(self.words)).astype(np.int64)
 
     def totals(self) -> Iterator[tuple[int, int, float, float]]:
-        """``(level, context, customers, tables)`` of the bucket's words."""
-        for level, context, customers, tables, size in (
-                (2, self.leaf, self.count, self.tables, LEAVES),
-                (1, self.pair_class, self.pair_count, self.pair_tables, CLASSES),
-                (0, np.zeros(len(self.words), np.int64), self.root_count, self.word_tables, 1)):
-            c, t = np.bincount(context, customers, size), np.bincount(context, tables, size)
-            for k in np.flatnonzero(c).tolist():
-                yield level, k, float(c[k]), float(t[k])
+        yield from _sums(2, self.leaf, self.count, self.tables)
+        yield from super().totals()
 
     def counts_of_counts(self) -> Iterator[tuple[int, int, float, float]]:
-        """Under levels 10 to 12: entries seen once and twice; under 20: tokens and distinct words."""
-        for level, customers in ((12, self.count), (11, self.pair_count), (10, self.root_count)):
-            yield level, 0, float((customers == 1).sum()), float((customers == 2).sum())
-        yield 20, 0, float(self.word_count.sum()), float((self.word_count > 0).sum())
-
-    def probabilities(self, model: "Totals") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Predictive probabilities of all words, pairs and entries under the present seating."""
-        root = model.predict(0, 0, self.root_count, self.word_tables, model.uniform)
-        pair = model.predict(1, self.pair_class, self.pair_count, self.pair_tables, root[self.pair_word])
+        """Under level 20: tokens and distinct words."""
+        yield _seen(12, self.count)
+        yield from super().counts_of_counts()
+        learned = np.bincount(self.word, self.count)
+        yield 20, 0, float(self.count.sum()), float((learned > 0).sum())
+
+    def followed(self) -> np.ndarray:
+        """Training tokens after each word: as often as the word itself occurs, as the end token follows the last; the
+        start is followed as often as the end token occurs."""
+        return np.bincount((self.contexts % CLASSES)[self.leaf], self.count, len(self.words)).astype(np.int64)
+
+    def probabilities(self, model: "Totals", above: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Predictive probabilities of all words, pairs and entries under the present seating; ``above`` has what the
+        words' buckets know: the parent's probability of each pair, its own after a frequent word."""
+        root = self.root(model) if above is None else None
+        parent = root[self.pair_word] if above is None else above
+        pair = model.predict(1, self.pair_class, self.pair_count, self.pair_tables, parent)
+        if above is not None:
+            pair = np.where(self.far, above, pair)
         return root, pair, model.predict(2, self.leaf, self.count, self.tables, pair[self.pair])
 
-    def sweep(self, model: "Totals", rng: np.random.Generator) -> None:
-        root, pair, _ = self.probabilities(model)
+    def sweep(self, model: "Totals", rng: np.random.Generator, above: np.ndarray | None = None) -> None:
+        root, pair, _ = self.probabilities(model, above)
         self.tables = model.seat(2, self.leaf, self.count, pair[self.pair], rng)
         self._send_up()
-        self.pair_tables = model.seat(1, self.pair_class, self.pair_count, root[self.pair_word], rng)
-        self._send_up()
-        self.word_tables = model.seat(0, 0, self.root_count, np.full(len(self.words), model.uniform), rng)
+        if above is None:
+            self.sweep_upper(model, rng, root)
+        else:
+            self.pair_tables = model.seat(1, self.pair_class, self.pair_count, above, rng)
+
+    def own_model(self, model: "Totals") -> "Totals":
+        """``model`` with the totals of the bucket's own restaurants."""
+        made = model.with_seating([])
+        for level, context, customers, tables in ((2, self.leaf, self.count, self.tables),
+                                                  (1, self.pair_class, self.pair_count, self.pair_tables)):
+            made.customers[level] = np.bincount(context, customers, len(self.contexts if level == 2 else self.words))
+            made.tables[level] = np.bincount(context, tables, len(made.customers[level]))
+        return made
+
+    def ask(self, number: int, buckets: int) -> Iterator[tuple]:
+        """Customers for the words' buckets: tables of pairs, and after a frequent word the pair's customers."""
+        value = np.bincount(self.key, np.where(self.far, self.pair_count, self.pair_tables), len(self.key_word)).astype(np.uint32)
+        words, at, sizes = np.unique(self.key_word, return_index=True, return_counts=True)
+        hashes, at = self.words[words], np.r_[at, len(value)]
+        bucket = bucket_of(hashes, buckets)
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            part = slice(at[a], at[b])
+            yield int(bucket[a]), number, dump(planes(np.diff(hashes[a:b], prepend=np.uint64(0))), planes(sizes[a:b].astype(np.uint16)),
+                                               planes(self.key_above[part].astype(np.uint16)), planes(value[part]))
+
+    def answered(self, model: "Totals", replies: list[tuple]) -> np.ndarray:
+        """The parent's probability of each pair from the replies of the words' buckets, in their order."""
+        customers, tables, far_customers, far_tables = (np.concatenate([unplanes(r[k], np.float32) for r in replies]).astype(float)
+                                                        for k in range(4))
+        words, word = np.unique(self.key_word, return_inverse=True)
+        found = model.predict(0, 0, customers, tables, model.uniform)[word]
+        far = self.key_above > 0
+        found[far] = model.predict(1, self.key_above[far], far_customers, far_tables, found[far])
+        return found[self.key]
 
 
 class Totals:
     """Customers and tables of every restaurant, and the discounts: what a bucket must know of the others."""
 
     def __init__(self, rows: Iterable[tuple[int, int, float, float]]):
-        sizes = {0: 1, 1: CLASSES, 2: LEAVES}
+        rows = list(rows)
+        sizes = {level: 1 + max((r[1] for r in rows if r[0] == level), default=0) for level in range(3)}
+        sizes[1] = max(sizes[1], FREQUENT + 1)
         self.customers = {level: np.zeros(n) for level, n in sizes.items()}
         self.tables = {level: np.zeros(n) for level, n in sizes.items()}
+        self.frequent = np.zeros(FREQUENT + 1, np.int64)
         self.discount = {0: 0.5, 1: 0.5, 2: 0.5}
         self.tokens = self.words = 0
         for level, context, customers, tables in rows:
@@ -271,6 +440,8 @@ class Totals:
                 self.customers[level][context], self.tables[level][context] = customers, tables
             elif level == 20:
                 self.tokens, self.words = int(customers), int(tables)
+            elif level == 30:
+                self.frequent[context] = int(customers)
             elif customers:
                 self.discount[level - 10] = min(0.95, max(0.05, customers / (customers + 2 * tables)))
         self.uniform = 1 / (self.words + 1)
@@ -278,6 +449,7 @@ class Totals:
     def with_seating(self, rows: Iterable[tuple[int, int, float, float]]) -> "Totals":
         made = Totals(rows)
         made.discount, made.tokens, made.words, made.uniform = self.discount, self.tokens, self.words, self.uniform
+        made.frequent = self.frequent
         return made
 
     def predict(self, level: int, context, customers, tables, parent):
@@ -302,22 +474,23 @@ class Totals:
         return tables
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """The messages of a group as one of the same form."""
-    bucket = Bucket([load(m) for m in table["message"].to_pylist()])
-    return messages(MESSAGE, [table["bucket"][0].as_py()], [0], [bucket.store()])
+def _merge(frequent: Frequent):
+    def merge(table: pa.Table) -> pa.Table:
+        """The messages of a group as one of the same form."""
+        bucket = Bucket([load(m) for m in table["message"].to_pylist()], frequent)
+        return messages(MESSAGE, [table["bucket"][0].as_py()], [-1], [bucket.store()])
+    return merge
 
 
 def _totals(seat):
-    """Totals over the buckets of a task, by what ``seat`` does to each."""
+    """Totals over the buckets of a task, by what ``seat`` finds in each message."""
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], list[float]] = {}
-        for batch in batches:
-            for number, message in zip(batch["bucket"].to_pylist(), batch["message"].to_pylist()):
-                for level, context, customers, tables in seat(number, Bucket([load(message)])):
-                    total = sums.setdefault((level, context), [0.0, 0.0])
-                    total[0] += customers
-                    total[1] += tables
+        for batch in slices(batches, 1):
+            for level, context, customers, tables in seat(load(batch["message"][0].as_py())):
+                total = sums.setdefault((level, context), [0.0, 0.0])
+                total[0] += customers
+                total[1] += tables
         rows = [(*key, *value) for key, value in sums.items()]
         types = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types)],
@@ -325,75 +498,121 @@ def _totals(seat):
     return add
 
 
-def _first(_, bucket: Bucket):
-    bucket.first_seating()
-    yield from bucket.totals()
-    yield from bucket.counts_of_counts()
-
-
-def _settle(model: Totals, turn: int):
-    def seat(number: int, bucket: Bucket):
-        rng = np.random.default_rng([turn, number])
+def _first_counts(frequent: Frequent):
+    """What only the contexts' buckets know: counts of counts, tokens, words and how often each frequent word occurs."""
+    def count(message: tuple):
+        bucket = Bucket([message], frequent)
         bucket.first_seating()
-        for _ in range(SWEEPS):
-            bucket.sweep(model, rng)
-        yield from bucket.totals()
-    return seat
-
-
-def _collect_totals(state: DataFrame, seat) -> list[tuple]:
-    """At most 277 rows, whatever the corpus."""
-    rows = state.mapInArrow(mapped(_totals(seat)), TOTALS_SQL).groupBy("level", "context").agg(
+        followed, own = bucket.followed(), bucket.frequent
+        yield _seen(12, bucket.count)
+        yield _seen(11, bucket.pair_count[~bucket.far])
+        yield 20, 0, float(bucket.count.sum()), float(((followed > 0) & (own == 0)).sum())
+        for word in np.flatnonzero(own).tolist():
+            yield 30, int(own[word]), float(followed[word]), 0.0
+    return count
+
+
+def _collect_totals(rows: DataFrame, seat) -> list[tuple]:
+    """At most :data:`FREQUENT` rows and some, whatever the corpus."""
+    rows = rows.mapInArrow(mapped(_totals(seat)), TOTALS_SQL).groupBy("level", "context").agg(
         F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
     return [tuple(r) for r in rows.collect()]
 
 
-def _average(model: Totals):
-    def average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each bucket its entries with their averaged probabilities, and the training counts of its words."""
+def _ask_first(frequent: Frequent):
+    def ask(batches):
         for batch in slices(batches, 1):
-            number = batch["bucket"][0].as_py()
-            bucket = Bucket([load(batch["message"][0].as_py())])
-            rng = np.random.default_rng([PASSES, number])
+            bucket = Bucket([load(batch["message"][0].as_py())], frequent)
             bucket.first_seating()
-            mean = np.zeros(len(bucket.count))
-            for turn in range(BURN_IN + SAMPLES):
-                bucket.sweep(model, rng)
-                if turn >= BURN_IN:
-                    mean += bucket.probabilities(model)[2] / SAMPLES
-            yield _batch([(number, 0, dump(*bucket.keys(), planes(mean.astype(np.float32)), planes(bucket.word_count)))])
-    return average
-
-
-def _answer(sent: pa.Table, known: pa.Table) -> pa.Table:
-    """For each entry of each chunk its probability, for each word its training count."""
-    words, per_word, contexts, mean, count = load(known["message"][0].as_py())
-    words = np.cumsum(unplanes(words, np.uint64))
-    entries = np.repeat(np.arange(len(words)), unplanes(per_word, np.uint32)) * LEAVES + unplanes(contexts, np.uint16)
-    mean, count = unplanes(mean, np.float32), unplanes(count, np.int64)
-    out = []
-    for chunk, message in zip(sent["chunk"].to_pylist(), sent["message"].to_pylist()):
-        own, per_word, contexts, _ = load(message)
-        word = np.searchsorted(words, np.cumsum(unplanes(own, np.uint64)))
-        entry = np.repeat(word, unplanes(per_word, np.uint32)) * LEAVES + unplanes(contexts, np.uint16)
-        out.append((sent["bucket"][0].as_py(), chunk, dump(planes(mean[np.searchsorted(entries, entry)]), planes(count[word]))))
-    return messages(MESSAGE, *zip(*out))
-
-
-def _score(model: Totals):
+            yield _batch(bucket.ask(batch["bucket"][0].as_py(), frequent.buckets))
+    return ask
+
+
+def _replies(table: pa.Table) -> list[tuple]:
+    return [load(m) for _, m in sorted(zip(table["chunk"].to_pylist(), table["message"].to_pylist()))]
+
+
+def _ask(model: Totals, frequent: Frequent, turn: int):
+    """A pass over the restaurants of a bucket, from the leaves up."""
+    def ask(state: pa.Table, replies: pa.Table) -> pa.Table:
+        number, bucket = state["bucket"][0].as_py(), Bucket([load(state["message"][0].as_py())], frequent)
+        rng, above = np.random.default_rng([turn, number]), bucket.answered(model, _replies(replies))
+        bucket.first_seating()
+        for _ in range(SWEEPS):
+            bucket.sweep(bucket.own_model(model), rng, above)
+        return messages(MESSAGE, *zip(*bucket.ask(number, frequent.buckets)))
+    return ask
+
+
+def _reply(model: Totals | None, turn: int):
+    """Customers and tables of the words of a bucket for all that asked, averaged over samples; and, for no one, totals.
+    Without a model, one table for each word in each restaurant."""
+    def reply(table: pa.Table) -> pa.Table:
+        number = table["bucket"][0].as_py()
+        asked = sorted(zip(table["chunk"].to_pylist(), table["message"].to_pylist()))
+        dishes = Dishes([load(m) for _, m in asked])
+        dishes.first_upper()
+        samples = [[dishes.root_count, dishes.word_tables, dishes.pair_tables]]
+        if model is not None:
+            rng = np.random.default_rng([turn, number, 1])
+            for _ in range(BURN_IN + SAMPLES):
+                dishes.sweep_upper(model, rng, dishes.root(model))
+                samples.append([dishes.root_count, dishes.word_tables, dishes.pair_tables])
+            samples = samples[-SAMPLES:]
+        dishes.root_count, dishes.word_tables, dishes.pair_tables = (
+            (sum(s[k] for s in samples) / len(samples)).astype(np.float32) for k in range(3))
+        rows = [(chunk, number, dump(planes(dishes.root_count[w]), planes(dishes.word_tables[w]),
+                                     planes(dishes.pair_count[k].astype(np.float32)), planes(dishes.pair_tables[k])))
+                for (chunk, _), (w, k) in zip(asked, dishes.asked)]
+        totals = list(dishes.totals()) + (list(dishes.counts_of_counts()) if model is None else [])
+        return messages(MESSAGE, *zip(*rows, (-1, number, dump(totals))))
+    return reply
+
+
+def _answer(model: Totals, frequent: Frequent):
+    """For each entry of each chunk its averaged probability, for each previous word how often it occurs."""
+    def answer(known: pa.Table, sent: pa.Table) -> pa.Table:
+        state = known.filter(pc.equal(known["chunk"], -1))
+        number, bucket = state["bucket"][0].as_py(), Bucket([load(state["message"][0].as_py())], frequent)
+        above = bucket.answered(model, _replies(known.filter(pc.greater_equal(known["chunk"], 0))))
+        rng = np.random.default_rng([PASSES, number])
+        bucket.first_seating()
+        mean = np.zeros(len(bucket.count))
+        for turn in range(BURN_IN + SAMPLES):
+            bucket.sweep(bucket.own_model(model), rng, above)
+            if turn >= BURN_IN:
+                mean += bucket.probabilities(bucket.own_model(model), above)[2] / SAMPLES
+        mean, followed, n = mean.astype(np.float32), bucket.followed(), len(bucket.words)
+        entries, out = bucket.leaf * n + bucket.word, []
+        for chunk, message in zip(sent["chunk"].to_pylist(), sent["message"].to_pylist()):
+            words, contexts, context, word = unpack_entries(*load(message)[:5])
+            place = np.searchsorted(bucket.words, words)
+            leaf = np.searchsorted(bucket.contexts, place[contexts // CLASSES] * CLASSES + place[contexts % CLASSES])
+            ones = np.unique(contexts % CLASSES)
+            out.append((number, chunk, dump(planes(mean[np.searchsorted(entries, leaf[context] * n + place[word])]),
+                                            planes(np.diff(words[ones], prepend=np.uint64(0))), planes(followed[place[ones]]))))
+        return messages(MESSAGE, *zip(*out))
+    return answer
+
+
+def _score(model: Totals, frequent: Frequent):
     def score(documents: pa.Table, answers: pa.Table) -> pa.Table:
-        docs, held, sizes, sequence, classes = load(documents["message"][0].as_py())
-        sequence = unplanes(sequence, np.uint32)
+        docs, held, tokens = _read_tokens(documents["message"][0].as_py())
         parts = [load(m) for _, m in sorted(zip(answers["bucket"].to_pylist(), answers["message"].to_pylist()))]
-        probability = np.concatenate([unplanes(p, np.float32) for p, _ in parts]).astype(np.float64)
-        count = np.concatenate([unplanes(c, np.int64) for _, c in parts])
-        _, which = np.unique(entries_of(sequence, sizes, classes), return_inverse=True)
-        first = np.cumsum(sizes) - sizes
-        own = count[sequence]
+        _, _, _, _, order, which = _parts(tokens, frequent)
+        probability = np.empty(len(order))
+        probability[order] = np.concatenate([unplanes(p[0], np.float32) for p in parts])
+        count = np.zeros(len(tokens.words), np.int64)
+        for _, words, n in parts:
+            count[np.searchsorted(tokens.words, np.cumsum(unplanes(words, np.uint64)))] = unplanes(n, np.int64)
+        often = frequent.number(tokens.words)
+        count = np.where(often > 0, model.frequent[often], count)
+        count[np.searchsorted(tokens.words, END)] = count[np.searchsorted(tokens.words, START)]
+        first, own = np.cumsum(tokens.sizes) - tokens.sizes, count[tokens.sequence]
         base = np.log10((own + 1) / (model.tokens + model.words + 1))
         known = np.add.reduceat((own > 0).astype(np.int64), first)
         base, full = np.add.reduceat(base, first), np.add.reduceat(np.log10(probability)[which], first)
-        return messages(RESULT, docs, held, sizes.tolist(), known.tolist(), [model.tokens] * len(docs), base.tolist(),
+        return messages(RESULT, docs, held, tokens.sizes.tolist(), known.tolist(), [model.tokens] * len(docs), base.tolist(),
                         full.tolist())
     return score
 
@@ -404,17 +623,39 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"),
                             F.col(text).alias("text"))
     buckets, size = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
+    limit = min(FREQUENT, 2 * buckets)
+    texts = stage_table(rows.mapInArrow(mapped(_send_tokens(limit)), TOKENS_SQL), "tokens")
+    frequent = frequent_words(texts, buckets, limit)
     groups = -(-size // (CHUNK_BYTES * GROUP)) or 1
     group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int")
-    counts = rows.mapInArrow(mapped(_send_counts(buckets)), MESSAGE_SQL).withColumn("part", group)
-    merged = counts.groupBy("bucket", "part").applyInArrow(grouped(_merge), MESSAGE_SQL)
-    state = stage_table(merged.groupBy("bucket").applyInArrow(grouped(_merge), MESSAGE_SQL), "restaurants")
-    model = Totals(_collect_totals(state, _first))
-    for turn in range(PASSES):
-        model = model.with_seating(_collect_totals(state, _settle(model, turn)))
-    averages = state.mapInArrow(mapped(_average(model)), MESSAGE_SQL).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    answers = counts.groupBy("bucket", "part").cogroup(averages.groupBy("bucket", "part")).applyInArrow(
-        cogrouped(_answer), MESSAGE_SQL)
-    sequences = rows.mapInArrow(mapped(_send_sequences), MESSAGE_SQL)
-    return sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_score(model)), RESULT_SQL)
+    counts = texts.select("chunk", "message").mapInArrow(mapped(_send_counts(frequent)), MESSAGE_SQL)
+    merged = counts.groupBy("bucket", group.alias("part")).applyInArrow(grouped(_merge(frequent)), MESSAGE_SQL)
+    if groups > 1:
+        merged = merged.groupBy("bucket").applyInArrow(grouped(_merge(frequent)), MESSAGE_SQL)
+    state = stage_table(merged, "restaurants")
+    seen, model, asked = _collect_totals(state, _first_counts(frequent)), None, state.mapInArrow(
+        mapped(_ask_first(frequent)), MESSAGE_SQL)
+    for turn in range(PASSES + 1):
+        replies = stage_table(asked.groupBy("bucket").applyInArrow(grouped(_reply(model, turn)), MESSAGE_SQL), "replies")
+        totals = _collect_totals(replies.where("bucket = -1"), lambda message: message[0])
+        model = model.with_seating(totals) if model else Totals(_added(seen, totals))
+        replies = replies.where("bucket >= 0")
+        if turn < PASSES:
+            asked = state.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(
+                cogrouped(_ask(model, frequent, turn)), MESSAGE_SQL)
+    answers = state.union(replies).groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(
+        cogrouped(_answer(model, frequent)), MESSAGE_SQL)
+    return texts.select("chunk", "message").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        cogrouped(_score(model, frequent)), RESULT_SQL)
+
+
+def _added(rows: list[tuple], more: list[tuple]) -> list[tuple]:
+    """Sums of both; of words, each frequent one that is learned counts once."""
+    sums: dict[tuple[int, int], tuple[float, float]] = {}
+    for level, context, customers, tables in [*rows, *more]:
+        c, t = sums.get((level, context), (0.0, 0.0))
+        sums[level, context] = c + customers, t + tables
+    if (20, 0) in sums:
+        learned = sum(c > 0 for (level, _), (c, _) in sums.items() if level == 30)
+        sums[20, 0] = sums[20, 0][0], sums[20, 0][1] + learned
+    return [(*key, *value) for key, value in sums.items()]

@@ -90,3 +90,20 @@ def test_degenerate_tables(docs):
     lone = [d for d in range(60) if zlib.crc32(str(d).encode()) % 7 == 2][0]
     found = score_documents(docs([(lone, "a b")])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in found] == [(3, 0, 0, 0, 0)]
+
+
+def test_words_are_contexts(docs, monkeypatch):
+    """Each of 200 words has a successor of its own, also where entries after frequent words are salted."""
+    rng = random.Random(5)
+    data = [(i, " ".join(f"the first{k} second{k}" for k in (rng.randrange(200) for _ in range(30)))) for i in range(200)]
+    found = {}
+    for frequent in (pitman_yor.FREQUENT, 0):
+        monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 4000)
+        monkeypatch.setattr(pitman_yor, "frequent_words", lambda texts, buckets, limit, n=frequent, f=pitman_yor.frequent_words: (
+            f(texts, buckets, limit) if n else pitman_yor.Frequent(np.zeros(0, np.uint64), np.zeros(0, np.uint64), buckets)))
+        held = [r for r in score_documents(docs(data)).collect() if r["held_out"]]
+        found[frequent] = sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)
+        monkeypatch.undo()
+    salted, plain = found.values()
+    assert salted > -1.0  # of three words one is a choice of 200; 15 classes of contexts would add a choice of 13: -1.14
+    assert salted == pytest.approx(plain, rel=0.05)  # totals of frequent words settle a pass later
