@@ -54,6 +54,27 @@ def test_symbol_junk_goes_and_prose_stays(docs):
         [*(i for i, k in verdict.items() if k), None], key=str)
 
 
+def letters(rng):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8)))
+
+
+def prose_of(rng, words):
+    """A fifth of the words are common ones, evenly spread, as in the given documents."""
+    common = "the of and to in a is that it for on was be with as by".split()
+    return " ".join(rng.choice(common) if i % 5 == 0 else letters(rng) for i in range(words))
+
+
+def test_word_strings_go_and_prose_stays(docs):
+    rng = random.Random(14)
+    prose = [(i, prose_of(rng, rng.randint(130, 600))) for i in range(100)]
+    strings = [(200 + i, " | ".join(letters(rng) + letters(rng) for _ in range(rng.randint(60, 300)))) for i in range(20)]
+    strings += [(300 + i, " ".join(letters(rng) for _ in range(rng.randint(100, 600)))) for i in range(20)]
+    found = {r["doc_id"]: r for r in judge_quality(docs(prose + [(*r, None) for r in strings])).collect()}
+    assert all(found[i]["kept"] for i, _ in prose)
+    assert not any(found[i]["kept"] or found[i]["base_failed"] for i, _ in strings)
+    assert all(found[i]["class_distance"] < 0.28 for i, _ in strings)  # so the words decide
+
+
 def test_no_references(docs):
     assert judge_quality(docs([(1, "x")]).where("doc_id > 1")).collect() == []
     rows = judge_quality(docs([(1, "word " * 9 + "a b c d e f g h", None), (2, " ".join(map(str, range(400))), "xx")])).collect()
