@@ -36,10 +36,10 @@ CLASSES = {"lower": r"[^a-z]+", "upper": r"[^A-Z]+", "digit": r"[^0-9]+", "space
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: Below so many characters or words a histogram is not compared.
-GUARD_CHARS, GUARD_WORDS = 200, 100
+GUARD_CHARS, GUARD_WORDS = 250, 100
 #: Largest Jensen-Shannon distance (0 to 1) from the nearest reference. A text without common words lies 0.32 to 0.33
 #: from references with a fifth of common words, so the word distance must stay below that.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.27
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.34, 0.27
 
 
 def _let(value: Column, use) -> Column:

@@ -75,6 +75,21 @@ def test_word_strings_go_and_prose_stays(docs):
     assert all(found[i]["class_distance"] < 0.28 for i, _ in strings)  # so the words decide
 
 
+def test_short_prose_with_personal_data_stays(docs):
+    rng = random.Random(15)
+    prose = [(i, prose_of(rng, 200)) for i in range(60)]
+    short, junk = [], []
+    for i, size in enumerate(range(200, 501, 10)):
+        data = (f" {rng.randrange(10**15, 10**16)} +1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)} "
+                f"ab.{rng.randrange(10, 99)}@mail7.example.com 144.137.{rng.randrange(100, 255)}.239 ")
+        text = prose_of(rng, 200)
+        short.append((100 + i, text[:size - len(data) - 20] + data + text[-20:]))
+        junk.append((200 + i, " ".join(w + rng.choice(["###", "***", "%%%"]) for w in text.split())[:size + 60]))
+    kept = {r["doc_id"]: r["kept"] for r in judge_quality(docs(prose + [(*r, None) for r in short + junk])).collect()}
+    assert all(kept[i] for i, _ in short)
+    assert not any(kept[i] for i, text in junk)
+
+
 def test_no_references(docs):
     assert judge_quality(docs([(1, "x")]).where("doc_id > 1")).collect() == []
     rows = judge_quality(docs([(1, "word " * 9 + "a b c d e f g h", None), (2, " ".join(map(str, range(400))), "xx")])).collect()
