@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewsent.llm import langid, minhash, oracle, packing, pieces, pii, pitman_yor, projections, quality, suffix_dedup, urls
+from reviewsent.llm import (divergence, fill_middle, langid, minhash, oracle, packing, pieces, pii, pitman_yor, projections,
+                            quality, suffix_dedup, token_files, urls)
+from reviewsent.sources.shared import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +58,27 @@ def op10_pitman_yor(spark, folder):
     return pitman_yor.score_documents(table(spark, folder, "documents"))
 
 
+def op11_source_divergence(spark, folder):
+    return divergence.audit_sources(table(spark, folder, "documents"))
+
+
+def op12_token_files(spark, folder):
+    path = new_path(spark, "token_ids")
+    token_files.write_ids(table(spark, folder, "documents"), path)
+    return token_files.read_ids(spark, path, with_ids=False).drop("ids")
+
+
+def op13_fill_in_middle(spark, folder):
+    found = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    digest = lambda text: F.sha2(F.encode(text, "utf-8"), 256)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                        digest(back).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_quality_rules, op4_language_id, op5_pii_semi_crf, op6_url_filter,
-    op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup, op10_pitman_yor)}
-ORACLE: dict[str, str] = {"op3_quality_rules": oracle.quality_sql()}
+    op7_sentencepiece, op8_collision_projections, op9_minhash_near_dedup, op10_pitman_yor, op11_source_divergence,
+    op12_token_files, op13_fill_in_middle)}
+ORACLE: dict[str, str] = {"op3_quality_rules": oracle.quality_sql(), "op11_source_divergence": oracle.divergence_sql(),
+                          "op13_fill_in_middle": oracle.fill_middle_sql()}
