@@ -13,11 +13,12 @@ bytes from there, shift, mask. The byte after each section is the line separator
 which writes the sections as rows and commits whole files; ``binaryFile`` reads them. That way the files can be in any
 store that Spark reaches, and a task that is lost or run twice leaves nothing behind.
 
-Texts are encoded by the ``tokenizers`` library. The vocabulary's pre-tokenizer never joins a word to white space
-after it, nor a Latin letter to punctuation after it other than an apostrophe; a text is cut there, each
-distinct part is encoded by the library once per worker (in batches of those not met yet), and the ids are
-joined. The cuts use characters only whose class is the same in every version of Unicode (tested
-against whole texts, and around every code point).
+Texts are encoded by the ``tokenizers`` library, each distinct part once while a task remembers it. The vocabulary's
+pre-tokenizer never joins a visible character to white space after it, nor a Latin letter to punctuation after it
+other than an apostrophe: there texts are cut, first at spaces, then within what is new between them. A
+part of one word goes straight to the library's merge model, all others through the whole library. The cuts use
+characters only whose class is the same in every version of Unicode (tested against whole texts, and
+around every code point).
 
 Defined results for odd input: a null text is empty, and an empty text is the single id 0. Null ``doc_id`` come
 first; rows with one ``doc_id`` stand in the order of the scan. An empty table gives no file and no row;
@@ -34,29 +35,51 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from reviewsent.llm.chunks import count_chunks, mapped, slices
+from reviewsent.llm.chunks import mapped, slices
 from reviewsent.sources.shared import stage_table
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 BLOCK = 1 << 16
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 MAGIC = b"BITIDS01"
 TAIL = "<QQQQII8s"
-#: Parts that a worker remembers, some 200 bytes each.
-REMEMBERED = 1 << 19
+#: Parts that a task remembers, some 200 bytes each, twice: the latest, and those before.
+REMEMBERED = 1 << 17
 
 _space, _latin, _marks = r" \t\n\r\f\v", "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
 #: Words, runs of punctuation, and anything else up to the next place where a cut is safe.
 PARTS = re.compile(rf"[{_space}]*[{_latin}]+(?=[{_space}{_marks}]|\Z)|[{_marks}]+(?=[{_space}]|\Z)"
                    rf"|(?s:.)+?(?<=[!-~{_latin}])(?=[{_space}])|(?s:.)+")
+WORD = re.compile(rf" ?[{_latin}]+")
+#: A space before which a text may not be cut.
+UNSAFE = re.compile(rf"[^!-~{_latin}] ")
 
 DOCUMENT = pa.schema([("shard", pa.int64()), ("place", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()),
                       ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int64()))])
 DOCUMENT_SQL = "shard bigint, place bigint, doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
 
 
+class Remembered(dict):
+    """What ``make`` gives for a key, kept for the latest ``REMEMBERED`` new keys and those before."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
@@ -64,18 +87,27 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.width = max(1, (self.library.get_vocab_size() - 1).bit_length())
-        self.known: dict[str, bytes] = {}
+        whole = ByteLevel(add_prefix_space=False, use_regex=False)  # as the library writes bytes, for one and two bytes
+        self.letters = {byte: letter for c in map(chr, range(0x800))
+                        for byte, letter in zip(c.encode(), whole.pre_tokenize_str(c)[0][0])}
+        self.parts = Remembered(self._part)
+        self.after_space = Remembered(lambda piece: self._join(" " + piece))
+
+    def _part(self, part: str) -> bytes:
+        if WORD.fullmatch(part):
+            ids = [token.id for token in self.library.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.library.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _join(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, PARTS.findall(text)))
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [PARTS.findall(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [part for part in dict.fromkeys(p for found in parts for p in found) if part not in self.known]
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for part, encoding in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                self.known[part] = np.array(encoding.ids, "<u4").tobytes()
-        return (b"".join(map(self.known.__getitem__, found)) for found in parts)
+    def encode(self, text: str) -> bytes:
+        if UNSAFE.search(text):
+            return self._join(text)
+        first, *pieces = text.split(" ")
+        return self._join(first) + b"".join(map(self.after_space.__getitem__, pieces))
 
 
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
@@ -141,10 +173,11 @@ def _write(file: str, block: int):
         def batch_of(rows: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
 
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 64):
             shard = batch["part"][0].as_py()
             doc_ids += batch["doc_id"].to_pylist()
-            for encoded in encoder.encode([t or "" for t in batch["text"].to_pylist()]):
+            for text in batch["text"]:
+                encoded = encoder.encode(text.as_py() or "")
                 waiting += encoded, end
                 sizes.append(len(encoded) // 4 + 1)
                 waits += len(encoded) + 4
@@ -166,14 +199,15 @@ def write_ids(documents: DataFrame, path: str, key: str = "doc_id", text: str =
     """
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
                             F.monotonically_increasing_id().alias("at"))
-    parts, _ = count_chunks(rows, chunk_bytes=shard_bytes)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // shard_bytes))
     ordered = rows.repartitionByRange(parts, "doc_id", "at").sortWithinPartitions("doc_id", "at")
     packed = ordered.select("doc_id", "text", F.spark_partition_id().cast("long").alias("part")).mapInArrow(
         mapped(_write(file, block)), "value binary")
     packed.select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "none").text(path)
 
 
-def _read(with_ids: bool, most: int = 1 << 20):
+def _read(with_ids: bool, most: int = 1 << 18):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             content = batch["content"][0].as_buffer().to_pybytes()
