@@ -15,8 +15,8 @@ store that Spark reaches, and a task that is lost or run twice leaves nothing be
 
 Texts are encoded by the ``tokenizers`` library, each distinct part once while a task remembers it. The vocabulary's
 pre-tokenizer never joins a visible character to white space after it, nor a Latin letter to punctuation after it
-other than an apostrophe: there texts are cut, first at spaces, then within what is new between them. A
-part of one word goes straight to the library's merge model, all others through the whole library. The cuts use
+other than an apostrophe, nor a lone line break to the Latin letter after it: there texts are cut, first at spaces, then
+within what is new between them. A word goes straight to the library's merge model, all other parts through the whole library. The cuts use
 characters only whose class is the same in every version of Unicode (tested against whole texts, and
 around every code point).
 
@@ -33,6 +33,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
@@ -47,15 +48,19 @@ SHARD_BYTES = 32 << 20
 MAGIC = b"BITIDS01"
 TAIL = "<QQQQII8s"
 #: Parts that a task remembers, some 200 bytes each, twice: the latest, and those before.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
+#: Text that is cut and looked up in one go.
+STRETCH_BYTES = 16 << 20
 
 _space, _latin, _marks = r" \t\n\r\f\v", "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
-#: Words, runs of punctuation, and anything else up to the next place where a cut is safe.
-PARTS = re.compile(rf"[{_space}]*[{_latin}]+(?=[{_space}{_marks}]|\Z)|[{_marks}]+(?=[{_space}]|\Z)"
+#: Lone line breaks, words, runs of punctuation, and anything else up to the next place where a cut is safe.
+PARTS = re.compile(rf"\n(?=[{_latin}])|[{_space}]*[{_latin}]+(?=[{_space}{_marks}]|\Z)|[{_marks}]+(?=[{_space}]|\Z)"
                    rf"|(?s:.)+?(?<=[!-~{_latin}])(?=[{_space}])|(?s:.)+")
 WORD = re.compile(rf" ?[{_latin}]+")
+#: What most often stands between two spaces.
+MARKED = re.compile(rf"([{_latin}]+)([{_marks}]*)")
 #: A space before which a text may not be cut.
-UNSAFE = re.compile(rf"[^!-~{_latin}] ")
+UNSAFE = rf"[^!-~{_latin}] "
 
 DOCUMENT = pa.schema([("shard", pa.int64()), ("place", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()),
                       ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int64()))])
@@ -80,8 +85,12 @@ class Remembered(dict):
         return value
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts, each followed by ``END``."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -91,23 +100,48 @@ class Encoder:
         self.letters = {byte: letter for c in map(chr, range(0x800))
                         for byte, letter in zip(c.encode(), whole.pre_tokenize_str(c)[0][0])}
         self.parts = Remembered(self._part)
-        self.after_space = Remembered(lambda piece: self._join(" " + piece))
+        self.after_space = Remembered(self._after_space)
+
+    def _merged(self, word: str) -> bytes:
+        return _packed([token.id for token in self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
 
     def _part(self, part: str) -> bytes:
-        if WORD.fullmatch(part):
-            ids = [token.id for token in self.library.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.library.encode(part, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self._merged(part) if WORD.fullmatch(part) else _packed(self.library.encode(part, add_special_tokens=False).ids)
+
+    def _after_space(self, piece: str) -> bytes:
+        found = MARKED.fullmatch(piece)
+        if not found:
+            return self._join(" " + piece)
+        word, marks = found.groups()
+        return self.after_space[word] + self.parts[marks] if marks else self._merged(" " + word)
 
     def _join(self, text: str) -> bytes:
         return b"".join(map(self.parts.__getitem__, PARTS.findall(text)))
 
-    def encode(self, text: str) -> bytes:
-        if UNSAFE.search(text):
-            return self._join(text)
-        first, *pieces = text.split(" ")
-        return self._join(first) + b"".join(map(self.after_space.__getitem__, pieces))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)``: all ids, and how many each text has with its end. No text is null.
+
+        Texts are cut at spaces by Arrow, and only distinct pieces are looked up. What stands before the first space
+        is a piece of its own kind, and so is a text that may not be cut there.
+        """
+        whole = pc.match_substring_regex(texts, UNSAFE)
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        bounds = cut.offsets.to_numpy()
+        pieces = cut.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = bounds - bounds[0]
+        firsts = pc.if_else(whole, texts, cut.values.take(pa.array(cut.offsets[:-1]))).to_pylist()
+        inner = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        table = [*map(self.after_space.__getitem__, inner), *map(self._join, firsts), struct.pack("<I", END)]
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(table), "<u4")
+        chosen = pieces.indices.to_numpy().astype(np.int64)
+        chosen[bounds[:-1]] = len(inner) + np.arange(len(texts))
+        chosen = np.insert(chosen, bounds[1:], len(table) - 1)
+        lengths = sizes[chosen]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(starts[chosen] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        return ids, np.diff(np.r_[0, ends[bounds[1:] + np.arange(len(texts))]])
 
 
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
@@ -149,45 +183,53 @@ class Shard:
         return (found & np.uint64((1 << self.width) - 1)).astype("<u4")
 
 
+def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, int]]:
+    """``(doc_id, text, part)`` of about ``STRETCH_BYTES`` of text, null texts as empty ones."""
+    waiting, size = [], 0
+    for batch in slices(batches, 64):
+        waiting.append(batch)
+        size += pc.sum(pc.binary_length(batch["text"])).as_py() or 0
+        if size > STRETCH_BYTES:
+            yield _joined(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield _joined(waiting)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array, int]:
+    table = pa.Table.from_batches(batches).combine_chunks()
+    return (table["doc_id"].combine_chunks(), pc.fill_null(table["text"], "").combine_chunks(), table["part"][0].as_py())
+
+
 def _write(file: str, block: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(public_tokenizers.path(file))  # each executor's own copy
-        end = np.array([END], "<u4").tobytes()
         offsets, doc_ids, sizes, shard, offset = [], [], [], 0, 0
-        waiting, waits = [], 0
-
-        def sections(last: bool) -> Iterator[bytes]:
-            nonlocal waiting, waits, offset
-            if waits < 4 * block and not last:
-                return
-            ids = np.frombuffer(b"".join(waiting), "<u4")
-            whole = len(ids) if last else len(ids) // block * block
-            for at in range(0, whole, block):
+        waiting = np.zeros(0, "<u4")
+
+        def sections(ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal offset
+            for at in range(0, len(ids), block):
                 offsets.append(offset)
-                packed = pack_bits(ids[at:min(at + block, whole)], encoder.width)
+                packed = pack_bits(ids[at:at + block], encoder.width)
                 offset += len(packed) + 1
-                yield packed
-            waiting = [ids[whole:].tobytes()]
-            waits = len(waiting[0])
-
-        def batch_of(rows: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
-
-        for batch in slices(batches, 64):
-            shard = batch["part"][0].as_py()
-            doc_ids += batch["doc_id"].to_pylist()
-            for text in batch["text"]:
-                encoded = encoder.encode(text.as_py() or "")
-                waiting += encoded, end
-                sizes.append(len(encoded) // 4 + 1)
-                waits += len(encoded) + 4
-                yield from (batch_of([row]) for row in sections(False))
+                yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["value"])
+
+        for keys, texts, shard in _stretches(batches):
+            ids, counts = encoder.encode(texts)
+            doc_ids.append(keys)
+            sizes.append(counts)
+            ids = np.concatenate([waiting, ids])
+            whole = len(ids) // block * block
+            yield from sections(ids[:whole])
+            waiting = ids[whole:].copy()
         if doc_ids:
-            yield from (batch_of([row]) for row in sections(True))
-            nulls = np.array([d is None for d in doc_ids])
-            index = [np.array(offsets, "<i8"), np.array([d or 0 for d in doc_ids], "<i8"), np.array(sizes, "<i8"), nulls]
-            tail = struct.pack(TAIL, shard, sum(sizes), len(doc_ids), len(offsets), block, encoder.width, MAGIC)
-            yield batch_of([b"".join([*(x.tobytes() for x in index), tail])])
+            yield from sections(waiting)
+            keys, counts = pa.chunked_array(doc_ids).combine_chunks(), np.concatenate(sizes)
+            index = [np.array(offsets, "<i8"), keys.fill_null(0).to_numpy().astype("<i8"), counts.astype("<i8"),
+                     keys.is_null().to_numpy(zero_copy_only=False)]
+            tail = struct.pack(TAIL, shard, counts.sum(), len(counts), len(offsets), block, encoder.width, MAGIC)
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join([*(x.tobytes() for x in index), tail])], pa.binary())], ["value"])
     return write
 
 
