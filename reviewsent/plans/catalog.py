@@ -6,8 +6,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewsent.functions import text
-from reviewsent.operators import (cleaning, evaluation, explore, histograms, model, profile, sampling, tfidf,
-                                  words)
+from reviewsent.operators import (cleaning, evaluation, explore, histograms, model, profile, sampling, similarity,
+                                  tfidf, words)
 from reviewsent.plans import stages
 from reviewsent.schema import CLEANED, REVIEWS
 from reviewsent.sources import files
@@ -230,6 +230,31 @@ def feature_density(spark, folder):
     return tfidf.term_density(documents(spark, folder), tfidf.hashed_tokens())
 
 
+# similar words
+
+def cooccurrence(spark, folder):
+    return similarity.cooccurrence(reviews(spark, folder))
+
+
+def word_information(spark, folder):
+    return rounded(staged_information(staged_reviews(spark, folder))[0], "information")
+
+
+def staged_information(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The information of pairs, and the totals of words it is made with."""
+    totals = stage_table(similarity.neighbour_counts(rows), "neighbour_counts")
+    return similarity.information(stage_table(similarity.cooccurrence(rows), "pairs"), totals), totals
+
+
+def similar_words(spark, folder, asked=20, k=10):
+    """The words used most like the most frequent ones."""
+    found, totals = staged_information(staged_reviews(spark, folder))
+    matrix = stage_table(found, "information")
+    vectors = stage_table(similarity.word_vectors(matrix), "word_vectors")
+    frequent = totals.join(vectors.select("word"), "word").orderBy(F.col("total").desc(), "word").limit(asked)
+    return rounded(similarity.similar_words(vectors, [r["word"] for r in frequent.collect()], k), "cosine")
+
+
 # evaluation, on the predictions of the lexicon
 
 def confusion(spark, folder):
@@ -442,7 +467,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     balanced_reviews, bernoulli_sample, random_split, undersample_bernoulli,
     filtered_tokens, token_stats, top_words_default, top_words_plus6, top_words_compact, role_top_words,
     word_ratio, word_ratio_joined, word_ratio_one_sided, word_ratio_top, bigram_ratio_top,
-    document_frequency, tfidf_long, hashed_tfidf_md5, feature_density,
+    document_frequency, tfidf_long, hashed_tfidf_md5, feature_density, cooccurrence, word_information, similar_words,
     confusion, confusion_crosstab, metrics_positive, metrics_weighted, metrics_table,
     roc_curve, roc_curve_corners, auc_exact, probability_histogram, probability_histogram_common,
     example_table, prediction_preview, explorer, explorer_wrong, overview,

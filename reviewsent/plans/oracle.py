@@ -119,6 +119,16 @@ w AS (SELECT *, ln(((SELECT count(*) FROM docs) + 1)::DOUBLE / (df + 1)::DOUBLE)
 SELECT doc_id, {name}, tf, df, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf FROM w"""
 
 
+# all pairs of places at most two apart, by a join of the places with themselves
+_PAIRS = _rev() + f""", placed AS (
+  SELECT doc_id, w AS word, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place FROM (
+    SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM rev)
+  WHERE NOT list_contains({_list(ENGLISH)}, w)),
+pairs AS (SELECT a.word, b.word AS other, count(*) AS n FROM placed a JOIN (SELECT doc_id, word, place + unnest([-2, -1, 1, 2]) AS place
+    FROM placed) b USING (doc_id, place) GROUP BY a.word, b.word),
+totals AS (SELECT word, sum(n) AS total FROM pairs GROUP BY word)"""
+
+
 def _undersampled(label: str) -> str:
     return f"""WITH {_uniq(label)}, h AS (
   SELECT doc_id, score, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
@@ -245,6 +255,11 @@ grams AS (SELECT label, unnest(list_transform(range(1, len(t)), lambda i: t[i] |
 SELECT word, count(DISTINCT doc_id) AS df FROM terms GROUP BY word""",
     "tfidf_long": _tfidf("word", "word"),
     "hashed_tfidf_md5": _tfidf(_BUCKET, "bucket"),
+    "cooccurrence": f"WITH {_PAIRS} SELECT * FROM pairs WHERE n >= 5",
+    "word_information": f"""WITH {_PAIRS}, x AS (
+  SELECT p.word, p.other, p.n, ln(p.n::DOUBLE * (SELECT sum(total) FROM totals)::DOUBLE / t.total::DOUBLE / o.total::DOUBLE) AS information
+  FROM pairs p JOIN totals t ON p.word = t.word JOIN totals o ON p.other = o.word WHERE p.n >= 5)
+SELECT word, other, n, round(information, 6) AS information FROM x WHERE information > 0""",
     "feature_density": f"""WITH {_TERMS}, d AS (
   SELECT doc_id, count(DISTINCT {_BUCKET}) AS z, count(*) AS n FROM terms GROUP BY doc_id)
 SELECT doc_id, 10000 AS dimensions, coalesce(z, 0)::INTEGER AS non_zero, coalesce(n, 0)::INTEGER AS n_tokens
