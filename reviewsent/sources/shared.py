@@ -61,3 +61,33 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def bucketed_table(df: DataFrame, name: str, column: str) -> Iterator[DataFrame]:
+    """Write ``df`` to the shared folder in as many buckets of ``column`` as shuffles have partitions, and read it back.
+
+    Nothing is shuffled for it: a task writes a file per bucket that it has rows of. Groups and joins on ``column`` read the
+    buckets as they are. The table has a name in the session's catalog inside the block only; results that read
+    it must be written there.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay, as those of other stage tables
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session, put back at the end. It holds for what is run inside."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
