@@ -4,8 +4,9 @@
    merges equal pairs before the shuffle, and pairs of either order are one row there.
 2. The positive pointwise mutual information of a pair compares its count with those of its words.
 3. The information is a sparse symmetric matrix. Its largest eigenvectors are found by subspace iteration from random signs:
-   every round is one distributed product of the matrix with a block of ``dimensions`` columns. Only products
-   of columns with columns, ``dimensions`` squared numbers, reach the driver, never a word.
+   every round is one distributed product of the matrix with a block of ``dimensions`` columns. The matrix lies in buckets
+   of its rows, so sums need no shuffle; the columns are broadcast up to ``COLUMN_BYTES`` and joined by a shuffle
+   beyond. Only products of columns with columns, ``dimensions`` squared numbers, are looked at by the driver.
 4. The nearest words of a list of words have the largest cosines with theirs.
 
 A text that is null or has fewer than two words has no pairs. A word next to itself counts like any other pair: twice,
@@ -16,11 +17,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewsent.operators.tfidf import filtered_tokens
-from reviewsent.sources.shared import stage_table
+from reviewsent.sources.shared import bucketed_table, stage_table
 
 WINDOW, MIN_PAIRS, DIMENSIONS, ROUNDS = 2, 5, 16, 4
 #: How many words may be asked for at once: their vectors are part of the plan.
 MAX_ASKED = 1000
+#: Columns up to this size are broadcast to the matrix.
+COLUMN_BYTES = 64 << 20
 
 
 def _word_lists(df: DataFrame, text: str, stop: str) -> DataFrame:
@@ -77,8 +80,11 @@ def _signs(dimensions: int, seed: int) -> Column:
 
 
 def multiplied(matrix: DataFrame, vectors: DataFrame, dimensions: int) -> DataFrame:
-    """``(word, vector)``: the sparse ``matrix`` times the columns of ``vectors``, summed inside the tasks first."""
-    rows = matrix.join(vectors.withColumnRenamed("word", "other"), "other")
+    """``(word, vector)``: the sparse ``matrix`` times the columns of ``vectors``, a written table or a plain function
+    of the rows of ``matrix``."""
+    columns = vectors.withColumnRenamed("word", "other")
+    small = vectors.count() * (8 * dimensions + 64) <= COLUMN_BYTES
+    rows = matrix.join(F.broadcast(columns) if small else columns, "other")
     return rows.groupBy("word").agg(_array(f"sum(information * vector[{k}])" for k in range(dimensions)).alias("vector"))
 
 
@@ -102,24 +108,28 @@ def _orthonormal(vectors: DataFrame, dimensions: int) -> tuple[DataFrame, int]:
 
 
 def word_vectors(matrix: DataFrame, dimensions: int = DIMENSIONS, rounds: int = ROUNDS, seed: int = 42) -> DataFrame:
-    """``(word, vector)``: rows of the eigenvectors of largest absolute eigenvalue, each times the root of that value.
+    """``(word, vector)``: rows of the eigenvectors of largest absolute eigenvalue, each times the root of that value;
+    a written table.
 
-    ``matrix`` is a written table ``(word, other, information)`` with both orders of each pair. There are fewer
-    than ``dimensions`` columns if the matrix has a smaller rank, and no rows if it is empty.
+    ``matrix`` is ``(word, other, information)`` with both orders of each pair. There are fewer than
+    ``dimensions`` columns if the matrix has a smaller rank, and no rows if it is empty.
     """
-    rank = dimensions
-    vectors = matrix.select("word").distinct().select("word", _signs(dimensions, seed).alias("vector"))
-    for _ in range(rounds):
-        product = stage_table(multiplied(matrix, vectors, rank), "product")
-        vectors, rank = _orthonormal(product, rank)
-        if not rank:
-            return vectors
-        vectors = stage_table(vectors, "basis")
-    product = multiplied(matrix, vectors, rank).select("word", F.col("vector").alias("product"))
-    inner = _products(vectors.join(product, "word"), "vector", "product", rank)
+    rows = matrix.select("word", "other", "information").repartition("word")
+    with bucketed_table(rows, "matrix", "word") as matrix:
+        rank = dimensions
+        signs = matrix.select("word").distinct().select("word", _signs(dimensions, seed).alias("vector"))
+        vectors = stage_table(signs, "basis")
+        for _ in range(rounds):
+            product = stage_table(multiplied(matrix, vectors, rank), "product")
+            vectors, rank = _orthonormal(product, rank)
+            if not rank:
+                return vectors
+            vectors = stage_table(vectors, "basis")
+        product = multiplied(matrix, vectors, rank).select("word", F.col("vector").alias("product"))
+        inner = _products(vectors.join(stage_table(product, "product"), "word"), "vector", "product", rank)
     values, turned = np.linalg.eigh((inner + inner.T) / 2)
     order = np.argsort(-np.abs(values))
-    return vectors.select("word", _combined((turned * np.sqrt(np.abs(values)))[:, order]).alias("vector"))
+    return stage_table(vectors.select("word", _combined((turned * np.sqrt(np.abs(values)))[:, order]).alias("vector")), "word_vectors")
 
 
 def _dot(a: Column, b: Column) -> Column:

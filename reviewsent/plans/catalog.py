@@ -258,8 +258,7 @@ def staged_information(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def similar_words(spark, folder, asked=20, k=10):
     """The words used most like the most frequent ones."""
     found, totals = staged_information(staged_reviews(spark, folder))
-    matrix = stage_table(found, "information")
-    vectors = stage_table(similarity.word_vectors(matrix), "word_vectors")
+    vectors = similarity.word_vectors(found)
     frequent = totals.join(vectors.select("word"), "word").orderBy(F.col("total").desc(), "word").limit(asked)
     return rounded(similarity.similar_words(vectors, [r["word"] for r in frequent.collect()], k), "cosine")
 

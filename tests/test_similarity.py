@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewsent.operators import similarity
+from reviewsent.sources import shared
 from reviewsent.sources.shared import stage_table
 
 TEXTS = ["good plot good book", "bad plot", "good", "", None, "x x x", "a the of", "good book plot the bad book"]
@@ -84,8 +85,9 @@ def cosines(vectors):
     return normed @ normed.T
 
 
-@pytest.mark.parametrize("dimensions,rounds,allowed", [(18, 2, 1e-9), (3, 12, 1e-4)])
-def test_vectors_are_those_of_numpy(spark, matrix, dimensions, rounds, allowed):
+@pytest.mark.parametrize("dimensions,rounds,allowed,most", [(18, 2, 1e-9, 0), (18, 2, 1e-9, 1 << 26), (3, 12, 1e-4, 1 << 26)])
+def test_vectors_are_those_of_numpy(spark, matrix, monkeypatch, dimensions, rounds, allowed, most):
+    monkeypatch.setattr(similarity, "COLUMN_BYTES", most)  # with broadcasts and without
     words, whole = dense(matrix)
     assert np.allclose(whole, whole.T)
     values, columns = np.linalg.eigh(whole)
@@ -120,6 +122,13 @@ def test_few_words_and_none(spark):
         similarity.similar_words(vectors, ["a"] * 1001)
 
 
+def test_sums_of_a_product_need_no_shuffle(spark, matrix):
+    with shared.bucketed_table(matrix.repartition("word"), "matrix", "word") as rows:
+        vectors = stage_table(rows.select("word").distinct().select("word", similarity._signs(4, 1).alias("vector")), "signs")
+        text = similarity.multiplied(rows, vectors, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
 def test_pairs_are_merged_before_the_shuffle(spark, folder):
     from reviewsent.plans.catalog import cooccurrence
     text = cooccurrence(spark, folder)._jdf.queryExecution().executedPlan().toString()
