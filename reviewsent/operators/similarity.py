@@ -22,7 +22,7 @@ from reviewsent.sources.shared import bucketed_table, stage_table
 WINDOW, MIN_PAIRS, DIMENSIONS, ROUNDS = 2, 5, 16, 4
 #: How many words may be asked for at once: their vectors are part of the plan.
 MAX_ASKED = 1000
-#: Columns up to this size are broadcast to the matrix.
+#: Words, totals and columns up to this size are broadcast.
 COLUMN_BYTES = 64 << 20
 
 
@@ -30,14 +30,25 @@ def _word_lists(df: DataFrame, text: str, stop: str) -> DataFrame:
     return df.where(F.col(text).isNotNull()).select(filtered_tokens(text, stop).alias("_words"))
 
 
+def _small(rows: DataFrame, row_bytes: int) -> bool:
+    return rows.count() * row_bytes <= COLUMN_BYTES
+
+
 def cooccurrence(df: DataFrame, window: int = WINDOW, min_pairs: int = MIN_PAIRS, text: str = "text",
-                 stop: str = "english") -> DataFrame:
+                 stop: str = "english", totals: DataFrame | None = None) -> DataFrame:
     """``(word, other, n)``: how often ``other`` stands at most ``window`` places from ``word``, stop words left out;
-    pairs seen at least ``min_pairs`` times. Each pair is there in both orders."""
+    pairs seen at least ``min_pairs`` times. Each pair is there in both orders.
+
+    With the written :func:`neighbour_counts` as ``totals``, words that have too few neighbours for any pair to
+    be kept are left out before the shuffle, as long as the others are few enough to be broadcast.
+    """
     words, n = F.col("_words"), F.size("_words")
     shifted = [F.arrays_zip(F.slice(words, 1, F.greatest(n - d, F.lit(0))).alias("a"), F.slice(words, d + 1, n).alias("b"))
                for d in range(1, window + 1)]
     rows = _word_lists(df, text, stop).where(n > 1).select(F.inline(F.concat(*shifted))).where(F.col("b").isNotNull())
+    if totals is not None and _small(frequent := totals.where(F.col("total") >= min_pairs).select("word"), 64):
+        for side in ("a", "b"):
+            rows = rows.join(F.broadcast(frequent.withColumnRenamed("word", side)), side, "left_semi")
     low, high = F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")
     counts = rows.groupBy(low, high).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("n", F.when(F.col("low") == F.col("high"), 2 * F.col("n")).otherwise(F.col("n")))
@@ -60,10 +71,14 @@ def neighbour_counts(df: DataFrame, window: int = WINDOW, text: str = "text", st
 def information(pairs: DataFrame, totals: DataFrame) -> DataFrame:
     """``(word, other, n, information)``: pairs that are more frequent than chance, by the logarithm of how much.
 
-    ``pairs`` and ``totals`` are written tables, so Spark knows their sizes when it chooses the joins.
+    ``pairs`` and ``totals`` are written tables. Words with fewer neighbours than the rarest pair has are in no pair;
+    the totals of the others are broadcast up to ``COLUMN_BYTES``.
     """
     everything = totals.agg(F.sum("total").alias("s")).scalar()
+    totals = totals.where(F.col("total") >= pairs.agg(F.min("n")).scalar())
     other = totals.select(F.col("word").alias("other"), F.col("total").alias("_other_total"))
+    if _small(totals, 64):
+        totals, other = F.broadcast(totals), F.broadcast(other)
     ratio = F.col("n").cast("double") * everything / F.col("total") / F.col("_other_total")
     return (pairs.join(totals, "word").join(other, "other").select("word", "other", "n", F.log(ratio).alias("information"))
             .where(F.col("information") > 0))
@@ -83,8 +98,7 @@ def multiplied(matrix: DataFrame, vectors: DataFrame, dimensions: int) -> DataFr
     """``(word, vector)``: the sparse ``matrix`` times the columns of ``vectors``, a written table or a plain function
     of the rows of ``matrix``."""
     columns = vectors.withColumnRenamed("word", "other")
-    small = vectors.count() * (8 * dimensions + 64) <= COLUMN_BYTES
-    rows = matrix.join(F.broadcast(columns) if small else columns, "other")
+    rows = matrix.join(F.broadcast(columns) if _small(vectors, 8 * dimensions + 64) else columns, "other")
     return rows.groupBy("word").agg(_array(f"sum(information * vector[{k}])" for k in range(dimensions)).alias("vector"))
 
 

@@ -242,7 +242,13 @@ def feature_density(spark, folder):
 # similar words
 
 def cooccurrence(spark, folder):
-    return similarity.cooccurrence(reviews(spark, folder))
+    return staged_pairs(staged_reviews(spark, folder))[0]
+
+
+def staged_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs, and the totals of their words."""
+    totals = stage_table(similarity.neighbour_counts(rows), "neighbour_counts")
+    return similarity.cooccurrence(rows, totals=totals), totals
 
 
 def word_information(spark, folder):
@@ -251,8 +257,8 @@ def word_information(spark, folder):
 
 def staged_information(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The information of pairs, and the totals of words it is made with."""
-    totals = stage_table(similarity.neighbour_counts(rows), "neighbour_counts")
-    return similarity.information(stage_table(similarity.cooccurrence(rows), "pairs"), totals), totals
+    pairs, totals = staged_pairs(rows)
+    return similarity.information(stage_table(pairs, "pairs"), totals), totals
 
 
 def similar_words(spark, folder, asked=20, k=10):

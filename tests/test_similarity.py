@@ -41,6 +41,17 @@ def test_pairs_and_totals(spark, window):
     assert similarity.cooccurrence(df, window, min_pairs=3).count() == sum(n >= 3 for n in pairs.values())
 
 
+@pytest.mark.parametrize("most", [0, 1 << 26])
+def test_rare_words_are_left_out_before_the_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(similarity, "COLUMN_BYTES", most)
+    df = frame(spark, clusters() + ["rare film0 once film1 only film0"] * 2)
+    totals = stage_table(similarity.neighbour_counts(df), "totals")
+    bag = lambda rows: sorted(map(tuple, rows.collect()))
+    found = similarity.cooccurrence(df, totals=totals)
+    assert ("LeftSemi" in found._jdf.queryExecution().executedPlan().toString()) == (most > 0)
+    assert bag(found) == bag(similarity.cooccurrence(df))
+
+
 def test_a_hot_pair_and_repeated_texts(spark):
     df = frame(spark, ["hot pair " * 50] * 40).withColumn("text", F.trim("text"))
     pairs, _ = counted([("hot pair " * 50).strip()] * 40, 2)
@@ -71,7 +82,12 @@ def dense(matrix):
     return words, out
 
 
-def test_information(matrix):
+@pytest.mark.parametrize("most", [0, 1 << 26])
+def test_information(spark, monkeypatch, most):
+    monkeypatch.setattr(similarity, "COLUMN_BYTES", most)
+    df = frame(spark, clusters())
+    totals = stage_table(similarity.neighbour_counts(df), "totals")
+    matrix = similarity.information(stage_table(similarity.cooccurrence(df), "pairs"), totals)
     pairs, totals = counted(clusters(), 2)
     whole = sum(totals.values())
     expected = {k: math.log(n * whole / totals[k[0]] / totals[k[1]]) for k, n in pairs.items() if n >= 5}
