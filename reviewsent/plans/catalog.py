@@ -452,6 +452,13 @@ def csv_roundtrip(spark, folder):
     return files.csv_to_parquet(spark, csv_path, parquet_path, REVIEWS).drop("doc_id")
 
 
+def csv_split_roundtrip(spark, folder):
+    """:func:`csv_roundtrip` by a reader that splits files within records."""
+    csv_path, parquet_path = new_path(spark, "reviews_csv"), new_path(spark, "reviews")
+    files.write_csv(raw_reviews(spark, folder).select("Score", "Summary", "Text"), csv_path)
+    return files.csv_to_parquet(spark, csv_path, parquet_path, REVIEWS, split=True).drop("doc_id")
+
+
 def csv_renamed(spark, folder):
     """Reviews -> headerless CSV -> columns named by position."""
     path = new_path(spark, "reviews_csv")
@@ -497,7 +504,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     roc_curve, roc_curve_corners, auc_exact, probability_histogram, probability_histogram_common,
     probability_histogram_automatic,
     example_table, prediction_preview, explorer, explorer_wrong, overview,
-    csv_roundtrip, csv_renamed, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
+    csv_roundtrip, csv_split_roundtrip, csv_renamed, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
     bernoulli_sample_check, random_split_union, undersample_bernoulli_smallest, ml_scores_check, ml_features_check,
     ml_metrics_agree, training_metrics, model_roundtrip, stored_probabilities, word_count_map, tokens_raw, schema_table,
 )}

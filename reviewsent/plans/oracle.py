@@ -381,6 +381,8 @@ FROM documents WHERE text IS NOT NULL""".replace(chr(92) * 2, chr(92)),
     "csv_renamed": f"""WITH {_raw()} SELECT score AS "Score", nullif(summary, '') AS "Summary",
   nullif(text, '') AS "Text" FROM raw""",
     "csv_roundtrip": f"""WITH {_raw()} SELECT score AS "Score", nullif(summary, '') AS "Summary",
+  nullif(text, '') AS "Text" FROM raw""",
+    "csv_split_roundtrip": f"""WITH {_raw()} SELECT score AS "Score", nullif(summary, '') AS "Summary",
   nullif(text, '') AS "Text" FROM raw""",
     "csv_header_roundtrip": f"WITH {_rev()} SELECT label, nullif(summary, '') AS summary, text FROM rev",
 }
