@@ -29,8 +29,8 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: StructTyp
 
     A line break ends a record where the quotes before it are even in number. The ranges are read as lines; one pass
     counts the quotes per range, a sum over the ranges of a file (a row each) says in which state each range begins, and
-    running sums inside the ranges number the records. Lines with one number are joined, also across
-    ranges, and parsed by Spark's CSV functions.
+    running sums inside the ranges number the records. Lines with one number are joined, those of records that reach
+    across ranges after another shuffle, and parsed by Spark's CSV functions.
 
     A quote must not stand inside a field that is not quoted. The line end of a file is that of its first line,
     of Unix or of Windows; the latter is a plain line break inside fields. ``header`` leaves out
@@ -50,13 +50,19 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: StructTyp
     inside = F.col("quotes_before") + F.sum(_quotes(F.col("line"))).over(so_far) - _quotes(F.col("line"))
     begins = lines.join(quotes, ranges).withColumn("begins", (inside % 2 == 0).cast("int"))
     line = F.when(F.col("windows") & returned, F.substring("line", F.lit(1), F.length("line") - 1)).otherwise(F.col("line"))
-    numbered = stage_table(begins.select(*ranges, "at", line.alias("line"), F.sum("begins").over(so_far).alias("number")), "lines")
-    counts = numbered.groupBy(*ranges).agg(F.max("number").alias("records"))
+    numbered = begins.select(*ranges, "at", line.alias("line"), F.sum("begins").over(so_far).alias("number"))
+    # the lines of a record within its range, which lie together already
+    parts = stage_table(numbered.groupBy(*ranges, "number").agg(
+        F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines")).select(
+        *ranges, "number", F.array_join(F.transform("lines", lambda p: p["line"]), "\n").alias("text")), "records")
+    counts = parts.groupBy(*ranges).agg(F.max("number").alias("records"))
+    counts = stage_table(counts.select(*ranges, "records", before("records").alias("records_before")), "counts")
     # lines before the first record of a range have number 0, and so belong to the last one before
-    numbered = numbered.join(counts.select(*ranges, before("records").alias("records_before")), ranges)
-    parts = F.sort_array(F.collect_list(F.struct("range", "at", "line")))
-    records = numbered.groupBy("file", (F.col("number") + F.col("records_before")).alias("record")).agg(
-        F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
+    parts = parts.join(counts, ranges).withColumn("record", F.col("number") + F.col("records_before"))
+    at_border = (F.col("number") == 0) | (F.col("number") == F.col("records"))
+    joined = parts.where(at_border).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("range", "text"))).alias("parts"))
+    joined = joined.select("record", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+    records = parts.where(~at_border).select("record", "text").unionByName(joined)
     records = records.where(F.col("text") != "")
     if header:
         records = records.where(F.col("record") > 1)
