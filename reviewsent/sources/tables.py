@@ -18,6 +18,10 @@ def ingest(df: DataFrame, path: str, files: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Labels up to this size, at 32 bytes a row, are broadcast to the documents, whose texts then stay where they are.
+LABEL_BYTES = 64 << 20
+
+
 def raw_reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
     """``(doc_id, Score, Summary, Text)``: first line as summary, ``label + 1`` as score.
 
@@ -26,6 +30,8 @@ def raw_reviews(spark: SparkSession, folder: str, label: str = "quality") -> Dat
     """
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     labels = read_table(spark, folder, "labels").select("doc_id", label)
+    if labels.count() * 32 <= LABEL_BYTES:  # else by a shuffle
+        labels = F.broadcast(labels)
     return documents.join(labels, "doc_id", "left").select(
         "doc_id",
         (F.col(label) + 1).cast("int").alias("Score"),
