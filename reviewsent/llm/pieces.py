@@ -30,12 +30,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, mapped, messages, slices
 from reviewsent.llm.words import hash_spans
+from reviewsent.sources.shared import stage_table
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 60
 #: Text per chunk, text read at once, and text whose units share a bucket.
-CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 16 << 20, 1 << 20, 8 << 20
+CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
 
 WORDS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("message", pa.binary())])
 WORDS_SQL = "bucket int, chunk bigint, message binary"
@@ -174,7 +175,7 @@ class Chunk:
 
 def _chunks(batches: Iterable[pa.RecordBatch], file: str, chunk_bytes: int) -> Iterator[tuple[int, Chunk]]:
     alone = Pieces(file).alone
-    number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
+    number = TaskContext.get().partitionId() << 32
     chunk = Chunk(alone)
     for batch in slices(batches):
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
@@ -196,28 +197,21 @@ def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
                                       schema=WORDS)
 
 
-def _send_units(file: str, buckets: int, chunk_bytes: int):
+def _send(file: str, buckets: int, chunk_bytes: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One message per chunk and bucket: the distinct units."""
+        """Of each chunk one message per bucket, its distinct units, and one with bucket -1: its documents as
+        numbers of units, and the buckets of these."""
         for number, chunk in _chunks(batches, file, chunk_bytes):
-            hashes, units, _ = chunk.finish()
+            hashes, units, sequence = chunk.finish()
             bucket = _buckets_of(hashes, buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]).tolist() if len(order) else [0]
             yield _batch((int(bucket[order[a]]), number, dump(
                 [units[k].decode("utf-8", "replace").replace(" ", SPACE) for k in order[a:b].tolist()]))
                 for a, b in zip(cuts, cuts[1:]))
-    return send
-
-
-def _send_documents(file: str, buckets: int, chunk_bytes: int):
-    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One message per chunk: its documents as numbers of units, and the buckets of these."""
-        for number, chunk in _chunks(batches, file, chunk_bytes):
-            hashes, _, sequence = chunk.finish()
             planes = np.ascontiguousarray(sequence.view(np.uint8).reshape(-1, 4).T).tobytes()
             yield _batch([(-1, number, dump(chunk.docs, chunk.digests, np.concatenate(chunk.sizes), planes,
-                                            _buckets_of(hashes, buckets).astype(np.uint32)))])
+                                            bucket.astype(np.uint32)))])
     return send
 
 
@@ -300,16 +294,20 @@ def _join_ids(documents: pa.Table, answers: pa.Table) -> pa.Table:
 
 
 def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", file: str = MODEL) -> DataFrame:
-    """``(doc_id, n_tokens, ids_crc32, text_sha256, ids)``, one row per row of ``documents``."""
+    """``(doc_id, n_tokens, ids_crc32, text_sha256, ids)``, one row per row of ``documents``.
+
+    Texts are read once: the messages of their chunks are written, and both sides read them.
+    """
     pieces = Pieces(file)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    words = rows.mapInArrow(mapped(_send_units(file, buckets, CHUNK_BYTES)), WORDS_SQL)
+    sent = stage_table(rows.mapInArrow(mapped(_send(file, buckets, CHUNK_BYTES)), WORDS_SQL), "units")
+    words = sent.where("bucket >= 0")
     units = words.groupBy("bucket").applyInArrow(grouped(_distinct), "number bigint, unit string")
     folded = fold_units(units.where(F.length("unit").between(2, SHORT)), pieces, buckets)
     folded = folded.withColumn("bucket", F.shiftright("number", 32).cast("int"))
     answers = words.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(cogrouped(_answer(file)), WORDS_SQL)
-    return (rows.mapInArrow(mapped(_send_documents(file, buckets, CHUNK_BYTES)), WORDS_SQL).groupBy("chunk")
+    return (sent.where("bucket < 0").groupBy("chunk")
             .cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_join_ids), RESULT_SQL))
 
 
