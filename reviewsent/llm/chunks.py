@@ -7,6 +7,7 @@ send one compact message per chunk and bucket instead of one row per word, and g
 
 import contextlib
 import ctypes
+import functools
 import pickle
 import time
 from collections.abc import Iterable, Iterator
@@ -88,10 +89,12 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterable[pa.RecordBatch], distinct: bool = False) -> Iterator[pa.RecordBatch]:
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:
         table = pa.Table.from_batches([batch])
+        if distinct:
+            table = table.group_by(table.column_names).aggregate([]).select(table.column_names)
         table = table.take(pc.sort_indices(table["chunk"])).combine_chunks()
         numbers = table["chunk"].to_numpy()
         rows = table.drop_columns(["chunk"])
@@ -112,11 +115,12 @@ def chunk_of(chunks: int, *columns: str):
     return F.pmod(F.xxhash64(*columns), F.lit(chunks)).cast("int")
 
 
-def pack(documents: DataFrame, chunks: int, *columns: str, by: tuple[str, ...] = ()) -> DataFrame:
+def pack(documents: DataFrame, chunks: int, *columns: str, by: tuple[str, ...] = (), distinct: bool = False) -> DataFrame:
     """``(chunk, packed)``: rows of ``columns``, compressed before they are shuffled by chunk; ``by`` names the
-    columns that decide the chunk, if not all."""
+    columns that decide the chunk, if not all. ``distinct`` merges equal rows of a batch, which all have one chunk."""
     number = chunk_of(chunks, *(by or columns))
-    return documents.select(*columns, number.alias("chunk")).mapInArrow(mapped(_pack), PACKED)
+    return documents.select(*columns, number.alias("chunk")).mapInArrow(
+        mapped(functools.partial(_pack, distinct=distinct)), PACKED)
 
 
 def unpack(packed: Iterable[bytes]) -> list[tuple]:

@@ -1,8 +1,9 @@
 """MinHash near-dedup: banded minima find candidates, full sets confirm, stars connect.
 
 1. Each text becomes its set of five-word shingles (64-bit hashes). Texts with equal sets are one
-   *representative*, the smallest ``doc_id``; copies go no further.
-2. Minima of :data:`HASHES` universal hashes are cut into bands. Representatives with an equal band
+   *class*, numbered when the classes are written and represented by the text of its smallest
+   ``doc_id``; copies go no further.
+2. Minima of :data:`HASHES` universal hashes are cut into bands. Classes with an equal band
    share a bucket.
 3. First round: every member of a bucket is compared with the bucket's smallest, as a star. Pairs
    whose signatures agree well enough are confirmed on the full sets. Components follow.
@@ -16,7 +17,8 @@ members of a bucket's largest component meet the others only, in blocks of bound
 which returns one link per two components at most.
 
 Defined results for odd input: a null or blank text has an empty set, is linked with nothing and
-kept. Rows with one ``doc_id`` are one node. A row without ``doc_id`` is linked with nothing: its
+kept. Rows with one ``doc_id`` are one document: each of its texts is compared for itself, and what is
+linked with any of them is linked with the document. A row without ``doc_id`` is linked with nothing: its
 ``component_id`` is null and it is kept. An empty table gives an empty one.
 """
 
@@ -43,9 +45,9 @@ LEAST_EQUAL = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
 #: Members per block and documents per confirmation group; shingles per product of incidence matrices.
 BLOCK, GROUP, COLUMNS = 512, 256, 4096
 
-FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+FEATURES = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                       ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
-FEATURES_SQL = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, signature binary"
+FEATURES_SQL = "doc_id bigint, text_key string, n_shingles bigint, digest binary, bands array<bigint>, signature binary"
 PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 PAIR_SQL = "u bigint, v bigint"
 
@@ -94,8 +96,8 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            "big", signed=True) for k in range(0, HASHES, ROWS)]
                 signature[i] = (minima[row] & 255).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip((batch["doc_id"], [len(s) for s in sets], digest, bands, signature),
-                                                     FEATURES)], schema=FEATURES)
+                [pa.array(c, f.type) for c, f in zip((batch["doc_id"], batch["text_key"], [len(s) for s in sets], digest, bands,
+                                                      signature), FEATURES)], schema=FEATURES)
 
 
 def _agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +108,8 @@ def _agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 BLOCKS = pa.schema([("band", pa.int32()), ("bucket", pa.int64()), ("low", pa.int32()), ("high", pa.int32()),
-                    ("doc_id", pa.int64()), ("component", pa.int64()), ("block", pa.int32())])
-BLOCKS_SQL = "band int, bucket bigint, low int, high int, doc_id bigint, component bigint, block int"
+                    ("node", pa.int64()), ("component", pa.int64()), ("block", pa.int32())])
+BLOCKS_SQL = "band int, bucket bigint, low int, high int, node bigint, component bigint, block int"
 
 
 def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +155,7 @@ def _shared_shingles(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarr
 
 def _link_blocks(table: pa.Table) -> pa.Table:
     """For each two components that are linked in this pair of blocks one link."""
-    docs, comps = table["doc_id"].to_numpy(), table["component"].to_numpy()
+    nodes, comps = table["node"].to_numpy(), table["component"].to_numpy()
     sets = shingle_sets([load(m)[0] for m in table["message"].to_pylist()])
     one, other = _sides(table)
     if not len(one) or not len(other):
@@ -164,122 +166,152 @@ def _link_blocks(table: pa.Table) -> pa.Table:
     linked = (100 * shared >= SIMILARITY * union) & (shared > 0) & (comps[one][:, None] != comps[other][None, :])
     i, j = np.nonzero(linked)
     _, first = np.unique(np.stack([comps[one[i]], comps[other[j]]]), axis=1, return_index=True)
-    return messages(PAIR, docs[one[i[first]]].tolist(), docs[other[j[first]]].tolist())
+    return messages(PAIR, nodes[one[i[first]]].tolist(), nodes[other[j[first]]].tolist())
 
 
 def _send_texts(packed: pa.Table, wanted: pa.Table) -> pa.Table:
-    """``wanted`` rows with the text of their document."""
-    texts = {doc: text for doc, text in unpack(packed["packed"].to_pylist())} if wanted.num_rows else {}
-    sent = {doc: dump(texts.get(doc)) for doc in set(wanted["doc_id"].to_pylist())}
-    return wanted.drop_columns(["chunk"]).append_column(
-        "message", pa.array([sent[doc] for doc in wanted["doc_id"].to_pylist()], pa.binary()))
-
-
-def with_texts(wanted: DataFrame, documents: DataFrame, chunks: int, schema: str) -> DataFrame:
-    packed = pack(documents, chunks, "doc_id", "text", by=("doc_id",))
-    asked = wanted.withColumn("chunk", chunk_of(chunks, "doc_id"))
+    """``wanted`` rows with the text of their class."""
+    keys = list(zip(wanted["doc_id"].to_pylist(), wanted["text_key"].to_pylist()))
+    asked = set(keys)
+    texts = {row[:2]: row[2] for row in unpack(packed["packed"].to_pylist()) if row[:2] in asked} if asked else {}
+    sent = {key: dump(texts.get(key)) for key in asked}
+    return wanted.drop_columns(["chunk", "doc_id", "text_key"]).append_column(
+        "message", pa.array([sent[key] for key in keys], pa.binary()))
+
+
+def with_texts(wanted: DataFrame, classes: DataFrame, documents: DataFrame, chunks: int, schema: str) -> DataFrame:
+    """``wanted`` rows (of ``schema``, with a ``node``) and the text of their class as a message."""
+    packed = pack(documents, chunks, "doc_id", "text_key", "text", by=("doc_id", "text_key"), distinct=True)
+    asked = (wanted.join(classes.select("node", "doc_id", "text_key"), "node")
+             .select(*wanted.columns, "doc_id", "text_key", chunk_of(chunks, "doc_id", "text_key").alias("chunk")))
     return packed.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(cogrouped(_send_texts), schema + ", message binary")
 
 
 def _confirm(table: pa.Table) -> pa.Table:
-    """Documents whose full set is similar to the hub's."""
-    hub, docs = table["hub"][0].as_py(), table["doc_id"].to_pylist()
+    """Classes whose full set is similar to the hub's."""
+    hub, nodes = table["hub"][0].as_py(), table["node"].to_pylist()
     sets = shingle_sets([load(m)[0] for m in table["message"].to_pylist()])
-    center, found = sets[docs.index(hub)], []
-    for doc, own in zip(docs, sets):
+    center, found = sets[nodes.index(hub)], []
+    for node, own in zip(nodes, sets):
         shared = len(np.intersect1d(center, own, assume_unique=True))
-        if doc != hub and 100 * shared >= SIMILARITY * (len(center) + len(own) - shared) and shared:
-            found.append(doc)
+        if node != hub and 100 * shared >= SIMILARITY * (len(center) + len(own) - shared) and shared:
+            found.append(node)
     return messages(PAIR, found, [hub] * len(found))
 
 
-def confirm_pairs(pairs: DataFrame, documents: DataFrame, chunks: int) -> DataFrame:
+def confirm_pairs(pairs: DataFrame, classes: DataFrame, documents: DataFrame, chunks: int) -> DataFrame:
     """The ``(u, v)`` of ``pairs`` whose full sets are similar. Pairs meet at ``v``, at most about
-    :data:`GROUP` of them in one group, so a hub of very many pairs is split."""
+    :data:`GROUP` of them in one group, so a hub of very many pairs is split. Its text leaves its chunk
+    once and is repeated per group after that, row by row."""
     pairs = pairs.select("u", "v").distinct()
-    degree = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    salt = F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / GROUP)).cast("int")
-    spokes = pairs.join(degree, "v").select(F.col("v").alias("hub"), salt.alias("salt"), F.col("u").alias("doc_id"))
-    hubs = degree.select(F.col("v").alias("hub"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / GROUP) - 1).cast("int")))
-                         .alias("salt"), F.col("v").alias("doc_id"))
-    sent = with_texts(spokes.union(hubs), documents, chunks, "hub bigint, salt int, doc_id bigint")
-    return sent.groupBy("hub", "salt").applyInArrow(grouped(_confirm), PAIR_SQL)
+    degree = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"))
+    salt = F.pmod(F.xxhash64("u"), F.col("groups")).cast("int")
+    spokes = pairs.join(degree, "v").select(F.col("v").alias("hub"), salt.alias("first"), salt.alias("last"),
+                                            F.col("u").alias("node"))
+    hubs = degree.select(F.col("v").alias("hub"), F.lit(0).alias("first"), (F.col("groups") - 1).alias("last"),
+                         F.col("v").alias("node"))
+    sent = with_texts(spokes.union(hubs), classes, documents, chunks, "hub bigint, first int, last int, node bigint")
+    salted = sent.select("hub", "node", "message", F.explode(F.sequence("first", "last")).alias("salt"))
+    return salted.groupBy("hub", "salt").applyInArrow(grouped(_confirm), PAIR_SQL)
 
 
 def crowded(classes: DataFrame) -> DataFrame:
-    """``(band, bucket, doc_id, v)`` of the buckets with two members or more; ``v`` is the smallest of them.
+    """``(band, bucket, node, v)`` of the buckets with two members or more; ``v`` is the smallest of them.
 
     Most buckets hold one text, so what follows reads a small part of the bands.
     """
-    members = classes.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    hubs = members.groupBy("band", "bucket").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    hubs = members.groupBy("band", "bucket").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return members.join(hubs.drop("n"), ["band", "bucket"])
 
 
 def open_blocks(members: DataFrame, parts: DataFrame, signature: DataFrame) -> DataFrame:
     """Members of a bucket that agree in their signatures with one of another component, per pair of blocks."""
-    placed = (members.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-              .withColumn("component", F.coalesce("component", "doc_id")))
+    placed = (members.join(parts, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
     shares = placed.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     split = shares.groupBy("band", "bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("n_largest"),
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("component", "n")).alias("parts"),
     ).where("k > 1")
-    # the same few documents share many bands: one bucket for each set of members is enough
+    # the same few classes share many bands: one bucket for each set of members is enough
     same = placed.join(split, ["band", "bucket"]).groupBy("band", "bucket").agg(
-        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("y"))
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("y"))
     one = same.groupBy("x", "y").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket")
     split = split.join(one, ["band", "bucket"])
     big = F.ceil(F.col("n_largest") / BLOCK).cast("int")       # blocks of the largest component: 0 .. big - 1
     rest = F.ceil((F.col("n") - F.col("n_largest")) / BLOCK).cast("int")  # then those of the others
-    own = F.when(F.col("component") == F.col("largest"), F.pmod(F.xxhash64("doc_id"), big)).otherwise(
-        big + F.pmod(F.xxhash64("doc_id"), rest)).cast("int")
+    own = F.when(F.col("component") == F.col("largest"), F.pmod(F.xxhash64("node"), big)).otherwise(
+        big + F.pmod(F.xxhash64("node"), rest)).cast("int")
     others = F.when(F.col("component") == F.col("largest"), F.sequence(big, big + rest - 1)).otherwise(
         F.sequence(F.lit(0), big + rest - 1))
     rows = (placed.join(split, ["band", "bucket"]).withColumn("block", own).withColumn("other", F.explode(others))
             .select("band", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                    "doc_id", "component", "block"))
-    return (rows.join(signature, "doc_id").groupBy("band", "bucket", "low", "high")
+                    "node", "component", "block"))
+    return (rows.join(signature, "node").groupBy("band", "bucket", "low", "high")
             .applyInArrow(grouped(_compare_signatures), BLOCKS_SQL))
 
 
+def _same_document(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(u, v)``: the classes of a document with several texts, as a star."""
+    several = full.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least < most")
+    links = full.join(several.drop("most"), "doc_id").where("digest > least").select("digest", "least").distinct()
+    number = classes.select("digest", "node")
+    return (links.join(number.withColumnRenamed("node", "u"), "digest")
+            .join(number.select(F.col("digest").alias("least"), F.col("node").alias("v")), "least").select("u", "v"))
+
+
 def group_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``documents``."""
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                            F.sha2(F.col(text).cast("binary"), 256).alias("text_key"))
     chunks, _ = count_chunks(rows)
     features = stage_table(rows.mapInArrow(mapped(_features), FEATURES_SQL), "minhash")
     full = features.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("doc_id"),
+    classes = full.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("k"),
                                          F.min_by(F.struct("bands", "signature"), "doc_id").alias("f"))
-    classes = stage_table(classes.select("doc_id", "digest", "f.*"), "minhash_classes")
-    signature = classes.select("doc_id", "signature").dropDuplicates(["doc_id"])
+    # numbers hold once they are written: a class is read by the number it was written with
+    classes = stage_table(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "k.*", "f.*"), "minhash_classes")
+    signature = classes.select("node", "signature")
     members = stage_table(crowded(classes), "buckets")
-    stars = members.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
-    agree = (stars.join(signature.select(F.col("doc_id").alias("u"), F.col("signature").alias("su")), "u")
-             .join(signature.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv")), "v")
+    stars = members.where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    agree = (stars.join(signature.select(F.col("node").alias("u"), F.col("signature").alias("su")), "u")
+             .join(signature.select(F.col("node").alias("v"), F.col("signature").alias("sv")), "v")
              .mapInArrow(mapped(_agree), PAIR_SQL))
-    # one node with several texts: its classes are linked by their documents
-    shared = full.join(classes.select("digest", F.col("doc_id").alias("v")), "digest").select(
-        F.col("doc_id").alias("u"), "v").where("u <> v")
-    several = full.groupBy("doc_id").agg(F.count_distinct("digest").alias("n")).where("n > 1").select(
-        F.col("doc_id").alias("u"))
-    links = stage_table(confirm_pairs(agree, rows, chunks).union(shared.join(several, "u").distinct()), "links")
+    links = stage_table(confirm_pairs(agree, classes, rows, chunks).union(_same_document(full, classes)), "links")
     parts = stage_table(components(links), "components")
     left = stage_table(open_blocks(members, parts, signature), "open_blocks")
     if not left.isEmpty():
-        more = with_texts(left, rows, chunks, BLOCKS_SQL).groupBy("band", "bucket", "low", "high").applyInArrow(
+        more = with_texts(left, classes, rows, chunks, BLOCKS_SQL).groupBy("band", "bucket", "low", "high").applyInArrow(
             grouped(_link_blocks), PAIR_SQL)
-        parts = components(links.union(stage_table(more.distinct(), "links")))
-    found = (classes.select("digest", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .select("digest", F.coalesce("component", "doc_id").alias("component")))
-    return (features.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        parts = stage_table(components(links.union(stage_table(more.distinct(), "links"))), "components")
+    placed = (classes.select("node", "digest", "doc_id").join(parts, "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
+    least = parts.join(classes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("smallest"))
+    labels = placed.join(least, "component", "left").select("digest", F.coalesce("smallest", "doc_id").alias("component_id"))
+    found = features.select("doc_id", "n_shingles", "digest")
+    # an empty text of a document that has others goes with them
+    empty = found.where(F.col("digest").isNull())
+    others = (full.join(empty.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id")
+              .agg(F.min("digest").alias("digest")).join(labels, "digest").select("doc_id", "component_id"))
+    found = (found.where(F.col("digest").isNotNull()).join(labels, "digest", "left").select("doc_id", "n_shingles", "component_id")
+             .union(empty.join(others, "doc_id", "left").select("doc_id", "n_shingles", "component_id")))
+    return (found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+                         .alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def drop_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, one of each group, unchanged."""
-    gone = group_copies(documents, key, text).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
-    return documents.join(gone.withColumn(key, F.col(key).cast(documents.schema[key].dataType)), key, "left_anti").select(
-        documents.columns)
+    """The documents that stay, one of each group. Of repeated rows with one ``key`` and text one stays, the
+    first by its other columns; rows without a ``key`` all stay."""
+    found = group_copies(documents, key, text).where(F.col("doc_id").isNotNull())
+    marks = stage_table(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("stays"))
+                        .where("n > 1 OR NOT stays"), "marks")
+    own = F.col("doc_id").cast(documents.schema[key].dataType).alias(key)
+    once = documents.join(marks.select(own), key, "left_anti").select(documents.columns)
+    others = [c for c in documents.columns if c not in (key, text)]
+    repeated = (documents.join(marks.where("stays").select(own), key, "left_semi")
+                .select(F.struct(*documents.columns).alias("row"))
+                .groupBy(F.col("row")[key].alias("row_key"), F.col("row")[text].alias("row_text"))
+                .agg(F.min_by("row", F.to_json(F.struct(*[F.col("row")[c].alias(c) for c in others], F.lit(1).alias("_")))).alias("row")))
+    return once.union(repeated.select("row.*"))

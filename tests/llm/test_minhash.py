@@ -6,7 +6,7 @@ import pytest
 
 from reviewsent.llm import minhash
 from reviewsent.llm.components import components
-from reviewsent.llm.minhash import group_copies
+from reviewsent.llm.minhash import drop_copies, group_copies
 
 
 def shingles(text):
@@ -67,7 +67,42 @@ def test_same_as_brute_force(docs, monkeypatch):
     assert sorted(map(tuple, group_copies(docs(rows)).collect()), key=str) == brute(rows)
 
 
+def several_texts():
+    """Documents with two texts each, whose near copies (no exact ones) are other documents."""
+    rng = random.Random(8)
+    say = lambda: [f"v{rng.randrange(5000)}" for _ in range(80)]
+    near = lambda words: words[:40] + ["new"] + words[41:]
+    rows = []
+    for k in range(6):
+        one, other, last = say(), say(), say()
+        rows += [(100 * k + 50, " ".join(one)), (100 * k + 50, " ".join(other)), (100 * k + 51, " ".join(near(one))),
+                 (100 * k + 20, " ".join(near(other))), (100 * k + 70, " ".join(last)), (100 * k + 20, " ".join(near(last))),
+                 (100 * k + 80, None), (100 * k + 80, " ".join(near(near(last)))), (100 * k + 81, " ")]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_each_text_of_a_document_links(docs):
+    rows = several_texts()
+    expected = brute(rows)
+    found = group_copies(docs(rows))
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+    assert {r["component_id"] for r in found.collect()} == {100 * k + i for k in range(6) for i in (20, 81)}
+
+
+def test_one_row_stays_per_document_and_text(docs):
+    rows = several_texts() + [(7, "one two three four five six"), (7, "one two three four five six"), (7, "another text"),
+                              (8, "ONE two three four five six"), (None, "x"), (None, "x"), (9, None), (9, None), (9, "")]
+    table = docs(rows)
+    found = drop_copies(table)
+    assert found.columns == table.columns
+    kept = {d for d, _, _, k in brute(rows) if k}
+    expected = {r for r in rows if r[0] in kept and r[0] is not None}
+    assert sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str) == sorted([*expected, (None, "x"), (None, "x")], key=str)
+
+
 def test_empty_table(docs):
+    assert drop_copies(docs([(1, "x")]).where("doc_id > 1")).collect() == []
     assert group_copies(docs([(1, "x")]).where("doc_id > 1")).collect() == []
 
 
