@@ -6,7 +6,7 @@ Quality rules: windows as rows, not hashes in arrays. Divergence: every kept ter
 from reviewsent.llm.divergence import MIN_DOCS, SCALE, SMOOTHING, TOP
 from reviewsent.llm.fill_middle import MARKS, RATE, SEED, SPM
 from reviewsent.llm.quality import (CLASSES, COMMON_WORDS, GUARD_CHARS, GUARD_WORDS, MAX_CLASS_DISTANCE,
-                                    MAX_REPEAT_PERCENT, MAX_WORD_DISTANCE, MIN_WORDS, SPACE, WORDS)
+                                    MAX_LANGUAGES, MAX_REPEAT_PERCENT, MAX_WORD_DISTANCE, MIN_REFERENCE, MIN_WORDS, SPACE, WORDS)
 
 
 def _text(value: str) -> str:
@@ -16,6 +16,7 @@ def _text(value: str) -> str:
 def quality_sql() -> str:
     classes = ", ".join(f"length(regexp_replace(t, {_text(p)}, '', 'g'))" for p in CLASSES.values())
     words = ", ".join(map(_text, WORDS))
+    listed = f"({', '.join(map(_text, COMMON_WORDS))})"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(string_split_regex(t, {_text(SPACE)}), lambda x: x <> '') AS words FROM d),
@@ -37,11 +38,15 @@ kinds AS (SELECT rid, lang, 1 AS kind, n_chars AS n, list_append(classes, n_char
     UNION ALL SELECT rid, lang, 2, n_words, list_append(common, n_words - list_sum(common)) FROM base WHERE n_words >= {GUARD_WORDS}),
 bins AS (SELECT rid, lang, kind, i, CAST(c AS DOUBLE) / n AS p
     FROM (SELECT rid, lang, kind, n, unnest(range(len(h))) AS i, unnest(h) AS c FROM kinds)),
-refs AS (SELECT lang AS ref, kind, i, avg(p) AS q FROM bins WHERE lang IN ({', '.join(map(_text, COMMON_WORDS))})
+others AS (SELECT lang FROM kinds WHERE kind = 1 AND lang NOT IN {listed} GROUP BY lang HAVING count(*) >= {MIN_REFERENCE}
+    ORDER BY count(*) DESC, lang LIMIT {MAX_LANGUAGES}),
+refs AS (SELECT lang AS ref, kind, i, avg(p) AS q FROM bins WHERE lang IN {listed} OR (kind = 1 AND lang IN (FROM others))
     GROUP BY lang, kind, i),
 distances AS (SELECT rid, kind, ref, sqrt(greatest(0, sum(
     (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS x
-    FROM bins JOIN refs USING (kind, i) GROUP BY rid, kind, ref),
+    FROM bins JOIN refs USING (kind, i)
+    WHERE (ref IN {listed} OR ref = lang) AND (lang IS NULL OR lang IN {listed} OR (kind = 1 AND lang IN (FROM others)))
+    GROUP BY rid, kind, ref),
 nearest AS (SELECT rid, min(x) FILTER (kind = 1) AS x1, min(x) FILTER (kind = 2) AS x2 FROM distances GROUP BY rid)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
     CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,

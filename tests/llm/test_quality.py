@@ -2,9 +2,12 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import connect, difference
+from reviewsent.llm import oracle, quality
 from reviewsent.llm.queries import ORACLE, QUERIES
 from reviewsent.llm.quality import js_distance, judge_quality, keep_good
 
@@ -90,6 +93,50 @@ def test_short_prose_with_personal_data_stays(docs):
     assert not any(kept[i] for i, text in junk)
 
 
+SYLLABLES = {
+    "fi": "ka la ta va nen sta lla kuu jär vi mai sä tuu li ko ti", "pl": "prze ści ło wa nie sze dom rzy ką ły mo kra wie czo ra my",
+    "ru": "пре ста ло го ни ка сем во де рам при ход луч тем ско ры", "el": "κα λη με ρα σπι τι θα λασ σα που νε ρο χω ρι φω ς",
+    "tr": "gü neş ev ler de yı lın bah çe su yun ka dar lık tı ğı", "zh": "山 水 日 月 人 大 小 天 地 风 雨 花 草 木 石 光"}
+
+
+def of_language(rng, name, words):
+    parts = SYLLABLES[name].split()
+    said = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(words)]
+    return " ".join(w.capitalize() + "." if i % 9 == 8 else w for i, w in enumerate(said))
+
+
+@pytest.mark.parametrize("least", [20, 1000])
+def test_no_language_is_lost(docs, monkeypatch, least):
+    monkeypatch.setattr(quality, "MIN_REFERENCE", least)
+    rng = random.Random(21)
+    rows = [(i, prose_of(rng, 200)) for i in range(60)]
+    names = list(SYLLABLES)
+    rows += [(1000 + i, of_language(rng, names[i % 6], rng.randint(100, 400)), names[i % 6]) for i in range(240)]
+    junk = [(2000 + i, " ".join(w + rng.choice(["###", "***", "%%%"]) for w in of_language(rng, names[i % 6], 150).split()),
+             names[i % 6]) for i in range(12)]
+    strings = [(3000 + i, " ".join(letters(rng) for _ in range(200)), ["en", None][i % 2]) for i in range(10)]
+    table = docs(rows + junk + strings)
+    kept = {r["doc_id"]: r["kept"] for r in judge_quality(table).collect()}
+    assert all(kept[r[0]] for r in rows)
+    assert not any(kept[r[0]] for r in strings)
+    if least == 20:  # with a reference of each language
+        assert not any(kept[r[0]] for r in junk)
+    assert {r["doc_id"] for r in keep_good(table).collect()} == {d for d, k in kept.items() if k}
+    con = duckdb.connect()
+    con.register("documents", table.toArrow())
+    monkeypatch.setattr(oracle, "MIN_REFERENCE", least)
+    assert {r[0]: r[-1] for r in con.execute(oracle.quality_sql()).fetchall()} == kept
+
+
+def test_only_the_largest_languages_have_references(docs, monkeypatch):
+    monkeypatch.setattr(quality, "MIN_REFERENCE", 2)
+    monkeypatch.setattr(quality, "MAX_LANGUAGES", 3)
+    rng = random.Random(22)
+    rows = [(i, of_language(rng, "fi", 150), f"x{i % 8}") for i in range(41)]
+    found = quality.language_references(docs(rows).select("lang", quality.histograms(F.col("text")).alias("f")))
+    assert sorted(found) == ["x0", "x1", "x2"]
+
+
 def test_no_references(docs):
     assert judge_quality(docs([(1, "x")]).where("doc_id > 1")).collect() == []
     rows = judge_quality(docs([(1, "word " * 9 + "a b c d e f g h", None), (2, " ".join(map(str, range(400))), "xx")])).collect()
