@@ -30,13 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, mapped, messages, slices
 from reviewsent.llm.words import hash_spans
-from reviewsent.sources.shared import stage_table
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 60
 #: Text per chunk, text read at once, and text whose units share a bucket.
-CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
+CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 8 << 20
 
 WORDS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("message", pa.binary())])
 WORDS_SQL = "bucket int, chunk bigint, message binary"
@@ -175,7 +174,7 @@ class Chunk:
 
 def _chunks(batches: Iterable[pa.RecordBatch], file: str, chunk_bytes: int) -> Iterator[tuple[int, Chunk]]:
     alone = Pieces(file).alone
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << 32  # the rows of a scan partition come in one order
     chunk = Chunk(alone)
     for batch in slices(batches):
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
@@ -197,26 +196,40 @@ def _batch(rows: Iterable[tuple]) -> pa.RecordBatch:
                                       schema=WORDS)
 
 
-def _send(file: str, buckets: int, chunk_bytes: int):
+def _by_bucket(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Each bucket of a chunk's units: its number, the places of its units, and a check of their hashes and order."""
+    bucket = _buckets_of(hashes, buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]).tolist() if len(order) else [0]
+    for a, b in zip(cuts, cuts[1:]):
+        yield int(bucket[order[a]]), order[a:b], zlib.crc32(hashes[order[a:b]].tobytes())
+
+
+def _send_units(file: str, buckets: int, chunk_bytes: int):
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One message per chunk and bucket: the distinct units."""
+        for number, chunk in _chunks(batches, file, chunk_bytes):
+            hashes, units, _ = chunk.finish()
+            yield _batch((bucket, number, dump(check, [units[k].decode("utf-8", "replace").replace(" ", SPACE)
+                                                       for k in places.tolist()]))
+                         for bucket, places, check in _by_bucket(hashes, buckets))
+    return send
+
+
+def _send_documents(file: str, buckets: int, chunk_bytes: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each chunk one message per bucket, its distinct units, and one with bucket -1: its documents as
-        numbers of units, and the buckets of these."""
+        """One message per chunk: its documents as numbers of units, and the buckets of these."""
         for number, chunk in _chunks(batches, file, chunk_bytes):
-            hashes, units, sequence = chunk.finish()
-            bucket = _buckets_of(hashes, buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True]).tolist() if len(order) else [0]
-            yield _batch((int(bucket[order[a]]), number, dump(
-                [units[k].decode("utf-8", "replace").replace(" ", SPACE) for k in order[a:b].tolist()]))
-                for a, b in zip(cuts, cuts[1:]))
+            hashes, _, sequence = chunk.finish()
             planes = np.ascontiguousarray(sequence.view(np.uint8).reshape(-1, 4).T).tobytes()
+            checks = [check for _, _, check in _by_bucket(hashes, buckets)]
             yield _batch([(-1, number, dump(chunk.docs, chunk.digests, np.concatenate(chunk.sizes), planes,
-                                            bucket.astype(np.uint32)))])
+                                            _buckets_of(hashes, buckets).astype(np.uint32), checks))])
     return send
 
 
 def _distinct(table: pa.Table) -> pa.Table:
-    units = sorted({u for m in table["message"].to_pylist() for u in load(m)[0]})
+    units = sorted({u for m in table["message"].to_pylist() for u in load(m)[1]})
     bucket = table["bucket"][0].as_py()
     return pa.table({"number": pa.array(range(bucket << 32, (bucket << 32) + len(units)), pa.int64()),
                      "unit": pa.array(units, pa.string())})
@@ -253,8 +266,8 @@ def fold_units(units: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
 def _answer(file: str):
     def answer(sent: pa.Table, folded: pa.Table) -> pa.Table:
         """For each unit a chunk sent its ids, in the order it sent them."""
-        pieces, asked = Pieces(file), [load(m)[0] for m in sent["message"].to_pylist()]
-        units = sorted({u for part in asked for u in part})
+        pieces, asked = Pieces(file), [load(m) for m in sent["message"].to_pylist()]
+        units = sorted({u for _, part in asked for u in part})
         bounds = np.full(len(units), -1, np.int64)
         bounds[folded["number"].to_numpy() & 0xFFFFFFFF] = folded["bounds"].to_numpy()
         ids = [pieces.cut(u, b) if len(u) <= SHORT else pieces.merge(u) for u, b in zip(units, bounds.tolist())]
@@ -262,25 +275,29 @@ def _answer(file: str):
         flat = np.fromiter((x for i in ids for x in i), np.int32, sizes.sum())
         starts = np.cumsum(sizes) - sizes
         place = {u: k for k, u in enumerate(units)}
+        narrow = np.uint16 if len(pieces.text) <= 1 << 16 else np.int32
         out = []
-        for chunk, part in zip(sent["chunk"].to_pylist(), asked):
+        for chunk, (check, part) in zip(sent["chunk"].to_pylist(), asked):
             k = np.array([place[u] for u in part])
             n = sizes[k]
             at = np.repeat(starts[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((sent["bucket"][0].as_py(), chunk, dump(n.astype(np.uint8 if n.max() < 256 else np.int32), flat[at])))
+            out.append((sent["bucket"][0].as_py(), chunk, dump(
+                check, n.astype(np.uint8 if n.max() < 256 else np.int32), flat[at].astype(narrow))))
         return messages(WORDS, *zip(*out))
     return answer
 
 
 def _join_ids(documents: pa.Table, answers: pa.Table) -> pa.Table:
-    docs, digests, sizes, planes, bucket = load(documents["message"][0].as_py())
+    docs, digests, sizes, planes, bucket, checks = load(documents["message"][0].as_py())
     sequence = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
     parts = [load(m) for _, m in sorted(zip(answers["bucket"].to_pylist(), answers["message"].to_pylist()))]
+    if checks != [p[0] for p in parts]:
+        raise ValueError("the documents came in another order when they were read again; write them as a table first")
     # answers are ordered by bucket, units by frequency
     order = np.argsort(bucket, kind="stable")
     counts = np.zeros(len(order), np.int64)
-    counts[order] = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else 0
-    flat = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
+    counts[order] = np.concatenate([p[1] for p in parts]).astype(np.int64) if parts else 0
+    flat = np.concatenate([p[2] for p in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
     starts = np.zeros(len(order), np.int64)
     starts[order] = np.cumsum(counts[order]) - counts[order]
     out, at = [], 0
@@ -296,18 +313,18 @@ def _join_ids(documents: pa.Table, answers: pa.Table) -> pa.Table:
 def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", file: str = MODEL) -> DataFrame:
     """``(doc_id, n_tokens, ids_crc32, text_sha256, ids)``, one row per row of ``documents``.
 
-    Texts are read once: the messages of their chunks are written, and both sides read them.
+    Texts are read twice, for their units and for what the units make of them, and a chunk is what a task of the scan
+    reads in a row. If a second reading gave other rows or another order, the checks of the units would differ and the job would fail.
     """
     pieces = Pieces(file)
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
-    sent = stage_table(rows.mapInArrow(mapped(_send(file, buckets, CHUNK_BYTES)), WORDS_SQL), "units")
-    words = sent.where("bucket >= 0")
+    words = rows.mapInArrow(mapped(_send_units(file, buckets, CHUNK_BYTES)), WORDS_SQL)
     units = words.groupBy("bucket").applyInArrow(grouped(_distinct), "number bigint, unit string")
     folded = fold_units(units.where(F.length("unit").between(2, SHORT)), pieces, buckets)
     folded = folded.withColumn("bucket", F.shiftright("number", 32).cast("int"))
     answers = words.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(cogrouped(_answer(file)), WORDS_SQL)
-    return (sent.where("bucket < 0").groupBy("chunk")
+    return (rows.mapInArrow(mapped(_send_documents(file, buckets, CHUNK_BYTES)), WORDS_SQL).groupBy("chunk")
             .cogroup(answers.groupBy("chunk")).applyInArrow(cogrouped(_join_ids), RESULT_SQL))
 
 
