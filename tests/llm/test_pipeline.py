@@ -99,4 +99,4 @@ def test_registered():
     from reviewsent.llm.queries import ORACLE, QUERIES
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
