@@ -57,12 +57,55 @@ def vector_shape(vector: str) -> tuple[Column, Column]:
     return fields["size"].alias("dimensions"), F.size(fields["indices"]).alias("non_zero")
 
 
-def fit_classifier(features: DataFrame, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM) -> LogisticRegressionModel:
+def fit_classifier(features: DataFrame, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM,
+                   tol: float = 1e-6) -> LogisticRegressionModel:
     """Logistic regression on ``tfidf_features`` and ``label``; MLlib caches what it iterates over."""
-    lr = LogisticRegression(featuresCol="tfidf_features", labelCol="label", maxIter=max_iter, regParam=reg_param)
+    lr = LogisticRegression(featuresCol="tfidf_features", labelCol="label", maxIter=max_iter, regParam=reg_param, tol=tol)
     return lr.fit(features.select("label", "tfidf_features"))
 
 
+def loss_history(classifier: LogisticRegressionModel) -> DataFrame:
+    """``(iteration, loss)`` of a freshly fitted classifier, from 0 before the first step: one row per iteration."""
+    losses = classifier.summary.objectiveHistory
+    return SparkSession.active().createDataFrame([(i, float(x)) for i, x in enumerate(losses)], "iteration int, loss double")
+
+
+def loss_and_gradient(classifier: LogisticRegressionModel, features: DataFrame, reg_param: float = REG_PARAM) -> DataFrame:
+    """``(n_rows, loss, gradient_norm)`` of the stored weights on ``label`` and ``tfidf_features``, one row.
+
+    The loss is what the fit lowers: the mean of the logistic loss, and ``reg_param / 2`` times the squared weights of
+    features scaled to standard deviation 1. The gradient is that by the intercept and by these weights, so it is near 0
+    where the fit has come to its end. Rows are read once; what is shuffled is a row per feature and task.
+    """
+    margin = vector_to_array(F.col("rawPrediction"))[1]
+    wrong_way = F.when(F.col("label") == 1, -margin).otherwise(margin)
+    logistic = F.greatest(wrong_way, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong_way)))
+    vector = F.unwrap_udt(F.col("tfidf_features"))
+    places = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    rows = classifier.transform(features.select("label", "tfidf_features")).select(
+        logistic.alias("loss"), (positive_probability() - F.col("label")).alias("residual"),
+        F.arrays_zip(places.alias("place"), vector["values"].alias("x")).alias("entries"))
+    # place -1 has one entry per row: the intercept's feature, which also carries count and loss
+    whole = F.array(F.struct(F.lit(-1).alias("place"), F.lit(1.0).alias("x")))
+    entries = rows.select("loss", "residual", F.inline(F.concat(whole, F.col("entries"))))
+    sums = entries.groupBy("place").agg(
+        F.sum(F.col("residual") * F.col("x")).alias("slope"), F.sum("x").alias("s1"), F.sum(F.col("x") * F.col("x")).alias("s2"),
+        F.sum(F.when(F.col("place") == -1, F.col("loss"))).alias("loss"))
+    weights = SparkSession.active().createDataFrame(  # as many rows as features
+        list(enumerate(classifier.coefficients.toArray().tolist())), "place int, weight double")
+    sums = stage_table(sums.join(weights, "place", "left"), "gradient_sums")
+    total = sums.where("place = -1").select(F.col("s1").alias("n"), F.col("loss").alias("total_loss"), F.col("slope").alias("by_intercept"))
+    n = total.select("n").scalar()
+    deviation = F.sqrt(F.greatest(F.lit(0.0), (F.col("s2") - F.col("s1") * F.col("s1") / n) / (n - 1)))
+    scaled = sums.where("place >= 0").select("slope", "weight", deviation.alias("deviation")).where("deviation > 0")
+    by_weight = F.col("slope") / F.col("deviation") / n + reg_param * F.col("weight") * F.col("deviation")
+    penalty = scaled.agg(F.coalesce(F.sum((F.col("weight") * F.col("deviation")) ** 2), F.lit(0.0)))
+    squares = scaled.agg(F.coalesce(F.sum(by_weight * by_weight), F.lit(0.0)))
+    return total.select(F.col("n").cast("long").alias("n_rows"),
+                        (F.col("total_loss") / F.col("n") + reg_param / 2 * penalty.scalar()).alias("loss"),
+                        F.sqrt((F.col("by_intercept") / F.col("n")) ** 2 + squares.scalar()).alias("gradient_norm"))
+
+
 def detached(classifier: LogisticRegressionModel) -> LogisticRegressionModel:
     """The classifier written to the shared folder and loaded back, without its training summary.
 
@@ -77,16 +120,19 @@ def detached(classifier: LogisticRegressionModel) -> LogisticRegressionModel:
 
 def train(train_df: DataFrame, idf_documents: DataFrame | None = None,
           num_features: int = NUM_FEATURES, stop: str = "english",
-          max_iter: int = MAX_ITER, reg_param: float = REG_PARAM) -> PipelineModel:
+          max_iter: int = MAX_ITER, reg_param: float = REG_PARAM, history_path: str | None = None) -> PipelineModel:
     """Features and classifier as one model.
 
     The IDF weights come from the training rows. Pass all rows as ``idf_documents`` to
-    fit them before the split.
+    fit them before the split. The :func:`loss_history` of the fit goes to ``history_path``,
+    a table that outlives the session.
     """
     text = text_model(num_features, stop)
     vectors = term_vectors(text, train_df, "label")
     idf = fit_idf(vectors if idf_documents is None else add_features(text, idf_documents))
     classifier = fit_classifier(idf.transform(vectors), max_iter, reg_param)
+    if history_path:
+        loss_history(classifier).write.mode("overwrite").parquet(history_path)
     return PipelineModel(stages=[*text.stages, idf, detached(classifier)])
 
 

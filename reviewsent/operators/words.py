@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from reviewsent.functions.stopwords import STOP_WORDS
 from reviewsent.functions.text import in_list, split_words, tokens, without_words
+from reviewsent.sources.shared import stage_table
+
+#: Groups of words that :func:`top_words_bounded` counts first.
+BUCKETS = 1 << 16
 
 
 def with_tokens(df: DataFrame, stop: str = "english", text: str = "text") -> DataFrame:
@@ -70,9 +74,42 @@ def top_words(words: DataFrame, by: str = "label", k: int = 15) -> DataFrame:
     Spark keeps the first ``k`` rows of each class inside every task before it shuffles
     them for the final ranking.
     """
+    return _first(word_counts(words, by), by, k)
+
+
+def _first(counts: DataFrame, by: str, k: int) -> DataFrame:
     ranked = Window.partitionBy(by).orderBy(F.col("n").desc(), "word")
-    return (word_counts(words, by).withColumn("position", F.row_number().over(ranked))
-            .where(F.col("position") <= k))
+    return counts.withColumn("position", F.row_number().over(ranked)).where(F.col("position") <= k)
+
+
+def top_words_bounded(words: DataFrame, by: str = "label", k: int = 15, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of :func:`top_words` without a shuffle of the vocabulary.
+
+    Words are counted by hash bucket first, at most ``buckets`` rows per class and task. No word is more frequent than its
+    bucket, so the words of the largest buckets give a least count for place ``k``, and only buckets that reach it can hold
+    a better or an equal word; if these were not counted yet, a second round counts them. A flat distribution, or
+    a class with fewer than ``k`` words, makes all of its buckets such, which is then :func:`top_words`. ``words`` is read
+    twice, or three times: make it from a written table.
+    """
+    rows = words.select(by, "word", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("bucket"))
+    totals = stage_table(rows.groupBy(by, "bucket").agg(F.count("*").alias("total")), "word_buckets")
+    largest = Window.partitionBy(by).orderBy(F.col("total").desc(), "bucket")
+    first = stage_table(totals.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= 2 * k)
+                        .select(by, "bucket"), "largest_buckets")
+    counted = stage_table(word_counts(_of_buckets(rows, first, by), by), "counted_words")
+    least = (_first(counted, by, k).groupBy(by).agg(F.count("*").alias("places"), F.min("n").alias("least"))
+             .where(F.col("places") == k).select(F.col(by).alias("_class"), "least"))
+    reach = (totals.join(least, totals[by].eqNullSafe(least["_class"]), "left")
+             .where(F.col("total") >= F.coalesce("least", F.lit(0))).select(by, "bucket"))
+    rest = stage_table(_of_buckets(reach, first, by, "left_anti"), "further_buckets")
+    if not rest.isEmpty():
+        counted = counted.unionByName(word_counts(_of_buckets(rows, rest, by), by))
+    return _first(counted, by, k)
+
+
+def _of_buckets(rows: DataFrame, chosen: DataFrame, by: str, how: str = "left_semi") -> DataFrame:
+    chosen = chosen.select(F.col(by).alias("_class"), F.col("bucket").alias("_bucket"))
+    return rows.join(chosen, rows[by].eqNullSafe(chosen["_class"]) & (rows["bucket"] == chosen["_bucket"]), how)
 
 
 def word_count_map(top: DataFrame, by: str = "label") -> DataFrame:

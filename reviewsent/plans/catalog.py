@@ -6,8 +6,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewsent.functions import text
-from reviewsent.operators import (cleaning, evaluation, explore, histograms, model, profile, sampling, similarity,
-                                  tfidf, words)
+from reviewsent.operators import (cleaning, evaluation, explore, histograms, model, profile, sampling, selection,
+                                  similarity, tfidf, words)
 from reviewsent.plans import stages
 from reviewsent.schema import CLEANED, REVIEWS
 from reviewsent.sources import files
@@ -80,6 +80,11 @@ def length_median(spark, folder):
     return profile.median_by(reviews(spark, folder), "label", F.length("text"))
 
 
+def price_median(spark, folder):
+    """A median of doubles of which most occur once."""
+    return selection.exact_median(read_table(spark, folder, "lineitem"), "l_returnflag", F.col("l_extendedprice"))
+
+
 def length_histogram(spark, folder):
     return histograms.histogram_all(raw_reviews(spark, folder), F.length("Text"), 0, 3000)
 
@@ -187,6 +192,10 @@ def top_words_compact(spark, folder):
     return words.top_words(words.split_word_rows(reviews(spark, folder), "label"), k=20)
 
 
+def top_words_bounded(spark, folder):
+    return words.top_words_bounded(words.split_word_rows(staged_reviews(spark, folder).select("label", "text"), "label"), k=20)
+
+
 def role_top_words(spark, folder):
     turns = cleaning.clean_texts(read_table(spark, folder, "conversations"), "text", "role")
     return words.top_words(words.split_word_rows(turns, "role"), "role", k=20)
@@ -383,6 +392,35 @@ def training_metrics(spark, folder):
                         (F.col("accuracy") >= test.scalar()).alias("not_below_test"))
 
 
+def training_history(spark, folder):
+    """The loss before the first step, whether it ever rises, and whether the stored weights have the last one."""
+    rows = stage_table(stages.balanced_reviews(raw_reviews(spark, folder)), "balanced_reviews")
+    train_rows, _ = sampling.hash_split(rows)
+    path = new_path(spark, "loss_history")
+    trained = model.train(train_rows, history_path=path)
+    features = trained.stages[-2].transform(model.term_vectors(model.text_model(), train_rows, "label"))
+    stored = model.loss_and_gradient(trained.stages[-1], features).select("n_rows", F.col("loss").alias("stored"))
+    last = F.max_by("loss", "iteration")
+    losses = F.transform(F.array_sort(F.collect_list(F.struct("iteration", "loss"))), lambda s: s["loss"])  # one per iteration
+    steps = spark.read.parquet(path).agg(F.min_by("loss", "iteration").alias("start_loss"), last.alias("last"), losses.alias("losses"))
+    rising = F.exists(F.sequence(F.lit(2), F.size("losses")), lambda i: F.element_at("losses", i) > F.element_at("losses", i - 1) + 1e-9)
+    return steps.select(
+        F.lit(stored.select("n_rows").scalar()).alias("n_rows"), F.round("start_loss", 6).alias("start_loss"),
+        (~rising).alias("never_rises"),
+        (F.abs(F.col("last") - stored.select("stored").scalar()) < 1e-6).alias("stored_has_last"))
+
+
+def length_model(spark, folder):
+    """Label by text length in thousands of characters: weights that SQL can find as well, and their loss."""
+    rows = stage_table(reviews(spark, folder).select("label", (F.length("text") / 1000.0).alias("x")), "lengths")
+    rows = rows.select("label", array_to_vector(F.array("x")).alias("tfidf_features"))
+    fitted = model.fit_classifier(rows, max_iter=200, tol=1e-13)
+    return model.loss_and_gradient(fitted, rows).select(
+        "n_rows", F.round(F.lit(float(fitted.intercept)), 5).alias("intercept"),
+        F.round(F.lit(float(fitted.coefficients[0])), 5).alias("weight"), F.round("loss", 6).alias("loss"),
+        (F.col("gradient_norm") < 1e-5).alias("at_optimum"))
+
+
 def model_roundtrip(spark, folder):
     """Scores of the model after saving and loading, beside those before."""
     rows = stage_table(stages.balanced_reviews(raw_reviews(spark, folder)), "balanced_reviews")
@@ -493,11 +531,11 @@ def ml_metrics(spark, folder):
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     row_count, null_profile, duplicate_report, class_distribution, class_balance, class_balance_toxic,
-    label_distribution, length_stats, length_median, length_histogram, length_histogram_by_class, length_histogram_automatic,
+    label_distribution, length_stats, length_median, price_median, length_histogram, length_histogram_by_class, length_histogram_automatic,
     clean_reviews_clean_dedupe, clean_pages, clean_unicode, cleaning_report,
     hash_sample, hash_sample_rows, hash_split, split_report, random_rows, undersample_exact, undersample_toxic,
     balanced_reviews, bernoulli_sample, random_split, undersample_bernoulli,
-    filtered_tokens, token_stats, top_words_default, top_words_plus6, top_words_compact, role_top_words,
+    filtered_tokens, token_stats, top_words_default, top_words_plus6, top_words_compact, top_words_bounded, role_top_words,
     word_ratio, word_ratio_joined, word_ratio_one_sided, word_ratio_top, bigram_ratio_top,
     document_frequency, tfidf_long, tfidf_in_blocks, hashed_tfidf_md5, feature_density, cooccurrence, word_information, similar_words,
     confusion, confusion_crosstab, metrics_positive, metrics_weighted, metrics_table,
@@ -506,7 +544,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     example_table, prediction_preview, explorer, explorer_wrong, overview,
     csv_roundtrip, csv_split_roundtrip, csv_renamed, csv_header_roundtrip, ml_hashing_tfidf, ml_train_score, ml_metrics,
     bernoulli_sample_check, random_split_union, undersample_bernoulli_smallest, ml_scores_check, ml_features_check,
-    ml_metrics_agree, training_metrics, model_roundtrip, stored_probabilities, word_count_map, tokens_raw, schema_table,
+    ml_metrics_agree, training_metrics, training_history, length_model, model_roundtrip, stored_probabilities, word_count_map, tokens_raw, schema_table,
 )}
 QUERIES["clean_reviews"] = reviews
 QUERIES["lexicon_predictions"] = predictions

@@ -160,6 +160,22 @@ test AS (SELECT doc_id, score - 1 AS label FROM b WHERE length({_norm('text')})
   AND substr(md5('42:split:' || doc_id::VARCHAR), 1, 8) >= 'cccccccc')"""
 
 
+_TRAIN_ROWS = _TEST_ROWS.replace("test AS", "train AS").replace(">= 'cccccccc'", "< 'cccccccc'")
+
+# Newton steps on the scaled feature; the intercept is not penalised
+_NEWTON = f"""WITH RECURSIVE {_rev()}, x AS (SELECT label, length(text) / 1000.0::DOUBLE AS x FROM rev),
+s AS (SELECT avg(x) AS mean, stddev_samp(x) AS deviation FROM x),
+z AS MATERIALIZED (SELECT label, (x - mean) / deviation AS z FROM x, s),
+fit AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS b, 0.0::DOUBLE AS w
+  UNION ALL
+  SELECT i + 1, b - (hww * gb - hbw * gw) / (hbb * hww - hbw * hbw), w - (hbb * gw - hbw * gb) / (hbb * hww - hbw * hbw)
+  FROM (SELECT i, b, w, avg(p - label) AS gb, avg((p - label) * z) + 0.1 * w AS gw,
+          avg(p * (1 - p)) AS hbb, avg(p * (1 - p) * z) AS hbw, avg(p * (1 - p) * z * z) + 0.1 AS hww
+        FROM (SELECT i, b, w, label, z, 1 / (1 + exp(-(b + w * z))) AS p FROM fit, z WHERE i < 25) GROUP BY i, b, w)),
+best AS (SELECT b, w FROM fit WHERE i = 25)"""
+
+
 def _balance(label: str) -> str:
     return f"""WITH {_uniq(label)}, c AS (SELECT score, count(*) AS n FROM uniq GROUP BY score)
 SELECT max(n)::DOUBLE / min(n) AS ratio, max(n)::DOUBLE / min(n) > 1.5 AS imbalanced FROM c"""
@@ -193,6 +209,7 @@ SELECT score AS "Score", count(*) AS n, count(*) / (SELECT count(*) FROM raw) *
 SELECT label, count(*) AS n, count(*) / (SELECT count(*) FROM rev) * 100 AS pct FROM rev GROUP BY label""",
     "length_stats": f"""WITH {_raw()} SELECT min(length(text))::INTEGER AS min_len,
   round(avg(length(text)), 0) AS avg_len, max(length(text))::INTEGER AS max_len FROM raw""",
+    "price_median": "SELECT l_returnflag, median(l_extendedprice) AS median FROM lineitem GROUP BY l_returnflag",
     "length_median": f"WITH {_rev()} SELECT label, median(length(text))::DOUBLE AS median_len FROM rev GROUP BY label",
     "length_histogram": f"""WITH {_raw()}, {_BINS}, v AS (SELECT length(text) AS x FROM raw)
 SELECT b AS bin, b * 60.0::DOUBLE AS bin_start, count(x) AS n
@@ -255,6 +272,7 @@ SELECT min(b)::INTEGER AS min_tokens, round(avg(b), 0) AS avg_tokens, max(b)::IN
     "top_words_default": f"WITH {_words()} {_top('label', 15)}",
     "top_words_plus6": f"WITH {_words(ENGLISH_PLUS6)} {_top('label', 80)}",
     "top_words_compact": f"WITH {_words(COMPACT140, ' AND length(w) > 2')} {_top('label', 20)}",
+    "top_words_bounded": f"WITH {_words(COMPACT140, ' AND length(w) > 2')} {_top('label', 20)}",
     "role_top_words": f"""WITH words AS (SELECT role, w AS word FROM (
   SELECT role, unnest(string_split({_norm('text')}, ' ')) AS w FROM conversations WHERE text IS NOT NULL)
   WHERE NOT list_contains({_list(COMPACT140)}, w) AND length(w) > 2) {_top('role', 20)}""",
@@ -369,6 +387,12 @@ SELECT doc_id, label FROM rev WHERE label = (SELECT label FROM c ORDER BY n, lab
     "ml_metrics_agree": """SELECT metric, scope, true AS equal FROM (VALUES ('auc', 'all'), ('accuracy', 'all'),
   ('f1', 'weighted'), ('precision', 'weighted'), ('recall', 'weighted')) v(metric, scope)""",
     "training_metrics": "SELECT true AS accuracy_defined, true AS auc_defined, true AS not_below_test",
+    "training_history": f"""{_TRAIN_ROWS}, c AS (SELECT count(*) AS n, avg(label) AS p FROM train)
+SELECT n AS n_rows, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS start_loss, true AS never_rises, true AS stored_has_last FROM c""",
+    "length_model": f"""{_NEWTON} SELECT count(*) AS n_rows, round(any_value(b - w * mean / deviation), 5) AS intercept,
+  round(any_value(w / deviation), 5) AS weight,
+  round(avg(ln(1 + exp(CASE WHEN label = 1 THEN -(b + w * z) ELSE b + w * z END))) + any_value(0.05 * w * w), 6) AS loss,
+  true AS at_optimum FROM z, best, s""",
     "model_roundtrip": f"{_TEST_ROWS} SELECT doc_id, true AS same FROM test",
     "stored_probabilities": f"""WITH {_SCORED} SELECT doc_id, prediction,
   CASE WHEN doc_id % 5 = 0 THEN 0.5::DOUBLE ELSE round(prob_positive, 6) END AS prob_positive FROM scored""",

@@ -125,3 +125,17 @@ def test_results_do_not_depend_on_partitions(spark):
         outs.append((sorted(map(tuple, words.top_words(words.word_rows(part, "label"), k=3).collect())),
                      sorted(map(tuple, tfidf.tfidf_long(part, tfidf.filtered_tokens()).collect()))))
     assert outs[0] == outs[1] == outs[2]
+
+
+@pytest.mark.parametrize("buckets", [2, 64, 1 << 16])
+def test_top_words_by_buckets(spark, buckets):
+    """Frequent words, ties at the last place, a flat class, a class of fewer words than asked, a null class."""
+    rng = random.Random(9)
+    rows = [("zipf", f"w{int(rng.paretovariate(0.7))}") for _ in range(20_000)] + [("hot", "one")] * 5_000
+    rows += [("flat", f"f{i}") for i in range(500)] * 3 + [("few", w) for w in "aab"] + [(None, w) for w in "xyyzzz" * 3]
+    rows += [("hidden", f"h{i % 40}") for i in range(4_000)] + [("hidden", f"r{i}") for i in range(9_000)]
+    df = spark.createDataFrame(rows, "label string, word string").repartition(6)
+    expected = words.top_words(df, k=15).orderBy("label", "position").collect()
+    assert words.top_words_bounded(df, k=15, buckets=buckets).select("label", "word", "n", "position").orderBy(
+        "label", "position").collect() == expected
+    assert words.top_words_bounded(df.limit(0), k=15, buckets=buckets).collect() == []
