@@ -2,10 +2,11 @@
 
 Both levels are one-versus-one linear support vector machines on hashed byte bigrams and trigrams
 of the whole text. They are fitted on a bounded sample of the labelled training rows, at most
-:data:`SAMPLE` per language, drawn by hash; everything else covers all rows.
+:data:`SAMPLE` distinct texts of each of the :data:`LANGUAGES` languages with most training rows, drawn by hash;
+everything else covers all rows.
 
 Defined results for odd input: a null text, or one without a letter, is ``und`` with score 0. Rows
-without ``lang`` are predicted but not learned from. A row without ``doc_id`` counts as remainder 0.
+without ``lang`` are predicted but not learned from, and so are rows of languages beyond the bound. A row without ``doc_id`` counts as remainder 0.
 With one learned language all others get it; with none, all are ``und``. Repeated rows are
 predicted alike, one row each.
 """
@@ -16,9 +17,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewsent.llm.chunks import dump, load, mapped, slices
+from reviewsent.sources.shared import stage_table
 
 #: Families of language codes. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -32,8 +34,8 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-#: Training documents per language.
-SAMPLE = 1000
+#: Bounds of the training sample: distinct texts per language, and languages, of which those with most rows are learned.
+SAMPLE, LANGUAGES = 1000, 200
 DIMENSIONS = 4096
 LETTER = regex.compile(r"\p{L}")
 HELD_OUT = 2
@@ -134,18 +136,26 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(counts, pa.binary())], ["lang", "counts"])
 
 
-def training_sample(rows: DataFrame, bound: int = SAMPLE) -> DataFrame:
-    """``(doc_id, lang, text)``: about ``bound`` distinct training rows of each language, drawn by hash."""
-    labelled = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # one row per language
-    share = F.least(F.lit(1.0), F.lit(float(bound)) / F.col("n"))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 30)) < share * (1 << 30)
-    return labelled.join(F.broadcast(counts), "lang").where(draw).select("doc_id", "lang", "text")
+def training_sample(rows: DataFrame, bound: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
+    """``(lang, text)``: the ``bound`` distinct training texts of smallest hash of each of ``languages`` languages.
 
+    Equal texts of a language count once, so neither repeated rows nor repeated ids exceed the bound. Hashes are merged in
+    the tasks and shuffled first; the texts follow of those only that are drawn.
+    """
+    labelled = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", "text", F.xxhash64("text", F.lit("language sample")).alias("draw"))
+    draws = stage_table(labelled.select("lang", "draw").distinct(), "language_draws")
+    largest = draws.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    last = (draws.join(F.broadcast(largest.select("lang")), "lang").withColumn("place", place).where(F.col("place") <= bound)
+            .groupBy("lang").agg(F.max("draw").alias("last")))  # at most ``languages`` rows
+    return (labelled.join(F.broadcast(last), "lang").where(F.col("draw") <= F.col("last"))
+            .groupBy("lang", "draw").agg(F.min("text").alias("text")).select("lang", "text"))
 
-def fit(rows: DataFrame, bound: int = SAMPLE) -> Identifier | None:
+
+def fit(rows: DataFrame, bound: int = SAMPLE, languages: int = LANGUAGES) -> Identifier | None:
     # what reaches the driver is the bounded sample, as counts
-    found = training_sample(rows, bound).select("lang", "text").mapInArrow(mapped(_count), "lang string, counts binary").collect()
+    found = training_sample(rows, bound, languages).mapInArrow(mapped(_count), "lang string, counts binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     return Identifier([load(bytes(r["counts"]))[0] for r in found], [r["lang"] for r in found]) if found else None
 
@@ -161,10 +171,10 @@ def _predict(identifier: Identifier | None):
 
 
 def identify_language(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                      bound: int = SAMPLE) -> DataFrame:
+                      bound: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row per row of ``documents``."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
                             F.col(lang).alias("lang"), held_out(F.col(key)).alias("held_out"))
-    identifier = fit(rows, bound)
+    identifier = fit(rows, bound, languages)
     return rows.select("doc_id", "held_out", "text").mapInArrow(
         mapped(_predict(identifier)), "doc_id bigint, held_out boolean, lang_pred string, score double")

@@ -15,6 +15,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewsent.sources.shared import stage_table
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -132,13 +134,16 @@ def labelled_sample(rows: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
 
 def judge_urls(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", bound: int = MAX_LABELLED,
                trees: int = 20, depth: int = 4) -> DataFrame:
-    """``(key, host, path, rule, verdict, block_score)``: the rule's verdict, else the trees'."""
+    """``(key, host, path, rule, verdict, block_score)``: the rule's verdict, else the trees'.
+
+    Statistics and sample are written, as the trees read their rows again and again.
+    """
     rows = split_url(pages, rules, key, url)
-    statistics = suffix_statistics(rows)
+    statistics = stage_table(suffix_statistics(rows), "suffix_statistics")
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    sample = lexical_features(labelled_sample(rows, bound)).join(statistics, "suffix")
-    sample = assembler.transform(sample).select(
-        "features", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label"))
+    sample = stage_table(lexical_features(labelled_sample(rows, bound)).join(statistics, "suffix").select(
+        *FEATURES, F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label")), "labelled_urls")
+    sample = assembler.transform(sample).select("features", "label")
     kinds = sorted(r["label"] for r in sample.select("label").distinct().collect())  # at most two rows
     if len(kinds) < 2:
         only = "block" if kinds == [1.0] else "allow"

@@ -1,7 +1,10 @@
 import random
 import zlib
 
-from reviewsent.llm.langid import identify_language
+import numpy as np
+from pyspark.sql import functions as F
+
+from reviewsent.llm.langid import FAMILY_OF, Identifier, features, fit_svm, gram_counts, identify_language, training_sample
 from reviewsent.llm.queries import op4_language_id
 
 PARTS = {"en": "the of and th er ing ou tion wh", "de": "der die und sch ich ung ver ei", "fr": "le la et eau eux ou que é",
@@ -41,3 +44,46 @@ def test_held_out_accuracy(spark, folder):
     found = [r for r in op4_language_id(spark, folder).collect() if r["held_out"]]
     right = [r["lang_pred"] == truth[r["doc_id"]] for r in found]
     assert sum(right) / len(right) >= 0.95
+
+
+def test_sample_has_a_bound(docs):
+    """Repeated ids, repeated texts and many languages stay within it, and the draw is the smallest hashes."""
+    rows = [(7, f"text {i}", "en") for i in range(300)] + [(i, "copy", "de") for i in range(300)]
+    rows += [(i, f"{i % 40}", "fr") for i in range(200)] + [(i, "x", f"l{i}") for i in range(100)] + [(1, None, "en"), (2, "y", None)]
+    df = docs(rows).withColumn("held_out", F.lit(False))
+    found = training_sample(df, bound=50, languages=4).collect()
+    langs = sorted(r["lang"] for r in found)
+    assert {lang: langs.count(lang) for lang in langs} == {"en": 50, "de": 1, "fr": 40, "l0": 1}
+    hashes = df.where("lang = 'en'").where("text IS NOT NULL").select("text", F.xxhash64("text", F.lit("language sample")).alias("h")).collect()
+    smallest = {r["text"] for r in sorted(hashes, key=lambda r: r["h"])[:50]}
+    assert {r["text"] for r in found if r["lang"] == "en"} == smallest
+    assert len(identify_language(docs(rows), bound=50, languages=4).collect()) == len(rows)
+
+
+def test_two_levels_against_plain_votes():
+    """The decision of both levels, voted for pair by pair with machines of its own."""
+    rng = random.Random(2)
+    langs = [lang for lang in sorted(PARTS) for _ in range(25)]
+    counts = [gram_counts(say(rng, lang, 12)) for lang in langs]
+    x = features(np.array(counts))
+    identifier = Identifier(counts, langs)
+
+    def vote(labels, rows, one):
+        classes = sorted({labels[i] for i in rows})
+        wins, sums = dict.fromkeys(classes, 0), dict.fromkeys(classes, 0.0)
+        for n, a in enumerate(classes):
+            for b in classes[n + 1:]:
+                both = [i for i in rows if labels[i] in (a, b)]
+                w, c = fit_svm(x[both], np.array([1 if labels[i] == a else -1 for i in both], np.float32))
+                margin = float(w @ one + c)
+                wins[a if margin >= 0 else b] += 1
+                sums[a] += 1 / (1 + np.exp(-3 * margin))
+                sums[b] += 1 / (1 + np.exp(3 * margin))
+        return max(classes, key=lambda k: (wins[k], sums[k]))
+
+    families = [FAMILY_OF[lang] for lang in langs]
+    for lang in sorted(PARTS) * 4:
+        text = say(rng, lang, 5)
+        one = features(gram_counts(text))
+        family = vote(families, range(len(langs)), one)
+        assert identifier.predict(text)[0] == vote(langs, [i for i, f in enumerate(families) if f == family], one)

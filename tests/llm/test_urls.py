@@ -51,7 +51,7 @@ def test_rules_win_and_the_rest_is_judged(pages):
         assert 0 <= r["block_score"] <= 1
 
 
-def test_held_out_labels_are_learned(spark, folder):
+def test_learned_labels(spark, folder):
     """The trees alone agree with most labels they were trained from."""
     rows = op6_url_filter(spark, folder)
     assert {r["verdict"] for r in rows.collect()} <= {"allow", "block"}
@@ -60,6 +60,18 @@ def test_held_out_labels_are_learned(spark, folder):
     assert sum(right) / len(right) > 0.8
 
 
+def test_held_out_urls(pages):
+    """Hosts that no rule names are judged by what they share with those that one does."""
+    many = [f"http://{'x7-9-' * 3}{i}.bad.net/{'a1/b2/' * 3}?q={i}&r=2&s=3" for i in range(80)]
+    many += [f"https://paper{i}.org/fr/story" for i in range(80)]
+    junk = [f"http://{'k4-8-' * 3}{i}.unseen.info/{'c3/d4/' * 3}?u={i}&v=5&w=6" for i in range(20)]
+    clean = [f"https://daily{i}.unseen.info/en/story" for i in range(20)]
+    found = {r["page_id"]: r for r in judge_urls(pages(many + junk + clean)).where("rule IS NULL").collect()}
+    assert len(found) == 40
+    right = [found[160 + i]["verdict"] == ("block" if i < 20 else "allow") for i in range(40)]
+    assert sum(right) >= 38
+
+
 def test_features_are_finite(pages):
     rows = lexical_features(split_url(pages(URLS)))
     for r in rows.join(suffix_statistics(split_url(pages(URLS))), "suffix").select(*FEATURES).collect():
