@@ -85,6 +85,12 @@ def price_median(spark, folder):
     return selection.exact_median(read_table(spark, folder, "lineitem"), "l_returnflag", F.col("l_extendedprice"))
 
 
+def word_length_median(spark, folder):
+    """The mean letters per word of a text: a double that few texts share."""
+    tokens = F.size(F.split("text", " "))
+    return selection.exact_median(reviews(spark, folder), "label", (F.length("text") - tokens + 1) / tokens)
+
+
 def length_histogram(spark, folder):
     return histograms.histogram_all(raw_reviews(spark, folder), F.length("Text"), 0, 3000)
 
@@ -531,7 +537,7 @@ def ml_metrics(spark, folder):
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     row_count, null_profile, duplicate_report, class_distribution, class_balance, class_balance_toxic,
-    label_distribution, length_stats, length_median, price_median, length_histogram, length_histogram_by_class, length_histogram_automatic,
+    label_distribution, length_stats, length_median, price_median, word_length_median, length_histogram, length_histogram_by_class, length_histogram_automatic,
     clean_reviews_clean_dedupe, clean_pages, clean_unicode, cleaning_report,
     hash_sample, hash_sample_rows, hash_split, split_report, random_rows, undersample_exact, undersample_toxic,
     balanced_reviews, bernoulli_sample, random_split, undersample_bernoulli,

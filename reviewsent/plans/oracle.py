@@ -210,6 +210,8 @@ SELECT label, count(*) AS n, count(*) / (SELECT count(*) FROM rev) * 100 AS pct
     "length_stats": f"""WITH {_raw()} SELECT min(length(text))::INTEGER AS min_len,
   round(avg(length(text)), 0) AS avg_len, max(length(text))::INTEGER AS max_len FROM raw""",
     "price_median": "SELECT l_returnflag, median(l_extendedprice) AS median FROM lineitem GROUP BY l_returnflag",
+    "word_length_median": f"""WITH {_rev()}, t AS (SELECT label, length(text) AS n, len(string_split(text, ' ')) AS words FROM rev)
+SELECT label, median((n - words + 1)::DOUBLE / words) AS median FROM t GROUP BY label""",
     "length_median": f"WITH {_rev()} SELECT label, median(length(text))::DOUBLE AS median_len FROM rev GROUP BY label",
     "length_histogram": f"""WITH {_raw()}, {_BINS}, v AS (SELECT length(text) AS x FROM raw)
 SELECT b AS bin, b * 60.0::DOUBLE AS bin_start, count(x) AS n
