@@ -75,8 +75,11 @@ def loss_and_gradient(classifier: LogisticRegressionModel, features: DataFrame,
 
     The loss is what the fit lowers: the mean of the logistic loss, and ``reg_param / 2`` times the squared weights of
     features scaled to standard deviation 1. The gradient is that by the intercept and by these weights, so it is near 0
-    where the fit has come to its end. Rows are read once; what is shuffled is a row per feature and task.
+    where the fit has come to its end. Rows are read once; what is shuffled is a row per feature and task. A freshly
+    fitted classifier is scored :func:`detached`.
     """
+    if classifier.hasSummary:
+        classifier = detached(classifier)
     margin = vector_to_array(F.col("rawPrediction"))[1]
     wrong_way = F.when(F.col("label") == 1, -margin).otherwise(margin)
     logistic = F.greatest(wrong_way, F.lit(0.0)) + F.log1p(F.exp(-F.abs(wrong_way)))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from reviewsent.operators import model
 
@@ -52,6 +52,12 @@ def test_loss_and_gradient(rows, data, steps):
     assert (found["gradient_norm"] < 1e-5) == (steps == 200)
 
 
+def test_gradient_after_an_observation(spark, rows):
+    spark.range(3).observe(Observation("before"), F.count("*").alias("n")).collect()  # the session can't be serialised from here on
+    fitted = model.fit_classifier(rows, max_iter=3)
+    assert fitted.hasSummary and model.loss_and_gradient(fitted, rows).first()["n_rows"] == 300
+
+
 def test_history_outlives_the_fit(spark, tmp_path):
     docs = spark.createDataFrame([(i, i % 2, "good tasty food" if i % 2 else "bad awful food") for i in range(40)],
                                  "doc_id long, label int, text string")
