@@ -25,6 +25,7 @@ first; rows with one ``doc_id`` stand in the order of the scan. An empty table g
 other columns are not read.
 """
 
+import functools
 import re
 import struct
 import zlib
@@ -39,7 +40,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from reviewsent.llm.chunks import mapped, slices
-from reviewsent.sources.shared import stage_table
+from reviewsent.sources.shared import setting, stage_table
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
@@ -49,8 +50,10 @@ MAGIC = b"BITIDS01"
 TAIL = "<QQQQII8s"
 #: Parts that a task remembers, some 200 bytes each, twice: the latest, and those before.
 REMEMBERED = 1 << 18
-#: Text that is cut and looked up in one go.
-STRETCH_BYTES = 16 << 20
+#: Text that is cut and looked up in one go, which takes some 20 times its size.
+STRETCH_BYTES = 4 << 20
+#: Text that a Python worker is sent at a time: both it and the JVM hold some of these, outside of the heap.
+BATCH_BYTES = 2 << 20
 
 _space, _latin, _marks = r" \t\n\r\f\v", "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
 #: Lone line breaks, words, runs of punctuation, and anything else up to the next place where a cut is safe.
@@ -85,8 +88,11 @@ class Remembered(dict):
         return value
 
 
+_packers = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _packers[len(ids)](*ids) if len(ids) < len(_packers) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -99,16 +105,26 @@ class Encoder:
         whole = ByteLevel(add_prefix_space=False, use_regex=False)  # as the library writes bytes, for one and two bytes
         self.letters = {byte: letter for c in map(chr, range(0x800))
                         for byte, letter in zip(c.encode(), whole.pre_tokenize_str(c)[0][0])}
+        self.space = self.letters[ord(" ")]  # visible ASCII stands for itself
+        self.tokenize = self.library.model.tokenize
+        self.forget()
+
+    def forget(self) -> None:
         self.parts = Remembered(self._part)
         self.after_space = Remembered(self._after_space)
 
     def _merged(self, word: str) -> bytes:
-        return _packed([token.id for token in self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
+        return self._tokenized(word.encode().decode("latin-1").translate(self.letters))
+
+    def _tokenized(self, letters: str) -> bytes:
+        return _packed([token.id for token in self.tokenize(letters)])
 
     def _part(self, part: str) -> bytes:
         return self._merged(part) if WORD.fullmatch(part) else _packed(self.library.encode(part, add_special_tokens=False).ids)
 
     def _after_space(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return self._tokenized(self.space + piece)
         found = MARKED.fullmatch(piece)
         if not found:
             return self._join(" " + piece)
@@ -144,6 +160,12 @@ class Encoder:
         return ids, np.diff(np.r_[0, ends[bounds[1:] + np.arange(len(texts))]])
 
 
+@functools.lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    """Of a Python worker, which runs one task after the other."""
+    return Encoder(path)
+
+
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """``ids`` in ``width`` bits each, lowest bit first: eight ids fill ``width`` whole bytes."""
     groups = np.zeros((-(-len(ids) // 8), 8), np.uint64)
@@ -203,7 +225,7 @@ def _joined(batches: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array, int]:
 
 def _write(file: str, block: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(public_tokenizers.path(file))  # each executor's own copy
+        encoder = _encoder(public_tokenizers.path(file))  # each executor's own copy
         offsets, doc_ids, sizes, shard, offset = [], [], [], 0, 0
         waiting = np.zeros(0, "<u4")
 
@@ -223,6 +245,7 @@ def _write(file: str, block: int):
             whole = len(ids) // block * block
             yield from sections(ids[:whole])
             waiting = ids[whole:].copy()
+        encoder.forget()
         if doc_ids:
             yield from sections(waiting)
             keys, counts = pa.chunked_array(doc_ids).combine_chunks(), np.concatenate(sizes)
@@ -246,7 +269,8 @@ def write_ids(documents: DataFrame, path: str, key: str = "doc_id", text: str =
     ordered = rows.repartitionByRange(parts, "doc_id", "at").sortWithinPartitions("doc_id", "at")
     packed = ordered.select("doc_id", "text", F.spark_partition_id().cast("long").alias("part")).mapInArrow(
         mapped(_write(file, block)), "value binary")
-    packed.select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "none").text(path)
+    with setting(documents.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        packed.select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "none").text(path)
 
 
 def _read(with_ids: bool, most: int = 1 << 18):

@@ -100,6 +100,13 @@ def test_round_trip(spark, docs, library, block, monkeypatch):
         start += r["n_tokens"]
 
 
+def test_stretches_are_short_and_whole():
+    batches = [pa.RecordBatch.from_pydict({"doc_id": range(at, at + 1000), "text": ["wort " * 1000] * 1000, "part": [3] * 1000}) for at in (0, 1000)]
+    found = list(token_files._stretches(batches))  # 10 MB; encoding takes some 20 times a stretch
+    assert [k for keys, _, _ in found for k in keys.to_pylist()] == list(range(2000)) and {part for _, _, part in found} == {3}
+    assert max(texts.nbytes for _, texts, _ in found) < 5 << 20
+
+
 def test_files_are_small_and_several(spark, docs):
     path = new_path(spark, "ids")
     write_ids(docs([(i, "word " * 200) for i in range(50)]), path, shard_bytes=2000)
