@@ -77,7 +77,8 @@ def in_list(word: str, listed: tuple[str, ...] | list[str]) -> str:
 
 def without_words(words: str, stop: tuple[str, ...], min_length: int = 0) -> Column:
     """Array ``words`` (a SQL expression) without stop words and short words; repeats are kept."""
-    return F.expr(f"filter({words}, w -> NOT {in_list('w', stop)} AND length(w) >= {min_length})")
+    long_enough = f" AND length(w) >= {min_length}" if min_length > 0 else ""
+    return F.expr(f"filter({words}, w -> NOT {in_list('w', stop)}{long_enough})")
 
 
 def shorten(text: Column, n: int, ellipsis: str = "...") -> Column:

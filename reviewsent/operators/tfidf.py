@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from reviewsent.functions.stopwords import STOP_WORDS
 from reviewsent.functions.text import tokens, without_words
 from reviewsent.operators.words import without_stop_rows
-from reviewsent.sources.shared import bucketed_table, setting, stage_table
+from reviewsent.sources.shared import bucket_in_turn, bucketed_table, setting, stage_table
 
 
 def md5_bucket(word: Column, buckets: int) -> Column:
@@ -78,21 +78,24 @@ def tfidf_long(documents: DataFrame, terms: Column, key: str = "doc_id", name: s
 def tfidf_in_blocks(documents: DataFrame, terms: Column, key: str = "doc_id", name: str = "word") -> DataFrame:
     """:func:`tfidf_long` without a shuffle of the term frequencies, as a written table.
 
-    The documents that one task reads are a block. Each block asks once per *distinct* term for its document frequency and
+    The documents that one task reads are in one block; as many blocks as shuffles have partitions are dealt out in turn,
+    each with a bucket of its own. Each block asks once per *distinct* term for its document frequency and
     applies the answer inside the block: the term frequencies are written bucketed by block, their
     distinct terms are counted there, and only rows (block, term) are shuffled, by term to be summed
     and by block to be joined. A term of all documents is one row per block.
     """
     spark = documents.sparkSession
     m = documents.count()
-    tf = term_frequencies(documents, terms, key, name).withColumn("_block", F.spark_partition_id())
-    # the term frequencies may stay where they are although the join has the term as a second key
-    with bucketed_table(tf, "term_frequencies", "_block") as tf, \
+    tf = term_frequencies(documents, terms, key, name).withColumn("_block", bucket_in_turn(spark, F.spark_partition_id()))
+    # the term frequencies may stay where they are although the join has the term as another key, the first, as sorting is by it
+    # a task writes one bucket, so its rows need not be sorted by bucket first
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "1"), \
+            bucketed_table(tf, "term_frequencies", "_block") as tf, \
             setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         asked = tf.groupBy("_block", name).agg(F.count("*").alias("_n"))
-        answers = asked.select("_block", name, F.sum("_n").over(Window.partitionBy(name)).alias("df"))
-        weighed = (tf.join(answers, ["_block", name]).withColumn("idf", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)))
-                   .withColumn("tfidf", F.col("tf") * F.col("idf")))
+        answers = asked.select("_block", name, F.sum("_n").over(Window.partitionBy(name)).alias("df")).withColumn(
+            "idf", F.log(F.lit(float(m + 1)) / (F.col("df") + 1)))
+        weighed = tf.join(answers, [name, "_block"]).withColumn("tfidf", F.col("tf") * F.col("idf"))
         return stage_table(weighed.select(key, name, "tf", "df", "idf", "tfidf"), "tfidf")
 
 

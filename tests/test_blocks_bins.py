@@ -1,5 +1,6 @@
 """Automatic bins and the block dictionary of TF-IDF against plain Python."""
 
+import contextlib
 import math
 import random
 import re
@@ -93,3 +94,22 @@ def test_blocks_shuffle_distinct_terms_only(spark, monkeypatch):
     assert len(exchanges) == 2 and "SortMergeJoin" in plans[-1] and "Bucketed: true" in plans[-1]
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("term_frequencies")]
+
+
+def test_blocks_fill_buckets_in_turn(spark, monkeypatch):
+    """As many blocks as partitions, at most the buckets, and no bucket with two of them while another has none."""
+    seen = []
+
+    @contextlib.contextmanager
+    def looked(df, name, column):
+        with shared.bucketed_table(df, name, column) as table:
+            seen.append({r[0]: r[1] for r in table.select(F.pmod(F.hash(column), F.lit(8)), column).distinct().collect()})
+            yield table
+
+    monkeypatch.setattr(tfidf, "bucketed_table", looked)
+    with shared.setting(spark, "spark.sql.shuffle.partitions", "8"):
+        for parts in (5, 8, 20):
+            df = spark.range(4000).select(F.col("id").alias("doc_id"), F.array(F.lit("a"), F.concat(F.lit("w"), F.col("id") % 9)).alias("terms"))
+            found = tfidf.tfidf_in_blocks(df.repartition(parts), F.col("terms"))
+            assert found.count() == 8000 and found.where("word = 'a'").agg(F.min("df"), F.max("df")).first() == (4000, 4000)
+            assert sorted(seen[-1]) == list(range(min(parts, 8))) and len(set(seen[-1].values())) == min(parts, 8)
