@@ -4,10 +4,13 @@ A restaurant stands for a context, its customers for the words seen there, and e
 customer to the parent restaurant: two previous words -> one previous word -> no context -> uniform.
 Contexts are the words themselves, so there is a restaurant for every word pair and word of the corpus.
 
-1. Texts are hashed once into chunks of tokens. Each chunk counts its distinct (word, context) entries
-   and sends them to the bucket of the previous word. Entries after a frequent word are salted by the
+1. Texts are hashed once into chunks of tokens. Each chunk sends the hashes of its distinct words to their buckets,
+   once, and gets back a number and the training count of each; numbers are in the order of the hashes. Then each
+   chunk counts its distinct (word, context) entries and sends them, with word numbers in place of hashes, to the
+   bucket of the previous word. Entries after a frequent word are salted by the
    word before it, so they fill many buckets. A bucket holds whole restaurants of two previous words, and
-   those of one previous word unless that is frequent: their totals are exact and local.
+   those of one previous word unless that is frequent: their totals are exact and local. Beside them it keeps the
+   places of each chunk's entries, so that entries are sent once.
 2. Seating is simulated forward: the customers of a word in a restaurant are seated anew, one after the
    other, by the Chinese-restaurant rule, given the parent's present probability. Buckets send the tables
    of their words up to the buckets of the words, which seat the restaurants of frequent words and the one
@@ -16,7 +19,8 @@ Contexts are the words themselves, so there is a restaurant for every word pair
 3. In the last pass predictive probabilities are averaged over several samples and sent back to the
    chunks, which add up their logarithms.
 
-Entries are merged in two steps, first over groups of :data:`GROUP` chunks. All counts cover all rows.
+A bucket merges the entries of :data:`GROUP` chunks at a time, then the results. All counts cover all rows.
+Tokens and restaurants are written in buckets, so no pass shuffles them; the shuffle files of a step go when it is written.
 Which words are frequent decides where entries go, not what is counted.
 
 Defined results for odd input: a null or blank text has the end token alone. A row without ``doc_id``
@@ -24,30 +28,32 @@ counts as remainder 0 and is learned from. Repeated rows are learned and scored
 training documents every probability is uniform. An empty table gives an empty one.
 """
 
+import contextlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewsent.llm.chunks import cogrouped, count_chunks, dump, grouped, load, mapped, messages, slices
 from reviewsent.llm.suffix_dedup import mix
 from reviewsent.llm.words import hash_words, lower_ascii
-from reviewsent.sources.shared import stage_table
+from reviewsent.sources.shared import bucketed_table, passing_table, setting, stage_table
 
 #: Words of a bucket or chunk are numbered below it; two of them number a context.
 CLASSES = 1 << 29
 LEAVES = CLASSES * CLASSES
 END, START = np.uint64(0x5D1E7F3A9B2C4D17), np.uint64(0xA3C59AC2F1B7E64D)
+#: A word's number: its bucket, and below these bits its place there.
+NUMBERED_IN = np.uint64(32)
 #: Most words whose entries are salted.
 FREQUENT = 1024
 HELD_OUT = 2
 #: Text per chunk, text hashed at once, and text whose words share a bucket.
 CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20, 8 << 20
-#: Chunks that are merged and answered together.
+#: Chunks that are merged at once.
 GROUP = 256
 #: Passes that only settle the totals; sweeps per pass; sweeps before the samples that are averaged.
 PASSES, SWEEPS, BURN_IN, SAMPLES = 2, 2, 2, 4
@@ -58,6 +64,11 @@ MESSAGE_SQL = "bucket int, chunk bigint, message binary"
 TOKENS = pa.schema([("chunk", pa.int64()), ("message", pa.binary()), ("n_tokens", pa.int64()),
                     ("frequent", pa.map_(pa.int64(), pa.int64()))])
 TOKENS_SQL = "chunk bigint, message binary, n_tokens bigint, frequent map<bigint, bigint>"
+NUMBERED_SQL = "chunk bigint, message binary, numbers binary, frequent map<bigint, bigint>"
+NUMBERED = pa.schema([("chunk", pa.int64()), ("message", pa.binary()), ("numbers", pa.binary()),
+                      ("frequent", pa.map_(pa.int64(), pa.int64()))])
+STATE_SQL = "bucket int, message binary, places binary"
+STATE = pa.schema([("bucket", pa.int32()), ("message", pa.binary()), ("places", pa.binary())])
 TOTALS_SQL = "level int, context int, customers double, tables double"
 RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -133,10 +144,15 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, at + 1, 0)
 
-    def bucket(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
-        """Of contexts of two words."""
-        salt = mix(two) % np.r_[np.uint64(1), self.salts][self.number(one)]
-        return bucket_of(mix(one + salt * np.uint64(0x9E3779B97F4A7C15)), self.buckets).astype(np.int64)
+    def bucket(self, words: np.ndarray, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Of contexts of two of ``words``."""
+        number = self.number(words)
+        bucket = bucket_of(mix(words), self.buckets).astype(np.int64)[one]
+        far = np.flatnonzero((number > 0)[one])
+        one = one[far]
+        salt = mix(words)[two[far]] % self.salts[number[one] - 1]
+        bucket[far] = bucket_of(mix(words[one] + salt * np.uint64(0x9E3779B97F4A7C15)), self.buckets)
+        return bucket
 
 
 def distinct_entries(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -162,11 +178,13 @@ def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pack_entries(words: np.ndarray, two: np.ndarray, one: np.ndarray, word: np.ndarray) -> tuple[bytes, ...]:
-    """Sorted entries: the words they use, the contexts, words per context, words."""
+    """Sorted entries: the numbers of the words they use, the contexts, words per context, words."""
     used = np.zeros(len(words), bool)
     for part in (two, one, word):
         used[part] = True
-    number = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
+    used = np.flatnonzero(used)
+    number = np.empty(len(words), np.uint32)
+    number[used] = np.arange(len(used), dtype=np.uint32)
     at = np.flatnonzero(np.r_[True, (np.diff(two) != 0) | (np.diff(one) != 0)])
     return (planes(np.diff(words[used], prepend=np.uint64(0))), planes(np.diff(number[two[at]], prepend=np.uint32(0))),
             planes(number[one[at]]), planes(np.diff(np.r_[at, len(word)]).astype(np.uint32)), planes(number[word]))
@@ -182,18 +200,23 @@ def unpack_entries(words: bytes, two: bytes, one: bytes, sizes: bytes, word: byt
 def _parts(tokens: Tokens, frequent: Frequent) -> tuple[np.ndarray, ...]:
     """Distinct entries by bucket: bucket, two, one, word, their places before; and each token's entry before."""
     two, one, word, which = distinct_entries(tokens)
-    bucket = frequent.bucket(tokens.words[two], tokens.words[one])
-    order = np.argsort(bucket, kind="stable")
+    bucket = frequent.bucket(tokens.words, two, one)
+    order = np.argsort(bucket.astype(np.min_scalar_type(frequent.buckets)), kind="stable")  # 16 bits are sorted digit by digit
     return bucket[order], two[order], one[order], word[order], order, which
 
 
-def _count_messages(tokens: Tokens, held: np.ndarray, frequent: Frequent, number: int) -> Iterator[tuple]:
+def _count_messages(tokens: Tokens, numbers: np.ndarray, held: np.ndarray, frequent: Frequent, number: int) -> Iterator[tuple]:
     """Distinct entries of the chunk with their training counts, one message per bucket."""
     bucket, two, one, word, order, which = _parts(tokens, frequent)
     learned = np.bincount(which, np.repeat(~held, tokens.sizes), len(order)).astype(np.uint32)[order]
-    cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield int(bucket[a]), number, dump(*pack_entries(tokens.words, two[a:b], one[a:b], word[a:b]), planes(learned[a:b]))
+    for a, b in _runs(bucket):
+        yield int(bucket[a]), number, dump(*pack_entries(numbers, two[a:b], one[a:b], word[a:b]), planes(learned[a:b]))
+
+
+def _runs(bucket: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal values starts and ends."""
+    cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True]).tolist()
+    return zip(cuts[:-1], cuts[1:])
 
 
 def _by_chunk(batches: Iterable[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, Texts]]:
@@ -231,14 +254,65 @@ def _read_tokens(message: bytes) -> tuple[list, list, Tokens]:
     return docs, held, Tokens(np.cumsum(unplanes(words, np.uint64)), unplanes(sequence, np.uint32), unplanes(sizes, np.int64))
 
 
+def _send_words(buckets: int):
+    """The distinct words of every chunk with their training counts, one message per bucket of words."""
+    def send(batches):
+        for batch in slices(batches, 1):
+            _, held, tokens = _read_tokens(batch["message"][0].as_py())
+            learned = np.bincount(tokens.sequence, np.repeat(~np.array(held), tokens.sizes), len(tokens.words)).astype(np.uint32)
+            bucket, number = bucket_of(tokens.words, buckets).astype(np.int64), batch["chunk"][0].as_py()
+            yield _batch((int(bucket[a]), number, dump(planes(np.diff(tokens.words[a:b], prepend=np.uint64(0))), planes(learned[a:b])))
+                         for a, b in _runs(bucket))
+    return send
+
+
+def _number_words(table: pa.Table) -> pa.Table:
+    """For each chunk the places of its words among the sorted words of the bucket, and their counts over all chunks."""
+    number, received = table["bucket"][0].as_py(), [load(m) for m in table["message"].to_pylist()]
+    parts = [np.cumsum(unplanes(words, np.uint64)) for words, _ in received]
+    distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
+    learned = np.bincount(which, np.concatenate([unplanes(n, np.uint32) for _, n in received]), len(distinct)).astype(np.int64)
+    places = np.split(which, np.cumsum([len(p) for p in parts])[:-1])
+    return messages(MESSAGE, [number] * len(parts), table["chunk"].to_pylist(), [
+        dump(planes(np.diff(at, prepend=0).astype(np.uint32)), planes(learned[at])) for at in places])
+
+
+def _keep_numbers(frequent: Frequent):
+    def keep(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        """A chunk's tokens as they are, the numbers and training counts of its words, the numbers of the frequent ones."""
+        message, numbers, counts = texts["message"][0].as_py(), [], []
+        for bucket, reply in sorted(zip(replies["bucket"].to_pylist(), replies["message"].to_pylist())):
+            places, learned = load(reply)
+            numbers.append(np.cumsum(unplanes(places, np.uint32), dtype=np.uint64) + (np.uint64(bucket) << NUMBERED_IN))
+            counts.append(unplanes(learned, np.int64))
+        numbers, words = np.concatenate(numbers), _read_tokens(message)[2].words
+        often = np.flatnonzero(frequent.number(words))
+        return messages(NUMBERED, [texts["chunk"][0].as_py()], [message], [
+            dump(planes(np.diff(numbers, prepend=np.uint64(0))), planes(np.concatenate(counts)))],
+            [list(zip(words[often].view(np.int64).tolist(), numbers[often].view(np.int64).tolist()))])
+    return keep
+
+
+def _read_numbers(message: bytes) -> tuple[np.ndarray, np.ndarray]:
+    numbers, counts = load(message)
+    return np.cumsum(unplanes(numbers, np.uint64)), unplanes(counts, np.int64)
+
+
 def _send_counts(frequent: Frequent):
     def send(batches):
         for batch in slices(batches, 1):
             _, held, tokens = _read_tokens(batch["message"][0].as_py())
-            yield _batch(_count_messages(tokens, np.array(held), frequent, batch["chunk"][0].as_py()))
+            numbers, _ = _read_numbers(batch["numbers"][0].as_py())
+            yield _batch(_count_messages(tokens, numbers, np.array(held), frequent, batch["chunk"][0].as_py()))
     return send
 
 
+def numbered(frequent: Frequent, texts: DataFrame) -> Frequent:
+    """The frequent words by their numbers, which have the order of the hashes."""
+    found = texts.select(F.explode("frequent").alias("word", "number")).distinct().collect()  # at most FREQUENT rows
+    return Frequent(np.array(sorted(r["number"] for r in found), np.uint64), frequent.salts, frequent.buckets)
+
+
 def frequent_words(texts: DataFrame, buckets: int, limit: int) -> Frequent:
     """At most ``limit`` words, each more than a ``limit``-th of all tokens."""
     total = texts.agg(F.sum("n_tokens")).first()[0] or 0
@@ -250,6 +324,26 @@ def frequent_words(texts: DataFrame, buckets: int, limit: int) -> Frequent:
 
 # buckets
 
+def merge_entries(parts: list[tuple]) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]]:
+    """Unpacked entries of several messages as one: words, contexts, context and word of each distinct entry, its count;
+    and for each message the places of its entries, which rise."""
+    if len(parts) > GROUP:
+        groups = [merge_entries(parts[k:k + GROUP]) for k in range(0, len(parts), GROUP)]
+        merged, places = merge_entries([m for m, _ in groups])
+        return merged, [place[own] for place, (_, owns) in zip(places, groups) for own in owns]
+    words, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    words_of = np.split(number, np.cumsum([len(p[0]) for p in parts])[:-1])
+    contexts, number = np.unique(np.concatenate([w[p[1] // CLASSES] * CLASSES + w[p[1] % CLASSES]
+                                                 for w, p in zip(words_of, parts)]), return_inverse=True)
+    contexts_of = np.split(number, np.cumsum([len(p[1]) for p in parts])[:-1])
+    n = len(words)
+    distinct, which = np.unique(np.concatenate([c[p[2]] * n + w[p[3]] for w, c, p in zip(words_of, contexts_of, parts)]),
+                                return_inverse=True)
+    count = np.bincount(which, np.concatenate([p[4] for p in parts]), len(distinct))
+    return ((words, contexts, distinct // n, distinct % n, count),
+            np.split(which, np.cumsum([len(p[3]) for p in parts])[:-1]))
+
+
 class Dishes:
     """Restaurants of one previous word, and the one without context: customers of pairs of a word and a context,
     and those that are sent to the root directly."""
@@ -308,22 +402,9 @@ def _seen(level: int, customers: np.ndarray) -> tuple[int, int, float, float]:
 class Bucket(Dishes):
     """All entries (word, context) of the contexts of a bucket: sorted by context, then word."""
 
-    def __init__(self, received: list[tuple], frequent: Frequent):
-        parts = [(*unpack_entries(*p[:5]), unplanes(p[5], np.uint32)) for p in received]
-        if len(parts) == 1:  # merged before
-            self.words, contexts, context, word, count = parts[0]
-        else:
-            self.words, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            words_of = np.split(number, np.cumsum([len(p[0]) for p in parts])[:-1])
-            contexts, number = np.unique(np.concatenate([w[p[1] // CLASSES] * CLASSES + w[p[1] % CLASSES]
-                                                         for w, p in zip(words_of, parts)]), return_inverse=True)
-            contexts_of = np.split(number, np.cumsum([len(p[1]) for p in parts])[:-1])
-            n = len(self.words)
-            distinct, which = np.unique(np.concatenate([c[p[2]] * n + w[p[3]] for w, c, p in zip(words_of, contexts_of, parts)]),
-                                        return_inverse=True)
-            count = np.bincount(which, np.concatenate([p[4] for p in parts]), len(distinct))
-            context, word = distinct // n, distinct % n
-        self.count = count.astype(np.int64)
+    def __init__(self, message: tuple, frequent: Frequent):
+        self.words, contexts, context, word = unpack_entries(*message[:5])
+        self.count = unplanes(message[5], np.int64)
         self._contexts(word, contexts, context)
         # what is asked of the words' buckets: the word with the frequent word before it, or with none
         self.frequent = frequent.number(self.words)
@@ -332,10 +413,6 @@ class Bucket(Dishes):
         keys, self.key = np.unique(self.pair_word * CLASSES + above, return_inverse=True)
         self.key_word, self.key_above = keys // CLASSES, keys % CLASSES
 
-    def store(self) -> bytes:
-        two, one = self.contexts // CLASSES, self.contexts % CLASSES
-        return dump(*pack_entries(self.words, two[self.leaf], one[self.leaf], self.word), planes(self.count.astype(np.uint32)))
-
     def _set(self, word: np.ndarray, leaf: np.ndarray) -> None:
         self._contexts(word, *np.unique(leaf, return_inverse=True))
 
@@ -375,16 +452,20 @@ class Bucket(Dishes):
     def probabilities(self, model: "Totals", above: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Predictive probabilities of all words, pairs and entries under the present seating; ``above`` has what the
         words' buckets know: the parent's probability of each pair, its own after a frequent word."""
+        root, pair = self._parents(model, above)
+        return root, pair, model.predict(2, self.leaf, self.count, self.tables, pair[self.pair])
+
+    def _parents(self, model: "Totals", above: np.ndarray | None) -> tuple[np.ndarray | None, np.ndarray]:
         root = self.root(model) if above is None else None
         parent = root[self.pair_word] if above is None else above
         pair = model.predict(1, self.pair_class, self.pair_count, self.pair_tables, parent)
-        if above is not None:
-            pair = np.where(self.far, above, pair)
-        return root, pair, model.predict(2, self.leaf, self.count, self.tables, pair[self.pair])
+        return root, pair if above is None else np.where(self.far, above, pair)
 
     def sweep(self, model: "Totals", rng: np.random.Generator, above: np.ndarray | None = None) -> None:
-        root, pair, _ = self.probabilities(model, above)
-        self.tables = model.seat(2, self.leaf, self.count, pair[self.pair], rng)
+        root, pair = self._parents(model, above)
+        several = np.flatnonzero(self.count > 1)  # a lone customer has a table for itself
+        self.tables = (self.count > 0).astype(np.int64)
+        self.tables[several] = model.seat(2, self.leaf[several], self.count[several], pair[self.pair[several]], rng)
         self._send_up()
         if above is None:
             self.sweep_upper(model, rng, root)
@@ -400,16 +481,15 @@ class Bucket(Dishes):
             made.tables[level] = np.bincount(context, tables, len(made.customers[level]))
         return made
 
-    def ask(self, number: int, buckets: int) -> Iterator[tuple]:
+    def ask(self, number: int) -> Iterator[tuple]:
         """Customers for the words' buckets: tables of pairs, and after a frequent word the pair's customers."""
         value = np.bincount(self.key, np.where(self.far, self.pair_count, self.pair_tables), len(self.key_word)).astype(np.uint32)
         words, at, sizes = np.unique(self.key_word, return_index=True, return_counts=True)
-        hashes, at = self.words[words], np.r_[at, len(value)]
-        bucket = bucket_of(hashes, buckets)
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0, True])
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        numbers, at = self.words[words], np.r_[at, len(value)]
+        bucket = (numbers >> NUMBERED_IN).astype(np.int64)
+        for a, b in _runs(bucket):
             part = slice(at[a], at[b])
-            yield int(bucket[a]), number, dump(planes(np.diff(hashes[a:b], prepend=np.uint64(0))), planes(sizes[a:b].astype(np.uint16)),
+            yield int(bucket[a]), number, dump(planes(np.diff(numbers[a:b], prepend=np.uint64(0))), planes(sizes[a:b].astype(np.uint16)),
                                                planes(self.key_above[part].astype(np.uint16)), planes(value[part]))
 
     def answered(self, model: "Totals", replies: list[tuple]) -> np.ndarray:
@@ -461,70 +541,71 @@ class Totals:
         """Tables after all customers of each word are seated anew. One customer at a time up to 32, then in
         groups of a sixteenth of those seated, whose chance of a new table hardly differs."""
         d = self.discount[level]
-        weight = ((STRENGTH + d * self.tables[level][context]) * np.ones(len(customers)) * parent)
         tables = (customers > 0).astype(np.int64)
         active, seated = np.flatnonzero(customers > 1), 1
+        left, now = customers[active], tables[active]
+        new = (STRENGTH + d * self.tables[level][context if np.isscalar(context) else context[active]]) * parent[active]
         while len(active):
-            group = np.minimum(1 if seated < 32 else seated // 16, customers[active] - seated)
-            new = weight[active]
-            chance = new / (new + seated - d * tables[active])
-            tables[active] += (rng.random(len(active)) < chance) if seated < 32 else rng.binomial(group, chance)
+            chance = new / (new + seated - d * now)
+            now += ((rng.random(len(active)) < chance) if seated < 32
+                    else rng.binomial(np.minimum(seated // 16, left - seated), chance))
             seated += 1 if seated < 32 else seated // 16
-            active = active[customers[active] > seated]
+            more = left > seated
+            tables[active[~more]] = now[~more]
+            active, left, now, new = active[more], left[more], now[more], new[more]
         return tables
 
 
-def _merge(frequent: Frequent):
-    def merge(table: pa.Table) -> pa.Table:
-        """The messages of a group as one of the same form."""
-        bucket = Bucket([load(m) for m in table["message"].to_pylist()], frequent)
-        return messages(MESSAGE, [table["bucket"][0].as_py()], [-1], [bucket.store()])
-    return merge
+def _merge(table: pa.Table) -> pa.Table:
+    """The restaurants of a bucket, and for each chunk the places of its entries among theirs."""
+    received = [load(m) for m in table["message"].to_pylist()]
+    (words, contexts, context, word, count), places = merge_entries(
+        [(*unpack_entries(*p[:5]), unplanes(p[5], np.uint32)) for p in received])
+    entries = pack_entries(words, (contexts // CLASSES)[context], (contexts % CLASSES)[context], word)
+    kept = [planes(np.diff(at, prepend=0).astype(np.uint32)) for at in places]
+    return messages(STATE, [table["bucket"][0].as_py()], [dump(*entries, planes(count.astype(np.int64)))],
+                    [dump(table["chunk"].to_pylist(), kept)])
+
+
+def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Totals over the messages of a task."""
+    sums: dict[tuple[int, int], list[float]] = {}
+    for batch in slices(batches, 1):
+        for level, context, customers, tables in load(batch["message"][0].as_py())[0]:
+            total = sums.setdefault((level, context), [0.0, 0.0])
+            total[0] += customers
+            total[1] += tables
+    rows = [(*key, *value) for key, value in sums.items()]
+    types = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types)],
+                                     ["level", "context", "customers", "tables"])
+
+
+def _first_counts(bucket: Bucket) -> Iterator[tuple]:
+    """What only the contexts' buckets know: counts of counts, tokens, words and how often each frequent word occurs."""
+    followed, own = bucket.followed(), bucket.frequent
+    yield _seen(12, bucket.count)
+    yield _seen(11, bucket.pair_count[~bucket.far])
+    yield 20, 0, float(bucket.count.sum()), float(((followed > 0) & (own == 0)).sum())
+    for word in np.flatnonzero(own).tolist():
+        yield 30, int(own[word]), float(followed[word]), 0.0
 
 
-def _totals(seat):
-    """Totals over the buckets of a task, by what ``seat`` finds in each message."""
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], list[float]] = {}
-        for batch in slices(batches, 1):
-            for level, context, customers, tables in seat(load(batch["message"][0].as_py())):
-                total = sums.setdefault((level, context), [0.0, 0.0])
-                total[0] += customers
-                total[1] += tables
-        rows = [(*key, *value) for key, value in sums.items()]
-        types = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types)],
-                                         ["level", "context", "customers", "tables"])
-    return add
-
-
-def _first_counts(frequent: Frequent):
-    """What only the contexts' buckets know: counts of counts, tokens, words and how often each frequent word occurs."""
-    def count(message: tuple):
-        bucket = Bucket([message], frequent)
-        bucket.first_seating()
-        followed, own = bucket.followed(), bucket.frequent
-        yield _seen(12, bucket.count)
-        yield _seen(11, bucket.pair_count[~bucket.far])
-        yield 20, 0, float(bucket.count.sum()), float(((followed > 0) & (own == 0)).sum())
-        for word in np.flatnonzero(own).tolist():
-            yield 30, int(own[word]), float(followed[word]), 0.0
-    return count
-
-
-def _collect_totals(rows: DataFrame, seat) -> list[tuple]:
-    """At most :data:`FREQUENT` rows and some, whatever the corpus."""
-    rows = rows.mapInArrow(mapped(_totals(seat)), TOTALS_SQL).groupBy("level", "context").agg(
+def _collect_totals(rows: DataFrame) -> list[tuple]:
+    """Sums of the totals that are for no one: at most :data:`FREQUENT` rows and some, whatever the corpus."""
+    rows = rows.where("bucket = -1").mapInArrow(mapped(_totals), TOTALS_SQL).groupBy("level", "context").agg(
         F.sum("customers").alias("customers"), F.sum("tables").alias("tables"))
     return [tuple(r) for r in rows.collect()]
 
 
 def _ask_first(frequent: Frequent):
+    """The first customers for the words' buckets; and, for no one, the first counts."""
     def ask(batches):
         for batch in slices(batches, 1):
-            bucket = Bucket([load(batch["message"][0].as_py())], frequent)
+            bucket = Bucket(load(batch["message"][0].as_py()), frequent)
             bucket.first_seating()
-            yield _batch(bucket.ask(batch["bucket"][0].as_py(), frequent.buckets))
+            number = batch["bucket"][0].as_py()
+            yield _batch([*bucket.ask(number), (-1, number, dump(list(_first_counts(bucket))))])
     return ask
 
 
@@ -535,12 +616,12 @@ def _replies(table: pa.Table) -> list[tuple]:
 def _ask(model: Totals, frequent: Frequent, turn: int):
     """A pass over the restaurants of a bucket, from the leaves up."""
     def ask(state: pa.Table, replies: pa.Table) -> pa.Table:
-        number, bucket = state["bucket"][0].as_py(), Bucket([load(state["message"][0].as_py())], frequent)
+        number, bucket = state["bucket"][0].as_py(), Bucket(load(state["message"][0].as_py()), frequent)
         rng, above = np.random.default_rng([turn, number]), bucket.answered(model, _replies(replies))
         bucket.first_seating()
         for _ in range(SWEEPS):
             bucket.sweep(bucket.own_model(model), rng, above)
-        return messages(MESSAGE, *zip(*bucket.ask(number, frequent.buckets)))
+        return messages(MESSAGE, *zip(*bucket.ask(number)))
     return ask
 
 
@@ -570,28 +651,22 @@ def _reply(model: Totals | None, turn: int):
 
 
 def _answer(model: Totals, frequent: Frequent):
-    """For each entry of each chunk its averaged probability, for each previous word how often it occurs."""
-    def answer(known: pa.Table, sent: pa.Table) -> pa.Table:
-        state = known.filter(pc.equal(known["chunk"], -1))
-        number, bucket = state["bucket"][0].as_py(), Bucket([load(state["message"][0].as_py())], frequent)
-        above = bucket.answered(model, _replies(known.filter(pc.greater_equal(known["chunk"], 0))))
+    """For each entry of each chunk its averaged probability."""
+    def answer(state: pa.Table, replies: pa.Table) -> pa.Table:
+        number, bucket = state["bucket"][0].as_py(), Bucket(load(state["message"][0].as_py()), frequent)
+        above = bucket.answered(model, _replies(replies))
         rng = np.random.default_rng([PASSES, number])
         bucket.first_seating()
-        mean = np.zeros(len(bucket.count))
+        mean, own = np.zeros(len(bucket.count)), bucket.own_model(model)
         for turn in range(BURN_IN + SAMPLES):
-            bucket.sweep(bucket.own_model(model), rng, above)
+            bucket.sweep(own, rng, above)
+            own = bucket.own_model(model)
             if turn >= BURN_IN:
-                mean += bucket.probabilities(bucket.own_model(model), above)[2] / SAMPLES
-        mean, followed, n = mean.astype(np.float32), bucket.followed(), len(bucket.words)
-        entries, out = bucket.leaf * n + bucket.word, []
-        for chunk, message in zip(sent["chunk"].to_pylist(), sent["message"].to_pylist()):
-            words, contexts, context, word = unpack_entries(*load(message)[:5])
-            place = np.searchsorted(bucket.words, words)
-            leaf = np.searchsorted(bucket.contexts, place[contexts // CLASSES] * CLASSES + place[contexts % CLASSES])
-            ones = np.unique(contexts % CLASSES)
-            out.append((number, chunk, dump(planes(mean[np.searchsorted(entries, leaf[context] * n + place[word])]),
-                                            planes(np.diff(words[ones], prepend=np.uint64(0))), planes(followed[place[ones]]))))
-        return messages(MESSAGE, *zip(*out))
+                mean += bucket.probabilities(own, above)[2] / SAMPLES
+        mean = mean.astype(np.float32)
+        chunks, places = load(state["places"][0].as_py())
+        return messages(MESSAGE, [number] * len(chunks), chunks, [
+            dump(planes(mean[np.cumsum(unplanes(at, np.uint32), dtype=np.int64)])) for at in places])
     return answer
 
 
@@ -602,12 +677,7 @@ def _score(model: Totals, frequent: Frequent):
         _, _, _, _, order, which = _parts(tokens, frequent)
         probability = np.empty(len(order))
         probability[order] = np.concatenate([unplanes(p[0], np.float32) for p in parts])
-        count = np.zeros(len(tokens.words), np.int64)
-        for _, words, n in parts:
-            count[np.searchsorted(tokens.words, np.cumsum(unplanes(words, np.uint64)))] = unplanes(n, np.int64)
-        often = frequent.number(tokens.words)
-        count = np.where(often > 0, model.frequent[often], count)
-        count[np.searchsorted(tokens.words, END)] = count[np.searchsorted(tokens.words, START)]
+        _, count = _read_numbers(documents["numbers"][0].as_py())
         first, own = np.cumsum(tokens.sizes) - tokens.sizes, count[tokens.sequence]
         base = np.log10((own + 1) / (model.tokens + model.words + 1))
         known = np.add.reduceat((own > 0).astype(np.int64), first)
@@ -622,31 +692,42 @@ def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     ``documents``; ``10 ** (-score / n_tokens)`` is a text's perplexity."""
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), held_out(F.col(key)).alias("held_out"),
                             F.col(text).alias("text"))
-    buckets, size = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
+    spark = documents.sparkSession
+    # each step is written and run once, so nothing reads its shuffles again
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"), contextlib.ExitStack() as steps:
+        return _scores(rows, steps)
+
+
+def _scores(rows: DataFrame, steps: contextlib.ExitStack) -> DataFrame:
+    buckets, _ = count_chunks(rows, chunk_bytes=BUCKET_BYTES)
     limit = min(FREQUENT, 2 * buckets)
-    texts = stage_table(rows.mapInArrow(mapped(_send_tokens(limit)), TOKENS_SQL), "tokens")
-    frequent = frequent_words(texts, buckets, limit)
-    groups = -(-size // (CHUNK_BYTES * GROUP)) or 1
-    group = F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int")
-    counts = texts.select("chunk", "message").mapInArrow(mapped(_send_counts(frequent)), MESSAGE_SQL)
-    merged = counts.groupBy("bucket", group.alias("part")).applyInArrow(grouped(_merge(frequent)), MESSAGE_SQL)
-    if groups > 1:
-        merged = merged.groupBy("bucket").applyInArrow(grouped(_merge(frequent)), MESSAGE_SQL)
-    state = stage_table(merged, "restaurants")
-    seen, model, asked = _collect_totals(state, _first_counts(frequent)), None, state.mapInArrow(
-        mapped(_ask_first(frequent)), MESSAGE_SQL)
+    with passing_table(rows.mapInArrow(mapped(_send_tokens(limit)), TOKENS_SQL), "tokens") as texts:
+        frequent = frequent_words(texts, buckets, limit)
+        asked = texts.select("chunk", "message").mapInArrow(mapped(_send_words(buckets)), MESSAGE_SQL)
+        replies = asked.groupBy("bucket").applyInArrow(grouped(_number_words), MESSAGE_SQL)
+        texts = steps.enter_context(bucketed_table(texts.select("chunk", "message").groupBy("chunk").cogroup(
+            replies.groupBy("chunk")).applyInArrow(cogrouped(_keep_numbers(frequent)), NUMBERED_SQL), "numbered_tokens", "chunk"))
+    own = numbered(frequent, texts)
+    counts = texts.select("chunk", "message", "numbers").mapInArrow(mapped(_send_counts(frequent)), MESSAGE_SQL)
+    state = steps.enter_context(bucketed_table(
+        counts.groupBy("bucket").applyInArrow(grouped(_merge), STATE_SQL), "restaurants", "bucket"))
+    seated, model, written = state.select("bucket", "message"), None, steps.enter_context(contextlib.ExitStack())
+    asked = written.enter_context(passing_table(seated.mapInArrow(mapped(_ask_first(own)), MESSAGE_SQL), "first_customers"))
+    seen, asked = _collect_totals(asked), asked.where("bucket >= 0")
     for turn in range(PASSES + 1):
-        replies = stage_table(asked.groupBy("bucket").applyInArrow(grouped(_reply(model, turn)), MESSAGE_SQL), "replies")
-        totals = _collect_totals(replies.where("bucket = -1"), lambda message: message[0])
+        read, written = written, steps.enter_context(contextlib.ExitStack())
+        replies = written.enter_context(passing_table(
+            asked.groupBy("bucket").applyInArrow(grouped(_reply(model, turn)), MESSAGE_SQL), "replies"))
+        read.close()  # what this pass has read
+        totals = _collect_totals(replies)
         model = model.with_seating(totals) if model else Totals(_added(seen, totals))
         replies = replies.where("bucket >= 0")
         if turn < PASSES:
-            asked = state.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(
-                cogrouped(_ask(model, frequent, turn)), MESSAGE_SQL)
-    answers = state.union(replies).groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(
-        cogrouped(_answer(model, frequent)), MESSAGE_SQL)
-    return texts.select("chunk", "message").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        cogrouped(_score(model, frequent)), RESULT_SQL)
+            asked = seated.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(
+                cogrouped(_ask(model, own, turn)), MESSAGE_SQL)
+    answers = state.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(cogrouped(_answer(model, own)), MESSAGE_SQL)
+    return stage_table(texts.select("chunk", "message", "numbers").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        cogrouped(_score(model, frequent)), RESULT_SQL), "scores")
 
 
 def _added(rows: list[tuple], more: list[tuple]) -> list[tuple]:

@@ -1,8 +1,10 @@
 import math
 import random
 import re
+import tempfile
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -107,3 +109,42 @@ def test_words_are_contexts(docs, monkeypatch):
     salted, plain = found.values()
     assert salted > -1.0  # of three words one is a choice of 200; 15 classes of contexts would add a choice of 13: -1.14
     assert salted == pytest.approx(plain, rel=0.05)  # totals of frequent words settle a pass later
+
+
+def test_merged_entries_keep_their_places(monkeypatch):
+    """Each chunk finds its own entries among the merged ones, also when they are merged a few messages at a time."""
+    rng = np.random.default_rng(4)
+    sent = []
+    for _ in range(23):
+        rows = sorted({tuple(r) for r in rng.integers(0, 6, (40, 3)).tolist()})
+        names = np.sort(rng.choice(1000, 6, replace=False)).astype(np.uint64) + np.uint64(5 << 32)
+        sent.append((names, np.array(rows), rng.integers(0, 9, len(rows))))
+    count = Counter()
+    for names, rows, n in sent:
+        for row, k in zip(names[rows].tolist(), n.tolist()):
+            count[tuple(row)] += k
+    for group in (4, 23):
+        monkeypatch.setattr(pitman_yor, "GROUP", group)
+        (words, contexts, context, word, learned), places = pitman_yor.merge_entries([
+            (*pitman_yor.unpack_entries(*pitman_yor.pack_entries(names, *rows.T)), n) for names, rows, n in sent])
+        two, one = words[contexts // CLASSES][context], words[contexts % CLASSES][context]
+        merged = list(zip(two.tolist(), one.tolist(), words[word].tolist()))
+        assert merged == sorted(count) and dict(zip(merged, learned.tolist())) == count
+        for (names, rows, _), at in zip(sent, places):
+            assert [merged[k] for k in at] == [tuple(r) for r in names[rows].tolist()]
+
+
+def test_entries_are_sent_once(docs, spark, monkeypatch, tmp_path):
+    """What a run leaves: tokens, restaurants and scores; no shuffle of entries or restaurants, no passing messages.
+    Sent once to be merged and again to be answered, entries and restaurants took several times the texts."""
+    rng = random.Random(8)
+    data = [(i, " ".join(f"{rng.randrange(1 << 60):x}" for _ in range(100))) for i in range(300)]
+    monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 100_000)
+    monkeypatch.setattr("reviewsent.sources.shared.new_path", lambda _, name: f"{tmp_path}/{name}-{rng.random()}")
+    local = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    shuffled = lambda: sum(p.stat().st_size for p in Path(local).glob("blockmgr-*/*/shuffle_*.data"))
+    before = shuffled()
+    found = score_documents(docs(data))
+    assert shuffled() - before < 0.2 * sum(len(text) for _, text in data)
+    assert found.count() == len(data)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["numbered_tokens", "restaurants", "scores"]
