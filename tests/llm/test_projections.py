@@ -73,3 +73,67 @@ def test_recall_at_the_threshold(similarity):
     found = sum(len(next(projections.count_collisions(*map(projections.on_grid, (px[i:i + 1], py[i:i + 1]))))) for i in range(4000))
     assert found >= 3990
     assert (np.abs(px[:, 0] - py[:, 0]) <= projections.CELL).mean() > 0.999
+
+
+def test_cells_same_as_brute_force(spark, monkeypatch):
+    rounds = []
+    for name, value in (("BLOCK", 16), ("LARGE", 1), ("GATHERED", 1), ("SHARE", 0.7), ("LEAST_BYTES", 1)):
+        monkeypatch.setattr(projections, name, value)
+    monkeypatch.setattr(projections, "choose_depth", lambda n, share: 9 if share else 0)
+    monkeypatch.setattr(projections, "_rounds", lambda *a, f=projections._rounds: rounds.extend(f(*a)) or rounds)
+    rows = cases()
+    table = spark.createDataFrame([(i, v, 0, "s", "c") for i, v in rows], SCHEMA)
+    assert sorted(map(tuple, group_vectors(table).collect()), key=str) == brute(rows)
+    deals = [d for r in rounds for d in r.get(64, [])]
+    assert max(d.blocks.max(initial=1) for d in deals) > 2 and max(d.stripes for d in deals) > 1
+
+
+def test_copies_in_proportion_to_vectors():
+    for n in (100_000, 15_400_000):
+        depth = projections.choose_depth(n, {d: 2.0 ** -d for d in projections.DEPTHS})
+        plan = projections.Plan(n, depth, 100, {})
+        rounds = list(projections._rounds({64: plan}, "<f4"))
+        assert sum(len(r[64]) for r in rounds) == projections.tables_of(depth) <= 60
+        assert max(len(r[64]) for r in rounds) <= 2
+        assert projections.tables_of(depth) * n * 2.0 ** -depth < 10_000  # vectors that one is compared with
+
+
+def test_blocks_of_a_large_cell_grow():
+    plan = projections.Plan(1_000_000, 16, 100, {0: [(5, 200_000), (7, 9_000)], 1: [(5, 9_000)]})
+    few, size = projections._deal(plan, 0, 280, 2 * 280_000_000)
+    assert size <= 2 * 280_000_000 and few.codes.tolist() == [5, 7] and few.blocks.max() > 1
+    assert few.first.tolist() == [100, 100 + few.blocks[0] ** 2]
+    assert projections._deal(plan, 1, 280, 2 * 280_000_000)[0].blocks.tolist() == [5]
+
+
+@pytest.mark.parametrize("depth", [9, 15, 18])
+def test_pairs_at_the_threshold_meet(depth):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((4000, 64))
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + 0.19 ** 0.5 * z / np.linalg.norm(z, axis=1, keepdims=True)
+    met = np.zeros(4000, bool)
+    for level in range(projections.tables_of(depth)):
+        codes = projections.cell_codes(x, level, depth)
+        assert projections.cell_codes(x[7:8], level, depth)[0] == codes[7]
+        met |= codes == projections.cell_codes(y, level, depth)
+    assert met.sum() >= 3990
+
+
+def test_all_collisions_of_runs():
+    rng = np.random.default_rng(3)
+    grid = projections.on_grid(1.2 * rng.standard_normal((3000, 64)) * (rng.random((3000, 1)) < 0.7))
+    codes = rng.permutation(np.repeat(np.arange(200), rng.multinomial(3000, np.r_[0.4, np.full(199, 0.6 / 199)])))
+    order, starts, lengths = projections._runs(codes)
+    lines, found = projections._lines(grid[order]), set()
+    for i, j in projections._meetings(starts, lengths, len(grid)):
+        one, other = projections._collide(*lines, i, j, ordered=True)
+        pairs = set(zip(one.tolist(), other.tolist()))
+        assert len(pairs) == len(one) and not pairs & found
+        found |= pairs
+    near = np.abs(grid[order][:, None, :].astype(np.int16) - grid[order][None]) <= projections.HALF
+    good = (near[..., :16].sum(2) >= projections.LEAST_FIRST) & (near.sum(2) >= projections.LEAST_ALL)
+    good &= (codes[order][:, None] == codes[order][None]) & np.triu(np.ones(good.shape, bool), 1)
+    assert found == set(zip(*map(np.ndarray.tolist, np.nonzero(good)))) and len(found) > 1000
